@@ -101,6 +101,14 @@ def pct_round2(num, den) -> Column:
     return F.round(q, 2).cast("double")
 
 
+def micro_avg(c) -> Column:
+    """Average of a DOUBLE column in exact integer micro-units (values are
+    rounded to 1e-6 first), so the result does not depend on summation order.
+    Use inside ``agg``."""
+    micro = F.round(col_(c) * F.lit(1e6)).cast("bigint")
+    return F.sum(micro).cast("double") / F.count(micro).cast("double") / F.lit(1e6)
+
+
 def rfm_segment(monetary, frequency, recency) -> Column:
     """F-18: seven ordered cases; band 30–90 inclusive is ``at_risk`` (D37)."""
     m, f, r = col_(monetary), col_(frequency), col_(recency)

@@ -3,7 +3,8 @@
 Aggregates are expressed once and left to Catalyst: partial (map-side)
 aggregation before every shuffle, one Window node per partition spec.
 Averages are exact ``sum / count`` in DOUBLE; averages of DOUBLE inputs are
-rounded to 6 decimals (summation order differs between engines).
+taken in integer micro-units (``micro_avg``) so summation order cannot change
+the result.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from aurum.config import Settings
 from aurum.functions.columns import (
-    abc_class, avg_order_value, churn_risk_score, days_on_hand, ltv_tier, pct_round2,
+    abc_class, avg_order_value, churn_risk_score, days_on_hand, ltv_tier, micro_avg, pct_round2,
     ratio, rfm_segment, stockout_risk,
 )
 
@@ -205,11 +206,11 @@ def iot_device_daily(validated: DataFrame) -> DataFrame:
     return validated.groupBy("device_id", "sensor_type", "reading_date").agg(
         F.count(F.lit(1)).alias("readings_count"),
         F.count_if(F.col("is_outlier")).alias("outlier_count"),
-        F.round(F.avg("reading_value_validated"), 6).alias("avg_reading"),
+        micro_avg("reading_value_validated").alias("avg_reading"),
         F.min("reading_value_validated").alias("min_reading"),
         F.max("reading_value_validated").alias("max_reading"),
-        F.round(F.avg("battery_level"), 6).alias("avg_battery_level"),
-        F.round(F.avg("z_score"), 6).alias("avg_z_score"),
+        micro_avg("battery_level").alias("avg_battery_level"),
+        micro_avg("z_score").alias("avg_z_score"),
         F.max("reading_timestamp").alias("last_reading"),
     )
 

@@ -41,6 +41,11 @@ def _pct2(n: str, d: str) -> str:
     return (f"(CAST((CAST({n} AS BIGINT) * 20000 + NULLIF({d}, 0)) // (2 * NULLIF({d}, 0)) AS DOUBLE) / 100)")
 
 
+def _micro_avg(c: str) -> str:
+    m = f"CAST(round({c} * 1e6) AS BIGINT)"
+    return f"(CAST(sum({m}) AS DOUBLE) / CAST(count({m}) AS DOUBLE) / 1e6)"
+
+
 CTE: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -365,12 +370,12 @@ FROM (SELECT funnel_date, country_code, device_type, count(*) AS sessions,
              CAST(sum(had_purchase) AS BIGINT) AS purchases
       FROM session_metrics GROUP BY 1, 2, 3) g""")
 
-cte("iot_daily", ("silver_iot",), """
+cte("iot_daily", ("silver_iot",), f"""
 SELECT device_id, sensor_type, reading_date, count(*) AS readings_count,
        count(CASE WHEN is_outlier THEN 1 END) AS outlier_count,
-       round(avg(reading_value_validated), 6) AS avg_reading,
+       {_micro_avg('reading_value_validated')} AS avg_reading,
        min(reading_value_validated) AS min_reading, max(reading_value_validated) AS max_reading,
-       round(avg(battery_level), 6) AS avg_battery_level, round(avg(z_score), 6) AS avg_z_score,
+       {_micro_avg('battery_level')} AS avg_battery_level, {_micro_avg('z_score')} AS avg_z_score,
        max(reading_timestamp) AS last_reading
 FROM silver_iot GROUP BY device_id, sensor_type, reading_date""")
 
