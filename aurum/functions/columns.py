@@ -84,6 +84,13 @@ def elapsed_seconds(start, end) -> Column:
     return F.unix_timestamp(col_(end)) - F.unix_timestamp(col_(start))
 
 
+def epoch_micros(c) -> Column:
+    """Microseconds since the epoch of a TIMESTAMP_NTZ, independent of the
+    session time zone (whole seconds + the micro part of the seconds field)."""
+    return (F.unix_timestamp(col_(c)) * F.lit(1_000_000)
+            + (F.date_part(F.lit("SECOND"), col_(c)) * F.lit(1_000_000)).cast("bigint") % F.lit(1_000_000))
+
+
 def days_between(start, end) -> Column:
     """F-13: calendar days (two-argument ``datediff`` on dates)."""
     return F.datediff(F.to_date(col_(end)), F.to_date(col_(start)))

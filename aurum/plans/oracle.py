@@ -410,3 +410,140 @@ def sql(final: str, *ctes: str) -> str:
     if not order:
         return final.strip()
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n][1]})" for n in order) + "\n" + final.strip()
+
+
+# ============================================================ widened set
+CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
+SCD_T = "TIMESTAMP '1998-01-01 00:00:00'"
+S_EOD = "TIMESTAMP '2001-08-16 00:00:00'"
+E_EOD = "TIMESTAMP '2024-01-31 00:00:00'"
+SALES_COLS = ("transaction_id, store_id, product_sku, quantity, amount_local, currency, payment_method, "
+              "transaction_date, customer_email_hashed, amount_usd, surrogate_key, _loaded_at")
+COMPARE = ["store_id", "product_sku", "quantity", "amount_local", "currency", "payment_method",
+           "transaction_date", "customer_email_hashed", "amount_usd"]
+
+
+def _latest_sales(src: str) -> str:
+    return f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _loaded_at DESC NULLS LAST,
+      transaction_date DESC NULLS LAST, store_id DESC NULLS LAST, product_sku DESC NULLS LAST,
+      quantity DESC NULLS LAST, unit_price DESC NULLS LAST, amount DESC NULLS LAST,
+      currency DESC NULLS LAST, payment_method DESC NULLS LAST, customer_email DESC NULLS LAST) AS rn
+  FROM {src} WHERE transaction_id IS NOT NULL) WHERE rn = 1"""
+
+
+def _silver_from(latest: str, validate: bool = True) -> str:
+    amt = "amount" if validate else "CAST(CASE WHEN amount < 0 THEN 0 ELSE amount END AS DECIMAL(18,2))"
+    where = "WHERE amount > 0 AND quantity > 0" if validate else ""
+    return f"""SELECT transaction_id, store_id, product_sku, quantity, {amt} AS amount_local, currency,
+       payment_method, transaction_date, {_hash('customer_email')} AS customer_email_hashed,
+       {amt} AS amount_usd, surrogate_key, _loaded_at
+FROM {latest} {where}"""
+
+
+cte("first_stg", ("stg_sales",), f"SELECT * FROM stg_sales WHERE _loaded_at < {CUTOFF}")
+cte("first_latest", ("first_stg",), _latest_sales("first_stg"))
+cte("sales_first", ("first_latest",), _silver_from("first_latest"))
+cte("next_stg", ("stg_sales", "sales_first"),
+    "SELECT * FROM stg_sales WHERE _loaded_at > (SELECT max(_loaded_at) FROM sales_first)")
+cte("next_latest", ("next_stg",), _latest_sales("next_stg"))
+cte("sales_next", ("next_latest",), _silver_from("next_latest"))
+cte("sales_unvalidated", ("sales_latest",), _silver_from("sales_latest", validate=False))
+
+cte("seed_countries", (), "SELECT * FROM (VALUES " + ", ".join(
+    "('{}', '{}')".format(code, region.replace("'", "''")) for code, region in [
+        ("SN", "West Africa"), ("CI", "West Africa"), ("ML", "West Africa"), ("BF", "West Africa"),
+        ("FR", "Europe"), ("US", "North America"), ("GB", "Europe"), ("DE", "Europe"),
+        ("CA", "North America"), ("NG", "West Africa")]) + ") AS t(country_code, region)")
+
+cte("ltv_sales", ("silver_sales",), f"""
+SELECT customer_email_hashed, CAST(sum(amount_usd) AS DECIMAL(38,2)) AS total_spend_usd,
+       count(DISTINCT transaction_id) AS total_orders, min(transaction_date) AS first_purchase_date,
+       max(transaction_date) AS last_purchase_date,
+       CAST(datediff('day', CAST(max(transaction_date) AS DATE), {S_AS_OF}) AS INTEGER) AS days_since_last_purchase
+FROM silver_sales WHERE customer_email_hashed IS NOT NULL GROUP BY customer_email_hashed""")
+
+cte("scd2", (), f"""
+SELECT customer_id, priority_tier, updated_at AS valid_from,
+       lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS valid_to,
+       lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) IS NULL AS is_current
+FROM (SELECT *, lag(h) OVER (PARTITION BY customer_id ORDER BY updated_at) AS prev FROM (
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at ORDER BY h DESC) AS rn FROM (
+            SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS updated_at,
+                   o_orderpriority AS priority_tier, {_skey('o_orderpriority')} AS h FROM orders))
+        WHERE rn = 1))
+WHERE prev IS NULL OR prev <> h""")
+
+cte("day_checks", ("stg_web", "silver_iot"), f"""
+SELECT d, c.check_name, c.passed FROM (
+  SELECT coalesce(w.d, o.d) AS d, w.events, w.null_browser, o.readings, o.outliers
+  FROM (SELECT CAST(event_timestamp AS DATE) AS d, count(*) AS events,
+               sum(CASE WHEN browser IS NULL THEN 1 ELSE 0 END) AS null_browser FROM stg_web GROUP BY 1) w
+  FULL JOIN (SELECT reading_date AS d, count(*) AS readings, count(CASE WHEN is_outlier THEN 1 END) AS outliers
+             FROM silver_iot GROUP BY 1) o ON w.d = o.d) j,
+LATERAL (SELECT * FROM (VALUES
+   ('null_ratio_browser', coalesce({_ratio('j.null_browser * 100', 'j.events')}, 0.0) <= 5.0),
+   ('iot_outlier_rate', coalesce({_ratio('j.outliers * 100', 'j.readings')}, 0.0) < 10.0),
+   ('row_count_web_events', coalesce(j.events, 0) > 0)) AS v(check_name, passed)) c""")
+
+cte("null_ratio_all", ("silver_sales", "silver_customers"), " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_count, count(*) AS total "
+    f"FROM {src}" for t, src, cols in [
+        ("sales_transactions_cleaned", "silver_sales", SALES_COLS.split(", ")),
+        ("customers_cleaned", "silver_customers",
+         "customer_id, full_name_clean, email_hashed, phone_masked, date_of_birth, address_city, country_code, "
+         "registration_date, loyalty_tier, age_bucket, surrogate_key, _loaded_at".split(", "))]
+    for c in cols))
+
+cte("null_ratio", ("null_ratio_all",), f"""
+SELECT table_name, column_name, null_count, total,
+       coalesce({_ratio('null_count * 100', 'total')}, 0.0) AS null_pct,
+       coalesce({_ratio('null_count * 100', 'total')}, 0.0) <= 5.0 AS passed
+FROM null_ratio_all""")
+
+cte("layer_counts", ("stg_sales", "silver_sales", "gold_daily_sales"), """
+SELECT (SELECT count(*) FROM stg_sales) AS bronze, (SELECT count(*) FROM silver_sales) AS silver,
+       (SELECT count(*) FROM gold_daily_sales) AS gold""")
+
+cte("layer_rec", ("layer_counts",), f"""
+SELECT 'row_count_bronze' AS check_name, CAST(bronze AS DOUBLE) AS metric, bronze > 0 AS passed FROM layer_counts
+UNION ALL SELECT 'row_count_silver', CAST(silver AS DOUBLE), silver > 0 FROM layer_counts
+UNION ALL SELECT 'row_count_gold', CAST(gold AS DOUBLE), gold > 0 FROM layer_counts
+UNION ALL SELECT 'dedup_reduction_pct', {_ratio('(bronze - silver) * 100', 'bronze')},
+                 coalesce({_ratio('(bronze - silver) * 100', 'bronze')} >= 0, FALSE) FROM layer_counts""")
+
+cte("completeness", ("gold_customer_360",), f"""
+SELECT customers, active, coalesce({_ratio('active * 100', 'customers')}, 0.0) AS active_pct,
+       coalesce({_ratio('active * 100', 'customers')}, 0.0) > 0 AS passed
+FROM (SELECT count(*) AS customers, count(CASE WHEN customer_segment <> 'never_purchased' THEN 1 END) AS active
+      FROM gold_customer_360)""")
+
+cte("revenue", ("gold_daily_sales", "silver_sales"), """
+SELECT g AS gold_revenue_usd, s AS silver_revenue_usd, coalesce(g IS NOT NULL AND g > 0 AND g = s, FALSE) AS passed
+FROM (SELECT (SELECT CAST(sum(total_revenue_usd) AS DECIMAL(38,2)) FROM gold_daily_sales) AS g,
+             (SELECT CAST(sum(amount_usd) AS DECIMAL(38,2)) FROM silver_sales) AS s)""")
+
+cte("outliers", ("silver_iot",), f"""
+SELECT readings, outliers, coalesce({_ratio('outliers * 100', 'readings')}, 0.0) AS outlier_pct,
+       coalesce({_ratio('outliers * 100', 'readings')}, 0.0) < 10.0 AS passed
+FROM (SELECT count(*) AS readings, count(CASE WHEN is_outlier THEN 1 END) AS outliers FROM silver_iot)""")
+
+cte("fresh_sales", ("silver_sales",), f"""
+SELECT max(transaction_date) AS max_ts,
+       (floor(epoch({S_EOD})) - floor(epoch(max(transaction_date)))) / 3600.0 AS age_hours FROM silver_sales""")
+
+cte("dq_checks", ("layer_rec", "fresh_sales", "null_ratio", "completeness", "revenue", "outliers"), """
+SELECT check_name AS name, passed FROM layer_rec
+UNION ALL SELECT 'freshness_sales', NOT (max_ts IS NULL OR age_hours > 48) FROM fresh_sales
+UNION ALL SELECT 'null_ratio_sales', bool_and(passed) FROM null_ratio WHERE table_name = 'sales_transactions_cleaned'
+UNION ALL SELECT 'null_ratio_customers', bool_and(passed) FROM null_ratio WHERE table_name = 'customers_cleaned'
+UNION ALL SELECT 'customer_completeness', passed FROM completeness
+UNION ALL SELECT 'revenue_integrity', passed FROM revenue
+UNION ALL SELECT 'iot_outlier_rate', passed FROM outliers""")
+
+cte("fx_rates", ("stg_sales",), """
+SELECT currency, rate_date,
+       CAST(CASE WHEN currency = 'USD' THEN 1 WHEN currency = 'EUR' THEN 1.05 + (day(rate_date) % 10) * 0.01
+                 ELSE 0.0016 + (day(rate_date) % 5) * 0.0001 END AS DECIMAL(18,6)) AS usd_rate
+FROM (SELECT DISTINCT currency, CAST(transaction_date AS DATE) AS rate_date FROM stg_sales)""")

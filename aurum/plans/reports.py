@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aurum.functions.columns import micro_avg, ratio, url_param
+from aurum.functions.columns import epoch_micros, micro_avg, ratio, url_param
 from aurum.seeds import countries
 
 
@@ -120,7 +120,7 @@ def sensor_interpolation(validated: DataFrame) -> DataFrame:
     before = base.rowsBetween(Window.unboundedPreceding, -1)
     after = base.rowsBetween(1, Window.unboundedFollowing)
     v = F.col("reading_value_validated")
-    secs = F.unix_micros(F.col("reading_timestamp").cast("timestamp"))
+    secs = epoch_micros("reading_timestamp")
     valid = F.when(v.isNotNull(), F.struct(secs.alias("t"), v.alias("v")))
     r = validated.select(
         "device_id", "sensor_type", "reading_timestamp", "reading_value_raw", "is_outlier", v.alias("val"),
