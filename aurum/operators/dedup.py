@@ -37,8 +37,10 @@ def dedup_latest(df: DataFrame, keys, order_by="_loaded_at", tiebreak=None,
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     tiebreak = rest if tiebreak is None else _as_list(tiebreak)
     if drop_null_keys:
-        df = df.filter(F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) == 0
-                       if len(keys) > 1 else F.col(keys[0]).isNotNull())
+        cond = F.col(keys[0]).isNotNull()
+        for k in keys[1:]:
+            cond = cond & F.col(k).isNotNull()
+        df = df.filter(cond)
     sort_cols = order_by + [c for c in tiebreak if c not in order_by]
     payload = [c for c in rest if c not in sort_cols]
     if strategy == "window":

@@ -24,11 +24,17 @@ def _keys(keys):
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def all_not_null(keys) -> F.Column:
+    cond = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
 def duplicate_source_keys(source: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once (a MERGE would be ambiguous)."""
     keys = _keys(keys)
-    return (source.filter(F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) == 0)
-            .groupBy(*keys).count().filter("count > 1"))
+    return (source.filter(all_not_null(keys)).groupBy(*keys).count().filter("count > 1"))
 
 
 def assert_unique_keys(source: DataFrame, keys) -> None:
@@ -70,19 +76,20 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_columns=None,
 
 
 def high_water_mark(target: DataFrame, column: str = "_loaded_at"):
-    """S-10: ``max(column)`` of the target as a Column-free scalar."""
+    """S-10: ``max(column)`` of the target — one scalar, one aggregate job."""
     return target.agg(F.max(column).alias("hwm")).collect()[0]["hwm"]
 
 
 def incremental_batch(source: DataFrame, target: DataFrame | None, column: str = "_loaded_at") -> DataFrame:
     """S-10: rows newer than the target's high-water mark; the whole source on
-    a first run.  Expressed as a join against the one-row max so the filter
-    stays inside the plan (no driver round trip)."""
+    a first run (or an empty target).  The mark is a literal in the filter, so
+    it is pushed into the source scan (parquet row-group skipping)."""
     if target is None:
         return source
-    hwm = target.agg(F.max(column).alias("__hwm"))
-    return source.crossJoin(F.broadcast(hwm)).filter(
-        F.col("__hwm").isNull() | (F.col(column) > F.col("__hwm"))).drop("__hwm")
+    hwm = high_water_mark(target, column)
+    if hwm is None:
+        return source
+    return source.filter(F.col(column) > F.lit(hwm).cast(source.schema[column].dataType))
 
 
 def sync_schema(df: DataFrame, target_columns, mode: str = "append_new_columns") -> DataFrame:

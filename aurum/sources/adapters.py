@@ -12,6 +12,8 @@ with the scale factor and are shuffled or broadcast by AQE from runtime sizes.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +58,16 @@ def _amount(price: Column) -> Column:
     return (price.cast("decimal(18,2)") * F.lit(AMOUNT_SCALE).cast("decimal(4,3)")).cast("decimal(18,2)")
 
 
+def _unit_price(amount: Column, qty: Column) -> Column:
+    """``round(amount / quantity, 2)`` (HALF_UP) in exact integer cents — no
+    decimal division on the hot path (identical results, checked on sf0.1)."""
+    cents = (amount * F.lit(100)).cast("bigint")
+    q = F.nullif(qty, F.lit(0)).cast("bigint")
+    num, den = cents * 2 + q, q * 2
+    half_up = ((num - F.pmod(num, den)) / den).cast("bigint")  # exact floor division of integers
+    return (half_up.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
 def _line_id(li=None) -> Column:
     return F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
 
@@ -85,7 +97,7 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("STORE-"), F.col("s_nationkey").cast("string")).alias("store_id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("product_sku"),
         qty.alias("quantity"),
-        F.round(amount / F.nullif(qty, F.lit(0)), 2).cast("decimal(18,2)").alias("unit_price"),
+        _unit_price(amount, qty).alias("unit_price"),
         amount.alias("amount"),
         F.col("currency"),
         F.col("o_orderpriority").alias("payment_method"),
