@@ -111,6 +111,8 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str, keys, upd
         merged = upsert(target, source, keys, update_columns, insert_only).checkpoint()
         merged.write.mode("overwrite").format(fmt).save(path)
         return merged
+    # partition values come back type-inferred from directory names: align them
+    target = target.withColumn(partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType))
     # partitions touched: where source rows land, and where matched target rows live now
     src_parts = source.select(partition_by)
     old_parts = target.join(source.select(*keys), keys, "left_semi").select(partition_by)
