@@ -26,19 +26,31 @@ def scd2_history(changes: DataFrame, key: str, updated_at: str, tracked) -> Data
     * a version equal to the previous one (no-op change) is dropped;
     * ``valid_to`` is the next kept version's ``valid_from``.
 
-    Versions of one key are first reduced to one row per timestamp by a
-    partial aggregate; the windows then see one row per real change.
+    No window ever spans a key's whole history (a key may hold a third of
+    all changes): "previous version" and "next kept version" are found inside
+    (key, day) windows, and across days through a one-row-per-(key, day)
+    series carried by a window over days; those daily rows join back 1:1.
     """
     tracked = list(tracked)
     v = changes.select(key, updated_at, *tracked).withColumn("_change_hash", _h(tracked))
-    v = dedup_latest(v, [key, updated_at], "_change_hash", tiebreak=[])
-    w = Window.partitionBy(key).orderBy(updated_at)
-    kept = v.withColumn("_prev", F.lag("_change_hash").over(w)).filter(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col("_change_hash")))
+    v = dedup_latest(v, [key, updated_at], "_change_hash", tiebreak=[])  # partial aggregate
+    v = v.withColumn("_day", F.to_date(updated_at))
+    in_day = Window.partitionBy(key, "_day").orderBy(updated_at)
+    by_day = Window.partitionBy(key).orderBy("_day")
+    # previous version's hash: same day, else the last version of an earlier day
+    last_of_day = v.groupBy(key, "_day").agg(F.max(F.struct(updated_at, "_change_hash")).alias("_m"))
+    prev_day = last_of_day.select(key, "_day", F.lag("_m._change_hash").over(by_day).alias("_prev_day"))
+    v = v.withColumn("_prev_in", F.lag("_change_hash").over(in_day)).join(prev_day, [key, "_day"], "left")
+    prev = F.coalesce("_prev_in", "_prev_day")
+    kept = v.filter(prev.isNull() | (prev != F.col("_change_hash")))
+    # next kept version: same day, else the first kept version of a later day
+    first_of_day = kept.groupBy(key, "_day").agg(F.min(updated_at).alias("_first"))
+    next_day = first_of_day.select(key, "_day", F.lead("_first").over(by_day).alias("_next_day"))
+    kept = kept.withColumn("_next_in", F.lead(updated_at).over(in_day)).join(next_day, [key, "_day"], "left")
     return kept.select(
         key, *tracked, "_change_hash",
         F.col(updated_at).alias("valid_from"),
-        F.lead(updated_at).over(w).alias("valid_to"),
+        F.coalesce("_next_in", "_next_day").alias("valid_to"),
     ).withColumn("is_current", F.col("valid_to").isNull())
 
 

@@ -105,36 +105,69 @@ def utm_attribution(sessions_with_utm: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ E-02
 def sensor_gaps(validated: DataFrame, threshold_hours: float = 24.0) -> DataFrame:
-    w = Window.partitionBy("device_id", "sensor_type").orderBy("reading_timestamp", "surrogate_key")
-    prev = F.lag("reading_timestamp").over(w)
-    g = validated.select("device_id", "sensor_type", prev.alias("previous_reading"), "reading_timestamp")
-    gap = (F.unix_timestamp("reading_timestamp") - F.unix_timestamp("previous_reading")).cast("double") / F.lit(3600.0)
-    return g.withColumn("gap_hours", gap).filter(F.col("gap_hours") > threshold_hours)
+    """Consecutive readings of one (device, sensor) more than
+    ``threshold_hours`` apart.
+
+    With a threshold of a day or more, such a gap always crosses a day
+    boundary and ends at the first reading of a day.  So readings are first
+    reduced to one row per (device, sensor, day) — first and last timestamp,
+    a partial aggregate that a hot device cannot skew — and the gap is the
+    lag over those daily rows (one per day, bounded).  Shorter thresholds need
+    every reading's predecessor and use the row window.
+    """
+    gap = lambda a, b: (F.unix_timestamp(b) - F.unix_timestamp(a)).cast("double") / F.lit(3600.0)
+    if threshold_hours >= 24:
+        daily = validated.groupBy("device_id", "sensor_type", "reading_date").agg(
+            F.min("reading_timestamp").alias("first_ts"), F.max("reading_timestamp").alias("last_ts"))
+        w = Window.partitionBy("device_id", "sensor_type").orderBy("reading_date")
+        g = daily.select("device_id", "sensor_type", F.lag("last_ts").over(w).alias("previous_reading"),
+                         F.col("first_ts").alias("reading_timestamp"))
+    else:
+        w = Window.partitionBy("device_id", "sensor_type").orderBy("reading_timestamp", "surrogate_key")
+        g = validated.select("device_id", "sensor_type",
+                             F.lag("reading_timestamp").over(w).alias("previous_reading"), "reading_timestamp")
+    return g.withColumn("gap_hours", gap("previous_reading", "reading_timestamp")).filter(
+        F.col("gap_hours") > threshold_hours)
 
 
 # ------------------------------------------------------------------ E-03
 def sensor_interpolation(validated: DataFrame) -> DataFrame:
     """Time-weighted linear interpolation of nulled outliers from the nearest
-    valid readings before and after (one side only → that value)."""
-    base = Window.partitionBy("device_id", "sensor_type").orderBy("reading_timestamp", "surrogate_key")
-    before = base.rowsBetween(Window.unboundedPreceding, -1)
-    after = base.rowsBetween(1, Window.unboundedFollowing)
+    valid readings before and after (one side only → that value).
+
+    Two levels keep every window bounded: neighbours inside the same day come
+    from a window over (device, sensor, day); neighbours on other days come
+    from one row per (device, sensor, day) — its first and last valid reading,
+    conditional struct aggregates — carried across days by a window over that
+    daily series.  Daily rows join back 1:1 on (device, sensor, day).
+    """
+    key = ["device_id", "sensor_type"]
     v = F.col("reading_value_validated")
-    secs = epoch_micros("reading_timestamp")
-    valid = F.when(v.isNotNull(), F.struct(secs.alias("t"), v.alias("v")))
+    t = epoch_micros("reading_timestamp")
+    order = ["reading_timestamp", "surrogate_key"]
+    pt = F.struct(F.col("reading_timestamp").alias("ts"), F.col("surrogate_key").alias("sk"),
+                  t.alias("t"), v.alias("v"))
+    valid = F.when(v.isNotNull(), pt)
+    day = Window.partitionBy(*key, "reading_date").orderBy(*order)
     r = validated.select(
-        "device_id", "sensor_type", "reading_timestamp", "reading_value_raw", "is_outlier", v.alias("val"),
-        secs.alias("t"),
-        F.last(valid, ignorenulls=True).over(before).alias("p"),
-        F.first(valid, ignorenulls=True).over(after).alias("n"))
-    p, n = F.col("p"), F.col("n")
+        *key, "reading_date", "reading_timestamp", "reading_value_raw", "is_outlier", v.alias("val"),
+        t.alias("t"),
+        F.last(valid, ignorenulls=True).over(day.rowsBetween(Window.unboundedPreceding, -1)).alias("p_in"),
+        F.first(valid, ignorenulls=True).over(day.rowsBetween(1, Window.unboundedFollowing)).alias("n_in"))
+    r = r.filter(F.col("val").isNull() & F.col("is_outlier"))
+    daily = validated.groupBy(*key, "reading_date").agg(F.max(valid).alias("last_v"), F.min(valid).alias("first_v"))
+    dw = Window.partitionBy(*key).orderBy("reading_date")
+    carry = daily.select(
+        *key, "reading_date",
+        F.last("last_v", ignorenulls=True).over(dw.rowsBetween(Window.unboundedPreceding, -1)).alias("p_day"),
+        F.first("first_v", ignorenulls=True).over(dw.rowsBetween(1, Window.unboundedFollowing)).alias("n_day"))
+    j = r.join(carry, [*key, "reading_date"], "left")
+    p, n = F.coalesce("p_in", "p_day"), F.coalesce("n_in", "n_day")
     frac = (F.col("t") - p["t"]).cast("double") / (n["t"] - p["t"]).cast("double")
     interp = (F.when(p.isNotNull() & n.isNotNull() & (n["t"] != p["t"]), p["v"] + (n["v"] - p["v"]) * frac)
               .when(p.isNotNull() & n.isNotNull(), p["v"])
               .when(p.isNotNull(), p["v"]).otherwise(n["v"]))
-    return r.filter(F.col("val").isNull() & F.col("is_outlier")).select(
-        "device_id", "sensor_type", "reading_timestamp", "reading_value_raw",
-        F.round(interp, 6).alias("interpolated_value"))
+    return j.select(*key, "reading_timestamp", "reading_value_raw", F.round(interp, 6).alias("interpolated_value"))
 
 
 # ------------------------------------------------------------------ E-06
