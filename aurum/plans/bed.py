@@ -19,18 +19,28 @@ from aurum.sources import adapters
 class Bed:
     def __init__(self, spark: SparkSession, sf_dir: str, salt: str = TEST_SALT):
         self.spark, self.sf_dir = spark, sf_dir
+        self._frames: dict[tuple[str, str], DataFrame] = {}
         self.sales_settings = Settings(salt=salt, as_of=SALES_AS_OF)
         self.events_settings = Settings(salt=salt, as_of=EVENTS_AS_OF)
 
     # raw feeds and bronze staging -------------------------------------
+    # One frame object per (kind, name) within a Bed: a query that uses a
+    # layer several times builds (and analyses) it once, and identical
+    # subplans are reused by the planner instead of recomputed.
+    def _memo(self, kind: str, name: str, make) -> DataFrame:
+        key = (kind, name)
+        if key not in self._frames:
+            self._frames[key] = make()
+        return self._frames[key]
+
     def raw(self, name: str) -> DataFrame:
-        return adapters.feed(self.spark, self.sf_dir, name)
+        return self._memo("raw", name, lambda: adapters.feed(self.spark, self.sf_dir, name))
 
     def table(self, name: str) -> DataFrame:
-        return adapters.read_table(self.spark, self.sf_dir, name)
+        return self._memo("table", name, lambda: adapters.read_table(self.spark, self.sf_dir, name))
 
     def stg(self, name: str) -> DataFrame:
-        return staging.STAGING[name](self.raw(name))
+        return self._memo("stg", name, lambda: staging.STAGING[name](self.raw(name)))
 
     # silver --------------------------------------------------------------
     @cached_property

@@ -59,6 +59,28 @@ DQ_REPORT = T.StructType([
     T.StructField("checks", T.ArrayType(DQ_CHECK)), T.StructField("overall_status", S),
 ])
 
+# Driver tables the adapters read (TESTDATA.md).  Declared so a read plans
+# without a schema-inference job per table and per query.
+DRIVER_TABLES = {
+    "region": _s(("r_regionkey", I, True), ("r_name", S, True)),
+    "nation": _s(("n_nationkey", I, True), ("n_name", S, True), ("n_regionkey", I, True)),
+    "customer": _s(("c_custkey", L, True), ("c_name", S, True), ("c_nationkey", I, True),
+                   ("c_acctbal", D, True), ("c_mktsegment", S, True)),
+    "supplier": _s(("s_suppkey", L, True), ("s_name", S, True), ("s_nationkey", I, True),
+                   ("s_acctbal", D, True)),
+    "part": _s(("p_partkey", L, True), ("p_name", S, True), ("p_brand", S, True), ("p_type", S, True),
+               ("p_size", I, True), ("p_retailprice", D, True)),
+    "orders": _s(("o_orderkey", L, True), ("o_custkey", L, True), ("o_orderstatus", S, True),
+                 ("o_totalprice", D, True), ("o_orderdate", TS, True), ("o_orderpriority", S, True)),
+    "lineitem": _s(("l_orderkey", L, True), ("l_partkey", L, True), ("l_suppkey", L, True),
+                   ("l_linenumber", I, True), ("l_quantity", D, True), ("l_extendedprice", D, True),
+                   ("l_discount", D, True), ("l_tax", D, True), ("l_returnflag", S, True),
+                   ("l_linestatus", S, True), ("l_shipdate", TS, True)),
+    "events": _s(("event_id", L, True), ("ts", TS, True), ("user_id", L, True), ("event_type", S, True),
+                 ("value", D, True), ("props", S, True)),
+    "pages": _s(("page_id", L, True), ("url", S, True), ("html", S, True)),
+}
+
 FEEDS = {
     "sales": SALES, "customers": CUSTOMERS, "inventory": INVENTORY,
     "web_events": WEB_EVENTS, "iot": IOT,
