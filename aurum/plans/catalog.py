@@ -134,6 +134,7 @@ from aurum.operators import diff, quality, scd, upsert  # noqa: E402
 from aurum.operators.dedup import dedup_latest, duplicate_keys  # noqa: E402
 from aurum.plans import dq, gold, reports, silver  # noqa: E402
 from aurum.plans.silver import SALES_TIEBREAK  # noqa: E402
+from aurum.sources import adapters  # noqa: E402
 
 # first load = rows ingested before this instant; the rest is the next batch
 BATCH_CUTOFF = _dt.datetime(1998, 1, 1)
@@ -530,6 +531,12 @@ def _sensor_interp(b: Bed):
     return reports.sensor_interpolation(b.iot)
 
 
+@query("inventory_fifo_cost")
+def _fifo_cost(b: Bed):
+    """E-04: daily stock per (sku, warehouse) valued first-in first-out."""
+    return silver.inventory_fifo_snapshots(b.stg("inventory"), adapters.receipt_costs(b.spark, b.sf_dir))
+
+
 @query("inventory_turnover")
 def _turnover(b: Bed):
     """E-06."""

@@ -547,3 +547,54 @@ SELECT currency, rate_date,
        CAST(CASE WHEN currency = 'USD' THEN 1 WHEN currency = 'EUR' THEN 1.05 + (day(rate_date) % 10) * 0.01
                  ELSE 0.0016 + (day(rate_date) % 5) * 0.0001 END AS DECIMAL(18,6)) AS usd_rate
 FROM (SELECT DISTINCT currency, CAST(transaction_date AS DATE) AS rate_date FROM stg_sales)""")
+
+
+# ------------------------------------------------------------ E-04 FIFO cost
+INBOUND_SQL = ("movement_type IN ('INBOUND', 'ADJUSTMENT+') OR (movement_type = 'ADJUSTMENT' AND quantity > 0)")
+
+cte("receipt_costs", (), f"""
+SELECT movement_id,
+       CAST(CAST((CAST(amount * 100 AS BIGINT) * 2 + quantity) // (2 * NULLIF(quantity, 0)) AS DECIMAL(18,0))
+            * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS unit_cost
+FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS movement_id,
+             {_qty('l_partkey', 'l_quantity')} AS quantity,
+             CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.002 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS amount
+      FROM lineitem WHERE l_returnflag = 'N' OR (l_returnflag = 'A' AND l_linestatus = 'O'))""")
+
+cte("fifo_flows", ("inv_latest", "receipt_costs"), f"""
+SELECT CAST(m.movement_date AS DATE) AS movement_date, m.product_sku, m.warehouse_id,
+       CAST(sum(CASE WHEN {INBOUND_SQL} THEN quantity ELSE 0 END) AS BIGINT) AS inbound_qty,
+       CAST(sum(CASE WHEN movement_type IN ('OUTBOUND', 'ADJUSTMENT-') THEN quantity
+                     WHEN movement_type = 'ADJUSTMENT' AND quantity < 0 THEN -quantity ELSE 0 END) AS BIGINT) AS outbound_qty,
+       CAST(sum(CASE WHEN {INBOUND_SQL} THEN CAST(quantity AS BIGINT) * CAST(c.unit_cost * 100 AS BIGINT) ELSE 0 END)
+            AS BIGINT) AS in_cents
+FROM inv_latest m LEFT JOIN receipt_costs c ON m.movement_id = c.movement_id
+GROUP BY 1, 2, 3""")
+
+cte("fifo_run", ("fifo_flows",), """
+SELECT *, CAST(sum(inbound_qty) OVER w AS BIGINT) AS ci, CAST(sum(in_cents) OVER w AS BIGINT) AS ck,
+       CAST(sum(outbound_qty) OVER w AS BIGINT) AS co
+FROM fifo_flows
+WINDOW w AS (PARTITION BY product_sku, warehouse_id ORDER BY movement_date
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+cte("fifo_layers", ("fifo_run",), """
+SELECT product_sku, warehouse_id, ci - inbound_qty AS s, inbound_qty AS q, in_cents AS k, ck - in_cents AS ckb
+FROM fifo_run WHERE inbound_qty > 0""")
+
+# the containing layer = the one with the greatest start <= the consumed position
+cte("fifo_pick", ("fifo_run", "fifo_layers"), """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT r.*, least(r.co, r.ci) AS p, l.s, l.q, l.k, l.ckb,
+         row_number() OVER (PARTITION BY r.product_sku, r.warehouse_id, r.movement_date
+                            ORDER BY l.s DESC NULLS LAST) AS rn
+  FROM fifo_run r LEFT JOIN fifo_layers l
+    ON l.product_sku = r.product_sku AND l.warehouse_id = r.warehouse_id AND l.s <= least(r.co, r.ci)) WHERE rn = 1""")
+
+cte("silver_inventory_fifo", ("fifo_pick",), """
+SELECT movement_date AS snapshot_date, product_sku, warehouse_id, ci - co AS quantity_on_hand,
+       inbound_qty, outbound_qty,
+       CAST(CAST(in_cents AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS inbound_cost,
+       CAST(CAST(ck - coalesce(ckb + (k // q) * (p - s) + (2 * (k % q) * (p - s) + q) // (2 * q), 0)
+                 AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS total_cost
+FROM fifo_pick""")

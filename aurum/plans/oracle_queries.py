@@ -272,3 +272,6 @@ SELECT sales_month, store_id, currency, revenue_usd,
 FROM (SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS sales_month, store_id, currency,
              CAST(sum(amount_usd) AS DECIMAL(38,2)) AS revenue_usd FROM silver_sales GROUP BY 1, 2, 3)
 WINDOW w AS (PARTITION BY store_id, currency ORDER BY sales_month)""", "silver_sales")
+
+# declared E-04
+oracle("inventory_fifo_cost", "SELECT * FROM silver_inventory_fifo", "silver_inventory_fifo")

@@ -8,7 +8,9 @@ statistics and sessions are always computed from the full bronze input
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aurum.config import Settings
@@ -18,6 +20,7 @@ from aurum.functions.columns import (
 )
 from aurum.functions.privacy import mask_phone, salted_hash
 from aurum.operators.dedup import dedup_latest
+from aurum.operators.fifo import fifo_value
 
 AUDIT = ["_loaded_at", "_loaded_by", "_runtime_version"]
 
@@ -93,20 +96,50 @@ def _signed(types, qty, sign: int):
     return F.when(hit & (t == "ADJUSTMENT"), -q).when(hit, q).otherwise(0)
 
 
-def inventory_daily_flows(stg: DataFrame) -> DataFrame:
+def inventory_daily_flows(stg: DataFrame, unit_costs: DataFrame | None = None) -> DataFrame:
     """W-01 + A-05: latest row per movement, then in/out/transfer per
-    (day, sku, warehouse)."""
+    (day, sku, warehouse).
+
+    With ``unit_costs`` (``movement_id, unit_cost``) the receipts' total
+    cost in cents is added as ``inbound_cost_cents``; the join meets the
+    deduplicated movements, which are already partitioned by movement id.
+    """
     mv = stg.select("movement_id", "product_sku", "warehouse_id", "movement_type", "quantity",
                     "movement_date", "_loaded_at")
     latest = dedup_latest(mv, "movement_id", "_loaded_at", INVENTORY_TIEBREAK)
-    return latest.groupBy(
-        F.to_date("movement_date").alias("movement_date"), "product_sku", "warehouse_id"
-    ).agg(
+    aggs = [
         F.sum(_signed(INBOUND_TYPES, "quantity", 1)).cast("bigint").alias("inbound_qty"),
         F.sum(_signed(OUTBOUND_TYPES, "quantity", -1)).cast("bigint").alias("outbound_qty"),
         F.sum(F.when(F.col("movement_type").isin(*TRANSFER_TYPES), F.col("quantity")).otherwise(0))
          .cast("bigint").alias("transfer_qty"),
         F.max("_loaded_at").alias("_loaded_at"),
+    ]
+    if unit_costs is not None:
+        latest = latest.join(unit_costs.select("movement_id", "unit_cost"), "movement_id", "left")
+        cents = (F.col("unit_cost") * F.lit(100)).cast("bigint")
+        received = _signed(INBOUND_TYPES, "quantity", 1).cast("bigint")
+        aggs.append(F.sum(F.when(received != 0, received * cents).otherwise(0)).alias("inbound_cost_cents"))
+    return latest.groupBy(
+        F.to_date("movement_date").alias("movement_date"), "product_sku", "warehouse_id"
+    ).agg(*aggs)
+
+
+def _cents_to_money(c) -> Column:
+    return (c.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
+def inventory_fifo_snapshots(stg: DataFrame, unit_costs: DataFrame) -> DataFrame:
+    """E-04 (declared ``total_cost`` of M-08): daily stock per (sku,
+    warehouse) valued first-in first-out; see ``operators.fifo``."""
+    flows = inventory_daily_flows(stg, unit_costs)
+    v = fifo_value(flows, ["product_sku", "warehouse_id"], "movement_date", "inbound_qty",
+                   "inbound_cost_cents", "outbound_qty", value_col="_value_cents")
+    return v.select(
+        F.col("movement_date").alias("snapshot_date"), "product_sku", "warehouse_id",
+        (F.col("_received") - F.col("_issued")).alias("quantity_on_hand"),
+        "inbound_qty", "outbound_qty",
+        _cents_to_money(F.col("inbound_cost_cents")).alias("inbound_cost"),
+        _cents_to_money(F.col("_value_cents")).alias("total_cost"),
     )
 
 

@@ -189,6 +189,20 @@ def inventory_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def receipt_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit cost of each receiving movement (INBOUND / ADJUSTMENT+ lines of
+    the inventory feed): the line's unit price, as in the sales feed."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+        "l_returnflag", "l_linestatus")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    qty = _quantity(F.col("l_partkey"), F.col("l_quantity"))
+    return li.filter((flag == "N") | ((flag == "A") & (status == "O"))).select(
+        _line_id().alias("movement_id"),
+        _unit_price(_amount(F.col("l_extendedprice")), qty).alias("unit_cost"),
+    )
+
+
 def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 

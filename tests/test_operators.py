@@ -185,3 +185,51 @@ def test_not_null_and_unique_violations(spark):
 def test_retention(spark):
     df = spark.createDataFrame([(T(2024, 1, 1),), (T(2024, 1, 9),)], "ts timestamp_ntz")
     assert rows(quality.retention(df, "ts", T(2024, 1, 10), 168), "ts") == [(T(2024, 1, 9),)]
+
+
+# ---------------------------------------------------------------- E-04 FIFO valuation
+def _fifo(spark, data):
+    from aurum.operators.fifo import fifo_value
+    df = spark.createDataFrame(data, "item string, day int, in_qty bigint, in_cost bigint, out_qty bigint")
+    v = fifo_value(df, ["item"], "day", "in_qty", "in_cost", "out_qty", value_col="value")
+    return {(r.item, r.day): (r._received - r._issued, r.value) for r in v.collect()}
+
+
+def test_fifo_layers_partial_backlog_and_rounding(spark):
+    got = _fifo(spark, [
+        ("A", 1, 10, 1000, 0),   # layer 10 @ 100
+        ("A", 2, 5, 750, 12),    # layer 5 @ 150; issue 12 → 3 @ 150 left
+        ("A", 3, 0, 0, 4),       # issue past stock: nothing left, backlog 1
+        ("A", 4, 3, 10, 0),      # layer 3 @ 3.33; backlog takes 1 (3 after HALF_UP)
+        ("A", 5, 0, 0, 1),       # 2 of the 3 consumed: round(6.67) = 7
+        ("B", 1, 0, 0, 5),       # issues only
+        ("C", 1, 4, 0, 0),       # free goods
+    ])
+    assert got == {("A", 1): (10, 1000), ("A", 2): (3, 450), ("A", 3): (-1, 0), ("A", 4): (2, 7),
+                   ("A", 5): (1, 3), ("B", 1): (-5, 0), ("C", 1): (4, 0)}
+
+
+def test_fifo_matches_layer_by_layer_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    data = []
+    for item in "PQRS":
+        for day in range(1, 40):
+            q = rnd.choice([0, 0, rnd.randint(1, 30)])
+            data.append((item, day, q, q * rnd.randint(1, 999) + rnd.randint(0, 5) if q else 0,
+                         rnd.choice([0, rnd.randint(1, 25)])))
+    got = _fifo(spark, data)
+    for item in "PQRS":
+        layers, received, received_cost, issued = [], 0, 0, 0
+        for _, day, q, k, out in sorted(r for r in data if r[0] == item):
+            if q:
+                layers.append((q, k))
+            received, received_cost, issued = received + q, received_cost + k, issued + out
+            left, consumed = min(issued, received), 0
+            for lq, lk in layers:  # walk the layers oldest first
+                take = min(left, lq)
+                consumed += lk if take == lq else (2 * lk * take + lq) // (2 * lq)
+                left -= take
+                if left == 0:
+                    break
+            assert got[(item, day)] == (received - issued, received_cost - consumed), (item, day)
