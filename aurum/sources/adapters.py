@@ -118,9 +118,15 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    store = (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-             .select("s_suppkey", "s_nationkey", _currency(F.col("r_name")).alias("currency")))
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(store, li.l_suppkey == store.s_suppkey)
+    # Joined one dimension at a time from the fact side: each small side is
+    # then sized from its own scan (a pre-joined supplier ⋈ nation ⋈ region
+    # is estimated as the product of its inputs, looks huge, and drags the
+    # fact table through a sort-merge shuffle).
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .join(s, li.l_suppkey == s.s_suppkey)
+         .join(n, s.s_nationkey == n.n_nationkey)
+         .join(r, n.n_regionkey == r.r_regionkey)
+         .withColumn("currency", _currency(F.col("r_name"))))
     qty = _quantity(F.col("l_partkey"), F.col("l_quantity"))
     amount = _amount(F.col("l_extendedprice"))
     return j.select(
