@@ -67,10 +67,22 @@ def bronze_job(spark: SparkSession, settings: Settings, feeds: dict[str, DataFra
         part = BRONZE_PARTITION[name]
         df = df.withColumn(part, F.to_date("_ingested_at"))
         if _exists(spark, path):
-            df = df.join(spark.read.parquet(path), df.columns, "left_anti")  # null-safe: no NULL audit cols
+            df = _not_yet_stored(df, spark.read.parquet(path), part)
         write_path(df, path, "append", [part])
 
 
+def _not_yet_stored(batch: DataFrame, stored: DataFrame, part: str) -> DataFrame:
+    """Rows of ``batch`` with no identical row in ``stored`` (NULLs compare
+    equal).  Only the ingest-date partitions the batch writes are read: their
+    list is bounded by the batch's date span and becomes a literal partition
+    filter at the scan."""
+    days = [r[0] for r in batch.select(part).distinct().collect()]
+    stored = stored.withColumn(part, F.col(part).cast("date")).filter(F.col(part).isin(days))
+    b, s = batch.alias("b"), stored.alias("s")
+    cond = [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in batch.columns]
+    return b.join(s, cond, "left_anti")
+
+
 # ------------------------------------------------------------------ silver
 def silver_job(spark: SparkSession, settings: Settings) -> None:
     checkpoint_dir(spark)

@@ -39,13 +39,20 @@ def with_date_partition(df: DataFrame, ts_col: str, name: str | None = None) ->
 
 
 # ------------------------------------------------------------------ S-01 / S-04 / S-05
+def clustered_for_write(df: DataFrame, partition_by) -> DataFrame:
+    """Rows of one table partition go to few tasks, so each writes few files.
+    ``rebalance`` (not ``repartition``): AQE splits a partition value holding
+    a large share of the rows over several tasks and merges small ones."""
+    return df.hint("rebalance", *partition_by)
+
+
 def write_path(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None, fmt: str = "parquet",
                files_per_partition: int | None = None) -> None:
     """Path write.  With ``partition_by`` the frame is first clustered by the
     partition columns so each task writes few files (an optimized write)."""
     if partition_by:
         df = df.repartition(files_per_partition, *partition_by) if files_per_partition else \
-            df.repartition(*partition_by)
+            clustered_for_write(df, partition_by)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -53,8 +60,15 @@ def write_path(df: DataFrame, path: str, mode: str = "overwrite", partition_by=N
 
 
 # ------------------------------------------------------------------ S-02 / S-20
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def write_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "overwrite", partition_by=None,
-                comment: str | None = None, properties: dict | None = None) -> None:
+                comment: str | None = None, properties: dict | None = None,
+                column_comments: dict | None = None) -> None:
+    """Catalog table write with the model's documentation persisted (table
+    comment, column comments, properties)."""
     ns = name.split(".")[0] if "." in name else None
     if ns:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
@@ -63,9 +77,11 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "over
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
     if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS {_sql_str(comment)}")
+    for col, text in (column_comments or {}).items():
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT {_sql_str(text)}")
     for k, v in (properties or {}).items():
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{k}' = '{v}')")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_sql_str(k)} = {_sql_str(str(v))})")
 
 
 def register_external(spark: SparkSession, name: str, location: str, fmt: str = "parquet") -> None:
@@ -123,7 +139,7 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str, keys, upd
     empty = touched.join(merged.select(partition_by).distinct(), partition_by, "left_anti")
     for row in empty.collect():  # bounded by the number of touched partitions
         _delete(spark, f"{path.rstrip('/')}/{partition_by}={row[0]}")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (clustered_for_write(merged, [partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).format(fmt).save(path))
     return spark.read.format(fmt).load(path)
 

@@ -13,7 +13,9 @@ SF_SMOKE = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from aurum.config import get_spark
-    s = get_spark("tests", cpus=4, shuffle_partitions=4)
+    # catalog tables go to a scratch warehouse, never into the working tree
+    s = get_spark("tests", cpus=4, shuffle_partitions=4,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="aurum-wh-")})
     yield s
     s.stop()
 
