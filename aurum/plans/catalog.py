@@ -483,7 +483,10 @@ def _frame(b: Bed, ref: str):
 @query("test_not_null")
 def _test_not_null(b: Bed):
     """Q-08: violating rows of every declared not_null test."""
-    parts = [quality.not_null_violations(_frame(b, f), c, m, k) for f, c, m, k in NOT_NULL_TESTS]
+    groups: dict[tuple, list] = {}  # one pass per (frame, model, key)
+    for f, c, m, k in NOT_NULL_TESTS:
+        groups.setdefault((f, m, k), []).append(c)
+    parts = [quality.not_null_violations_many(_frame(b, f), cs, m, k) for (f, m, k), cs in groups.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -493,7 +496,10 @@ def _test_not_null(b: Bed):
 @query("test_unique")
 def _test_unique(b: Bed):
     """Q-09: duplicated values of every declared unique test."""
-    parts = [quality.unique_violations(_frame(b, f), c, m) for f, c, m in UNIQUE_TESTS]
+    groups: dict[tuple, list] = {}  # one scan and one aggregate per (frame, model)
+    for f, c, m in UNIQUE_TESTS:
+        groups.setdefault((f, m), []).append(c)
+    parts = [quality.unique_violations_many(_frame(b, f), cs, m) for (f, m), cs in groups.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
