@@ -64,30 +64,79 @@ def outlier_rate(validated: DataFrame, max_pct: float = 10.0) -> DataFrame:
     return a.select("readings", "outliers", pct.alias("outlier_pct"), (pct < max_pct).alias("passed"))
 
 
+def _check(name, passed, detail):
+    return F.struct(F.lit(name).alias("name") if isinstance(name, str) else name.alias("name"),
+                    passed.alias("passed"), detail.alias("detail"))
+
+
+def _null_ratio_check(table: str, total, null_counts, threshold_pct: float):
+    """Q-01 folded to one check row: passes when every column's NULL % is
+    within the threshold; the detail shows the worst column's %."""
+    pcts = [F.coalesce(ratio(n * 100, total), F.lit(0.0)) for n in null_counts]
+    worst = pcts[0] if len(pcts) == 1 else F.greatest(*pcts)
+    ok = pcts[0] <= F.lit(float(threshold_pct))
+    for p in pcts[1:]:
+        ok = ok & (p <= F.lit(float(threshold_pct)))
+    return _check(f"null_ratio_{table}", ok, F.concat(F.lit("max_null_pct="), F.format_number(worst, 2)))
+
+
+def sales_layer_checks(stg_sales: DataFrame, silver_sales: DataFrame, gold_daily: DataFrame, as_of_ts,
+                       warn_hours: int, error_hours: int, null_threshold_pct: float) -> DataFrame:
+    """Q-04, Q-02, Q-01 and Q-06 on the sales layers in one aggregate: the
+    three layers are stacked (``unionByName``) and folded by one global
+    conditional aggregate, and every check row is built from that one row in
+    a single projection — so each layer is computed once (separate per-check
+    aggregates are pruned to different columns and cannot share a scan)."""
+    cols = silver_sales.columns
+    u = (stg_sales.select(F.lit("bronze").alias("_k"))
+         .unionByName(silver_sales.select(F.lit("silver").alias("_k"), *cols), allowMissingColumns=True)
+         .unionByName(gold_daily.select(F.lit("gold").alias("_k"), F.col("total_revenue_usd").alias("_gold_rev")),
+                      allowMissingColumns=True))
+    sil = F.col("_k") == "silver"
+    a = u.agg(
+        F.count_if(F.col("_k") == "bronze").alias("bronze"), F.count_if(sil).alias("silver"),
+        F.count_if(F.col("_k") == "gold").alias("gold"),
+        F.max(F.when(sil, F.col("transaction_date"))).alias("max_ts"),
+        F.sum(F.when(sil, F.col("amount_usd"))).cast("decimal(38,2)").alias("silver_revenue_usd"),
+        F.sum("_gold_rev").cast("decimal(38,2)").alias("gold_revenue_usd"),
+        *[F.sum(F.when(sil, F.col(c).isNull().cast("bigint"))).alias(f"_n{i}") for i, c in enumerate(cols)])
+    b, s, g = F.col("bronze"), F.col("silver"), F.col("gold")
+    red = ratio((b - s) * 100, b)
+    now = F.lit(as_of_ts).cast("timestamp_ntz")
+    age = (F.unix_timestamp(now) - F.unix_timestamp("max_ts")).cast("double") / F.lit(3600.0)
+    fresh_fail = F.col("max_ts").isNull() | (age > error_hours)
+    grev, srev = F.col("gold_revenue_usd"), F.col("silver_revenue_usd")
+    rev_ok = F.coalesce(grev.isNotNull() & (grev > 0) & (grev == srev), F.lit(False))
+    rows = F.array(
+        _check("row_count_bronze", b > 0, F.format_number(b.cast("double"), 1)),
+        _check("row_count_silver", s > 0, F.format_number(s.cast("double"), 1)),
+        _check("row_count_gold", g > 0, F.format_number(g.cast("double"), 1)),
+        _check("dedup_reduction_pct", F.coalesce(red >= 0, F.lit(False)), F.format_number(red, 1)),
+        _check("freshness_sales", ~fresh_fail, F.concat(F.lit("age_hours="), F.format_number(age, 1))),
+        _null_ratio_check("sales", s, [F.coalesce(F.col(f"_n{i}"), F.lit(0)) for i in range(len(cols))],
+                          null_threshold_pct),
+        _check("revenue_integrity", rev_ok, grev.cast("string")),
+    )
+    return a.select(F.explode(rows).alias("c")).select("c.*")
+
+
 def checks(bed) -> DataFrame:
     """Q-10: every check of the DQ job as rows ``(name, passed, detail)``."""
-    rec = layer_reconciliation(bed.stg("sales"), bed.sales, bed.daily_sales).select(
-        F.col("check_name").alias("name"), "passed", F.format_number("metric", 1).alias("detail"))
-    fresh = quality.freshness(bed.sales, "transaction_date", _eod(bed.sales_settings.as_of),
-                              bed.sales_settings.freshness_warning_hours,
-                              bed.sales_settings.freshness_error_hours).select(
-        F.lit("freshness_sales").alias("name"), (F.col("status") != "fail").alias("passed"),
-        F.concat(F.lit("age_hours="), F.format_number("age_hours", 1)).alias("detail"))
-    nulls = (quality.null_ratio(bed.sales.drop("_loaded_by", "_runtime_version"), table="sales")
-             .unionByName(quality.null_ratio(bed.customers, table="customers"))
-             .groupBy("table_name").agg(F.min(F.col("passed").cast("int")).alias("ok"),
-                                       F.max("null_pct").alias("worst"))
-             .select(F.concat(F.lit("null_ratio_"), F.col("table_name")).alias("name"),
-                     (F.col("ok") == 1).alias("passed"),
-                     F.concat(F.lit("max_null_pct="), F.format_number("worst", 2)).alias("detail")))
+    st = bed.sales_settings
+    sales = sales_layer_checks(bed.stg("sales"), bed.sales.drop("_loaded_by", "_runtime_version"),
+                               bed.daily_sales, _eod(st.as_of), st.freshness_warning_hours,
+                               st.freshness_error_hours, st.null_threshold_pct)
+    cust = bed.customers
+    cagg = cust.agg(F.count(F.lit(1)).alias("total"),
+                    *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"_n{i}") for i, c in enumerate(cust.columns)])
+    nulls = cagg.select(_null_ratio_check(
+        "customers", F.col("total"), [F.coalesce(F.col(f"_n{i}"), F.lit(0)) for i in range(len(cust.columns))],
+        st.null_threshold_pct).alias("c")).select("c.*")
     comp = customer_completeness(bed.customer_360).select(
         F.lit("customer_completeness").alias("name"), "passed", F.format_number("active_pct", 1).alias("detail"))
-    rev = revenue_integrity(bed.daily_sales, bed.sales).select(
-        F.lit("revenue_integrity").alias("name"), "passed",
-        F.col("gold_revenue_usd").cast("string").alias("detail"))
     out = outlier_rate(bed.iot).select(F.lit("iot_outlier_rate").alias("name"), "passed",
                                       F.format_number("outlier_pct", 1).alias("detail"))
-    return rec.unionByName(fresh).unionByName(nulls).unionByName(comp).unionByName(rev).unionByName(out)
+    return sales.unionByName(nulls).unionByName(comp).unionByName(out)
 
 
 def _eod(as_of):
