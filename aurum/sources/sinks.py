@@ -123,6 +123,8 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str, keys, upd
         write_path(source, path, "overwrite", [partition_by] if partition_by else None, fmt)
         return spark.read.format(fmt).load(path)
     target = spark.read.format(fmt).load(path)
+    if source.isEmpty():  # nothing new (a retried or idle incremental run): no rewrite
+        return target
     if not partition_by:
         merged = upsert(target, source, keys, update_columns, insert_only).checkpoint()
         merged.write.mode("overwrite").format(fmt).save(path)
