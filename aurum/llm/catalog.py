@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from .bpe import op6_bpe
 from .exact_dedup import OP8_SQL, op8_exact_dedup
+from .packing import op1_packing
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
