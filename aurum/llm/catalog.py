@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from .bpe import op6_bpe
+from .common import ship
 from .exact_dedup import OP8_SQL, op8_exact_dedup
+from .ngram_join import op4_ngram_join
 from .packing import op1_packing
 
-QUERIES = {
+
+def _with_package(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {name: _with_package(query) for name, query in {
     "op1_packing": op1_packing,
+    "op4_ngram_join": op4_ngram_join,
     "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
-}
+}.items()}
 
 ORACLE = {
     "op8_exact_dedup": OP8_SQL,

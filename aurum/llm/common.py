@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +67,24 @@ def text_of(col: str = "text"):
 def crc_bucket(col: str, n: int):
     """crc32 of an id as text, modulo ``n`` (null id: null)."""
     return F.pmod(F.crc32(F.col(col).cast("string")), F.lit(n))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Operators that run Python in tasks import their module there; where the
+    package is installed on all machines this changes nothing.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    to = Path(tempfile.mkdtemp(prefix="aurum-src-")) / "aurum_src.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, f"{package.name}/{p.relative_to(package)}")
+    sc.addPyFile(str(to))
+    _shipped.add(sc.applicationId)
