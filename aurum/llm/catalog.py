@@ -5,7 +5,9 @@ from __future__ import annotations
 from functools import wraps
 
 from .bpe import op6_bpe
+from .chat import op3_chat
 from .common import ship
+from .embedding_dedup import OP9_SQL, op9_embedding_dedup
 from .exact_dedup import OP8_SQL, op8_exact_dedup
 from .ngram_join import op4_ngram_join
 from .packing import op1_packing
@@ -21,11 +23,14 @@ def _with_package(query):
 
 QUERIES = {name: _with_package(query) for name, query in {
     "op1_packing": op1_packing,
+    "op3_chat": op3_chat,
     "op4_ngram_join": op4_ngram_join,
     "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
 }.items()}
 
 ORACLE = {
     "op8_exact_dedup": OP8_SQL,
+    "op9_embedding_dedup": OP9_SQL,
 }
