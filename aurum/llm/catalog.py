@@ -11,6 +11,7 @@ from .embedding_dedup import OP9_SQL, op9_embedding_dedup
 from .exact_dedup import OP8_SQL, op8_exact_dedup
 from .ngram_join import op4_ngram_join
 from .packing import op1_packing
+from .toxicity import op2_toxicity
 
 
 def _with_package(query):
@@ -23,6 +24,7 @@ def _with_package(query):
 
 QUERIES = {name: _with_package(query) for name, query in {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_chat": op3_chat,
     "op4_ngram_join": op4_ngram_join,
     "op6_bpe": op6_bpe,
