@@ -63,8 +63,7 @@ class Automaton:
         self._starts = {s[:n] for s in self.arc for n in range(1, len(s) + 1)}
         size = max(self.label, default=-1) + 1
         self.labels = [self.label.get(i, b"") for i in range(size)]
-        self._words = Memo(self._word)
-        self._chunks = Memo(self._chunk)
+        self._ids = Memo(self._chunk)
 
     def leaves(self, a: int, t: int) -> bool:
         """Whether a t-arc leaves the state that a-arcs lead to.
@@ -122,20 +121,20 @@ class Automaton:
         return tuple(reversed(out))
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for p in self.voc.pretokens(chunk):
-            out += self._words[p]
-        return tuple(out)
+        parts = self.voc.pretokens(chunk)
+        if len(parts) == 1:
+            return self._word(chunk)
+        return tuple(i for p in parts for i in self._ids[p])
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        chunks = self._chunks
+        known = self._ids
         for s, added in self.voc.segments(text):
             if added is not None:
                 ids.append(added)
             else:
                 for c in self.voc.chunks(s):
-                    ids += chunks[c]
+                    ids += known[c]
         return ids
 
     def decode(self, ids) -> str:

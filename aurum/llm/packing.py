@@ -20,7 +20,7 @@ stream moves on.
 
 from __future__ import annotations
 
-from collections import deque
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -35,9 +35,9 @@ from .presplit import Memo, default_path, to_chars, vocabulary
 WINDOW = 2048
 END = 1
 #: Truncation penalties in tokens, by where a window ends.
-SENTENCE_CUT, HARD_CUT = 2, 12
+SENTENCE_CUT, HARD_CUT = 2, 6
 #: Spacing of candidates within stretches that have no sentence end.
-STEP = 16
+STEP = 32
 BUFFER = 1 << 20
 
 
@@ -46,25 +46,25 @@ class Encoder:
 
     def __init__(self, path: str):
         self.voc = vocabulary(path)
-        self._words = Memo(self._word)
-        self._chunks = Memo(self._chunk)
+        self._ids = Memo(self._chunk)
         size = max([*self.voc.ids.values(), *self.voc.added.values(), END]) + 1
         self.ends_sentence = np.zeros(size, bool)
         newline = to_chars("\n")
         for t, i in self.voc.ids.items():
             self.ends_sentence[i] = t.rstrip(newline).endswith((".", "!", "?")) or t.endswith(newline)
 
-    def _word(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.voc.library.model.tokenize(to_chars(piece))], "<u4").tobytes()
-
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self._words.__getitem__, self.voc.pretokens(chunk)))
+        parts = self.voc.pretokens(chunk)
+        if len(parts) > 1:
+            return b"".join(map(self._ids.__getitem__, parts))
+        tokens = self.voc.library.model.tokenize(to_chars(chunk))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def encode(self, text: str) -> np.ndarray:
         parts = []
         for s, added in self.voc.segments(text):
             parts.append(np.uint32(added).tobytes() if added is not None
-                         else b"".join(map(self._chunks.__getitem__, self.voc.chunks(s))))
+                         else b"".join(map(self._ids.__getitem__, self.voc.chunks(s))))
         return np.frombuffer(b"".join(parts), "<u4")
 
 
@@ -75,20 +75,17 @@ def encoder(path: str) -> Encoder:
 
 def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted cut positions (the last is the stream's end) and their penalties."""
-    n = len(ids)
-    soft = np.flatnonzero(ends_sentence[ids]) + 1
-    pos = np.union1d(soft, np.append(doc_ends, n))
-    pos = pos[pos > 0]
-    pen = np.full(len(pos), SENTENCE_CUT)
-    pen[np.isin(pos, doc_ends)] = 0
+    penalty = np.full(len(ids) + 1, -1, np.int8)
+    penalty[1:][ends_sentence[ids]] = SENTENCE_CUT
+    penalty[doc_ends] = 0
+    penalty[0], penalty[-1] = -1, max(penalty[-1], 0)
+    pos = np.flatnonzero(penalty >= 0)
     gaps = np.diff(pos, prepend=0)
-    long = np.flatnonzero(gaps > 2 * STEP)
-    if len(long):
-        hard = np.concatenate([np.arange(pos[k] - gaps[k] + STEP, pos[k], STEP) for k in long])
-        pos, pen = np.concatenate([pos, hard]), np.concatenate([pen, np.full(len(hard), HARD_CUT)])
-        order = np.argsort(pos, kind="stable")
-        pos, pen = pos[order], pen[order]
-    return pos, pen
+    more = np.where(gaps > 2 * STEP, (gaps - 1) // STEP, 0)
+    number = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    penalty[np.repeat(pos - gaps, more) + number * STEP] = HARD_CUT
+    pos = np.flatnonzero(penalty >= 0)
+    return pos, penalty[pos]
 
 
 def tail_cuts(length: int) -> list[int]:
@@ -98,27 +95,26 @@ def tail_cuts(length: int) -> list[int]:
 
 def plan(pos, pen, window: int, last: bool) -> list[int]:
     """The ends of the windows that cover the stream, at least total cost."""
-    pos, pen = pos.tolist(), pen.tolist()
-    at, f, back = [0, *pos], [0] * (len(pos) + 1), [0] * (len(pos) + 1)
-    queue = deque([(0, 0)])  # (f(i) + p_i, i), increasing in both
+    at, pen = [0, *pos.tolist()], [0, *pen.tolist()]
+    key, back = [0] * len(at), [0] * len(at)  # key(j) = f(j) + p_j
+    queue, head = [0], 0  # candidates in reach, their keys increase
     for j in range(1, len(at)):
         reach = at[j] - window
-        while at[queue[0][1]] < reach:
-            queue.popleft()
-        best, i = queue[0]
-        cost = best + window - at[j] + pen[j - 1]
-        f[j], back[j] = cost, i
-        key = cost + at[j]
-        while queue and queue[-1][0] >= key:
+        while at[queue[head]] < reach:
+            head += 1
+        back[j] = i = queue[head]
+        key[j] = k = key[i] + window + pen[j]
+        while len(queue) > head and key[queue[-1]] >= k:
             queue.pop()
-        queue.append((key, j))
+        queue.append(j)
+    f = [k - p for k, p in zip(key, at, strict=True)]
     ends, j, end = [], len(at) - 1, at[-1]
     if not last:  # the stream goes on: the cheapest way to any cut in reach of its end
         j = min((f[i], -i) for i in range(1, len(at)) if end - at[i] < window)[1] * -1
     else:  # the last window may end in pieces of powers of two
         cost, i = min((f[i] + (bin(end - at[i]).count("1") - 1) * HARD_CUT, -i) for i in range(len(at) - 1)
                       if end - at[i] <= window) if j else (1, 0)
-        if j and cost <= f[j] - pen[-1]:
+        if j and cost <= f[j]:
             e = at[-i]
             for k in tail_cuts(end - e):
                 e += k

@@ -22,7 +22,7 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Entries a memo may hold; later words are computed each time.
-MEMO = 400_000
+MEMO = 1_200_000
 
 _SPACE_AFTER_SPACE = re.compile(r"\s\x20")
 _ASCII_PAIRS = [c + " " for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
@@ -57,6 +57,7 @@ class Vocabulary:
         self._pattern = regex.compile(PATTERN)
         self.library = Tokenizer.from_file(path)
         self._agreed: dict[str, bool] = {}
+        self._odd: set[str] = set()  # characters that the two libraries class differently
 
     def _agrees(self, c: str) -> bool:
         """Whether both libraries put ``c`` into the same class (asked once per character)."""
@@ -75,8 +76,10 @@ class Vocabulary:
             for c in set(s):
                 if c not in known:
                     known[c] = self._agrees(c)
-                if not known[c]:
-                    return self.split_by_library(s)
+                    if not known[c]:
+                        self._odd.add(c)
+            if self._odd and not self._odd.isdisjoint(s):
+                return self.split_by_library(s)
             unsafe = "\0" in s or _SPACE_AFTER_SPACE.search(s)
         if unsafe:
             return self._pattern.findall(s)
@@ -84,8 +87,13 @@ class Vocabulary:
         return parts if parts[0] else parts[1:]
 
     def pretokens(self, chunk: str) -> list[str]:
-        if not chunk.isascii() and not all(self._agreed.get(c, True) for c in chunk):
+        if self._odd and not self._odd.isdisjoint(chunk):
             return [chunk]  # came from split_by_library: is one pre-token
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isalpha():
+            return [chunk]
+        if chunk[-1] in ".,!?" and word[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
         return self._pattern.findall(chunk)
 
     def segments(self, text: str):
@@ -114,7 +122,7 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self._make(key)
-        if len(self) < self._limit and len(key) <= 64:
+        if len(self) < self._limit and len(key) <= 48:
             self[key] = value
         return value
 
