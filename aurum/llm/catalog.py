@@ -9,6 +9,7 @@ from .chat import op3_chat
 from .common import ship
 from .embedding_dedup import OP9_SQL, op9_embedding_dedup
 from .exact_dedup import OP8_SQL, op8_exact_dedup
+from .lm_score import op10_lm_score
 from .ngram_join import op4_ngram_join
 from .packing import op1_packing
 from .toxicity import op2_toxicity
@@ -30,6 +31,7 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_lm_score": op10_lm_score,
 }.items()}
 
 ORACLE = {
