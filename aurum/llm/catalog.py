@@ -12,6 +12,7 @@ from .exact_dedup import OP8_SQL, op8_exact_dedup
 from .lm_score import op10_lm_score
 from .ngram_join import op4_ngram_join
 from .packing import op1_packing
+from .pii import op7_pii
 from .toxicity import op2_toxicity
 
 
@@ -29,6 +30,7 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op3_chat": op3_chat,
     "op4_ngram_join": op4_ngram_join,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_score": op10_lm_score,
