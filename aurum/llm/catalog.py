@@ -9,6 +9,7 @@ from .chat import op3_chat
 from .common import ship
 from .embedding_dedup import OP9_SQL, op9_embedding_dedup
 from .exact_dedup import OP8_SQL, op8_exact_dedup
+from .html_extract import op5_html_extract
 from .lm_score import op10_lm_score
 from .ngram_join import op4_ngram_join
 from .packing import op1_packing
@@ -29,6 +30,7 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op2_toxicity": op2_toxicity,
     "op3_chat": op3_chat,
     "op4_ngram_join": op4_ngram_join,
+    "op5_html_extract": op5_html_extract,
     "op6_bpe": op6_bpe,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
