@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import wraps
 
+import corpus_pipeline
+
 from .bpe import op6_bpe
 from .chat import op3_chat
 from .common import ship
@@ -36,6 +38,7 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_score": op10_lm_score,
+    "pipeline": corpus_pipeline.run,
 }.items()}
 
 ORACLE = {

@@ -131,15 +131,15 @@ def deduplicate(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     The rows that stay are found by id; where rows repeat an id, one row per
     (id, normalised text) is left, of which the decision says whether it stays.
     """
-    out = materialize(exact_groups(df, text, doc_id), "kept")
-    key = F.col("id").eqNullSafe(F.col(doc_id))
-    several = materialize(out.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeats")
+    out = materialize(exact_groups(df, text, doc_id).select(F.col("id").alias("__id"), "kept", F.col("text_sha256").alias("__sha")), "kept")
+    key = F.col("__id").eqNullSafe(F.col(doc_id))
+    several = materialize(out.groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"), "repeats")
+    stay = out.where("kept").select("__id", "__sha")
     if is_empty(several):
-        return df.join(out.where("kept").select("id"), key, "left_semi")
-    single = df.join(several, key, "left_anti").join(out.where("kept").select("id"), key, "left_semi")
-    again = df.join(several, key, "left_semi").withColumn("__sha", F.sha2(normalised(text), 256)).dropDuplicates([doc_id, "__sha"])
-    stay = out.where("kept").select("id", "text_sha256")
-    again = again.join(stay, key & (F.col("__sha") == F.col("text_sha256")), "left_semi").drop("__sha")
+        return df.join(stay, key, "left_semi")
+    single = df.join(several, key, "left_anti").join(stay, key, "left_semi")
+    again = df.join(several, key, "left_semi").withColumn("__own", F.sha2(normalised(text), 256)).dropDuplicates([doc_id, "__own"])
+    again = again.join(stay, key & (F.col("__own") == F.col("__sha")), "left_semi").drop("__own")
     return single.unionByName(again)
 
 

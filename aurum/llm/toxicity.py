@@ -251,6 +251,21 @@ def score(docs: DataFrame, index: Index, text: str = "text", doc_id: str = "doc_
         rows, f"doc_id {kind.simpleString()}, score double, evidence array<struct<doc_id:string,toxic:int,cosine:double>>")
 
 
+def drop_toxic(docs: DataFrame, index: Index, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score stays under the threshold, with all their columns."""
+    held, at = docs.sparkSession.sparkContext.broadcast(index), docs.columns.index(text)
+
+    def rows(batches):
+        ix = held.value
+        look = lookup(ix.number)
+        for b in batches:
+            stay = [ix.probability(ix.vote(*ix.search(*ix.vector(Counter(words(t or "")).items(), look)))) < threshold
+                    for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(stay, pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def learnable(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The label rows that may be learned from (the others are held out)."""
     return labels.where(crc_bucket(doc_id, 4) != 2)
