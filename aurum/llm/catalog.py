@@ -7,13 +7,13 @@ from functools import wraps
 import corpus_pipeline
 
 from .bpe import op6_bpe
-from .chat import op3_chat
+from .chat import OP3_SQL, op3_chat
 from .common import ship
 from .embedding_dedup import OP9_SQL, op9_embedding_dedup
 from .exact_dedup import OP8_SQL, op8_exact_dedup
 from .html_extract import op5_html_extract
 from .lm_score import op10_lm_score
-from .ngram_join import op4_ngram_join
+from .ngram_join import OP4_SQL, op4_ngram_join
 from .packing import op1_packing
 from .pii import op7_pii
 from .toxicity import op2_toxicity
@@ -42,6 +42,8 @@ QUERIES = {name: _with_package(query) for name, query in {
 }.items()}
 
 ORACLE = {
+    "op3_chat": OP3_SQL,
+    "op4_ngram_join": OP4_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_embedding_dedup": OP9_SQL,
 }

@@ -176,3 +176,22 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     return done.select("conv_id", "formatted", "loss_spans").mapInArrow(
         rows, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+_SQL_CONTROLS = "|".join(re.escape(c) for c in sorted(CONTROLS, key=len, reverse=True))
+
+OP3_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(regexp_replace(replace(text, '\', '\\'), '({_SQL_CONTROLS})', '\1~', 'g')) AS text_chars,
+    length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\' || chr(10)), '({_SQL_CONTROLS})', '\1~', 'g')) AS role_chars
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+    sum(role_chars + text_chars + {len(TURN) + len(END) + 2})::BIGINT AS formatted_chars
+  FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+"""

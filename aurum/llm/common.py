@@ -55,6 +55,12 @@ def drop_table(df: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def text_blocks(df: DataFrame, text: str, block_bytes: int, least: int) -> int:
+    """How many blocks of ``block_bytes`` of text the table makes (one scan of the column)."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(least, -(-size // block_bytes))
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -42,11 +42,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import materialize, read_table, text_blocks
 from .presplit import Memo
 
-BUFFER_TOKENS = 1 << 21
-BLOCK_BYTES = 16 << 20
+BUFFER_TOKENS = 1 << 20
+#: Bytes of text for each block of words, and least number of blocks.
+BLOCK_BYTES, BLOCKS = 16 << 20, 16
 #: Symbols that no word has: end of a word and the end token.  A word is kept
 #: behind the byte 1 + kind, which is no white space either.
 CLOSE, END = b"\n", b"\t"
@@ -458,8 +459,7 @@ def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     rows the model holds all symbols alike.  Other columns are not read.
     """
     src = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    size = int(str(src._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    blocks = max(32, -(-size // BLOCK_BYTES))
+    blocks = text_blocks(src, "t", BLOCK_BYTES, BLOCKS)
     spark = df.sparkSession
     sample = src.where((F.length("t") <= SAMPLE_CHARS) & (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)) != HELD_OUT))
     sample = sample.select("t", F.xxhash64("id").alias("h"), "id").orderBy("h", "id", "t").limit(SAMPLE).select("t").collect()

@@ -21,7 +21,7 @@ candidates left are verified on their sets.
 3. *Links*.  Documents with equal sets are one node.  In rounds, each prefix
    shingle's list picks a hub, members of other components are verified
    against it, and what links is contracted; lists within one component are
-   left out from then on.  What is still undecided is compared list by list,
+   left out from then on.  Pairs that sizes or sketches rule out are not made.  What is still undecided is compared list by list,
    in blocks of ``CHUNK`` members, so that no task holds a whole list.
 
 Shingles are 64-bit hashes for counting a set and named by 40 bits and their
@@ -39,14 +39,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import materialize, read_table, text_blocks
 from .components import components
 from .presplit import Memo
 
 #: Shingles and documents that a task gathers before it sends them.
-BUFFER_TOKENS, BUFFER_DOCS = 1 << 21, 1 << 15
-#: Bytes of input for each block of shingles.
-BLOCK_BYTES = 16 << 20
+BUFFER_TOKENS, BUFFER_DOCS = 1 << 20, 1 << 13
+#: Bytes of text for each block of shingles, and least number of blocks.
+BLOCK_BYTES, BLOCKS = 12 << 20, 16
 #: Members of a list that are compared with each other in one group.
 CHUNK = 256
 HUB_ROUNDS = 2
@@ -175,7 +175,11 @@ def _answers(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema=_ARROW)
 
 
-PROFILE = "rid long, id long, n int, set_key binary, shared array<long>, prefixes array<array<long>>"
+PROFILE = ("rid long, id long, n int, set_key binary, lone int, sketch array<long>, shared array<long>, "
+           "prefixes array<array<long>>")
+#: Bits of a sketch: bit b is the parity of the shared shingles that hash to b, so two
+#: sets differ in at least as many shingles as their sketches differ in bits.
+SKETCH = 256
 
 
 def _profiles(table: pa.Table, percent: int, orders: int) -> pa.Table:
@@ -214,6 +218,9 @@ def _profiles(table: pa.Table, percent: int, orders: int) -> pa.Table:
     # n - ceil(t n) + 1 shingles; the unshared ones come first in every order
     take = sizes - (percent * sizes + 99) // 100 + 1 - (sizes - np.diff(at))
     mixed = [_mix(name, 101 + k) for k in range(orders)]
+    bit = doc * SKETCH + (_mix(name, 77) % np.uint64(SKETCH)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=n_docs * SKETCH) & 1).astype(np.uint8).reshape(n_docs, SKETCH)
+    sketches = np.packbits(odd, axis=1).view("<i8")
     shared, prefixes = [], []
     for d in range(n_docs):
         x, y = at[d], at[d + 1]
@@ -227,17 +234,13 @@ def _profiles(table: pa.Table, percent: int, orders: int) -> pa.Table:
     return pa.table({
         "rid": pa.array([head["gid"] << 16 | d for d in range(n_docs)], pa.int64()), "id": pa.array(head["ids"], pa.int64()),
         "n": pa.array(head["sizes"], pa.int32()), "set_key": pa.array([keys[16 * d:16 * d + 16] for d in range(n_docs)], pa.binary()),
+        "lone": pa.array(sizes - np.diff(at), pa.int32()), "sketch": pa.array(sketches.tolist(), pa.list_(pa.int64())),
         "shared": pa.array(shared, pa.list_(pa.int64())), "prefixes": pa.array(prefixes, pa.list_(pa.list_(pa.int64())))})
 
 
-def _blocks(df: DataFrame) -> int:
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(32, -(-size // BLOCK_BYTES))
-
-
 def profiles(df: DataFrame, text: str, doc_id: str, width: int, percent: int, orders: int) -> DataFrame:
     src = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    blocks = _blocks(src)
+    blocks = text_blocks(src, "t", BLOCK_BYTES, BLOCKS)
     asked = src.mapInArrow(lambda it: _requests(it, width, blocks), PACKED)
     answered = asked.groupBy("block").applyInArrow(_answers, PACKED)
     return answered.groupBy("gid").applyInArrow(lambda t: _profiles(t, percent, orders), PROFILE)
@@ -264,37 +267,48 @@ def jaccard_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
     only if no other is there.  Other columns of ``df`` are not read.
     """
     prof = materialize(profiles(df, text, doc_id, width, percent, orders), "profiles")
-    close = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+    def close(a, b):
+        """Whether the sizes and the sketches leave the similarity possible (columns n, lone, s0, s1, ...)."""
+        differ = sum((F.bit_count(a(f"s{k}").bitwiseXOR(b(f"s{k}"))) for k in range(SKETCH // 64)), a("lone") + b("lone"))
+        return (100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))) & (
+            (100 + percent) * differ <= (100 - percent) * (a("n") + b("n")))
+
+    traits = ["n", "lone", *(f"s{k}" for k in range(SKETCH // 64))]
 
     # equal sets are one node, the row with the smallest rid
     active = prof.where("prefixes IS NOT NULL")
     nodes = materialize(active.groupBy("set_key").agg(F.min("rid").alias("node")), "nodes")
     sets = materialize(active.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
-                       .select("rid", "n", "shared", "prefixes"), "sets")
-    lists = materialize(sets.select(F.explode(F.col("prefixes")[0]).alias("tok"), "rid", "n"), "lists")
+                       .select("rid", "n", "lone", "sketch", "shared", "prefixes"), "sets")
+    lists = materialize(sets.select(F.explode(F.col("prefixes")[0]).alias("tok"), "rid", "n", "lone",
+                                    *(F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH // 64))), "lists")
+    sets = sets.select("rid", "n", "shared", "prefixes")
     label = sets.select("rid", F.col("rid").alias("comp"))
 
     links = None
     for r in range(HUB_ROUNDS + 1):
         members = lists.join(label, "rid")
-        hub = F.min(F.struct(F.xxhash64(F.lit(r), "rid").alias("h"), "rid", "comp", "n")).alias("hub")
+        hub = F.min(F.struct(F.xxhash64(F.lit(r), "rid").alias("h"), "rid", "comp", *traits)).alias("hub")
         mixed = members.groupBy("tok").agg(hub, F.count("*").alias("g"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         mixed = materialize(mixed.where("lo <> hi" if r == 0 else "lo <> hi AND g > 2").select("tok", "hub", "g"), "mixed")
         members = members.join(mixed, "tok")
         if r < HUB_ROUNDS:
-            pairs = members.where((F.col("comp") != F.col("hub.comp")) & close(F.col("n"), F.col("hub.n"))).select(
+            near = close(F.col, lambda c: F.col(f"hub.{c}"))
+            pairs = members.where((F.col("comp") != F.col("hub.comp")) & near).select(
                 F.col("rid").alias("a"), F.col("hub.rid").alias("b"))
         else:  # all undecided pairs of a list, block by block
             parts = F.ceil(F.col("g") / CHUNK).cast("int")
-            members = members.select("tok", "rid", "n", "comp", parts.alias("parts")).withColumn(
+            members = members.select("tok", "rid", "comp", *traits, parts.alias("parts")).withColumn(
                 "part", F.pmod(F.xxhash64("rid"), "parts").cast("int"))
             other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
             blocks = members.select("*", other).select(
-                "tok", "rid", "n", "comp", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-            x = blocks.where("part = i").select("tok", "i", "j", "rid", "n", "comp")
-            y = blocks.where("part = j").select("tok", "i", "j", *(F.col(c).alias(f"{c}2") for c in ("rid", "n", "comp")))
-            pairs = x.join(y, ["tok", "i", "j"]).where("comp <> comp2 AND (i < j OR rid < rid2)").where(
-                close(F.col("n"), F.col("n2"))).select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b"))
+                "tok", "rid", "comp", *traits, "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+            key = ["tok", "i", "j"]
+            x = blocks.where("part = i").select(*key, "rid", "comp", *traits)
+            y = blocks.where("part = j").select(*key, *(F.col(c).alias(f"{c}_2") for c in ("rid", "comp", *traits)))
+            pairs = x.join(y, key).where("comp <> comp_2 AND (i < j OR rid < rid_2)").where(
+                close(F.col, lambda c: F.col(f"{c}_2"))).select(F.least("rid", "rid_2").alias("a"), F.greatest("rid", "rid_2").alias("b"))
         found = materialize(_verified(pairs.distinct(), sets, percent, orders), "links")
         links = found if links is None else links.unionByName(found)
         comps = components(links)
@@ -317,3 +331,20 @@ def jaccard_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_components(read_table(spark, sf_dir, "documents"), width=3, percent=90)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS s, doc_id AS t FROM documents UNION SELECT reach.s, l.b FROM reach JOIN l ON reach.t = l.a),
+c AS (SELECT s, min(t) AS component_id FROM reach GROUP BY s)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d JOIN c ON c.s = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

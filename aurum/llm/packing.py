@@ -73,7 +73,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Sorted cut positions (the last is the stream's end) and their penalties."""
     penalty = np.full(len(ids) + 1, -1, np.int8)
     penalty[1:][ends_sentence[ids]] = SENTENCE_CUT
@@ -81,9 +81,10 @@ def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray)
     penalty[0], penalty[-1] = -1, max(penalty[-1], 0)
     pos = np.flatnonzero(penalty >= 0)
     gaps = np.diff(pos, prepend=0)
-    more = np.where(gaps > 2 * STEP, (gaps - 1) // STEP, 0)
+    step = min(STEP, window)
+    more = np.where(gaps > min(2 * STEP, window), (gaps - 1) // step, 0)
     number = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
-    penalty[np.repeat(pos - gaps, more) + number * STEP] = HARD_CUT
+    penalty[np.repeat(pos - gaps, more) + number * step] = HARD_CUT
     pos = np.flatnonzero(penalty >= 0)
     return pos, penalty[pos]
 
@@ -137,7 +138,7 @@ def pack_stream(docs, ends_sentence, window: int = WINDOW, first_sequence: int =
         nonlocal held, size, sequence
         ids = np.concatenate([h[2] for h in held])
         ends = np.cumsum([len(h[2]) for h in held])
-        pos, pen = candidates(ids, ends, ends_sentence)
+        pos, pen = candidates(ids, ends, ends_sentence, window)
         cuts = plan(pos, pen, window, last)
         done = cuts[-1] if cuts else 0
         seq_ends = np.array(cuts, np.int64)
