@@ -88,11 +88,14 @@ def get_spark(app: str = "aurum", cpus: str | int = "*", shuffle_partitions: int
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (tests, local runs) do we pick a fresh
-    scratch folder; on a cluster that setting points at shared storage.
+    Only when a local session names none (tests) do we pick a fresh scratch
+    folder; on a cluster a folder of the driver's machine would be invisible to
+    the executors, so a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="aurum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -1,13 +1,14 @@
 """Keyed upsert (S-07…S-10, J-05, J-07) without a table format.
 
 ``upsert`` is a pure DataFrame operator returning the merged table content;
-``merge_into_path`` persists it.  Key matching follows SQL ``MERGE``: keys
-compare with ``=``, so a NULL key never matches (NULL-key source rows are
-inserted, NULL-key target rows are kept untouched).
-
-Shape: anti-join + union (+ inner join for partial updates).  Both sides are
-unique per key (checked), so no join output can exceed its inputs and a hot
-key cannot multiply rows.
+``sources.sinks`` persists it.  By default keys match as in SQL ``MERGE``
+(``=``: a NULL key never matches, so NULL-key source rows are inserted and
+NULL-key target rows kept); ``null_safe=True`` lets NULL equal NULL, for
+tables whose key may hold NULLs (D41).
+
+Shape: one full outer join on the key gives kept, matched and new rows in one
+shuffle of each side.  The source is unique per key (checked), so a hot key
+cannot multiply rows; NULL-key rows of a ``=`` merge bypass the join.
 """
 
 from __future__ import annotations
@@ -31,48 +32,77 @@ def all_not_null(keys) -> F.Column:
     return cond
 
 
-def duplicate_source_keys(source: DataFrame, keys) -> DataFrame:
-    """Keys that occur more than once (a MERGE would be ambiguous)."""
+def duplicate_source_keys(source: DataFrame, keys, null_safe: bool = False) -> DataFrame:
+    """Keys that occur more than once (a MERGE would be ambiguous).  NULL keys
+    count only where they match each other."""
     keys = _keys(keys)
-    return (source.filter(all_not_null(keys)).groupBy(*keys).count().filter("count > 1"))
+    rows = source if null_safe else source.filter(all_not_null(keys))
+    return rows.groupBy(*keys).count().filter("count > 1")
 
 
-def assert_unique_keys(source: DataFrame, keys) -> None:
+def assert_unique_keys(source: DataFrame, keys, null_safe: bool = False) -> None:
     """Raise when the source holds a key twice.  One aggregate; only a
     bounded sample (5 keys) ever reaches the driver."""
-    sample = duplicate_source_keys(source, keys).limit(5).collect()
+    sample = duplicate_source_keys(source, keys, null_safe).limit(5).collect()
     if sample:
         raise DuplicateKeyError(f"source has duplicate merge keys, e.g. {[r.asDict() for r in sample]}")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys, update_columns=None,
-           insert_only: bool = False) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys, update_columns=None, insert_only: bool = False,
+           null_safe: bool = False) -> DataFrame:
     """Merged content of ``target`` after ``MERGE source ON keys``.
 
-    * default: matched rows are replaced by the source row (all columns —
-      the reference never updated without an explicit list, D23), unmatched
+    * default: matched rows take every column of the source row (the
+      reference never updated without an explicit list, D23), unmatched
       source rows are inserted;
     * ``update_columns``: matched rows take only those columns from source;
     * ``insert_only``: matched rows are left alone, new keys are inserted.
 
-    New source columns are added (NULL for old rows): schema evolution by
-    ``unionByName(allowMissingColumns=True)``.
+    New source columns are added (NULL for old rows); a column that the source
+    lacks keeps its value in matched rows.
     """
     keys = _keys(keys)
-    src_keys = source.select(*keys)
     if insert_only:
-        new = source.join(target.select(*keys), keys, "left_anti")
-        return target.unionByName(new, allowMissingColumns=True)
-    kept = target.join(src_keys, keys, "left_anti")
-    if not update_columns:
-        return kept.unionByName(source, allowMissingColumns=True)
-    upd = list(update_columns)
-    s = source.select(*keys, *[F.col(c).alias(f"__src_{c}") for c in upd])
-    matched = target.join(s, keys, "inner")
-    matched = matched.select(*[
-        F.col(f"__src_{c}").alias(c) if c in upd else F.col(c) for c in target.columns])
-    new = source.join(target.select(*keys), keys, "left_anti")
-    return kept.unionByName(matched).unionByName(new, allowMissingColumns=True)
+        update_columns = []
+    elif update_columns is not None:
+        update_columns = list(update_columns)
+    columns = target.columns + [c for c in source.columns if c not in target.columns]
+    loose = []
+    if not null_safe:  # rows that can't match need no shuffle, and would meet in one task
+        ok = all_not_null(keys)
+        loose = [target.filter(~ok), source.filter(~ok)]
+        target, source = target.filter(ok), source.filter(ok)
+    t = target.withColumn("__in_target", F.lit(True)).alias("t")
+    s = source.withColumn("__in_source", F.lit(True)).alias("s")
+    match = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    old, new = F.col("__in_target"), F.col("__in_source")
+
+    def merged(c):
+        if c not in source.columns:
+            return F.col(f"t.{c}")
+        if c not in target.columns:
+            if update_columns is None or c in update_columns:
+                return F.col(f"s.{c}").alias(c)
+            return F.when(old.isNull(), F.col(f"s.{c}")).alias(c)
+        taken = new.isNotNull()
+        if update_columns is not None and c not in update_columns:
+            taken = taken & old.isNull()
+        return F.when(taken, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+
+    out = t.join(s, match, "full").select(*[merged(c) for c in columns])
+    for rows in loose:
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out.select(*columns)
+
+
+def replace_scope(target: DataFrame, source: DataFrame, scope: DataFrame) -> DataFrame:
+    """``target`` without the rows whose key is in ``scope`` (its columns, NULL
+    equal to NULL), and all rows of ``source``: a keyed rebuild, in which keys
+    that no longer qualify disappear."""
+    own = scope.distinct()
+    own = own.select(*[F.col(c).alias(f"__scope_{c}") for c in scope.columns])
+    match = [F.col(c).eqNullSafe(F.col(f"__scope_{c}")) for c in scope.columns]
+    return target.join(own, match, "left_anti").unionByName(source, allowMissingColumns=True)
 
 
 def high_water_mark(target: DataFrame, column: str = "_loaded_at"):
@@ -80,16 +110,20 @@ def high_water_mark(target: DataFrame, column: str = "_loaded_at"):
     return target.agg(F.max(column).alias("hwm")).collect()[0]["hwm"]
 
 
-def incremental_batch(source: DataFrame, target: DataFrame | None, column: str = "_loaded_at") -> DataFrame:
+def incremental_batch(source: DataFrame, target: DataFrame | None, column: str = "_loaded_at",
+                      inclusive: bool = False) -> DataFrame:
     """S-10: rows newer than the target's high-water mark; the whole source on
     a first run (or an empty target).  The mark is a literal in the filter, so
-    it is pushed into the source scan (parquet row-group skipping)."""
+    it is pushed into the source scan (parquet row-group skipping).
+    ``inclusive`` also takes rows at the mark, for jobs whose merge may see a
+    row again: rows that arrive late with the mark's own time are not missed."""
     if target is None:
         return source
     hwm = high_water_mark(target, column)
     if hwm is None:
         return source
-    return source.filter(F.col(column) > F.lit(hwm).cast(source.schema[column].dataType))
+    mark = F.lit(hwm).cast(source.schema[column].dataType)
+    return source.filter(F.col(column) >= mark if inclusive else F.col(column) > mark)
 
 
 def sync_schema(df: DataFrame, target_columns, mode: str = "append_new_columns") -> DataFrame:

@@ -120,18 +120,20 @@ def sales_layer_checks(stg_sales: DataFrame, silver_sales: DataFrame, gold_daily
     return a.select(F.explode(rows).alias("c")).select("c.*")
 
 
+def table_null_check(df: DataFrame, table: str, threshold_pct: float) -> DataFrame:
+    """Q-01 over all columns of a table, as one check row."""
+    a = df.agg(F.count(F.lit(1)).alias("total"), *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    nulls = [F.coalesce(F.col(f"_n{i}"), F.lit(0)) for i in range(len(df.columns))]
+    return a.select(_null_ratio_check(table, F.col("total"), nulls, threshold_pct).alias("c")).select("c.*")
+
+
 def checks(bed) -> DataFrame:
     """Q-10: every check of the DQ job as rows ``(name, passed, detail)``."""
     st = bed.sales_settings
     sales = sales_layer_checks(bed.stg("sales"), bed.sales.drop("_loaded_by", "_runtime_version"),
                                bed.daily_sales, _eod(st.as_of), st.freshness_warning_hours,
                                st.freshness_error_hours, st.null_threshold_pct)
-    cust = bed.customers
-    cagg = cust.agg(F.count(F.lit(1)).alias("total"),
-                    *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"_n{i}") for i, c in enumerate(cust.columns)])
-    nulls = cagg.select(_null_ratio_check(
-        "customers", F.col("total"), [F.coalesce(F.col(f"_n{i}"), F.lit(0)) for i in range(len(cust.columns))],
-        st.null_threshold_pct).alias("c")).select("c.*")
+    nulls = table_null_check(bed.customers, "customers", st.null_threshold_pct)
     comp = customer_completeness(bed.customer_360).select(
         F.lit("customer_completeness").alias("name"), "passed", F.format_number("active_pct", 1).alias("detail"))
     out = outlier_rate(bed.iot).select(F.lit("iot_outlier_rate").alias("name"), "passed",

@@ -5,18 +5,19 @@ same tables.
 
 Incremental silver follows SURVEY §7.4 (D11): results that depend on more
 than the new rows are recomputed for the *touched* keys from the full bronze
-input, never from the batch alone:
-
-* sales — rows past the silver high-water mark, latest per transaction,
-  merged by ``transaction_id`` into date partitions;
-* customers — full extract merged by ``customer_id``;
-* inventory — every (sku, warehouse) touched by new movements is recomputed
-  over its whole bronze history (running stock), merged by ``surrogate_key``;
-* web sessions — touched sessions recomputed from all their events and
-  merged by (session_id, user_id); the table keeps ``is_bot`` rows flagged and
-  readers take ``NOT is_bot`` (a merge cannot delete a session that turns
-  into a bot);
+input, never from the batch alone, and replace all stored rows of those keys
+(``merge_into_path(scope=...)``), so a key that no longer qualifies goes:
+
+* sales — transactions with new rows, recomputed from all their copies;
+* customers — full extract, so the table is replaced;
+* inventory — every (sku, warehouse) that any version of a newly moved
+  movement names is recomputed over its whole bronze history (running stock);
+* web sessions — touched sessions recomputed from all their events; the table
+  keeps ``is_bot`` rows flagged and readers take ``NOT is_bot``;
 * IoT — new readings scored against statistics of the full bronze history.
+
+Rows at the high-water mark are taken again (``inclusive``), since rows may
+arrive late with the mark's own time; replacing makes that harmless.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 
 from aurum.config import Settings, checkpoint_dir
 from aurum.operators import quality
+from aurum.operators.scd import scd2_merge
 from aurum.operators.upsert import incremental_batch
 from aurum.plans import gold, silver, staging
-from aurum.sources.sinks import _exists, layer_path, merge_into_path, write_path
+from aurum.sources.sinks import _exists, drop_expired, layer_path, merge_into_path, replace_path, write_path
 
 BRONZE = {"sales": ("sales", "raw_sales_transactions"), "customers": ("customers", "raw_customer_profiles"),
           "inventory": ("operations", "raw_inventory_movements"), "web_events": ("marketing", "raw_web_events"),
@@ -49,7 +51,7 @@ def _p(settings: Settings, layer: str, spec) -> str:
 
 def read(spark: SparkSession, settings: Settings, layer: str, name: str) -> DataFrame:
     spec = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}[layer][name]
-    df = spark.read.parquet(_p(settings, layer, spec))
+    df = spark.read.option("mergeSchema", "true").parquet(_p(settings, layer, spec))
     part = BRONZE_PARTITION.get(name) if layer == "bronze" else None
     return df.drop(part) if part else df
 
@@ -62,7 +64,7 @@ def bronze_job(spark: SparkSession, settings: Settings, feeds: dict[str, DataFra
     for name, df in feeds.items():
         path = _p(settings, "bronze", BRONZE[name])
         if name == "customers":
-            write_path(df, path, "overwrite")
+            replace_path(spark, df, path)
             continue
         part = BRONZE_PARTITION[name]
         df = df.withColumn(part, F.to_date("_ingested_at"))
@@ -92,40 +94,76 @@ def silver_job(spark: SparkSession, settings: Settings) -> None:
         path = _p(settings, "silver", SILVER[name])
         return path, (spark.read.parquet(path) if _exists(spark, path) else None)
 
-    # sales: high-water mark + merge by transaction id
+    def touched(name, tgt, cols):
+        return incremental_batch(b[name], tgt, inclusive=True).select(*cols).distinct()
+
+    # sales: transactions with new rows, from all their copies
     path, tgt = target("sales")
-    new = silver.sales_transactions_cleaned(incremental_batch(b["sales"], tgt), settings)
+    rows, own = b["sales"], touched("sales", tgt, ["transaction_id"])
+    if tgt is not None:
+        rows = _only(rows, own)
+    new = silver.sales_transactions_cleaned(rows, settings)
     new = new.withColumn("transaction_day", F.to_date("transaction_date"))
-    merge_into_path(spark, new, path, "transaction_id", partition_by="transaction_day")
+    merge_into_path(spark, new, path, "transaction_id", partition_by="transaction_day", scope=own)
 
-    # customers: full extract merged by key
+    # customers: the extract is complete, so the table is what it gives
     path, _ = target("customers")
-    merge_into_path(spark, silver.customers_cleaned(b["customers"], settings), path, "customer_id")
+    replace_path(spark, silver.customers_cleaned(b["customers"], settings), path)
 
-    # inventory: touched (sku, warehouse) recomputed over their full history
+    # inventory: (sku, warehouse) pairs that a moved movement names now or named before
     path, tgt = target("inventory")
-    moves = b["inventory"]
+    pair = ["product_sku", "warehouse_id"]
+    moves, own = b["inventory"], b["inventory"].select(*pair).distinct()
     if tgt is not None:
-        touched = incremental_batch(moves, tgt).select("product_sku", "warehouse_id").distinct()
-        moves = moves.join(touched, ["product_sku", "warehouse_id"], "left_semi")
-    merge_into_path(spark, silver.inventory_snapshots(moves), path, "surrogate_key", partition_by="snapshot_date")
+        own = _only(moves, touched("inventory", tgt, ["movement_id"])).select(*pair).distinct()
+        # all versions of every movement that any version puts into these pairs
+        moves = _only(moves, _only(moves, own).select("movement_id").distinct())
+    snaps = _only(silver.inventory_snapshots(moves), own)
+    merge_into_path(spark, snaps, path, "surrogate_key", partition_by="snapshot_date", scope=own)
 
     # sessions: touched sessions recomputed from all their events; bots kept flagged
     path, tgt = target("sessions")
-    events = b["web_events"]
+    events, own = b["web_events"], touched("web_events", tgt, ["session_id"])
     if tgt is not None:
-        touched = incremental_batch(events, tgt).select("session_id").distinct()
-        events = events.join(touched, "session_id", "left_semi")
+        events = _only(events, own)
     sess = silver.web_sessions_enriched(events, settings, keep_bots=True)
-    merge_into_path(spark, sess, path, ["session_id", "user_id"], partition_by="event_date")
+    merge_into_path(spark, sess, path, ["session_id", "user_id"], partition_by="event_date", null_safe=True, scope=own)
 
     # IoT: new readings scored against full-history statistics
     path, tgt = target("iot")
     stats = silver.sensor_stats(b["iot"])
-    val = silver.iot_readings_validated(incremental_batch(b["iot"], tgt), settings, stats=stats)
+    val = silver.iot_readings_validated(incremental_batch(b["iot"], tgt, inclusive=True), settings, stats=stats)
     merge_into_path(spark, val, path, "surrogate_key", partition_by="reading_date")
 
 
+def _only(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys`` (NULL equal to NULL)."""
+    own = keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
+    return df.join(own, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys.columns], "left_semi")
+
+
+# ------------------------------------------------------------------ M-16
+SNAPSHOT = ("customers", "customers_scd")
+SNAPSHOT_COLUMNS = ["full_name_clean", "email_hashed", "phone_masked", "address_city", "country_code", "loyalty_tier"]
+
+
+def snapshot_job(spark: SparkSession, settings: Settings, taken_at, columns=None) -> DataFrame:
+    """M-16: SCD2 history of the cleaned customers: one run merges the table as it
+    is at ``taken_at``; customers that are gone are closed.  A run that is
+    repeated changes nothing."""
+    path = _p(settings, "silver", SNAPSHOT)
+    now = read(spark, settings, "silver", "customers")
+    tracked = list(columns or SNAPSHOT_COLUMNS)
+    if _exists(spark, path):
+        history = spark.read.parquet(path)
+    else:
+        empty = now.select("customer_id", *tracked).limit(0)
+        history = empty.selectExpr("*", "CAST(NULL AS string) AS _change_hash", "CAST(NULL AS timestamp_ntz) AS valid_from",
+                                   "CAST(NULL AS timestamp_ntz) AS valid_to", "CAST(NULL AS boolean) AS is_current")
+    replace_path(spark, scd2_merge(history, now, "customer_id", tracked, taken_at), path)
+    return spark.read.parquet(path)
+
+
 def silver_view(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
     df = read(spark, settings, "silver", name)
     if name == "sessions":
@@ -138,7 +176,7 @@ def silver_view(spark: SparkSession, settings: Settings, name: str) -> DataFrame
 # ------------------------------------------------------------------ gold
 def gold_job(spark: SparkSession, settings: Settings, events_settings: Settings | None = None) -> None:
     """Full rebuild of the gold tables from silver, date-partitioned where the
-    model is (overwrite of a path never read by the same job)."""
+    model is; each replaces its path as a whole, so no old partition stays."""
     es = events_settings or settings
     s = {n: silver_view(spark, settings, n) for n in SILVER}
     web = staging.stg_web_events(read(spark, settings, "bronze", "web_events"))
@@ -150,33 +188,43 @@ def gold_job(spark: SparkSession, settings: Settings, events_settings: Settings
         "iot_dashboard": (gold.iot_anomaly_dashboard(s["iot"], es), "report_date"),
     }
     for name, (df, part) in tables.items():
-        write_path(df, _p(settings, "gold", GOLD[name]), "overwrite", [part] if part else None)
+        replace_path(spark, df, _p(settings, "gold", GOLD[name]), [part] if part else None)
 
 
 # ------------------------------------------------------------------ data quality
-def dq_job(spark: SparkSession, settings: Settings, run_timestamp: str, raise_on_failure: bool = False) -> DataFrame:
-    """Q-04…Q-07 + null ratios on the stored layers; one JSON report row is
-    appended under ``root/checkpoint/data_quality_reports``."""
+REPORTS = "checkpoint/data_quality_reports"
+
+
+def dq_job(spark: SparkSession, settings: Settings, run_timestamp: str, raise_on_failure: bool = True,
+           as_of_ts=None, keep_days: int | None = None) -> DataFrame:
+    """Q-01…Q-07 on the stored layers; one JSON report row is appended under
+    ``root/checkpoint/data_quality_reports``, then failures raise.
+
+    The checks are computed once, so the report and the error agree.
+    ``as_of_ts`` is the time that freshness is measured at (default: the
+    run's); ``keep_days`` drops older days of reports (S-16)."""
+    import datetime as dt
+
     from aurum.plans import dq
 
-    sales_b = read(spark, settings, "bronze", "sales")
-    sales_s = silver_view(spark, settings, "sales")
+    now = dt.datetime.fromisoformat(run_timestamp)
+    customers = read(spark, settings, "silver", "customers")
     daily = read(spark, settings, "gold", "daily_sales")
-    c360 = read(spark, settings, "gold", "customer_360")
-    rec = dq.layer_reconciliation(sales_b, sales_s, daily).select(
-        F.col("check_name").alias("name"), "passed", F.format_number("metric", 1).alias("detail"))
-    nulls = quality.null_ratio(sales_s).groupBy().agg(F.min(F.col("passed").cast("int")).alias("ok")).select(
-        F.lit("null_ratio_sales").alias("name"), (F.col("ok") == 1).alias("passed"), F.lit("").alias("detail"))
-    comp = dq.customer_completeness(c360).select(F.lit("customer_completeness").alias("name"), "passed",
-                                                 F.format_number("active_pct", 1).alias("detail"))
-    rev = dq.revenue_integrity(daily, sales_s).select(F.lit("revenue_integrity").alias("name"), "passed",
-                                                      F.col("gold_revenue_usd").cast("string").alias("detail"))
+    sales = dq.sales_layer_checks(
+        read(spark, settings, "bronze", "sales"), silver_view(spark, settings, "sales"), daily, as_of_ts or now,
+        settings.freshness_warning_hours, settings.freshness_error_hours, settings.null_threshold_pct)
+    nulls = dq.table_null_check(customers, "customers", settings.null_threshold_pct)
+    comp = dq.customer_completeness(read(spark, settings, "gold", "customer_360")).select(
+        F.lit("customer_completeness").alias("name"), "passed", F.format_number("active_pct", 1).alias("detail"))
     out = dq.outlier_rate(silver_view(spark, settings, "iot")).select(
         F.lit("iot_outlier_rate").alias("name"), "passed", F.format_number("outlier_pct", 1).alias("detail"))
-    checks = rec.unionByName(nulls).unionByName(comp).unionByName(rev).unionByName(out)
-    report = quality.report(checks, run_timestamp, settings.environment)
-    report.select("run_timestamp", "overall_status", "value").write.mode("append").parquet(
-        f"{settings.root.rstrip('/')}/checkpoint/data_quality_reports")
+    checkpoint_dir(spark)
+    checks = sales.unionByName(nulls).unionByName(comp).unionByName(out).checkpoint()  # a row per check
+    path = f"{settings.root.rstrip('/')}/{REPORTS}"
+    report = quality.report(checks, run_timestamp, settings.environment).select("run_timestamp", "overall_status", "value")
+    write_path(report.withColumn("run_date", F.lit(now.date())), path, "append", ["run_date"])
+    if keep_days is not None:
+        drop_expired(spark, path, "run_date", now.date() - dt.timedelta(days=keep_days))
     if raise_on_failure:
         quality.raise_on_failure(checks)
     return checks

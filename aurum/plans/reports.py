@@ -108,25 +108,22 @@ def sensor_gaps(validated: DataFrame, threshold_hours: float = 24.0) -> DataFram
     """Consecutive readings of one (device, sensor) more than
     ``threshold_hours`` apart.
 
-    With a threshold of a day or more, such a gap always crosses a day
-    boundary and ends at the first reading of a day.  So readings are first
-    reduced to one row per (device, sensor, day) — first and last timestamp,
-    a partial aggregate that a hot device cannot skew — and the gap is the
-    lag over those daily rows (one per day, bounded).  Shorter thresholds need
-    every reading's predecessor and use the row window.
+    A reading's predecessor is in the same day or is the last reading of an
+    earlier day.  The first is the lag inside (device, sensor, day); the second
+    is carried by a lag over one row per (device, sensor, day), a partial
+    aggregate, and meets the first readings of the days only.  No window holds
+    a device's whole history, at any threshold.
     """
-    gap = lambda a, b: (F.unix_timestamp(b) - F.unix_timestamp(a)).cast("double") / F.lit(3600.0)
-    if threshold_hours >= 24:
-        daily = validated.groupBy("device_id", "sensor_type", "reading_date").agg(
-            F.min("reading_timestamp").alias("first_ts"), F.max("reading_timestamp").alias("last_ts"))
-        w = Window.partitionBy("device_id", "sensor_type").orderBy("reading_date")
-        g = daily.select("device_id", "sensor_type", F.lag("last_ts").over(w).alias("previous_reading"),
-                         F.col("first_ts").alias("reading_timestamp"))
-    else:
-        w = Window.partitionBy("device_id", "sensor_type").orderBy("reading_timestamp", "surrogate_key")
-        g = validated.select("device_id", "sensor_type",
-                             F.lag("reading_timestamp").over(w).alias("previous_reading"), "reading_timestamp")
-    return g.withColumn("gap_hours", gap("previous_reading", "reading_timestamp")).filter(
+    key = ["device_id", "sensor_type", "reading_date"]
+    order = ["reading_timestamp", "surrogate_key"]
+    in_day = validated.select(*key, "reading_timestamp",
+                              F.lag("reading_timestamp").over(Window.partitionBy(*key).orderBy(*order)).alias("previous_reading"))
+    daily = validated.groupBy(*key).agg(F.min("reading_timestamp").alias("first_ts"), F.max("reading_timestamp").alias("last_ts"))
+    days = Window.partitionBy("device_id", "sensor_type").orderBy("reading_date")
+    across = daily.select(*key, F.col("first_ts").alias("reading_timestamp"), F.lag("last_ts").over(days).alias("previous_reading"))
+    both = across.unionByName(in_day.filter("previous_reading IS NOT NULL"))
+    gap = (F.unix_timestamp("reading_timestamp") - F.unix_timestamp("previous_reading")).cast("double") / F.lit(3600.0)
+    return both.select("device_id", "sensor_type", "previous_reading", "reading_timestamp", gap.alias("gap_hours")).filter(
         F.col("gap_hours") > threshold_hours)
 
 
@@ -149,18 +146,20 @@ def sensor_interpolation(validated: DataFrame) -> DataFrame:
                   t.alias("t"), v.alias("v"))
     valid = F.when(v.isNotNull(), pt)
     day = Window.partitionBy(*key, "reading_date").orderBy(*order)
+    # the next valid one is the last valid one of the reversed order: frames that only grow
+    day_back = Window.partitionBy(*key, "reading_date").orderBy(*[F.desc(c) for c in order])
     r = validated.select(
         *key, "reading_date", "reading_timestamp", "reading_value_raw", "is_outlier", v.alias("val"),
         t.alias("t"),
         F.last(valid, ignorenulls=True).over(day.rowsBetween(Window.unboundedPreceding, -1)).alias("p_in"),
-        F.first(valid, ignorenulls=True).over(day.rowsBetween(1, Window.unboundedFollowing)).alias("n_in"))
+        F.last(valid, ignorenulls=True).over(day_back.rowsBetween(Window.unboundedPreceding, -1)).alias("n_in"))
     r = r.filter(F.col("val").isNull() & F.col("is_outlier"))
     daily = validated.groupBy(*key, "reading_date").agg(F.max(valid).alias("last_v"), F.min(valid).alias("first_v"))
-    dw = Window.partitionBy(*key).orderBy("reading_date")
+    dw, dw_back = (Window.partitionBy(*key).orderBy(o) for o in ("reading_date", F.desc("reading_date")))
     carry = daily.select(
         *key, "reading_date",
         F.last("last_v", ignorenulls=True).over(dw.rowsBetween(Window.unboundedPreceding, -1)).alias("p_day"),
-        F.first("first_v", ignorenulls=True).over(dw.rowsBetween(1, Window.unboundedFollowing)).alias("n_day"))
+        F.last("first_v", ignorenulls=True).over(dw_back.rowsBetween(Window.unboundedPreceding, -1)).alias("n_day"))
     j = r.join(carry, [*key, "reading_date"], "left")
     p, n = F.coalesce("p_in", "p_day"), F.coalesce("n_in", "n_day")
     frac = (F.col("t") - p["t"]).cast("double") / (n["t"] - p["t"]).cast("double")

@@ -30,11 +30,6 @@ DEFAULT_CURRENCY = "XOF"
 AMOUNT_SCALE = "0.002"
 # ----------------------------------------------------------------------------
 
-# Not spread: region and nation are fixed-size lookups; supplier is 1/600 of
-# lineitem and, once big, is stored in many splits of its own.  Spreading a
-# table that ends up as a broadcast side only adds an exchange in front of it.
-LOOKUP_TABLES = frozenset({"region", "nation", "supplier"})
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "pages")
 
@@ -45,27 +40,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_TABLES:
         reader = reader.schema(DRIVER_TABLES[name])
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in LOOKUP_TABLES else spread_small_scan(df)
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Scan-parallelism floor.
-
-    A Parquet row group is the unit of a scan split, so a table stored as
-    one big row group is read by one task, and every narrow step up to the
-    first shuffle (feed projections, hashing, partial aggregates) runs on
-    one core.  When a scan yields fewer splits than the session's default
-    parallelism, spread its rows round-robin (skew-free) over that many
-    partitions.  On a cluster a large table has far more splits than cores,
-    the condition is false, and no exchange is added.  Column pruning and
-    filters still reach the scan below the exchange.
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ntz(c) -> Column:

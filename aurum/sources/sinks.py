@@ -1,19 +1,22 @@
 """Writers and table maintenance (S-01…S-07, S-09, S-12…S-17, S-19, S-20).
 
 No table format is installed, so a keyed merge into a path is a Spark job:
-compute the merged rows (``operators.upsert``), cut their lineage with a
-reliable ``checkpoint()`` into the cluster's shared checkpoint folder (so the
-write never reads the files it replaces), then overwrite — only the touched
-partitions when the table is partitioned (dynamic partition overwrite).
+the source is cut off once with a reliable ``checkpoint()`` into the cluster's
+shared checkpoint folder, the merged rows (``operators.upsert``) are written to
+a staged folder beside the table, and then the touched partitions (or the whole
+table) are swapped in by renames.  A job that dies leaves the table as it was
+or a complete staged folder; the write never reads files it replaces.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.config import Settings, checkpoint_dir
-from aurum.operators.upsert import assert_unique_keys, upsert
+from aurum.operators.upsert import assert_unique_keys, replace_scope, sync_schema, upsert
 
 
 # ------------------------------------------------------------------ S-17
@@ -85,65 +88,186 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "over
 
 
 def register_external(spark: SparkSession, name: str, location: str, fmt: str = "parquet") -> None:
-    """S-06."""
+    """S-06: an external table over a path; partition folders are registered too."""
     ns = name.split(".")[0] if "." in name else None
     if ns:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION {_sql_str(location)}")
+    if spark.catalog.listColumns(name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
+# ------------------------------------------------------------------ folders
+def _path(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop objects."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _path(spark, path)
+    return fs.exists(p)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def _rename(spark: SparkSession, src: str, dest: str) -> None:
+    p, fs = _path(spark, src)
+    if not fs.rename(p, _path(spark, dest)[0]):
+        raise OSError(f"cannot rename {src} to {dest}")
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders directly under a path."""
+    p, fs = _path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName()]
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+
 
+def _partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """The folder name that Spark gives a partition value (NULL included)."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.getPartitionPathString(column, value)
 
-# ------------------------------------------------------------------ S-07 / S-08 / S-10
+
+def replace_path(spark: SparkSession, df: DataFrame, path: str, partition_by=None, fmt: str = "parquet") -> None:
+    """S-05, full refresh: the new content is staged beside the table and takes
+    its place as a whole, whatever the session's partition overwrite mode; no
+    partition of the old table survives."""
+    staged = _staged(path)
+    write_path(df, staged, "errorifexists", partition_by, fmt)
+    old = _staged(path) + "_old"
+    if _exists(spark, path):
+        _rename(spark, path, old)
+    _rename(spark, staged, path)
+    _delete(spark, old)
+
+
+# ------------------------------------------------------------------ S-07 / S-08 / S-10 / S-12
 def merge_into_path(spark: SparkSession, source: DataFrame, path: str, keys, update_columns=None,
-                    insert_only: bool = False, partition_by: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Keyed upsert of ``source`` into the table at ``path``; returns the new
-    content (already materialised in the checkpoint folder).
+                    insert_only: bool = False, partition_by: str | None = None, fmt: str = "parquet",
+                    null_safe: bool = False, scope: DataFrame | None = None, partition_of_key: bool = False,
+                    on_schema_change: str = "append_new_columns") -> DataFrame:
+    """Keyed upsert of ``source`` into the table at ``path``; returns the table.
 
     * duplicate source keys raise (a MERGE would be ambiguous);
     * partitioned tables rewrite only partitions that gain, lose or change
-      rows — including the old partition of a key that moved — and delete
-      partitions left empty (dynamic overwrite would leave them as they were);
+      rows (the old partition of a key that moved, and the NULL partition,
+      included) and remove those left empty;
+    * ``scope``: the keys that this batch has recomputed.  Their old rows go,
+      whether or not the source still has a row for them;
+    * ``partition_of_key``: declares that the partition is a function of the
+      key, so only the source's own partitions are read;
+    * ``on_schema_change``: new columns are kept (``append_new_columns``), left
+      out (``ignore``), an error (``fail``), or the table takes the source's
+      columns (``sync_all_columns``, rewrites the table);
     * running the same merge twice yields the same table (idempotent).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    assert_unique_keys(source, keys)
     checkpoint_dir(spark)
+    source = source.checkpoint()  # computed once: checked, matched and merged below
+    scope = None if scope is None else scope.distinct().checkpoint()
+    assert_unique_keys(source, keys, null_safe)
     if not _exists(spark, path):
-        write_path(source, path, "overwrite", [partition_by] if partition_by else None, fmt)
-        return spark.read.format(fmt).load(path)
-    target = spark.read.format(fmt).load(path)
-    if source.isEmpty():  # nothing new (a retried or idle incremental run): no rewrite
-        return target
-    if not partition_by:
-        merged = upsert(target, source, keys, update_columns, insert_only).checkpoint()
-        merged.write.mode("overwrite").format(fmt).save(path)
-        return merged
-    # partition values come back type-inferred from directory names: align them
-    target = target.withColumn(partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType))
+        replace_path(spark, source, path, [partition_by] if partition_by else None, fmt)
+        return _load(spark, path, fmt)
+    target = _load(spark, path, fmt)
+    if source.isEmpty() and (scope is None or scope.isEmpty()):
+        return target  # nothing new (a retried or idle incremental run): no rewrite
+    source = _with_schema_change(source, target, on_schema_change)
+    whole = on_schema_change == "sync_all_columns" and set(target.columns) != set(source.columns)
+
+    def merged(rows: DataFrame) -> DataFrame:
+        out = replace_scope(rows, source, scope) if scope is not None else upsert(
+            rows, source, keys, update_columns, insert_only, null_safe)
+        return out.select(*source.columns) if whole else out
+
+    if partition_by:
+        # partition values come back type-inferred from directory names: align them
+        target = target.withColumn(partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType))
+    if not partition_by or whole:
+        replace_path(spark, merged(target), path, [partition_by] if partition_by else None, fmt)
+        return _load(spark, path, fmt)
     # partitions touched: where source rows land, and where matched target rows live now
-    src_parts = source.select(partition_by)
-    old_parts = target.join(source.select(*keys), keys, "left_semi").select(partition_by)
-    touched = src_parts.unionByName(old_parts).distinct()
-    scope = target.join(touched, partition_by, "left_semi")
-    merged = upsert(scope, source, keys, update_columns, insert_only).checkpoint()
-    # partitions that end up empty must be removed explicitly
-    empty = touched.join(merged.select(partition_by).distinct(), partition_by, "left_anti")
-    for row in empty.collect():  # bounded by the number of touched partitions
-        _delete(spark, f"{path.rstrip('/')}/{partition_by}={row[0]}")
-    (clustered_for_write(merged, [partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).format(fmt).save(path))
-    return spark.read.format(fmt).load(path)
+    touched = source.select(partition_by)
+    if scope is not None or not partition_of_key:
+        own = scope if scope is not None else source.select(*keys)
+        safe = null_safe or scope is not None
+        own = own.distinct().select(*[F.col(c).alias(f"__own_{c}") for c in own.columns])
+        match = [F.col(c[6:]).eqNullSafe(F.col(c)) if safe else F.col(c[6:]) == F.col(c) for c in own.columns]
+        touched = touched.unionByName(target.join(own, match, "left_semi").select(partition_by))
+    touched = touched.distinct().select(F.col(partition_by).alias("__part")).checkpoint()
+    here = target.join(touched, F.col(partition_by).eqNullSafe(F.col("__part")), "left_semi")
+    staged = _staged(path)
+    (clustered_for_write(merged(here), [partition_by]).write.mode("errorifexists")
+     .partitionBy(partition_by).format(fmt).save(staged))
+    # swap: bounded by the number of touched partitions
+    for row in touched.select(F.col("__part").cast("string")).collect():
+        _delete(spark, f"{path.rstrip('/')}/{_partition_folder(spark, partition_by, row[0])}")
+    for name in _folders(spark, staged):
+        _delete(spark, f"{path.rstrip('/')}/{name}")
+        _rename(spark, f"{staged}/{name}", f"{path.rstrip('/')}/{name}")
+    _delete(spark, staged)
+    return _load(spark, path, fmt)
+
+
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """A stored table with the columns of all its files (partitions may differ)."""
+    return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+
+
+def _with_schema_change(source: DataFrame, target: DataFrame, mode: str) -> DataFrame:
+    """S-12."""
+    extra = [c for c in source.columns if c not in target.columns]
+    if mode == "fail" and extra:
+        raise ValueError(f"new columns {extra}; the table has {target.columns}")
+    if mode == "ignore":
+        return source.drop(*extra)
+    if mode == "append_new_columns":
+        kept = [c for c in target.columns if c in source.columns]
+        return sync_schema(source, kept, mode)
+    if mode in ("fail", "sync_all_columns"):
+        return source
+    raise ValueError(f"unknown schema change mode {mode!r}")
+
+
+def merge_into_table(spark: SparkSession, source: DataFrame, name: str, keys, update_columns=None,
+                     insert_only: bool = False, null_safe: bool = False) -> DataFrame:
+    """S-09: keyed upsert into a catalog table; returns the table.
+
+    The merged rows are cut off from the files that the write replaces by a
+    reliable checkpoint.  Partitioned tables stay so."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    checkpoint_dir(spark)
+    source = source.checkpoint()
+    assert_unique_keys(source, keys, null_safe)
+    if not spark.catalog.tableExists(name):
+        write_table(spark, source, name)
+        return spark.table(name)
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    merged = upsert(spark.table(name), source, keys, update_columns, insert_only, null_safe).checkpoint()
+    w = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*parts) if parts else w).saveAsTable(name)
+    return spark.table(name)
+
+
+# ------------------------------------------------------------------ S-16
+def drop_expired(spark: SparkSession, path: str, partition_by: str, oldest) -> list[str]:
+    """Remove the date partitions older than ``oldest`` from a stored table;
+    returns the folders removed.  The NULL partition stays."""
+    gone = []
+    for name in _folders(spark, path):
+        column, _, value = name.partition("=")
+        if column == partition_by and value[:1].isdigit() and value < str(oldest):
+            _delete(spark, f"{path.rstrip('/')}/{name}")
+            gone.append(name)
+    return sorted(gone)
 
 
 # ------------------------------------------------------------------ S-14 / S-15 / A-17
@@ -152,60 +276,64 @@ def file_count(df: DataFrame) -> int:
     return df.select(F.input_file_name().alias("f")).distinct().count()
 
 
-def morton_key(df: DataFrame, cols, buckets: int = 256) -> DataFrame:
-    """S-15: Z-order key.  Each column is mapped to its rank bucket with the
-    JVM-side ``Bucketizer`` using approximate quantile boundaries (computed
-    once per column; ``buckets`` values reach the driver), then bucket bits
-    are interleaved with built-in shifts into ``_zorder``.  Numeric, date and
-    timestamp columns (dates/timestamps compare by their epoch value)."""
-    import math
-
-    from pyspark.ml.feature import Bucketizer
-
-    bits = max(1, int(math.ceil(math.log2(buckets))))
-    out = df
-    names = []
+def morton_key(df: DataFrame, cols, buckets: int = 256, sample: int = 20_000) -> DataFrame:
+    """S-15: Z-order key over columns of any orderable type.
+
+    One pass draws a bounded sample of all columns; its quantiles are the range
+    bounds (``buckets`` values per column).  A value's bucket is its number of
+    bounds below (NULL first); the buckets' bits are interleaved with shifts
+    into ``_zorder``.  Bits per column shrink so that all fit into 63."""
+    cols = list(cols)
+    bits = min(max(1, (buckets - 1).bit_length()), 63 // len(cols))
+    if not bits:
+        raise ValueError("at most 63 columns can be interleaved")
+    picked = df.select(*cols, F.rand(17).alias("__r")).orderBy("__r").limit(sample)
+    picked = picked.agg(*[F.sort_array(F.collect_list(c)).alias(f"v{i}") for i, c in enumerate(cols)]).first()
+    out, names = df, []
     for i, c in enumerate(cols):
-        num = f"_zn{i}"
-        dt = dict(df.dtypes)[c]
-        v = F.unix_date(F.col(c)) if dt == "date" else (
-            F.unix_timestamp(F.col(c)) if dt.startswith("timestamp") else F.col(c))
-        out = out.withColumn(num, v.cast("double"))
-        qs = out.approxQuantile(num, [j / buckets for j in range(1, buckets)], 0.001)
-        splits = [float("-inf")] + sorted(set(qs)) + [float("inf")]
-        out = Bucketizer(splits=splits, inputCol=num, outputCol=f"_zb{i}", handleInvalid="keep").transform(out)
-        names.append(f"_zb{i}")
+        values = picked[f"v{i}"]
+        step = max(1, len(values) >> bits)
+        bounds = sorted(set(values[step::step]))[:(1 << bits) - 1]
+        kind = df.schema[c].dataType
+        rank = F.size(F.filter(F.array(*[F.lit(x).cast(kind) for x in bounds]), lambda x: x <= F.col(c))) if bounds else F.lit(0)  # noqa: B023
+        out = out.withColumn(f"__z{i}", F.when(F.col(c).isNull(), 0).otherwise(rank).cast("long"))
+        names.append(f"__z{i}")
     key = F.lit(0).cast("long")
-    n = len(names)
     for bit in range(bits):
         for i, name in enumerate(names):
-            b = F.shiftright(F.col(name).cast("long"), bit).bitwiseAND(F.lit(1))
-            key = key.bitwiseOR(F.shiftleft(b, bit * n + i))
-    return out.withColumn("_zorder", key).drop(*names, *[f"_zn{i}" for i in range(n)])
+            b = F.shiftright(F.col(name), bit).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(b, bit * len(names) + i))
+    return out.withColumn("_zorder", key).drop(*names)
 
 
 def compact(spark: SparkSession, path: str, target_file_mb: int = 128, zorder_by=None, fmt: str = "parquet",
             out_path: str | None = None) -> str:
     """S-14: rewrite a table into files of about ``target_file_mb``, sorted
     by the clustering columns (or their Z-order key) so min/max statistics
-    prune well.  Writes to ``out_path`` (or ``path + '_compacted'``) — the
-    swap is the caller's: overwriting a path while reading it is unsafe."""
-    df = spark.read.format(fmt).load(path)
-    size = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
-        spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(
-        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)).getLength()
-    n = max(1, int(size / (target_file_mb * 1024 * 1024)) + 1)
-    if zorder_by:
-        cols = list(zorder_by)
-        if len(cols) > 1:
-            df = morton_key(df, cols)
-            df = df.repartitionByRange(n, "_zorder").sortWithinPartitions("_zorder").drop("_zorder")
-        else:
-            df = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    prune well; a partitioned table keeps its partitions.  Writes to
+    ``out_path`` (or ``path + '_compacted'``); the swap is the caller's:
+    overwriting a path while reading it is unsafe."""
+    df = _load(spark, path, fmt)
+    p, fs = _path(spark, path)
+    n = max(1, int(fs.getContentSummary(p).getLength() / (target_file_mb * 1024 * 1024)) + 1)
+    parts, at = [], path
+    while True:  # the partition columns are those of the folder names
+        names = _folders(spark, at)
+        if not names:
+            break
+        parts.append(names[0].partition("=")[0])
+        at = f"{at.rstrip('/')}/{names[0]}"
+    order = list(zorder_by or [])
+    if len(order) > 1:
+        df, order = morton_key(df, order), ["_zorder"]
+    if parts or order:  # range partitions split a large table partition and join small ones
+        df = df.repartitionByRange(n, *parts, *order).sortWithinPartitions(*parts, *order)
     else:
         df = df.repartition(n)
+    df = df.drop("_zorder")
     dest = out_path or path.rstrip("/") + "_compacted"
-    df.write.mode("overwrite").format(fmt).save(dest)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
+    (w.partitionBy(*parts) if parts else w).save(dest)
     return dest
 
 

@@ -4,8 +4,8 @@
   ``availableNow`` by default — a re-run on the same checkpoint adds nothing
   (exactly-once by the checkpoint's committed-offset log).
 * ``upsert_stream``: incremental silver as a stream — each micro-batch is
-  merged by key into a path table through ``foreachBatch``; batch ids
-  already applied are skipped, so a retried batch cannot double-apply.
+  merged by key into a path table through ``foreachBatch``; the keyed merge
+  is idempotent, so a retried batch cannot double-apply.
 * ``dedup_stream``: bounded-state dedup with a watermark.
 """
 
@@ -58,33 +58,47 @@ def ingest(spark: SparkSession, source_path: str, schema: StructType, target_pat
     return q
 
 
+class Feed:
+    """X-03: one definition of a feed for every job that ingests it (D42): where
+    it lands, its format and schema, and the table, checkpoint and partitions it
+    is ingested into under ``root``."""
+
+    def __init__(self, source: str, table: str, schema: StructType, landing: str, root: str, source_format: str = "json",
+                 partition_by: dict | None = None, max_files_per_trigger: int | None = None):
+        self.source, self.table, self.schema, self.landing = source, table, schema, landing
+        self.source_format, self.partition_by, self.max_files = source_format, partition_by, max_files_per_trigger
+        base = root.rstrip("/")
+        self.target = f"{base}/bronze/{source}/{table}"
+        self.checkpoint = f"{base}/checkpoint/bronze/{source}/{table}"
+
+
+def ingest_feed(spark: SparkSession, feeds: dict[tuple[str, str], Feed], source: str, table: str,
+                trigger: str | None = "availableNow"):
+    """X-03: the job of (source, table, trigger) over the defined feeds."""
+    feed = feeds.get((source, table))
+    if feed is None:
+        raise KeyError(f"no feed ({source}, {table}); defined: {sorted(feeds)}")
+    return ingest(spark, feed.landing, feed.schema, feed.target, feed.checkpoint, feed.source_format, trigger,
+                  feed.partition_by, source, feed.max_files)
+
+
 def upsert_stream(stream: DataFrame, target_path: str, keys, checkpoint: str, transform=None,
                   trigger: str | None = "availableNow", partition_by: str | None = None, fmt: str = "parquet"):
     """X-06: micro-batches merged by key into ``target_path``.
 
     ``transform(batch_df) -> DataFrame`` maps a bronze batch to silver rows
-    (it must leave one row per key; use ``dedup_latest``).  Idempotent per
-    batch id: the applied ids are recorded next to the table.
+    (it must leave one row per key; use ``dedup_latest``).  The merge replaces
+    rows by key, so a batch that is applied again after a failure changes
+    nothing; several streams, or a stream with a new checkpoint, may write one
+    table.
     """
     from aurum.sources.sinks import merge_into_path
 
     keys = [keys] if isinstance(keys, str) else list(keys)
-    applied_log = target_path.rstrip("/") + "_applied_batches"
 
     def apply(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        try:
-            done = spark.read.parquet(applied_log).filter(F.col("batch_id") == batch_id).limit(1).count() > 0
-        except Exception:  # noqa: BLE001 — log not created yet
-            done = False
-        if done:
-            return
-        rows = transform(batch) if transform else batch
-        if rows.isEmpty():  # availableNow ends with an empty batch
-            spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(applied_log)
-            return
-        merge_into_path(spark, rows, target_path, keys, partition_by=partition_by, fmt=fmt)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(applied_log)
+        merge_into_path(batch.sparkSession, transform(batch) if transform else batch, target_path, keys,
+                        partition_by=partition_by, fmt=fmt)
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(**trigger_kwargs(trigger)).start())
