@@ -116,6 +116,8 @@ def micro_avg(c) -> Column:
     return F.sum(micro).cast("double") / F.count(micro).cast("double") / F.lit(1e6)
 
 
+# The thresholds and labels of the ladders below are the declared
+# business rules; results have to agree with them.
 def rfm_segment(monetary, frequency, recency) -> Column:
     """F-18: seven ordered cases; band 30–90 inclusive is ``at_risk`` (D37)."""
     m, f, r = col_(monetary), col_(frequency), col_(recency)

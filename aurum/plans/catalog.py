@@ -448,6 +448,7 @@ def _outlier_rate(b: Bed):
     return dq.outlier_rate(b.iot)
 
 
+# The declared column tests.
 NOT_NULL_TESTS = [  # (frame, column, model, key) — declared column tests
     ("stg:sales", "transaction_id", "stg_sales_transactions", "transaction_id"),
     ("stg:sales", "amount", "stg_sales_transactions", "transaction_id"),

@@ -32,6 +32,7 @@ from aurum.operators.upsert import incremental_batch
 from aurum.plans import gold, silver, staging
 from aurum.sources.sinks import _exists, drop_expired, layer_path, merge_into_path, replace_path, write_path
 
+# Domain and table of each layer's declared tables.
 BRONZE = {"sales": ("sales", "raw_sales_transactions"), "customers": ("customers", "raw_customer_profiles"),
           "inventory": ("operations", "raw_inventory_movements"), "web_events": ("marketing", "raw_web_events"),
           "iot": ("iot", "raw_iot_sensor_readings")}

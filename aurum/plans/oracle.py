@@ -5,6 +5,7 @@ the Spark plans.  Common layers are CTEs; ``sql(final, *ctes)`` prepends the
 CTEs a query needs (with their dependencies) in order.
 """
 
+# Fixed values in the SQL below: declared cut-offs, labels and column lists.
 from __future__ import annotations
 
 from aurum.config import EVENTS_AS_OF, SALES_AS_OF, TEST_SALT
