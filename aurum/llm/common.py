@@ -61,6 +61,15 @@ def text_blocks(df: DataFrame, text: str, block_bytes: int, least: int) -> int:
     return max(least, -(-size // block_bytes))
 
 
+def bounded_sample(df: DataFrame, keys: list[str], n: int) -> list:
+    """At most ``n`` rows, chosen by a hash of ``keys``: the same ones at every
+    run.  Only rows under a hash bound that about 2 n rows meet are sorted, so
+    that tasks don't each send n rows to the driver."""
+    share = min(1.0, 2.0 * n / max(1, df.count()))
+    h = F.pmod(F.xxhash64(*keys), F.lit(1 << 40))
+    return df.where(h < int(share * (1 << 40))).orderBy(h, *keys).limit(n).collect()
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import labelled_pages
-from .common import read_table
+from .common import bounded_sample, read_table
 
 SAMPLE, SAMPLE_CHARS = 300, 60_000
 #: Nodes of a forest whose messages are passed together.
@@ -358,7 +358,7 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id") -> Model:
         trees.append(page)
         labels.append(labelled_pages.labels_of(page))
     some = pages.where(F.length(html) <= SAMPLE_CHARS).where(F.contains(F.lower(html), F.lit("<article")))
-    for r in some.select(F.col(html).alias("h"), F.xxhash64(key).alias("k")).orderBy("k", "h").limit(SAMPLE).collect():
+    for r in bounded_sample(some.select(F.col(html).alias("h"), F.col(key).alias("k")), ["k", "h"], SAMPLE):
         page = Page(r["h"])
         label = article_labels(page)
         if label is not None:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_of
+from .common import bounded_sample, read_table, text_of
 
 #: The kinds, in the order of the output.
 KINDS = ["email", "ip", "card", "phone"]
@@ -287,8 +287,8 @@ def find(text: str, field: Field) -> tuple[list, list]:
 
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Field:
     """Weights from a bounded sample of documents that hold digits or an @."""
-    some = docs.select(text_of(text).alias("t"), F.xxhash64(doc_id).alias("h")).where(F.length("t") <= SAMPLE_CHARS)
-    some = some.where(F.col("t").rlike("[0-9@]")).orderBy("h", "t").limit(SAMPLE).collect()
+    some = docs.select(text_of(text).alias("t"), F.col(doc_id).alias("id")).where(F.length("t") <= SAMPLE_CHARS)
+    some = bounded_sample(some.where(F.col("t").rlike("[0-9@]")), ["id", "t"], SAMPLE)
     field = Field()
     field.train([Nodes(r["t"], base_spans(r["t"])) for r in some])
     return field
