@@ -52,7 +52,7 @@ CHUNK = 256
 HUB_ROUNDS = 2
 LOW = np.uint64((1 << 40) - 1)
 
-_WORD = Memo(xxhash.xxh3_64_intdigest, 500_000)
+_WORD = Memo(xxhash.xxh3_64_intdigest, 200_000)
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:

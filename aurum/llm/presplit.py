@@ -22,7 +22,7 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Entries a memo may hold; later words are computed each time.
-MEMO = 1_200_000
+MEMO = 700_000
 
 _SPACE_AFTER_SPACE = re.compile(r"\s\x20")
 _ASCII_PAIRS = [c + " " for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
