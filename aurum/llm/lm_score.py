@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table, text_blocks
+from .common import bounded_sample, materialize, read_table, text_blocks
 from .presplit import Memo
 
 BUFFER_TOKENS = 1 << 20
@@ -53,7 +53,7 @@ BLOCK_BYTES, BLOCKS = 16 << 20, 16
 CLOSE, END = b"\n", b"\t"
 FOLDS, HELD_OUT = 7, 2
 #: Kinds of text (at most 8), words of the sample for each, hash classes of words, and the sample they are found on.
-KINDS, WORDS_PER_KIND, CLASSES, SAMPLE, SAMPLE_CHARS, ROUNDS, STARTS = 8, 80_000, 4096, 3000, 30_000, 12, 6
+KINDS, WORDS_PER_KIND, CLASSES, SAMPLE, SAMPLE_CHARS, ROUNDS, STARTS = 8, 80_000, 4096, 3000, 30_000, 12, 20
 
 ROWS = "block int, gid long, kind int, words binary, counts binary, ids array<long>, held array<boolean>, kinds binary, sizes array<int>, width int, tokens binary"
 _ROWS = pa.schema([("block", pa.int32()), ("gid", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()),
@@ -407,19 +407,17 @@ def _log10(x: float) -> float:
 
 def _score_block(table: pa.Table, model: Model) -> pa.Table:
     """Step 3: counts and log10 probabilities of the words of each gid."""
-    rows = table.to_pylist()
-    asked = [r for r in rows if r["kind"] == 0]
-    out = [r for r in rows if r["kind"] == 1]
-    if asked:
-        words, counts = _merged(asked)
-        whole: dict[bytes, int] = {}  # a word's count in all kinds
-        for w, c in zip(words, counts, strict=True):
-            whole[w[1:]] = whole.get(w[1:], 0) + c
-        got = {w[:-1]: (whole[w[1:]], p) for w, p in zip(words, model.words(words, counts), strict=True)}
-        for r in asked:
-            pairs = [got[w] for w in r["words"].split(b" ")]
-            out.append({"block": r["block"], "gid": r["gid"], "kind": 0, "counts": np.array([c for c, _ in pairs], "<u8").tobytes(),
-                        "tokens": np.array([p for _, p in pairs], "<f8").tobytes()})
+    asked = table.to_pylist()
+    words, counts = _merged(asked)
+    whole: dict[bytes, int] = {}  # a word's count in all kinds
+    for w, c in zip(words, counts, strict=True):
+        whole[w[1:]] = whole.get(w[1:], 0) + c
+    got = {w[:-1]: (whole[w[1:]], p) for w, p in zip(words, model.words(words, counts), strict=True)}
+    out = []
+    for r in asked:
+        pairs = [got[w] for w in r["words"].split(b" ")]
+        out.append({"block": r["block"], "gid": r["gid"], "kind": 0, "counts": np.array([c for c, _ in pairs], "<u8").tobytes(),
+                    "tokens": np.array([p for _, p in pairs], "<f8").tobytes()})
     return pa.Table.from_pylist(out, schema=_ROWS)
 
 
@@ -462,7 +460,7 @@ def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     blocks = text_blocks(src, "t", BLOCK_BYTES, BLOCKS)
     spark = df.sparkSession
     sample = src.where((F.length("t") <= SAMPLE_CHARS) & (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)) != HELD_OUT))
-    sample = sample.select("t", F.xxhash64("id").alias("h"), "id").orderBy("h", "id", "t").limit(SAMPLE).select("t").collect()
+    sample = bounded_sample(sample, ["id", "t"], SAMPLE)
     kinds = Kinds([split(r["t"]) for r in sample])
     held = spark.sparkContext.broadcast(kinds)
     rows = materialize(src.mapInArrow(lambda it: _gather(it, blocks, held.value), ROWS), "words")
@@ -475,7 +473,8 @@ def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     for r in texts.groupBy(byte.alias("k")).count().collect():
         train[r["k"]] = r["count"]
     model = spark.sparkContext.broadcast(Model(stats, train, kinds))
-    scored = rows.groupBy("block").applyInArrow(lambda t: _score_block(t, model.value), ROWS)
+    scored = rows.where("kind = 0").groupBy("block").applyInArrow(lambda t: _score_block(t, model.value), ROWS)
+    scored = scored.unionByName(rows.where("kind = 1"))  # the texts skip the blocks
     return scored.groupBy("gid").applyInArrow(lambda t: _score_texts(t, model.value), SCORED)
 
 
