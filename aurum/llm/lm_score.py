@@ -1,32 +1,31 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
-A text is its words (A-Z lower-cased, runs without ASCII white space) and one
-end token.  Its code starts with one of ``KINDS`` kinds of text, found without
-labels by expectation maximisation on a bounded sample (they turn out to be
-languages and styles) and chosen per text for the shortest code of its words'
-hashes.  Then the model predicts each word byte by byte, closed by an
-end-of-word symbol.  Its contexts form a trie: the longest is the kind and all
-of the word so far; a symbol never seen there escapes to the last two bytes
-(the kind stands before a word), then one, then none, then all symbols alike.  Symbols seen in a longer context are excluded from
-the shorter one, and shorter contexts are updated only where the longer one
-was new (they count trie arcs, not occurrences).  The escape of a trie node
-with T occurrences of d symbols is estimated over the whole trie: how often,
-leaving one occurrence out, it would have been new at nodes like that.  A
-text's code length is the sum over its tokens; its score is the log10
-probability.
-
-All words of the training texts count, and nothing is pruned.  The trie is
-spread by the first three bytes of a word, so that a word and all its long
-contexts are in one block:
-
-1. a task gathers a buffer of texts, numbers its different words and sends each
-   once, with its training count, to its block (so "the" costs one entry per
-   buffer); the texts go on as packed word numbers;
-2. a block adds up its words' counts and returns what the shared contexts need:
-   prefixes under three bytes and counts of byte triples.  They are at most
-   256^3 each, whatever the input, and are broadcast;
-3. a block gives every requested word its count and code length;
+A text is its words (A-Z lower-cased, runs without ASCII white space), one
+blank between them, and one end token.  The model predicts it byte by byte from
+the bytes before, across word borders: the longest context is the last
+``contexts.ORDER`` bytes; a symbol never seen there escapes to the next shorter
+context, one order at a time, down to all symbols alike.  Symbols seen in a
+longer context are excluded from the shorter one, and shorter contexts are
+updated only where the longer one was new.  The escape of a context is
+estimated over all contexts like it (order, place in a word, occurrences,
+different symbols): how often, leaving one occurrence out, it would have been
+new.  A text's code length is the sum over its bytes; its score is the log10
+probability.  Contexts at a text's start reach into end tokens put before it.
+
+All training texts count, and nothing is pruned or sampled:
+
+1. a task gathers a buffer of texts and sends its different words, and its
+   different grams (a context of the longest order and a symbol), once each
+   with their training counts to blocks; the texts go on compressed;
+2. a block of grams holds all contexts that end in the same bytes; it adds up
+   the counts and returns what the shared contexts need: arcs of at most two
+   bytes and a symbol (256^3, whatever the input), and counts by escape state;
+3. a block gives every requested gram its code length, a block of words every
+   word its training count (for the unigram base);
 4. a buffer adds them up for its texts.
+
+The word tries (:class:`Kinds`, :class:`Model`, :func:`_shared`) score single
+words behind a kind; the scoring of texts does not use them.
 """
 
 from __future__ import annotations
@@ -42,10 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, materialize, read_table, text_blocks
+from . import contexts as C
+from .common import materialize, read_table, text_blocks
 from .presplit import Memo
 
-BUFFER_TOKENS = 1 << 20
+#: Words, bytes and texts of a buffer.
+BUFFER_TOKENS, BUFFER_BYTES, BUFFER_TEXTS = 1 << 20, 6 << 20, 1 << 16
 #: Bytes of text for each block of words, and least number of blocks.
 BLOCK_BYTES, BLOCKS = 16 << 20, 16
 #: Symbols that no word has: end of a word and the end token.  A word is kept
@@ -55,10 +56,11 @@ FOLDS, HELD_OUT = 7, 2
 #: Kinds of text (at most 8), words of the sample for each, hash classes of words, and the sample they are found on.
 KINDS, WORDS_PER_KIND, CLASSES, SAMPLE, SAMPLE_CHARS, ROUNDS, STARTS = 8, 80_000, 4096, 3000, 30_000, 12, 20
 
-ROWS = "block int, gid long, kind int, words binary, counts binary, ids array<long>, held array<boolean>, kinds binary, sizes array<int>, width int, tokens binary"
+ROWS = "block int, gid long, kind int, words binary, counts binary, ids array<long>, held array<boolean>, sizes array<int>"
 _ROWS = pa.schema([("block", pa.int32()), ("gid", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()),
-                   ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("kinds", pa.binary()), ("sizes", pa.list_(pa.int32())),
-                   ("width", pa.int32()), ("tokens", pa.binary())])
+                   ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32()))])
+#: Kinds of rows: a block's words, a buffer's texts, a block's grams.
+WORDS, TEXTS, GRAMS = 0, 1, 2
 
 
 def is_held_out(doc_id) -> bool:
@@ -116,56 +118,74 @@ class Kinds:
         return int((self.counts(words) @ self.log_class + self.log_share).argmax())
 
 
-def _gather(batches, blocks: int, kinds: Kinds):
-    """Step 1: rows of kind 0 (a block's words and training counts) and 1 (the texts)."""
+def _grams_of(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of closed texts, and their number in each."""
+    sizes = np.array([len(t) for t in bodies], np.int64)
+    return C.grams(np.frombuffer(b"".join([END * C.ORDER + t for t in bodies]), np.uint8), sizes), sizes
+
+
+def _different(bodies: list[bytes], held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different grams of a buffer's texts, sorted, with their training counts."""
+    keys, sizes = _grams_of(bodies)
+    out = np.repeat(held, sizes)
+    train, count = np.unique(keys[~out], return_counts=True)
+    every = np.union1d(train, keys[out])
+    n = np.zeros(len(every), "<u4")
+    n[np.searchsorted(every, train)] = count
+    return every, n
+
+
+def _in_blocks(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, list[int]]:
+    """Order of sorted grams by block, and where the blocks start."""
+    block = C.blocks_of(keys, blocks)
+    order = np.argsort(block, kind="stable")
+    return order, np.searchsorted(block[order], np.arange(blocks + 1)).tolist()
+
+
+def _words_of(texts: list[list[bytes]], blocks: int) -> tuple[list[bytes], list[int], np.ndarray]:
+    """Different words of a buffer by block, where the blocks start, and the place of each word of the texts."""
+    words = sorted({w for t in texts for w in t})
+    start = {p: block_of(p, blocks) for p in {w[:3] for w in words}}
+    block = np.array([start[w[:3]] for w in words], np.int64)
+    order = np.argsort(block, kind="stable")
+    words = [words[i] for i in order.tolist()]
+    place = {w: i for i, w in enumerate(words)}
+    flat = np.array([place[w] for t in texts for w in t], np.int64)
+    return words, np.searchsorted(block[order], np.arange(blocks + 1)).tolist(), flat
+
+
+def _gather(batches, blocks: int):
+    """Step 1: rows of the kinds WORDS, TEXTS and GRAMS."""
     part, number = TaskContext.get().partitionId(), 0
-    ids, held, kind, sizes, texts, total = [], [], [], [], [], 0
-    index: list[dict[bytes, int]] = [{} for _ in range(KINDS)]
+    ids, held, texts, total, length = [], [], [], 0, 0
 
     def send():
-        nonlocal ids, held, kind, sizes, texts, total, number, index
+        nonlocal ids, held, texts, total, length, number
         gid = part << 24 | number
         number += 1
-        first = np.concatenate([[0], np.cumsum([len(d) for d in index])])
-        flat = np.concatenate([np.array(t, np.int64) + first[k] for t, k in zip(texts, kind, strict=True)])
-        train = np.repeat(~np.array(held, bool), sizes)
-        words = [bytes([k + 1]) + w for k, d in enumerate(index) for w in d]
-        count = np.bincount(flat[train], minlength=len(words))
-        start: dict[bytes, int] = {}
-        block = np.empty(len(words), np.int64)
-        for k, w in enumerate(words):
-            p = w[1:4]
-            b = start.get(p)
-            if b is None:
-                b = start[p] = block_of(p, blocks)
-            block[k] = b
-        order = np.argsort(block, kind="stable")
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        at = np.searchsorted(block[order], np.arange(blocks + 1)).tolist()
-        order, count = order.tolist(), count[order].astype("<u4")
-        rows = [{"block": b, "gid": gid, "kind": 0, "words": b" ".join([words[i] for i in order[x:y]]), "counts": count[x:y].tobytes()}
+        out, sizes, bodies = np.array(held, bool), [len(t) for t in texts], [b" ".join(t) + END for t in texts]
+        words, at, flat = _words_of(texts, blocks)
+        count = np.bincount(flat[np.repeat(~out, sizes)], minlength=len(words)).astype("<u4")
+        rows = [{"block": b, "gid": gid, "kind": WORDS, "words": C.pack_bytes(b" ".join(words[x:y])), "counts": C.pack(count[x:y])}
                 for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y]
-        width = 2 if len(words) < 1 << 16 else 3 if len(words) < 1 << 24 else 4
-        packed = np.ascontiguousarray(place[flat].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]).tobytes()
-        rows.append({"block": gid % blocks, "gid": gid, "kind": 1, "ids": ids, "held": held, "kinds": bytes(kind), "sizes": sizes,
-                     "width": width, "tokens": packed})
-        ids, held, kind, sizes, texts, total = [], [], [], [], [], 0
-        index = [{} for _ in range(KINDS)]
+        keys, n = _different(bodies, out)
+        order, at = _in_blocks(keys, blocks)
+        keys, n = keys[order], n[order]
+        rows += [{"block": b, "gid": gid, "kind": GRAMS, "words": C.pack_keys(keys[x:y]), "counts": C.pack(n[x:y])}
+                 for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y]
+        rows.append({"block": gid % blocks, "gid": gid, "kind": TEXTS, "ids": ids, "held": held, "sizes": sizes, "words": C.pack_bytes(b"".join(bodies))})
+        ids, held, texts, total, length = [], [], [], 0, 0
         return pa.RecordBatch.from_pylist(rows, schema=_ROWS)
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             w = split(t)
-            k = kinds.of(w)
-            number_of = index[k]
             ids.append(i)
             held.append(is_held_out(i))
-            kind.append(k)
-            sizes.append(len(w))
-            texts.append([number_of.setdefault(x, len(number_of)) for x in w])
+            texts.append(w)
             total += len(w)
-            if total >= BUFFER_TOKENS or len(ids) >= BUFFER_TOKENS >> 4:
+            length += sum(map(len, w)) + len(w) + 1
+            if total >= BUFFER_TOKENS or length >= BUFFER_BYTES or len(ids) >= BUFFER_TEXTS:
                 yield send()
     if ids:
         yield send()
@@ -405,47 +425,89 @@ def _log10(x: float) -> float:
     return float(np.log10(x)) if x > 0 else -300.0
 
 
-def _score_block(table: pa.Table, model: Model) -> pa.Table:
-    """Step 3: counts and log10 probabilities of the words of each gid."""
-    asked = table.to_pylist()
-    words, counts = _merged(asked)
-    whole: dict[bytes, int] = {}  # a word's count in all kinds
-    for w, c in zip(words, counts, strict=True):
-        whole[w[1:]] = whole.get(w[1:], 0) + c
-    got = {w[:-1]: (whole[w[1:]], p) for w, p in zip(words, model.words(words, counts), strict=True)}
+def _merged_grams(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """A block's different grams, sorted, their training counts, and each row's places among them."""
+    got = [C.unpack_keys(r["words"]) for r in rows]
+    keys, place = np.unique(np.concatenate(got), return_inverse=True)
+    n = np.zeros(len(keys), np.int64)
+    places = np.split(place, np.cumsum([len(g) for g in got])[:-1])
+    for r, p in zip(rows, places, strict=True):
+        n[p] += C.unpack(r["counts"], "<u4")
+    return keys, n, places
+
+
+def _own(keys: np.ndarray, n: np.ndarray) -> list[C.Order]:
+    """A block's orders, longest first, and last the arcs it adds to the shared ones."""
+    return C.chain(C.ORDER, keys[n > 0], n[n > 0], C.SHARED)
+
+
+STATS = "kind string, key long, n long"
+
+
+def _block_stats(table: pa.Table) -> pa.Table:
+    """Step 2, one block: rows (kind, key, n) that add up to the shared model.
+
+    tokens, types: of the words; arc: by how many longer arcs a shared one is
+    seen; new / old: occurrences left out, by state."""
+    rows = table.to_pylist()
     out = []
-    for r in asked:
-        pairs = [got[w] for w in r["words"].split(b" ")]
-        out.append({"block": r["block"], "gid": r["gid"], "kind": 0, "counts": np.array([c for c, _ in pairs], "<u8").tobytes(),
-                    "tokens": np.array([p for _, p in pairs], "<f8").tobytes()})
-    return pa.Table.from_pylist(out, schema=_ROWS)
+    if rows[0]["kind"] == WORDS:
+        count = _merged([r | {"words": C.unpack_bytes(r["words"]), "counts": C.unpack(r["counts"], "<u4")} for r in rows])[1]
+        out = [("tokens", [0], [sum(count)]), ("types", [0], [sum(c > 0 for c in count)])]
+    else:
+        keys, n, _ = _merged_grams(rows)
+        *own, low = _own(keys, n)
+        new, old = (sum(x) for x in zip(*(o.left_out() for o in own), strict=True))
+        out = [("arc", low.arcs, low.n)] + [(k, np.flatnonzero(x), x[x > 0]) for k, x in (("new", new), ("old", old))]
+    return pa.concat_tables([pa.table({"kind": pa.array([k] * len(x), pa.string()), "key": pa.array(np.asarray(x, np.int64)),
+                                       "n": pa.array(np.asarray(c, np.int64))}) for k, x, c in out])
+
+
+def _score_rows(table: pa.Table, model: C.Model) -> pa.Table:
+    """Step 3: counts of the words, or log10 probabilities of the grams, of each gid."""
+    asked = table.to_pylist()
+    if asked[0]["kind"] == WORDS:
+        asked = [r | {"words": C.unpack_bytes(r["words"]), "counts": C.unpack(r["counts"], "<u4")} for r in asked]
+        words, counts = _merged(asked)
+        count = {w[:-1]: c for w, c in zip(words, counts, strict=True)}
+        values = [np.array([count[w] for w in r["words"].split(b" ")], "<u8") for r in asked]
+    else:
+        keys, n, places = _merged_grams(asked)
+        p = model.log10(keys, _own(keys, n)[:-1]).astype("<f4")
+        values = [p[x] for x in places]
+    return pa.Table.from_pylist([{"block": r["block"], "gid": r["gid"], "kind": r["kind"], "counts": C.pack_values(v)}
+                                 for r, v in zip(asked, values, strict=True)], schema=_ROWS)
 
 
 SCORED = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score_texts(table: pa.Table, model: Model) -> pa.Table:
-    """Step 4: one buffer's texts."""
+def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int) -> pa.Table:
+    """Step 4: one buffer's texts.  totals: training tokens, different ones, end tokens."""
     rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["block"]))
-    texts = rows[-1]
-    c = np.concatenate([np.frombuffer(r["counts"], "<u8") for r in rows[:-1]] or [np.empty(0, "<u8")]).astype(float)
-    p = np.concatenate([np.frombuffer(r["tokens"], "<f8") for r in rows[:-1]] or [np.empty(0)])
-    w = texts["width"]
-    raw = np.zeros((len(texts["tokens"]) // w, 4), np.uint8)
-    raw[:, :w] = np.frombuffer(texts["tokens"], np.uint8).reshape(-1, w)
-    place = raw.view("<u4").ravel()
+    texts = next(r for r in rows if r["kind"] == TEXTS)
+
+    def joined(of, kind):
+        return np.concatenate([C.unpack_values(r["counts"], kind) for r in rows if r["kind"] == of] or [np.empty(0, kind)]).astype(float)
+
+    c, (tokens, types, ends) = joined(WORDS, "<u8"), totals
+    bodies = [t + END for t in C.unpack_bytes(texts["words"]).split(END)[:-1]]
+    place = _words_of([t.split() for t in bodies], blocks)[2]
     sizes = np.array(texts["sizes"], np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    all_ = float(model.tokens + model.types + 1)
+    all_ = float(tokens + types + 1)
     add = lambda x: np.bincount(owner, x[place], len(sizes))
-    base = add(np.log10((c + 1) / all_)) + np.log10((model.ends + 1) / all_)
-    n, kinds = len(sizes), np.frombuffer(texts["kinds"], np.uint8)
-    ends = np.array([model.end(k) + cost for k, cost in enumerate(model.kind_cost)])
+    base = add(np.log10((c + 1) / all_)) + np.log10((ends + 1) / all_)
+    grams, lengths = _grams_of(bodies)
+    keys, back = np.unique(grams, return_inverse=True)
+    p = np.empty(len(keys))
+    p[_in_blocks(keys, blocks)[0]] = joined(GRAMS, "<f4")
+    score = np.bincount(np.repeat(np.arange(len(sizes)), lengths), p[back], len(sizes))
     return pa.table({
         "id": pa.array(texts["ids"], pa.int64()), "held_out": pa.array(texts["held"], pa.bool_()),
-        "n_tokens": pa.array(sizes + 1, pa.int64()), "n_known": pa.array(add((c > 0).astype(float)).astype(np.int64) + (model.ends > 0), pa.int64()),
-        "train_tokens": pa.array(np.full(n, model.tokens), pa.int64()), "base_score": pa.array(base, pa.float64()),
-        "score": pa.array(add(p) + ends[kinds], pa.float64())})
+        "n_tokens": pa.array(sizes + 1, pa.int64()), "n_known": pa.array(add((c > 0).astype(float)).astype(np.int64) + (ends > 0), pa.int64()),
+        "train_tokens": pa.array(np.full(len(sizes), tokens), pa.int64()), "base_score": pa.array(base, pa.float64()),
+        "score": pa.array(score, pa.float64())})
 
 
 def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -459,23 +521,28 @@ def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     src = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
     blocks = text_blocks(src, "t", BLOCK_BYTES, BLOCKS)
     spark = df.sparkSession
-    sample = src.where((F.length("t") <= SAMPLE_CHARS) & (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(FOLDS)) != HELD_OUT))
-    sample = bounded_sample(sample, ["id", "t"], SAMPLE)
-    kinds = Kinds([split(r["t"]) for r in sample])
-    held = spark.sparkContext.broadcast(kinds)
-    rows = materialize(src.mapInArrow(lambda it: _gather(it, blocks, held.value), ROWS), "words")
-    shared = rows.where("kind = 0").select("block", "words", "counts").groupBy("block").applyInArrow(_shared, "kind string, key binary, n long")
-    stats = shared.groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow().to_pydict()  # bounded: see Model
-    stats = {(k, x): n for k, x, n in zip(stats["kind"], stats["key"], stats["n"], strict=True)}
-    train: Counter = Counter()
-    byte = F.conv(F.substring(F.hex("kinds"), 2 * F.col("at") + 1, F.lit(2)), 16, 10).cast("int")
-    texts = rows.where("kind = 1").select("kinds", F.posexplode("held").alias("at", "h")).where("NOT h")
-    for r in texts.groupBy(byte.alias("k")).count().collect():
-        train[r["k"]] = r["count"]
-    model = spark.sparkContext.broadcast(Model(stats, train, kinds))
-    scored = rows.where("kind = 0").groupBy("block").applyInArrow(lambda t: _score_block(t, model.value), ROWS)
-    scored = scored.unionByName(rows.where("kind = 1"))  # the texts skip the blocks
-    return scored.groupBy("gid").applyInArrow(lambda t: _score_texts(t, model.value), SCORED)
+    rows = materialize(src.mapInArrow(lambda it: _gather(it, blocks), ROWS), "words")
+    asked = rows.where(F.col("kind") != TEXTS).select("block", "gid", "kind", "words", "counts")
+    stats = asked.groupBy("kind", "block").applyInArrow(_block_stats, STATS).groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    stats = stats.toArrow()  # at most 256^3 arcs, and the states
+    kinds, key, n = (stats.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "key", "n"))
+
+    def of(kind):
+        k, v = key[kinds == kind], n[kinds == kind].astype(np.int64)
+        order = np.argsort(k)
+        return k[order], v[order]
+
+    arcs, arc_n = of("arc")
+    escapes = [np.zeros(C.STATES, np.int64) for _ in range(2)]
+    for x, kind in zip(escapes, ("new", "old"), strict=True):
+        at, v = of(kind)
+        x[at] = v
+    ends = rows.where(F.col("kind") == TEXTS).select(F.explode("held").alias("h")).where("NOT h").count()
+    totals = (int(of("tokens")[1].sum()) + ends, int(of("types")[1].sum()) + (ends > 0), ends)
+    model = spark.sparkContext.broadcast(C.Model(arcs.astype(np.uint64), arc_n, *escapes))
+    scored = asked.groupBy("kind", "block").applyInArrow(lambda t: _score_rows(t, model.value), ROWS)
+    scored = scored.unionByName(rows.where(F.col("kind") == TEXTS))  # the texts skip the blocks
+    return scored.groupBy("gid").applyInArrow(lambda t: _score_texts(t, totals, blocks), SCORED)
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
