@@ -258,10 +258,8 @@ class Field:
 
     def added(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
         """Spans of unobserved nodes whose marginal of a kind is over one half."""
-        if not base:
-            return []  # every node leans to "other" until a similar one is observed
         d = Nodes(text, base)
-        if all(d.observed) or not d.skip:
+        if all(d.observed):
             return []
         p = self.marginals(d)
         taken = sorted((a, b) for a, b, _ in base)
