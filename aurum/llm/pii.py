@@ -5,7 +5,8 @@ number runs of ``MIN_DIGITS`` digits or more, dotted quads and words with an
 @; labels are the kinds and "other".  A node on a base span is observed.
 Unary potentials score a node's shape, chain potentials join nodes that follow
 each other closely, and skip potentials join distant nodes that are the same
-or similar (one address in any case, numbers that end in the same digits).
+or similar (words with the same local part before their @, numbers that end in
+the same ``MIN_DIGITS`` digits or more), weighed by how similar they are.
 Loopy sum-product message passing gives every node its marginals, so a
 mention in a form that no pattern has takes the label of its other mentions;
 an unobserved node whose marginal of a kind exceeds one half adds a span.
@@ -32,8 +33,6 @@ from .common import bounded_sample, read_table, text_of
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["other", *KINDS]
 MIN_DIGITS, MAX_DIGITS = 7, 19
-#: Digits that similar numbers share at their end.
-SAME_END = 8
 #: Characters between nodes that a chain potential joins.
 NEAR = 40
 SAMPLE, SAMPLE_CHARS = 3000, 30_000
@@ -132,22 +131,37 @@ class Nodes:
                     break
                 j += 1
         self.chain = [(i, i + 1) for i in range(len(found) - 1) if self.spans[i + 1][0] - self.spans[i][1] <= NEAR]
+        self.skip, self.alike = [], []  # edges, and how similar their nodes are (at most 1)
         last: dict[str, int] = {}
-        self.skip = []
-        for i, (_, _, s) in enumerate(found):
-            key = similarity_key(s)
-            if key is not None:
-                if key in last:
-                    self.skip.append((last[key], i))
-                last[key] = i
-
-
-def similarity_key(s: str) -> str | None:
-    """What equal or similar nodes share."""
+        plain = [s.lower() if "@" in s else _digits(s) for _, _, s in found]
+        for i, s in enumerate(plain):
+            keys = similarity_keys(s)
+            j = next((last[k] for k in keys if k in last), None)
+            if j is not None:
+                self.skip.append((j, i))
+                self.alike.append(similarity(plain[j], s))
+            last.update(dict.fromkeys(keys, i))
+
+
+def similarity_keys(s: str) -> list[str]:
+    """What a lower-cased @-word, or the digits of a number, shares with similar ones, closest first."""
     if "@" in s:
-        return s.lower()
-    d = _digits(s)
-    return d[-SAME_END:] if len(d) >= SAME_END else None
+        head = s[:s.index("@")]
+        local = head[len(head.rstrip(_LOCAL)):]
+        return [s, local + "@"] if local else [s]
+    return [s[-n:] for n in range(min(len(s), MAX_DIGITS), MIN_DIGITS - 1, -1)]
+
+
+def similarity(a: str, b: str) -> float:
+    """Share of the shorter one that both have in common: from the local part on, or at the end of digits."""
+    if a == b:
+        return 1.0
+    if "@" in a:
+        a, b = (s[len(h) - len(h[len(h.rstrip(_LOCAL)):]):] for s, h in ((a, a[:a.index("@")]), (b, b[:b.index("@")])))
+    else:
+        a, b = a[::-1], b[::-1]
+    same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return same / min(len(a), len(b))
 
 
 def shape(s: str) -> list[int]:
@@ -188,7 +202,7 @@ class Field:
 
     def train(self, docs: list[Nodes], steps: int = 200, rate: float = 0.5, ridge: float = 1e-3) -> None:
         """Gradient ascent on the pseudo-likelihood with a ridge around the prior weights."""
-        x, y, pairs = [], [], {"chain": [], "skip": []}
+        x, y, pairs, alike = [], [], {"chain": [], "skip": []}, {"chain": [], "skip": []}
         for d in docs:
             unknown = set()
             for a, b in d.skip:
@@ -201,8 +215,11 @@ class Field:
                     place[i] = len(y)
                     x.append(f)
                     y.append(d.label[i])
-            for name, edges in (("chain", d.chain), ("skip", d.skip)):
-                pairs[name] += [(place[a], place[b]) for a, b in edges if a in place and b in place]
+            for name, edges, strength in (("chain", d.chain, [1.0] * len(d.chain)), ("skip", d.skip, d.alike)):
+                for (a, b), w in zip(edges, strength, strict=True):
+                    if a in place and b in place:
+                        pairs[name].append((place[a], place[b]))
+                        alike[name].append(w)
         if not y:
             return
         hot = np.zeros((len(y), FEATURES))
@@ -211,18 +228,19 @@ class Field:
         y = np.array(y)
         target = np.eye(len(LABELS))[y]
         edges = {k: np.array(v + [(b, a) for a, b in v]).reshape(-1, 2).astype(int) for k, v in pairs.items()}
+        alike = {k: np.array(v + v).reshape(-1, 1) for k, v in alike.items()}
         prior = {"unary": self.unary.copy(), "chain": self.chain.copy(), "skip": self.skip.copy()}
         for _ in range(steps):
             z = hot @ self.unary
             for k, e in edges.items():
-                np.add.at(z, e[:, 0], getattr(self, k)[y[e[:, 1]]])
+                np.add.at(z, e[:, 0], alike[k] * getattr(self, k)[y[e[:, 1]]])
             z -= z.max(axis=1, keepdims=True)
             p = np.exp(z)
             miss = target - p / p.sum(axis=1, keepdims=True)
             self.unary += rate * (hot.T @ miss / len(y) * 10 - ridge * (self.unary - prior["unary"]))
             for k, e in edges.items():
                 g = np.zeros_like(self.chain)
-                np.add.at(g, y[e[:, 1]], miss[e[:, 0]])
+                np.add.at(g, y[e[:, 1]], alike[k] * miss[e[:, 0]])
                 w = getattr(self, k)
                 w += rate * ((g + g.T) / len(y) * 5 - ridge * (w - prior[k]))
 
@@ -233,7 +251,7 @@ class Field:
             if seen:
                 unary[i] = -30.0
                 unary[i, d.label[i]] = 0.0
-        pairs = [(a, b, self.chain) for a, b in d.chain] + [(a, b, self.skip) for a, b in d.skip]
+        pairs = [(a, b, self.chain) for a, b in d.chain] + [(a, b, w * self.skip) for (a, b), w in zip(d.skip, d.alike, strict=True)]
         if not pairs:
             return _softmax(unary)
         src = np.array([[a, b] for a, b, _ in pairs]).ravel()

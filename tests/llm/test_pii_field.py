@@ -39,3 +39,21 @@ def test_added_spans_are_those_of_the_whole_field():
         assert got == whole(t, field), t
         found += len(got)
     assert found >= 2
+
+
+def added(text, field):
+    return [(text[a:b], k) for a, b, k in field.added(text, P.base_spans(text))]
+
+
+def test_shortened_mentions_take_the_label_of_the_full_one():
+    field = P.Field()
+    assert added("Ring +1 212 555 0123 at noon, the local form is 555-0123.", field) == [("555-0123", "phone")]
+    assert added("The local form 555-0123 of the number is for neighbours; others ring +1 212 555 0123.", field) == [("555-0123", "phone")]
+    assert added("Write to joe@example.com or, inside the house, to Joe@example today.", field) == [("Joe@example", "email")]
+    assert added("Ring +1 212 555 0123 at noon, the order is 777-0123, mail ann@home.", field) == []
+
+
+def test_similarity_weighs_the_edges():
+    d = P.Nodes("5550123 12125550123 99925550123 joe@x.org joe@y.org", [])
+    assert d.skip == [(0, 1), (1, 2), (3, 4)]
+    assert d.alike == [1.0, 8 / 11, 4 / 9]
