@@ -2,9 +2,9 @@
 
 Terms are lower-cased words and word starts of a few lengths.  A bounded
 sample of labelled rows (``EXAMPLES`` per class, in the order of a hash of the
-id) gives the terms whose presence depends on the label (chi-squared) and the
-examples.  Inverse document frequencies are counted over all documents.  The
-examples' TF-IDF vectors go into an inverted index whose postings are cut into
+id) gives the examples; all their terms are dimensions, those whose presence
+depends on the label (chi-squared) with more weight.  Inverse document
+frequencies are counted over all documents.  The examples' TF-IDF vectors go into an inverted index whose postings are cut into
 blocks of examples with the largest weight of each (term, block); a query
 visits blocks in the order of their bounds and stops when no block can beat
 the k-th best cosine found, so its neighbours are exact.
@@ -14,7 +14,7 @@ sample.  Votes become probabilities by isotonic regression on the examples
 themselves, each scored without itself and weighted back to the share its
 class has among all labelled rows.  The evidence of a score is its neighbours.
 
-The index is broadcast: at most 2 EXAMPLES x TERMS weights of 4 bytes.  Every
+The index is broadcast: the postings of at most 2 EXAMPLES texts.  Every
 document's whole text is scored where it is read; nothing else is shuffled.
 """
 
@@ -30,14 +30,15 @@ from pyspark.sql import functions as F
 from .common import crc_bucket, materialize, read_table, text_of
 from .presplit import Memo
 
-#: Bounds of the fit: rows per class, characters of a row that may be an example, terms.
-EXAMPLES, EXAMPLE_CHARS, TERMS = 2000, 30_000, 3000
-#: Least chi-squared for a term, and least number of examples with it: at
-#: least so many, and a share of the toxic ones (copies of one text are no proof).
-MIN_CHI2, MIN_EXAMPLES, MIN_SHARE = 25.0, 3, 0.006
+#: Bounds of the fit: rows per class, characters of a row that may be an example.
+EXAMPLES, EXAMPLE_CHARS = 2000, 30_000
+#: Chi-squared at which a term has half of the full weight.
+HALF_CHI2 = 25.0
+#: Terms in at least this share of the examples have a whole row of weights.
+HEAVY = 1 / 32
 NEIGHBOURS = 25
 BLOCK = 64
-#: Blocks that are visited at once, and cosines that count as equal.
+#: Blocks that are visited first, and cosines that count as equal.
 STRIDE, TIE = 8, 1e-5
 STARTS = (4, 5, 6)
 THRESHOLD = 0.3
@@ -58,43 +59,83 @@ def word_terms(word: bytes) -> tuple:
 
 
 def choose_terms(docs: list[Counter], toxic: np.ndarray) -> list[bytes]:
-    """Terms whose presence depends on the label, strongest first.  docs: counts of words."""
-    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    seen = [Counter(), Counter()]
+    """All terms of the examples, those whose presence depends on the label first.  docs: counts of words."""
+    seen = term_counts(docs, toxic)
+    return sorted(seen, key=lambda t: (-chi_squared(*seen[t], docs, toxic), t))
+
+
+def term_counts(docs: list[Counter], toxic: np.ndarray) -> dict[bytes, list[int]]:
+    """In how many toxic and other examples each term is."""
+    seen: dict[bytes, list[int]] = {}
     for d, y in zip(docs, toxic.tolist(), strict=True):
-        seen[y].update({t for w in d for t in word_terms(w)})
-    scored = []
-    n = n1 + n0
-    for t in seen[1].keys() | seen[0].keys():
-        a, b = seen[1][t], seen[0][t]
-        if a + b < max(MIN_EXAMPLES, MIN_SHARE * n1) or a + b == n:
-            continue
-        chi2 = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * (n - a - b))
-        if chi2 >= MIN_CHI2:
-            scored.append((-chi2, t))
-    return [t for _, t in sorted(scored)[:TERMS]]
+        for t in {t for w in d for t in word_terms(w)}:
+            seen.setdefault(t, [0, 0])[1 - y] += 1
+    return seen
+
+
+def chi_squared(a: int, b: int, docs: list[Counter], toxic: np.ndarray) -> float:
+    """Of a term in ``a`` toxic and ``b`` other examples."""
+    n, n1 = len(docs), int(toxic.sum())
+    n0, c = n - n1, a + b
+    return n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * c * (n - c)) if 0 < n1 < n and c < n else 0.0
+
+
+class Postings:
+    """Weights by term and example: whole rows of the frequent terms, lists of the others."""
+
+    def __init__(self, terms: int, vectors: list[tuple[np.ndarray, np.ndarray]], width: int):
+        term = np.concatenate([q for q, _ in vectors] or [np.empty(0, int)]).astype(int)
+        at = np.repeat(np.arange(len(vectors)), [len(q) for q, _ in vectors])
+        w = np.concatenate([x for _, x in vectors] or [np.empty(0)]).astype(np.float32)
+        order = np.argsort(term, kind="stable")
+        term, self.at, self.w, self.width = term[order], at[order].astype(np.int32), w[order], width
+        self.start = np.searchsorted(term, np.arange(terms + 1))
+        size = np.diff(self.start)
+        heavy = np.flatnonzero(size >= max(1, HEAVY * len(vectors)))
+        self.row = np.full(terms, -1)
+        self.row[heavy] = np.arange(len(heavy))
+        self.rows = np.zeros((len(heavy), width), np.float32)
+        for r, t in enumerate(heavy.tolist()):
+            x, y = self.start[t], self.start[t + 1]
+            self.rows[r, self.at[x:y]] = self.w[x:y]
+        self.bound = self.rows.reshape(len(heavy), width // BLOCK, BLOCK).max(axis=2)
+
+    def light(self, q: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Dot products with all examples over the terms that have lists."""
+        size = self.start[q + 1] - self.start[q]
+        i = np.arange(size.sum()) + np.repeat(self.start[q] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+        return np.bincount(self.at[i], self.w[i] * np.repeat(w, size), self.width).astype(np.float32)
+
+    def __getitem__(self, q: np.ndarray) -> np.ndarray:
+        """Whole rows of any terms."""
+        out = np.zeros((len(q), self.width), np.float32)
+        for k, t in enumerate(np.asarray(q).tolist()):
+            x, y = self.start[t], self.start[t + 1]
+            out[k, self.at[x:y]] = self.w[x:y]
+        return out
 
 
 class Index:
     """Block-max inverted index over the examples.
 
-    Term 0 stands for all words without a term of their own, so that a cosine
-    also compares how much of a text its terms are."""
+    Term 0 stands for all words that no example has, so that norms are over the
+    whole text."""
 
     def __init__(self, terms: list[bytes], df: np.ndarray, n_docs: int, docs: list[Counter], toxic: np.ndarray, ids: list,
                  class_rows: tuple[int, int]):
         self.number = {t: i + 1 for i, t in enumerate(terms)}
         self.idf = 1 + np.log((n_docs + 1) / (np.append(n_docs, df) + 1))
+        seen = term_counts(docs, toxic)
+        chi2 = np.array([chi_squared(*seen.get(t, (0, 0)), docs, toxic) if t in seen else 0.0 for t in terms])
+        # a weight that no term loses wholly: one expects a chi-squared of 1 by chance
+        self.idf[1:] *= (chi2 + 1) / (chi2 + HALF_CHI2)
         look = lookup(self.number)
         vectors = [self.vector(d.items(), look) for d in docs]
         # neighbours in this order share their heaviest terms, which makes block bounds tight
         order = sorted(range(len(docs)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")][:4].tolist(), str(ids[i])))
         self.ids, self.toxic = [ids[i] for i in order], toxic[order].astype(int)
         blocks = -(-len(order) // BLOCK)
-        self.impact = np.zeros((len(terms) + 1, blocks * BLOCK), np.float32)
-        for k, i in enumerate(order):
-            self.impact[vectors[i][0], k] = vectors[i][1]
-        self.bound = self.impact.reshape(len(terms) + 1, blocks, BLOCK).max(axis=2)
+        self.impact = Postings(len(terms) + 1, [vectors[i] for i in order], blocks * BLOCK)
         share = [max(1, int((self.toxic == y).sum())) for y in (0, 1)]
         self.weight = np.array([class_rows[y] / share[y] for y in (0, 1)])  # rows of the class per example of it
         self.plain = None
@@ -122,17 +163,21 @@ class Index:
         if self.plain is not None and len(q) == 1 and not q[0]:
             return self.plain
         w = w.astype(np.float32)
-        bounds = w @ self.bound[q]
-        rows = self.impact[q]
+        row = self.impact.row[q]
+        light = self.impact.light(q[row < 0], w[row < 0])
+        q, w = row[row >= 0], w[row >= 0]
+        bounds = w @ self.impact.bound[q] + light.reshape(-1, BLOCK).max(axis=1)
+        rows = self.impact.rows[q]
         at, cos, least = np.empty(0, int), np.empty(0, np.float32), 0.0
         order = np.argsort(-bounds, kind="stable")
-        for x in range(0, len(order), STRIDE):
-            blocks = order[x:x + STRIDE]
+        for blocks in (order[:STRIDE], order[STRIDE:]):  # the best blocks, then all that can beat them
             blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least - TIE)]
             if not len(blocks):
                 break
             pos = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            got = w @ rows[:, pos]
+            # many columns cost more to copy than to multiply
+            got = (w @ rows)[pos] if 4 * len(pos) > len(light) else w @ rows[:, pos]
+            got = got + light[pos]
             ok = (got > max(0.0, least - TIE)) & (pos != without)
             at, cos = np.concatenate([at, pos[ok]]), np.concatenate([cos, got[ok]])
             if len(at) > k:
@@ -227,7 +272,7 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
 
     out = np.zeros(len(terms) + 1)
     for r in docs.select(text_of(text).alias("t")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r["term"]] = r["n"]  # at most TERMS + 1 rows
+        out[r["term"]] = r["n"]  # terms of the examples
     return out[:-1], int(out[-1])
 
 
