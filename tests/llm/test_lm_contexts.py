@@ -50,3 +50,7 @@ def test_blocks_and_buffers_change_nothing(table, monkeypatch):
     monkeypatch.setattr(L, "BLOCKS", 3)
     got = sorted((r.id, r.score) for r in L.score_texts(table(rows).repartition(3)).collect())
     assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-6)
+
+
+def test_no_sample_is_gathered():
+    assert not hasattr(L, "bounded_sample")
