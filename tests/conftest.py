@@ -7,8 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMOKE = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -32,9 +30,3 @@ def settings():
 
     from aurum.config import Settings
     return Settings(salt="test-salt", as_of=dt.date(2001, 8, 15))
-
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples (order-insensitive comparisons)."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)

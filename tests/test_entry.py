@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMOKE
+from helpers import SF_SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()

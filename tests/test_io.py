@@ -11,7 +11,7 @@ from aurum import schemas
 from aurum.seeds import countries, seed_path
 from aurum.sources import readers, sinks
 from aurum.streaming import streams
-from conftest import rows
+from helpers import rows
 
 T = dt.datetime
 

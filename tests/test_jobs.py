@@ -13,7 +13,7 @@ from aurum.plans import jobs
 from aurum.plans.bed import Bed
 from aurum.sources import readers, sinks
 from aurum.streaming import streams
-from conftest import SF_SMOKE, rows
+from helpers import SF_SMOKE, rows
 
 T = dt.datetime
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aurum.operators import diff, quality, scd, upsert
 from aurum.operators.dedup import dedup_latest, duplicate_keys
-from conftest import rows
+from helpers import rows
 
 T = dt.datetime
 
