@@ -70,6 +70,24 @@ def bounded_sample(df: DataFrame, keys: list[str], n: int) -> list:
     return df.where(h < int(share * (1 << 40))).orderBy(h, *keys).limit(n).collect()
 
 
+#: A key of more than 1 in HOT of all rows is hot, so there are fewer than HOT of them.
+HOT = 1000
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``table`` for their key, which isn't null.
+
+    ``table`` has a row for every key of ``rows``, with the number of its rows in
+    ``uses`` (dropped); their sum is ``total``.  Fewer than ``HOT`` keys have more
+    than 1 in ``HOT`` of all rows: these are broadcast.  The others are joined by a
+    shuffle in which no key is heavier than that."""
+    hot = F.col("uses") * HOT > total
+    few = F.broadcast(table.where(hot).drop("uses").withColumn("__found", F.lit(True)))
+    tried = rows.join(few, key, "left")
+    rest = tried.where("__found IS NULL").select(*rows.columns).join(table.where(~hot).drop("uses"), key)
+    return tried.where("__found").drop("__found").unionByName(rest)
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
