@@ -39,12 +39,25 @@ def grams(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out[coded]
 
 
-def blocks_of(keys: np.ndarray, blocks: int) -> np.ndarray:
-    """The block of each gram, by its context of order SHARED + 1."""
-    x = (keys & mask(SHARED + 1)) * np.uint64(0x9E3779B97F4A7C15)
+def blocks_of(keys: np.ndarray, blocks: int, hot: dict[int, np.ndarray]) -> np.ndarray:
+    """The block of each gram, by its context of order SHARED + 1; grams of a hot
+    context are dealt by one byte more, as long as that one is hot as well."""
+    own = keys & mask(SHARED + 1)
+    left = np.arange(len(keys))
+    for k in range(SHARED + 1, ORDER):
+        left = left[is_hot(keys[left] & mask(k), k, hot)]
+        own[left] = keys[left] & mask(k + 1)
+    x = own * np.uint64(0x9E3779B97F4A7C15)
     return ((x >> np.uint64(32)) % np.uint64(blocks)).astype(np.int32)
 
 
+def is_hot(context: np.ndarray, k: int, hot: dict[int, np.ndarray]) -> np.ndarray:
+    some = hot.get(k)
+    if some is None or not len(some):
+        return np.zeros(len(context), bool)
+    return some[np.minimum(np.searchsorted(some, context), len(some) - 1)] == context
+
+
 def pack_bytes(b: bytes) -> bytes:
     return len(b).to_bytes(8, "little") + pa.Codec("zstd", compression_level=5).compress(b, asbytes=True)
 
@@ -77,7 +90,7 @@ def unpack_values(b: bytes, kind: str) -> np.ndarray:
 
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted grams by their differences."""
-    return pack(np.diff(keys, prepend=np.uint64(0)))
+    return pack(np.diff(keys, prepend=np.uint64(0))) if len(keys) else pack_bytes(b"")
 
 
 def unpack_keys(b: bytes) -> np.ndarray:
@@ -149,27 +162,79 @@ def chain(k: int, arcs: np.ndarray, n: np.ndarray, least: int) -> list[Order]:
     return out
 
 
-class Model:
-    """The shared orders and the escapes: at most 256^(SHARED + 1) arcs."""
+#: Arcs with counts, by order.
+Arcs = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def block_arcs(arcs: np.ndarray, n: np.ndarray, hot: dict[int, np.ndarray]) -> tuple[Arcs, Arcs]:
+    """What a block with the arcs of order ORDER ``arcs`` holds: the arcs of its own
+    contexts, whole, and its part of the arcs of contexts that several blocks
+    share (hot ones, and all of order SHARED)."""
+    own, part = {ORDER: (arcs, n)}, {}
+    for k in range(ORDER - 1, SHARED - 1, -1):
+        low, seen = np.unique(arcs & (mask(k) | _SYMBOL), return_counts=True)
+        split = is_hot(low & mask(k), k, hot) if k > SHARED else np.ones(len(low), bool)
+        part[k] = low[split], seen[split]
+        arcs = low[~split]
+        if k > SHARED:
+            own[k] = arcs, seen[~split]
+    return own, part
+
 
-    def __init__(self, arcs: np.ndarray, n: np.ndarray, new: np.ndarray, old: np.ndarray):
-        self.orders = chain(SHARED, arcs, n, 0)
-        for o in self.orders:
+def added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different arcs of both, sorted, with the sums of their counts."""
+    arcs, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    return arcs, np.bincount(at, np.concatenate([a[1], b[1]]), len(arcs)).astype(np.int64)
+
+
+class Model:
+    """The shared contexts and the escapes.
+
+    ``part``: arcs of the hot contexts and of order SHARED, as the sums of the
+    blocks' parts.  A hot arc counts once in the next shorter order, which is
+    shared as well."""
+
+    def __init__(self, part: Arcs, new: np.ndarray, old: np.ndarray):
+        self.hot: dict[int, Order] = {}
+        none = np.empty(0, np.uint64), np.empty(0, np.int64)
+        arcs = none[0]
+        for k in range(ORDER - 1, SHARED, -1):
+            longer = np.unique(arcs & (mask(k) | _SYMBOL), return_counts=True)
+            arcs, n = added(part.get(k, none), longer)
+            self.hot[k] = Order(k, arcs, n)
+        longer = np.unique(arcs & (mask(SHARED) | _SYMBOL), return_counts=True)
+        self.orders = chain(SHARED, *added(part.get(SHARED, none), longer), 0)
+        for o in [*self.hot.values(), *self.orders]:
             more = o.left_out()
             new, old = new + more[0], old + more[1]
         self.states = np.where(new + old > 0, (new + 0.5) / (new + old + 1.0), -1.0)
 
+    def complete(self, keys: np.ndarray, own: Arcs) -> list[Order]:
+        """The orders above SHARED for some grams, longest first: a block's own
+        contexts, and those hot ones that the grams have."""
+        out = []
+        for k in range(ORDER, SHARED, -1):
+            arcs, n = own[k]
+            if k in self.hot and len(self.hot[k].arcs):
+                hot = self.hot[k]
+                asked = np.unique(keys & mask(k))
+                at = np.minimum(np.searchsorted(asked, hot.arcs & mask(k)), max(0, len(asked) - 1))
+                some = (asked[at] == hot.arcs & mask(k)) if len(asked) else np.zeros(len(hot.arcs), bool)
+                arcs, n = added((arcs, n), (hot.arcs[some], hot.n[some]))
+            out.append(Order(k, arcs, n))
+        for high, low in zip(out, [*out[1:], self.orders[0]], strict=True):
+            high.exclude_from(low)
+        return out
+
     def escape(self, o: Order) -> np.ndarray:
         """Of each context of an order."""
         got = self.states[state(o.k, o.place, o.total, o.distinct)]
         return np.where(got < 0, o.distinct / (o.total + o.distinct), got)
 
-    def log10(self, keys: np.ndarray, own: list[Order]) -> np.ndarray:
-        """log10 of grams whose contexts of more than SHARED bytes are in ``own``, longest first."""
-        if own:
-            own[-1].exclude_from(self.orders[0])
+    def log10(self, keys: np.ndarray, own: Arcs) -> np.ndarray:
+        """log10 of grams whose contexts of more than SHARED bytes are in ``own`` or hot."""
         out, active, gone = np.zeros(len(keys)), np.arange(len(keys)), np.zeros(len(keys), np.int64)
-        for o in [*own, *self.orders]:
+        for o in [*self.complete(keys, own), *self.orders]:
             if not len(o.arcs) or not len(active):
                 continue
             q = keys[active]

@@ -17,22 +17,25 @@ All training texts count, and nothing is pruned or sampled:
 1. a task gathers a buffer of texts and sends its different words, and its
    different grams (a context of the longest order and a symbol), once each
    with their training counts to blocks; the texts go on compressed;
-2. a block of grams holds all contexts that end in the same bytes; it adds up
-   the counts and returns what the shared contexts need: arcs of at most two
-   bytes and a symbol (256^3, whatever the input), and counts by escape state;
+2. a block of grams holds whole contexts; it adds up the counts and returns
+   what several blocks share: arcs of at most two bytes and a symbol (256^3,
+   whatever the input), arcs of hot contexts, and counts by escape state;
 3. a block gives every requested gram its code length, a block of words every
    word its training count (for the unigram base);
 4. a buffer adds them up for its texts.
 
-The word tries (:class:`Kinds`, :class:`Model`, :func:`_shared`) score single
-words behind a kind; the scoring of texts does not use them.
+Grams are dealt to blocks by their last three bytes.  A context that holds a
+large share of all grams is hot and dealt by one byte more, up to the longest
+order; fewer than ``HOT`` contexts of each order are hot, so what blocks share of
+them is at most ``HOT`` x 256 arcs an order.  Which are hot is found on a sample of
+texts: it decides where grams go, not what they cost.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,19 +45,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import contexts as C
-from .common import materialize, read_table, text_blocks
-from .presplit import Memo
+from .common import materialize, read_table
 
-#: Words, bytes and texts of a buffer.
-BUFFER_TOKENS, BUFFER_BYTES, BUFFER_TEXTS = 1 << 20, 6 << 20, 1 << 16
-#: Bytes of text for each block of words, and least number of blocks.
+#: Bytes and texts of a buffer, and bytes of it that are worked on at a time.
+BUFFER_BYTES, BUFFER_TEXTS, PIECE_BYTES = 16 << 20, 1 << 16, 1 << 20
+#: Bytes of text for each block, and least number of blocks.
 BLOCK_BYTES, BLOCKS = 16 << 20, 16
-#: Symbols that no word has: end of a word and the end token.  A word is kept
-#: behind the byte 1 + kind, which is no white space either.
-CLOSE, END = b"\n", b"\t"
+#: A context with at least 1 in HOT of the grams is hot; bytes of text, in the mean, that are looked at for it.
+HOT, LOOK_BYTES = 1024, 32 << 20
+#: A symbol that no word has: the end token.
+END = b"\t"
 FOLDS, HELD_OUT = 7, 2
-#: Kinds of text (at most 8), words of the sample for each, hash classes of words, and the sample they are found on.
-KINDS, WORDS_PER_KIND, CLASSES, SAMPLE, SAMPLE_CHARS, ROUNDS, STARTS = 8, 80_000, 4096, 3000, 30_000, 12, 20
 
 ROWS = "block int, gid long, kind int, words binary, counts binary, ids array<long>, held array<boolean>, sizes array<int>"
 _ROWS = pa.schema([("block", pa.int32()), ("gid", pa.int64()), ("kind", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()),
@@ -68,413 +69,177 @@ def is_held_out(doc_id) -> bool:
 
 
 def block_of(word: bytes, blocks: int) -> int:
-    """By the first three symbols, the end-of-word symbol included."""
-    return xxhash.xxh3_64_intdigest((word + CLOSE)[:3]) % blocks
-
-
-_CLASS = Memo(lambda w: xxhash.xxh3_64_intdigest(w) % CLASSES, 300_000)
+    return xxhash.xxh3_64_intdigest(word) % blocks
 
 
 def split(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-class Kinds:
-    """A mixture of multinomials over hash classes of words."""
-
-    def __init__(self, texts: list[list[bytes]]):
-        counts = np.array([self.counts(t) for t in texts if t] or [np.zeros(CLASSES)], np.float32)
-        self.log_class, self.log_share = np.zeros((CLASSES, 1)), np.zeros(1)
-        rng, best = np.random.default_rng(7), -np.inf
-        kinds = min(KINDS, max(1, int(counts.sum()) // WORDS_PER_KIND))
-        some = np.flatnonzero(counts.sum(axis=1) >= np.median(counts.sum(axis=1)))
-        fit = self._fit([counts.sum(axis=0)], counts)
-        for _ in range(STARTS):  # from texts at random, alternate choices and shares
-            trial = self._fit(counts[rng.choice(some, min(kinds, len(some)), replace=False)], counts)
-            for _ in range(ROUNDS):
-                own = (counts @ trial).argmax(axis=1)
-                trial = self._fit([counts[own == k].sum(axis=0) for k in range(trial.shape[1]) if (own == k).any()], counts)
-            total = (counts @ trial).max(axis=1).sum()
-            if total > best:
-                fit, best = trial, total
-        own = (counts @ fit).argmax(axis=1)
-        share = np.bincount(own, minlength=fit.shape[1]) + 1.0
-        self.log_class, self.log_share = fit, np.log(share / share.sum())
-
-    @staticmethod
-    def counts(words: list[bytes]) -> np.ndarray:
-        return np.bincount(np.fromiter(map(_CLASS.__getitem__, words), np.int64, len(words)), minlength=CLASSES)
-
-    @staticmethod
-    def _fit(sums, counts) -> np.ndarray:
-        """log shares of the classes, a column per kind, smoothed by those of all texts."""
-        whole = counts.sum(axis=0) + 0.5
-        x = np.array(sums) + 20 * whole / whole.sum()
-        return np.log(x / x.sum(axis=1, keepdims=True)).T.astype(np.float32)
-
-    def of(self, words: list[bytes]) -> int:
-        if not words:
-            return int(self.log_share.argmax())
-        return int((self.counts(words) @ self.log_class + self.log_share).argmax())
-
-
-def _grams_of(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Grams of closed texts, and their number in each."""
-    sizes = np.array([len(t) for t in bodies], np.int64)
-    return C.grams(np.frombuffer(b"".join([END * C.ORDER + t for t in bodies]), np.uint8), sizes), sizes
+def _pieces(bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of closed texts and the place of the text of each, about ``PIECE_BYTES``
+    at a time; a longer text comes in several pieces, each behind the bytes before it."""
+    held, sizes, owner = [], [], []
+
+    def grams():
+        return C.grams(np.frombuffer(b"".join(held), np.uint8), np.array(sizes)), np.repeat(owner, sizes)
+
+    for i, t in enumerate(bodies):
+        whole = END * C.ORDER + t
+        for at in range(0, len(t), PIECE_BYTES):
+            held.append(whole[at:at + PIECE_BYTES + C.ORDER])
+            sizes.append(len(held[-1]) - C.ORDER)
+            owner.append(i)
+            if sum(sizes) >= PIECE_BYTES or len(sizes) >= 4096:
+                yield grams()
+                held, sizes, owner = [], [], []
+    if sizes:
+        yield grams()
 
 
 def _different(bodies: list[bytes], held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different grams of a buffer's texts, sorted, with their training counts."""
-    keys, sizes = _grams_of(bodies)
-    out = np.repeat(held, sizes)
-    train, count = np.unique(keys[~out], return_counts=True)
-    every = np.union1d(train, keys[out])
-    n = np.zeros(len(every), "<u4")
-    n[np.searchsorted(every, train)] = count
-    return every, n
+    every = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for keys, owner in _pieces(bodies):
+        keys, at = np.unique(keys, return_inverse=True)
+        every = C.added(every, (keys, np.bincount(at, ~held[owner], len(keys)).astype(np.int64)))
+    return every[0], every[1].astype("<u4")
 
 
-def _in_blocks(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, list[int]]:
+def _in_blocks(keys: np.ndarray, blocks: int, hot: dict) -> tuple[np.ndarray, list[int]]:
     """Order of sorted grams by block, and where the blocks start."""
-    block = C.blocks_of(keys, blocks)
+    block = C.blocks_of(keys, blocks, hot)
     order = np.argsort(block, kind="stable")
     return order, np.searchsorted(block[order], np.arange(blocks + 1)).tolist()
 
 
-def _words_of(texts: list[list[bytes]], blocks: int) -> tuple[list[bytes], list[int], np.ndarray]:
-    """Different words of a buffer by block, where the blocks start, and the place of each word of the texts."""
-    words = sorted({w for t in texts for w in t})
-    start = {p: block_of(p, blocks) for p in {w[:3] for w in words}}
-    block = np.array([start[w[:3]] for w in words], np.int64)
+def _words_in_blocks(words, blocks: int) -> tuple[list[bytes], list[int]]:
+    """Different words sorted by block and word, and where the blocks start."""
+    words = sorted(words)
+    block = np.array([block_of(w, blocks) for w in words], np.int64)
     order = np.argsort(block, kind="stable")
-    words = [words[i] for i in order.tolist()]
-    place = {w: i for i, w in enumerate(words)}
-    flat = np.array([place[w] for t in texts for w in t], np.int64)
-    return words, np.searchsorted(block[order], np.arange(blocks + 1)).tolist(), flat
+    return [words[i] for i in order.tolist()], np.searchsorted(block[order], np.arange(blocks + 1)).tolist()
 
 
-def _gather(batches, blocks: int):
+def _gather(batches, blocks: int, hot: dict):
     """Step 1: rows of the kinds WORDS, TEXTS and GRAMS."""
     part, number = TaskContext.get().partitionId(), 0
-    ids, held, texts, total, length = [], [], [], 0, 0
+    ids, held, sizes, bodies, length = [], [], [], [], 0
+    count: dict[bytes, int] = {}
 
     def send():
-        nonlocal ids, held, texts, total, length, number
+        nonlocal number
         gid = part << 24 | number
         number += 1
-        out, sizes, bodies = np.array(held, bool), [len(t) for t in texts], [b" ".join(t) + END for t in texts]
-        words, at, flat = _words_of(texts, blocks)
-        count = np.bincount(flat[np.repeat(~out, sizes)], minlength=len(words)).astype("<u4")
-        rows = [{"block": b, "gid": gid, "kind": WORDS, "words": C.pack_bytes(b" ".join(words[x:y])), "counts": C.pack(count[x:y])}
-                for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y]
-        keys, n = _different(bodies, out)
-        order, at = _in_blocks(keys, blocks)
+        words, at = _words_in_blocks(count, blocks)
+        n = np.array([count[w] for w in words], "<u4")
+        yield from ({"block": b, "gid": gid, "kind": WORDS, "words": C.pack_bytes(b" ".join(words[x:y])), "counts": C.pack(n[x:y])}
+                    for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y)
+        keys, n = _different(bodies, np.array(held, bool))
+        order, at = _in_blocks(keys, blocks, hot)
         keys, n = keys[order], n[order]
-        rows += [{"block": b, "gid": gid, "kind": GRAMS, "words": C.pack_keys(keys[x:y]), "counts": C.pack(n[x:y])}
-                 for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y]
-        rows.append({"block": gid % blocks, "gid": gid, "kind": TEXTS, "ids": ids, "held": held, "sizes": sizes, "words": C.pack_bytes(b"".join(bodies))})
-        ids, held, texts, total, length = [], [], [], 0, 0
-        return pa.RecordBatch.from_pylist(rows, schema=_ROWS)
+        yield from ({"block": b, "gid": gid, "kind": GRAMS, "words": C.pack_keys(keys[x:y]), "counts": C.pack(n[x:y])}
+                    for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y)
+        yield {"block": gid % blocks, "gid": gid, "kind": TEXTS, "ids": ids, "held": held, "sizes": sizes, "words": C.pack_bytes(b"".join(bodies))}
+
+    def sent():
+        rows = []
+        for r in send():
+            rows.append(r)
+            if len(rows) >= 256:
+                yield pa.RecordBatch.from_pylist(rows, schema=_ROWS)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=_ROWS)
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             w = split(t)
+            out = is_held_out(i)
             ids.append(i)
-            held.append(is_held_out(i))
-            texts.append(w)
-            total += len(w)
-            length += sum(map(len, w)) + len(w) + 1
-            if total >= BUFFER_TOKENS or length >= BUFFER_BYTES or len(ids) >= BUFFER_TEXTS:
-                yield send()
+            held.append(out)
+            sizes.append(len(w))
+            bodies.append(b" ".join(w) + END)
+            for x, c in Counter(w).items():
+                count[x] = count.get(x, 0) + (0 if out else c)
+            length += len(bodies[-1])
+            if length >= BUFFER_BYTES or len(ids) >= BUFFER_TEXTS:
+                yield from sent()
+                ids, held, sizes, bodies, length = [], [], [], [], 0
+                count = {}
     if ids:
-        yield send()
-
-
-def _merged(rows: list[dict]) -> tuple[list[bytes], list[int]]:
-    """A block's different words, closed and sorted, with their training counts."""
+        yield from sent()
+
+
+def _hot_contexts(src: DataFrame, share: float) -> dict[int, np.ndarray]:
+    """Contexts between the shared and the longest order that hold at least 1 in
+    ``HOT`` of the grams of a sample of texts, by order, sorted."""
+    def count(batches):
+        seen = {k: (np.empty(0, np.uint64), np.empty(0, np.int64)) for k in range(C.SHARED, C.ORDER)}
+        for b in batches:
+            for keys, _ in _pieces([b" ".join(split(t)) + END for t in b.column(0).to_pylist()]):
+                for k in seen:  # order SHARED stands for the whole number
+                    seen[k] = C.added(seen[k], np.unique(keys & C.mask(k) if k > C.SHARED else keys & np.uint64(0), return_counts=True))
+        for k, (arcs, n) in seen.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), k)), pa.array(arcs.view(np.int64)), pa.array(n)], ["k", "context", "n"])
+
+    some = src.where(F.pmod(F.xxhash64("id", "t"), F.lit(1 << 20)) < int(share * (1 << 20))).select("t")
+    rows = some.mapInArrow(count, "k long, context long, n long").groupBy("k", "context").agg(F.sum("n").alias("n"))
+    rows = materialize(rows, "contexts")
+    total = rows.where(F.col("k") == C.SHARED).agg(F.sum("n")).first()[0] or 0
+    found = rows.where((F.col("k") > C.SHARED) & (F.col("n") * HOT >= total)).collect()  # fewer than HOT + 1 of an order
+    return {k: np.sort(np.array([r["context"] for r in found if r["k"] == k], np.int64).view(np.uint64)) for k in range(C.SHARED + 1, C.ORDER)}
+
+
+def _merged_words(rows: list[dict]) -> tuple[list[list[bytes]], dict[bytes, int]]:
+    """Each row's words, and the training counts of a block's words."""
     count: dict[bytes, int] = {}
-    for r in rows:
-        for w, c in zip(r["words"].split(b" "), np.frombuffer(r["counts"], "<u4").tolist(), strict=True):
+    words = [C.unpack_bytes(r["words"]).split(b" ") for r in rows]
+    for r, some in zip(rows, words, strict=True):
+        for w, c in zip(some, C.unpack(r["counts"], "<u4").tolist(), strict=True):
             count[w] = count.get(w, 0) + c
-    words = sorted(w + CLOSE for w in count)
-    return words, [count[w[:-1]] for w in words]
-
-
-def _branches(words: list[bytes], cum: list[int], lo: int, hi: int, depth: int):
-    """The trie nodes above words[lo:hi] from ``depth`` on that hold several words:
-    (depth, [(symbol, from, to, count)]), parents first.  ``send`` False to skip a group isn't needed:
-    a group without occurrences is yielded but not entered."""
-    stack = [(lo, hi, depth)]
-    while stack:
-        lo, hi, depth = stack.pop()
-        groups, k = [], lo
-        while k < hi:
-            s, e = words[k][depth], k + 1
-            while e < hi and words[e][depth] == s:
-                e += 1
-            groups.append((s, k, e, cum[e] - cum[k]))
-            k = e
-        yield depth, groups
-        for _, k, e, c in groups:
-            if c and e - k > 1:
-                stack.append((k, e, depth + 1))
-
-
-def _keys(words: list[bytes]):
-    """Runs of words with the same kind and first three symbols."""
-    k = 0
-    while k < len(words):
-        e, p = k + 1, words[k][:4]
-        while e < len(words) and words[e][:4] == p:
-            e += 1
-        yield p, k, e
-        k = e
-
-
-def _two(word: bytes, i: int) -> bytes:
-    """The two bytes before symbol ``i`` of a word behind its kind."""
-    return word[i - 2:i] if i > 1 else word[:1] * 2
-
-
-def _state(t: int, d: int) -> bytes:
-    """Class of a node for the estimation of escapes."""
-    return b"%d/%d" % (min(t.bit_length() if t > 4 else t, 40), min(d.bit_length() + 2 if d > 4 else d, 12))
-
-
-def _shared(table: pa.Table) -> pa.Table:
-    """Step 2, one block: rows (kind, key, n) that add up to the shared model.
-
-    n: number of training tokens and of different ones; prefix: occurrences of
-    a symbol after a prefix under three bytes; triple: trie arcs by their last
-    two bytes and symbol; new / old: occurrences left out that were new."""
-    words, counts = _merged(table.select(["words", "counts"]).to_pylist())
-    cum = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    n: Counter = Counter()
-    n["n", b"tokens"] = cum[-1]
-    n["n", b"types"] = len({w[1:] for w, c in zip(words, counts, strict=True) if c})
-
-    def seen(t: int, d: int, ones: int, times: int = 1):
-        if t > 1:
-            if ones:
-                n["new", _state(t - 1, d - 1) if d > 1 else _state(t - 1, 1)] += ones * times
-            if t > ones:
-                n["old", _state(t - 1, d)] += (t - ones) * times
-
-    def tail(w: bytes, start: int, c: int):
-        """Arcs from ``start`` on, where the word is alone."""
-        e = w[:1] + w
-        for i in range(start, len(w)):
-            n["triple", e[i - 1:i + 2]] += 1
-        seen(c, 1, int(c == 1), len(w) - start)
-
-    for p, lo, hi in _keys(words):
-        total = cum[hi] - cum[lo]
-        if not total:
-            continue
-        for i in range(2, len(p) + 1):
-            n["prefix", p[:i]] += total
-        if len(p) < 4 or p[3:] == CLOSE:
-            continue
-        if hi - lo == 1:
-            tail(words[lo], 4, counts[lo])
-            continue
-        for depth, groups in _branches(words, cum, lo, hi, 4):
-            live = [g for g in groups if g[3]]
-            before = _two(words[groups[0][1]], depth)
-            for s, k, e, c in live:
-                n["triple", before + bytes([s])] += 1
-                if e - k == 1 and depth + 1 < len(words[k]):
-                    tail(words[k], depth + 1, c)
-            seen(sum(g[3] for g in live), len(live), sum(g[3] == 1 for g in live))
-    return pa.table({"kind": pa.array([k for k, _ in n], pa.string()), "key": pa.array([k for _, k in n], pa.binary()),
-                     "n": pa.array(list(n.values()), pa.int64())})
-
-
-class Model:
-    """The shared contexts: bounded by 256^3 prefixes and 256^3 triples."""
-
-    def __init__(self, stats: dict[tuple[str, bytes], int], train_docs: dict[int, int], kinds: Kinds):
-        self.ends = sum(train_docs.values())
-        self.tokens = stats.get(("n", b"tokens"), 0) + self.ends
-        self.types = stats.get(("n", b"types"), 0) + (self.ends > 0)
-        self.kind_cost = (kinds.log_share / np.log(10)).tolist()
-        self.prefix: dict[bytes, dict[int, int]] = {}
-        triples: Counter = Counter()
-        self.states: dict[bytes, float] = {}
-        new, old = Counter(), Counter()
-        for (kind, key), n in stats.items():
-            if kind == "prefix":
-                self.prefix.setdefault(key[:-1], {})[key[-1]] = n
-                triples[_two(key, len(key) - 1) + key[-1:]] += 1
-            elif kind == "triple":
-                triples[key] += n
-            elif kind == "new":
-                new[key] += n
-            elif kind == "old":
-                old[key] += n
-        for k, n in train_docs.items():
-            kind = bytes([k + 1])
-            self.prefix.setdefault(kind, {})[END[0]] = n
-            triples[kind * 2 + END] += 1
-        for k in new.keys() | old.keys():
-            self.states[k] = (new[k] + 0.5) / (new[k] + old[k] + 1)
-        self.two: dict[bytes, dict[int, int]] = {}
-        one: dict[int, Counter] = {}
-        none: Counter = Counter()
-        for t, n in triples.items():
-            self.two.setdefault(t[:2], {})[t[2]] = n
-            one.setdefault(t[1], Counter())[t[2]] += 1
-        for c in one.values():
-            none.update(c.keys())
-        self.one, self.none = one, none
-        self._short = lru_cache(maxsize=1 << 14)(self._distribution)
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_short"}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._short = lru_cache(maxsize=1 << 14)(self._distribution)
-
-    def _distribution(self, ctx: bytes) -> list[float]:
-        """Probabilities of all symbols after two bytes, escaping down to all alike."""
-        p, left, free = np.zeros(256), 1.0, np.ones(256, bool)
-        for counts in (self.two.get(ctx), self.one.get(ctx[1]), self.none):
-            c = np.zeros(256)
-            for s, n in (counts or {}).items():
-                c[s] = n
-            c[~free] = 0
-            t, d = c.sum(), np.count_nonzero(c)
-            if d:
-                p += left * c / (t + d)
-                left *= d / (t + d)
-                free &= c == 0
-        p[free] = left / max(1, free.sum())
-        return (p / p.sum()).tolist()
-
-    def escape(self, t: int, d: int) -> float:
-        return self.states.get(_state(t, d), d / (t + d))
-
-    def short(self, word: bytes, start: int) -> float:
-        """log10 of the rest of a (closed) word by short contexts only."""
-        return sum(_log10(self._short(_two(word, i))[word[i]]) for i in range(start, len(word)))
-
-    def fresh(self, before: bytes, symbol: int, seen) -> float:
-        """log10 of a symbol after an escape, the symbols seen there excluded."""
-        p = self._short(before)
-        rest = 1 - sum(p[s] for s in seen)
-        return _log10(p[symbol] / rest) if rest > 1e-9 else -_log10(256.0)
-
-    def head(self, word: bytes) -> tuple[float, bool]:
-        """log10 of the first three symbols behind the kind, and whether all were known there."""
-        total, word = 0.0, word[:4]
-        for i in range(1, len(word)):
-            node = self.prefix.get(word[:i])
-            if node is None:
-                return total + self.short(word, i), False
-            t, d = sum(node.values()), len(node)
-            esc = d / (t + d)
-            if word[i] not in node:
-                return total + _log10(esc) + self.fresh(_two(word, i), word[i], node) + self.short(word, i + 1), False
-            total += _log10((1 - esc) * node[word[i]] / t)
-        return total, True
-
-    def words(self, words: list[bytes], counts: list[int]) -> list[float]:
-        """log10 of closed, sorted words that hold all training words with their first three symbols."""
-        cum = np.concatenate([[0], np.cumsum(counts)]).tolist()
-        out = [0.0] * len(words)
-        for p, lo, hi in _keys(words):
-            at, known = self.head(p)
-            if not known or cum[hi] == cum[lo]:
-                for k in range(lo, hi):
-                    out[k] = at + self.short(words[k], 4)
-                continue
-            if len(p) < 4 or p[3:] == CLOSE:
-                out[lo] = at
-                continue
-            if hi - lo == 1:
-                out[lo] = at + (len(words[lo]) - 4) * _log10(1 - self.escape(counts[lo], 1))
-                continue
-            reached = {(lo, hi): at}
-            for depth, groups in _branches(words, cum, lo, hi, 4):
-                at = reached.pop((groups[0][1], groups[-1][2]))
-                live = [g[0] for g in groups if g[3]]
-                t = cum[groups[-1][2]] - cum[groups[0][1]]
-                esc = self.escape(t, len(live))
-                before = _two(words[groups[0][1]], depth)
-                for s, k, e, c in groups:
-                    if not c:
-                        gone = at + _log10(esc) + self.fresh(before, s, live)
-                        for i in range(k, e):
-                            out[i] = gone + self.short(words[i], depth + 1)
-                    else:
-                        here = at + _log10((1 - esc) * c / t)
-                        if e - k > 1:
-                            reached[k, e] = here
-                        else:
-                            rest = len(words[k]) - depth - 1
-                            out[k] = here + (rest * _log10(1 - self.escape(c, 1)) if rest else 0.0)
-        return out
-
-    def end(self, kind: int) -> float:
-        return self.head(bytes([kind + 1]) + END)[0]
-
-
-def _log10(x: float) -> float:
-    return float(np.log10(x)) if x > 0 else -300.0
+    return words, count
 
 
 def _merged_grams(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """A block's different grams, sorted, their training counts, and each row's places among them."""
+    """A block's different grams, sorted, their training counts, and each row's grams."""
     got = [C.unpack_keys(r["words"]) for r in rows]
-    keys, place = np.unique(np.concatenate(got), return_inverse=True)
-    n = np.zeros(len(keys), np.int64)
-    places = np.split(place, np.cumsum([len(g) for g in got])[:-1])
-    for r, p in zip(rows, places, strict=True):
-        n[p] += C.unpack(r["counts"], "<u4")
-    return keys, n, places
-
-
-def _own(keys: np.ndarray, n: np.ndarray) -> list[C.Order]:
-    """A block's orders, longest first, and last the arcs it adds to the shared ones."""
-    return C.chain(C.ORDER, keys[n > 0], n[n > 0], C.SHARED)
-
+    every = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for some, r in zip(got, rows, strict=True):
+        every = C.added(every, (some, C.unpack(r["counts"], "<u4").astype(np.int64)))
+    return *every, got
 
-STATS = "kind string, key long, n long"
 
+STATS = "kind int, key long, n long"
+#: Kinds of sums: training tokens, different ones, escapes left out that were new, or not; ARC + k: arcs of order k.
+TOKENS, TYPES, NEW, OLD, ARC = 0, 1, 2, 3, 10
 
-def _block_stats(table: pa.Table) -> pa.Table:
-    """Step 2, one block: rows (kind, key, n) that add up to the shared model.
 
-    tokens, types: of the words; arc: by how many longer arcs a shared one is
-    seen; new / old: occurrences left out, by state."""
+def _block_stats(table: pa.Table, hot: dict) -> pa.Table:
+    """Step 2, one block: rows (kind, key, n) that add up to the shared model."""
     rows = table.to_pylist()
-    out = []
     if rows[0]["kind"] == WORDS:
-        count = _merged([r | {"words": C.unpack_bytes(r["words"]), "counts": C.unpack(r["counts"], "<u4")} for r in rows])[1]
-        out = [("tokens", [0], [sum(count)]), ("types", [0], [sum(c > 0 for c in count)])]
+        count = _merged_words(rows)[1]
+        out = [(TOKENS, [0], [sum(count.values())]), (TYPES, [0], [sum(c > 0 for c in count.values())])]
     else:
         keys, n, _ = _merged_grams(rows)
-        *own, low = _own(keys, n)
-        new, old = (sum(x) for x in zip(*(o.left_out() for o in own), strict=True))
-        out = [("arc", low.arcs, low.n)] + [(k, np.flatnonzero(x), x[x > 0]) for k, x in (("new", new), ("old", old))]
-    return pa.concat_tables([pa.table({"kind": pa.array([k] * len(x), pa.string()), "key": pa.array(np.asarray(x, np.int64)),
+        own, part = C.block_arcs(keys[n > 0], n[n > 0], hot)
+        new, old = (sum(x) for x in zip(*(C.Order(k, *x).left_out() for k, x in own.items()), strict=True))
+        out = [(ARC + k, *x) for k, x in part.items()] + [(k, np.flatnonzero(x), x[x > 0]) for k, x in ((NEW, new), (OLD, old))]
+    return pa.concat_tables([pa.table({"kind": pa.array(np.full(len(x), k, np.int32)), "key": pa.array(np.asarray(x).astype(np.int64)),
                                        "n": pa.array(np.asarray(c, np.int64))}) for k, x, c in out])
 
 
-def _score_rows(table: pa.Table, model: C.Model) -> pa.Table:
+def _score_rows(table: pa.Table, model: C.Model, hot: dict) -> pa.Table:
     """Step 3: counts of the words, or log10 probabilities of the grams, of each gid."""
     asked = table.to_pylist()
     if asked[0]["kind"] == WORDS:
-        asked = [r | {"words": C.unpack_bytes(r["words"]), "counts": C.unpack(r["counts"], "<u4")} for r in asked]
-        words, counts = _merged(asked)
-        count = {w[:-1]: c for w, c in zip(words, counts, strict=True)}
-        values = [np.array([count[w] for w in r["words"].split(b" ")], "<u8") for r in asked]
+        words, count = _merged_words(asked)
+        values = (np.array([count[w] for w in some], "<u8") for some in words)
     else:
-        keys, n, places = _merged_grams(asked)
-        p = model.log10(keys, _own(keys, n)[:-1]).astype("<f4")
-        values = [p[x] for x in places]
+        keys, n, got = _merged_grams(asked)
+        p = model.log10(keys, C.block_arcs(keys[n > 0], n[n > 0], hot)[0]).astype("<f4")
+        values = (p[np.searchsorted(keys, some)] for some in got)
     return pa.Table.from_pylist([{"block": r["block"], "gid": r["gid"], "kind": r["kind"], "counts": C.pack_values(v)}
                                  for r, v in zip(asked, values, strict=True)], schema=_ROWS)
 
@@ -482,32 +247,33 @@ def _score_rows(table: pa.Table, model: C.Model) -> pa.Table:
 SCORED = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int) -> pa.Table:
+def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int, hot: dict) -> pa.Table:
     """Step 4: one buffer's texts.  totals: training tokens, different ones, end tokens."""
-    rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["block"]))
-    texts = next(r for r in rows if r["kind"] == TEXTS)
+    rows = sorted(table.select(["kind", "block", "counts"]).to_pylist(), key=lambda r: (r["kind"], r["block"]))
+    texts = table.filter(pa.array(table.column("kind").to_numpy() == TEXTS)).to_pylist()[0]
 
     def joined(of, kind):
-        return np.concatenate([C.unpack_values(r["counts"], kind) for r in rows if r["kind"] == of] or [np.empty(0, kind)]).astype(float)
+        return np.concatenate([C.unpack_values(r["counts"], kind) for r in rows if r["kind"] == of] or [np.empty(0, kind)])
 
-    c, (tokens, types, ends) = joined(WORDS, "<u8"), totals
     bodies = [t + END for t in C.unpack_bytes(texts["words"]).split(END)[:-1]]
-    place = _words_of([t.split() for t in bodies], blocks)[2]
-    sizes = np.array(texts["sizes"], np.int64)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    tokens, types, ends = totals
+    words = _words_in_blocks({w for t in bodies for w in t.split()}, blocks)[0]
+    count = dict(zip(words, joined(WORDS, "<u8").tolist(), strict=True))
     all_ = float(tokens + types + 1)
-    add = lambda x: np.bincount(owner, x[place], len(sizes))
-    base = add(np.log10((c + 1) / all_)) + np.log10((ends + 1) / all_)
-    grams, lengths = _grams_of(bodies)
-    keys, back = np.unique(grams, return_inverse=True)
-    p = np.empty(len(keys))
-    p[_in_blocks(keys, blocks)[0]] = joined(GRAMS, "<f4")
-    score = np.bincount(np.repeat(np.arange(len(sizes)), lengths), p[back], len(sizes))
+    base, known = np.empty(len(bodies)), np.empty(len(bodies), np.int64)
+    for i, t in enumerate(bodies):
+        c = np.array([count[w] for w in t.split()] + [ends], float)
+        base[i], known[i] = np.log10((c + 1) / all_).sum(), np.count_nonzero(c)
+    keys = _different(bodies, np.zeros(len(bodies), bool))[0]
+    p = np.empty(len(keys), np.float32)
+    p[_in_blocks(keys, blocks, hot)[0]] = joined(GRAMS, "<f4")
+    score = np.zeros(len(bodies))
+    for some, owner in _pieces(bodies):
+        score += np.bincount(owner, p[np.searchsorted(keys, some)].astype(float), len(bodies))
     return pa.table({
         "id": pa.array(texts["ids"], pa.int64()), "held_out": pa.array(texts["held"], pa.bool_()),
-        "n_tokens": pa.array(sizes + 1, pa.int64()), "n_known": pa.array(add((c > 0).astype(float)).astype(np.int64) + (ends > 0), pa.int64()),
-        "train_tokens": pa.array(np.full(len(sizes), tokens), pa.int64()), "base_score": pa.array(base, pa.float64()),
-        "score": pa.array(score, pa.float64())})
+        "n_tokens": pa.array(np.array(texts["sizes"], np.int64) + 1), "n_known": pa.array(known),
+        "train_tokens": pa.array(np.full(len(bodies), tokens), pa.int64()), "base_score": pa.array(base), "score": pa.array(score)})
 
 
 def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -519,30 +285,32 @@ def score_texts(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     rows the model holds all symbols alike.  Other columns are not read.
     """
     src = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    blocks = text_blocks(src, "t", BLOCK_BYTES, BLOCKS)
+    size = src.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = max(BLOCKS, -(-size // BLOCK_BYTES))
     spark = df.sparkSession
-    rows = materialize(src.mapInArrow(lambda it: _gather(it, blocks), ROWS), "words")
+    hot = _hot_contexts(src, min(1.0, LOOK_BYTES / max(1, size)))
+    rows = materialize(src.mapInArrow(lambda it: _gather(it, blocks, hot), ROWS), "words")
     asked = rows.where(F.col("kind") != TEXTS).select("block", "gid", "kind", "words", "counts")
-    stats = asked.groupBy("kind", "block").applyInArrow(_block_stats, STATS).groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    stats = stats.toArrow()  # at most 256^3 arcs, and the states
-    kinds, key, n = (stats.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "key", "n"))
+    stats = asked.groupBy("kind", "block").applyInArrow(lambda t: _block_stats(t, hot), STATS).groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    stats = stats.toArrow()  # at most 256^3 arcs, 256 a hot context, and the states
+    kinds, key, n = (stats.column(c).to_numpy() for c in ("kind", "key", "n"))
 
     def of(kind):
-        k, v = key[kinds == kind], n[kinds == kind].astype(np.int64)
-        order = np.argsort(k)
+        k, v = key[kinds == kind], n[kinds == kind]
+        order = np.argsort(k.view(np.uint64))
         return k[order], v[order]
 
-    arcs, arc_n = of("arc")
     escapes = [np.zeros(C.STATES, np.int64) for _ in range(2)]
-    for x, kind in zip(escapes, ("new", "old"), strict=True):
+    for x, kind in zip(escapes, (NEW, OLD), strict=True):
         at, v = of(kind)
         x[at] = v
+    part = {k: (of(ARC + k)[0].view(np.uint64), of(ARC + k)[1]) for k in range(C.SHARED, C.ORDER)}
     ends = rows.where(F.col("kind") == TEXTS).select(F.explode("held").alias("h")).where("NOT h").count()
-    totals = (int(of("tokens")[1].sum()) + ends, int(of("types")[1].sum()) + (ends > 0), ends)
-    model = spark.sparkContext.broadcast(C.Model(arcs.astype(np.uint64), arc_n, *escapes))
-    scored = asked.groupBy("kind", "block").applyInArrow(lambda t: _score_rows(t, model.value), ROWS)
+    totals = (int(of(TOKENS)[1].sum()) + ends, int(of(TYPES)[1].sum()) + (ends > 0), ends)
+    model = spark.sparkContext.broadcast(C.Model(part, *escapes))
+    scored = asked.groupBy("kind", "block").applyInArrow(lambda t: _score_rows(t, model.value, hot), ROWS)
     scored = scored.unionByName(rows.where(F.col("kind") == TEXTS))  # the texts skip the blocks
-    return scored.groupBy("gid").applyInArrow(lambda t: _score_texts(t, totals, blocks), SCORED)
+    return scored.groupBy("gid").applyInArrow(lambda t: _score_texts(t, totals, blocks, hot), SCORED)
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,16 +31,134 @@ def test_shuffled_text_scores_lower(table):
     assert all(score[x] < score[i] - 5 for x, i in shuffled.items())
 
 
-def test_symbols_of_every_context_sum_to_one():
-    text = b"the thin thing that they think of then\t" * 3 + b"other texts\t"
+TEXT = b"the thin thing that they think of then\t" * 3 + b"other texts\t"
+
+
+def trained(text, hot, blocks=1):
+    """Different grams, and the model with the own arcs of each block."""
     keys, n = np.unique(C.grams(np.frombuffer(b"\t" * C.ORDER + text, np.uint8), np.array([len(text)])), return_counts=True)
-    *own, low = L._own(keys, n)
-    new, old = (sum(x) for x in zip(*(o.left_out() for o in own), strict=True))
-    model = C.Model(low.arcs, low.n, new, old)
+    block = C.blocks_of(keys, blocks, hot)
+    parts, new, old, own = {}, 0, 0, []
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for b in range(blocks):
+        mine, shared = C.block_arcs(keys[block == b], n[block == b], hot)
+        own.append(mine)
+        for k, x in shared.items():
+            parts[k] = C.added(parts.get(k, none), x)
+        more = [C.Order(k, *x).left_out() for k, x in mine.items()]
+        new, old = new + sum(x for x, _ in more), old + sum(x for _, x in more)
+    return keys, C.Model(parts, new, old), own
+
+
+def all_hot(text):
+    keys = np.unique(C.grams(np.frombuffer(b"\t" * C.ORDER + text, np.uint8), np.array([len(text)])))
+    return {k: np.unique(keys & C.mask(k)) for k in range(C.SHARED + 1, C.ORDER)}
+
+
+def test_symbols_of_every_context_sum_to_one():
+    keys, model, (own,) = trained(TEXT, {})
     for context in (b"he thi", b"xxxxhe", b"zzzzzt", b"zzzzzz", b"\t" * 6):
         high = sum(b << 8 * (k + 1) for k, b in enumerate(context))
         asked = np.array([high | s for s in range(256)], np.uint64)
-        assert (10 ** model.log10(asked, L._own(keys, n)[:-1])).sum() == pytest.approx(1)
+        assert (10 ** model.log10(asked, own)).sum() == pytest.approx(1)
+
+
+@pytest.mark.parametrize("which", ["all", "few"])
+def test_hot_contexts_change_nothing(which):
+    want, plain, (own,) = trained(TEXT, {})
+    hot = all_hot(TEXT)
+    if which == "few":  # a longer context is hot only if its shorter ones are
+        hot = {3: hot[3][::2]}
+    keys, model, split = trained(TEXT, hot, 5)
+    block = C.blocks_of(keys, 5, hot)
+    got = np.empty(len(keys))
+    for b in range(5):
+        got[block == b] = model.log10(keys[block == b], split[b])
+    assert np.allclose(got, plain.log10(want, own), rtol=1e-12)
+
+
+class Plain:
+    """PPM with dictionaries, byte by byte, as the module's text defines it."""
+
+    def __init__(self, texts):
+        self.count = {}
+        for t in texts:
+            t = b"\t" * C.ORDER + t
+            for i in range(C.ORDER, len(t)):
+                c = self.count.setdefault(t[i - C.ORDER:i], {})
+                c[t[i]] = c.get(t[i], 0) + 1
+        longer = dict(self.count)
+        for k in range(C.ORDER - 1, -1, -1):
+            shorter = {}
+            for context, symbols in longer.items():
+                for s in symbols:  # each different longer arc counts once
+                    c = shorter.setdefault(context[1:], {})
+                    c[s] = c.get(s, 0) + 1
+            self.count |= shorter
+            longer = shorter
+        self.new, self.old = {}, {}
+        for context, c in self.count.items():
+            t, d, ones = sum(c.values()), len(c), sum(n == 1 for n in c.values())
+            if t > 1:
+                a, b = self.state(context, t - 1, max(d - 1, 1)), self.state(context, t - 1, d)
+                self.new[a] = self.new.get(a, 0) + ones
+                self.old[b] = self.old.get(b, 0) + t - ones
+
+    @staticmethod
+    def state(context, t, d):
+        def size(x):
+            return x if x <= 4 else x.bit_length() + 2
+        blank = max(context.rfind(b" "), context.rfind(b"\t"))
+        return len(context), len(context) - 1 - blank if blank >= 0 else len(context), min(size(t), 63), min(size(d), 15)
+
+    def escape(self, context, t, d):
+        s = self.state(context, t, d)
+        new, old = self.new.get(s, 0), self.old.get(s, 0)
+        return (new + 0.5) / (new + old + 1) if new + old else d / (t + d)
+
+    def log10(self, text):
+        t, total = b"\t" * C.ORDER + text, 0.0
+        for i in range(C.ORDER, len(t)):
+            gone = set()
+            for k in range(C.ORDER, -1, -1):
+                c = self.count.get(t[i - k:i])
+                if c is None:
+                    gone = set()
+                    continue
+                n, free = sum(c.values()), sum(x for s, x in c.items() if s not in gone)
+                e = self.escape(t[i - k:i], n, len(c))
+                whole = (1 - e) * free + e * n
+                if t[i] in c:
+                    total += np.log10((1 - e) * c[t[i]] / whole)
+                    break
+                total += np.log10(e * n / whole)
+                gone = set(c)
+            else:
+                total -= np.log10(256 - len(self.count.get(b"", {})))
+        return total
+
+
+def test_scores_equal_a_brute_force_ppm(table, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(ordered(rng, rng.randint(0, 30)))) for i in range(150)] + [(200 + i, "é日本 " * i + "Zebra") for i in range(20)]
+    rows += [(300, None), (301, ""), (302, "unheard-of bytes \u00ff\x01")]
+    closed = {i: b" ".join(L.split(t)) + b"\t" for i, t in rows}
+    plain = Plain([t for i, t in closed.items() if not L.is_held_out(i)])
+    want = {i: plain.log10(t) for i, t in closed.items()}
+    for hot in (1024, 20):
+        monkeypatch.setattr(L, "HOT", hot)
+        got = {r.id: r.score for r in L.score_texts(table(rows)).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[i] == pytest.approx(want[i], rel=1e-5) for i in want)
+
+
+def test_pieces_of_long_texts_lose_no_gram(monkeypatch):
+    bodies = [b"abcdefghijklmnopqrstuvwxyz" * 9 + b"\t", b"\t", b"short\t", b"x" * 99 + b"\t"]
+    whole = [(k.tolist(), o.tolist()) for k, o in L._pieces(bodies)]
+    monkeypatch.setattr(L, "PIECE_BYTES", 16)
+    pieces = [(k.tolist(), o.tolist()) for k, o in L._pieces(bodies)]
+    assert len(pieces) > 10 > len(whole)
+    assert [sum((x[i] for x in pieces), []) for i in (0, 1)] == [sum((x[i] for x in whole), []) for i in (0, 1)]
 
 
 def test_blocks_and_buffers_change_nothing(table, monkeypatch):
@@ -52,5 +170,6 @@ def test_blocks_and_buffers_change_nothing(table, monkeypatch):
     assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-6)
 
 
-def test_no_sample_is_gathered():
-    assert not hasattr(L, "bounded_sample")
+def test_an_empty_table_finds_no_hot_context(spark):
+    src = spark.createDataFrame([], "id long, t string")
+    assert all(len(x) == 0 for x in L._hot_contexts(src, 1.0).values())
