@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import is_empty, materialize, read_table
+from .common import drop_tables, is_empty, materialize, read_table
 
 TURN, END = "<|turn|>", "<|end|>"
 #: Control strings that texts must not contain literally.
@@ -80,7 +80,7 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
     nodes = materialize(nodes.select("conv", "id", "parent"), "nodes")
     up = materialize(nodes.join(nodes.select("conv", F.col("id").alias("parent")), ["conv", "parent"])
                      .select("conv", F.col("id").alias("node"), F.col("parent").alias("above")), "up")
-    roots = nodes.select("conv", F.col("id").alias("node")).join(up, ["conv", "node"], "left_anti")
+    roots = materialize(nodes.select("conv", F.col("id").alias("node")).join(up, ["conv", "node"], "left_anti"), "roots")
     paths = nodes.join(up.select("conv", F.col("above").alias("id")), ["conv", "id"], "left_anti").select(
         "conv", F.col("id").alias("leaf"), F.col("id").alias("node"), F.lit(0).cast("long").alias("dist"))
     paths = materialize(paths, "paths")
@@ -90,12 +90,17 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
             "conv", "leaf", F.col("above").alias("node"), (F.col("dist") + step).alias("dist")), "paths")
         if is_empty(new):
             break
-        paths, step = paths.unionByName(new), 2 * step
+        # written once: a plan that grows by every earlier round would be planned again for each use
+        before = (paths, new)
+        paths, step = materialize(paths.unionByName(new), "paths"), 2 * step
+        drop_tables(*before)
         if step < longest:
             up = materialize(up.join(up.select("conv", F.col("node").alias("above"), F.col("above").alias("next")), ["conv", "above"])
                              .select("conv", "node", F.col("next").alias("above")), "up")
-    rooted = paths.join(roots, ["conv", "node"], "left_semi").select("conv", "leaf")
-    return paths.join(rooted, ["conv", "leaf"], "left_semi")
+    rooted = materialize(paths.join(roots, ["conv", "node"], "left_semi").select("conv", "leaf"), "rooted")
+    out = materialize(paths.join(rooted, ["conv", "leaf"], "left_semi"), "paths")
+    drop_tables(paths, rooted, roots, up)
+    return out
 
 
 FORMATTED = "conv_id {conv}, leaf {id}, rank long, score double, formatted string, loss_spans array<struct<start:long,end:long>>"

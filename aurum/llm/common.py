@@ -46,13 +46,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_table(df: DataFrame) -> None:
-    """Delete the files under a frame made by :func:`materialize` (a loop's last state)."""
-    jvm, files = df.sparkSession._jvm, df.inputFiles()
-    if files:
-        p = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        if p.getName().startswith("aurum-"):
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+def drop_tables(*frames: DataFrame) -> None:
+    """Delete the files under frames made by :func:`materialize` that nothing reads any more."""
+    for df in frames:
+        jvm, files = df.sparkSession._jvm, df.inputFiles()
+        if files:
+            p = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            if p.getName().startswith("aurum-"):
+                p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def text_blocks(df: DataFrame, text: str, block_bytes: int, least: int) -> int:

@@ -56,3 +56,12 @@ def test_long_thread_null_ids_and_repeats(spark):
     assert got[7] == [(r[2], r[3]) for r in rows[:70]]
     assert got[None] == [("user", "n"), ("", "")] and got[8] == [("user", "x")] * 2
     assert format_trees(threads(df.limit(0))).count() == 0
+
+
+def test_the_plan_does_not_grow_with_the_turns(spark):
+    for turns in (8, 600):
+        df = spark.range(turns).selectExpr("7L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "string(id) AS text")
+        out = format_trees(threads(df))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Join") <= 20
+    assert len(parse_turns(out.collect()[0].formatted)) == 600
