@@ -58,29 +58,35 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked, snaps
                invalidate_hard_deletes: bool = True) -> DataFrame:
     """Merge one full snapshot taken at ``snapshot_ts`` into a history."""
     tracked = list(tracked)
-    ts = F.lit(snapshot_ts).cast(history.schema["valid_from"].dataType)
     closed = history.filter(F.col("valid_to").isNotNull())
-    cur = history.filter(F.col("valid_to").isNull())
+    step = scd2_step(history.filter(F.col("valid_to").isNull()), snapshot, key, tracked, snapshot_ts, invalidate_hard_deletes)
+    return (closed.select(key, *tracked, "_change_hash", "valid_from", "valid_to")
+            .withColumn("is_current", F.col("valid_to").isNull()).unionByName(step))
+
+
+def scd2_step(current: DataFrame, snapshot: DataFrame, key: str, tracked, snapshot_ts,
+              invalidate_hard_deletes: bool = True) -> DataFrame:
+    """What becomes of the open rows: those that stay open or are opened by the
+    snapshot (``is_current``), and those that it closes.  Closed rows of earlier
+    runs are not needed.  One full outer join; a row emits at most two."""
+    tracked = list(tracked)
+    kinds = current.schema["valid_from"].dataType, current.schema["valid_to"].dataType
+    ts = F.lit(snapshot_ts)
     snap = snapshot.select(key, *tracked).withColumn("_change_hash", _h(tracked))
-    j = cur.alias("c").join(snap.alias("s"), key, "full")
+    j = current.alias("c").join(snap.alias("s"), key, "full")
     c_h, s_h = F.col("c._change_hash"), F.col("s._change_hash")
-    cur_cols = [key] + [F.col(f"c.{t}").alias(t) for t in tracked] + [c_h.alias("_change_hash")]
-    new_cols = [key] + [F.col(f"s.{t}").alias(t) for t in tracked] + [s_h.alias("_change_hash")]
-    unchanged = j.filter(c_h.isNotNull() & s_h.isNotNull() & (c_h == s_h)).select(
-        *cur_cols, F.col("c.valid_from").alias("valid_from"), F.col("c.valid_to").alias("valid_to"))
+
+    def row(side, start, end):
+        return F.struct(*[F.col(f"{side}.{t}").alias(t) for t in tracked], F.col(f"{side}._change_hash").alias("_change_hash"),
+                        start.cast(kinds[0]).alias("valid_from"), end.cast(kinds[1]).alias("valid_to"))
+
+    none, begun = F.lit(None), F.col("c.valid_from")
     changed = c_h.isNotNull() & s_h.isNotNull() & (c_h != s_h)
     gone = c_h.isNotNull() & s_h.isNull()
-    close_cond = changed | gone if invalidate_hard_deletes else changed
-    closing = j.filter(close_cond).select(*cur_cols, F.col("c.valid_from").alias("valid_from"),
-                                          ts.alias("valid_to"))
-    if not invalidate_hard_deletes:
-        closing = closing.unionByName(j.filter(gone).select(
-            *cur_cols, F.col("c.valid_from").alias("valid_from"), F.col("c.valid_to").alias("valid_to")))
-    opening = j.filter(changed | c_h.isNull()).select(
-        *new_cols, ts.alias("valid_from"),
-        F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"))
-    out = closed.select(key, *tracked, "_change_hash", "valid_from", "valid_to")
-    return (out.unionByName(unchanged).unionByName(closing).unionByName(opening)
+    closes = changed | gone if invalidate_hard_deletes else changed
+    rows = F.array(F.when(closes, row("c", begun, ts)).when(c_h.isNotNull(), row("c", begun, none)),
+                   F.when(changed | c_h.isNull(), row("s", ts, none)))
+    return (j.select(key, F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("_r")).select(key, "_r.*")
             .withColumn("is_current", F.col("valid_to").isNull()))
 
 

@@ -48,6 +48,20 @@ def assert_unique_keys(source: DataFrame, keys, null_safe: bool = False) -> None
         raise DuplicateKeyError(f"source has duplicate merge keys, e.g. {[r.asDict() for r in sample]}")
 
 
+def new_rows(target: DataFrame, source: DataFrame, keys, null_safe: bool = False) -> DataFrame:
+    """J-07: the source rows whose key the target lacks (NULL keys match only
+    where ``null_safe``).  The target's keys are first reduced to those of the
+    source, so that a small source is broadcast and only matches are shuffled."""
+    keys = _keys(keys)
+
+    def match(prefix):
+        return [F.col(f"{prefix}{k}").eqNullSafe(F.col(k)) if null_safe else F.col(f"{prefix}{k}") == F.col(k) for k in keys]
+
+    wanted = source.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
+    there = target.select(*keys).join(wanted, match("__s_"), "left_semi").distinct().select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    return source.join(there, match("__t_"), "left_anti")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys, update_columns=None, insert_only: bool = False,
            null_safe: bool = False) -> DataFrame:
     """Merged content of ``target`` after ``MERGE source ON keys``.
@@ -62,9 +76,9 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_columns=None, inse
     lacks keeps its value in matched rows.
     """
     keys = _keys(keys)
-    if insert_only:
-        update_columns = []
-    elif update_columns is not None:
+    if insert_only:  # no matched row changes: the target as it is, and the new rows
+        return target.unionByName(new_rows(target, source, keys, null_safe), allowMissingColumns=True)
+    if update_columns is not None:
         update_columns = list(update_columns)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     loose = []

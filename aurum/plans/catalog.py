@@ -128,17 +128,19 @@ import datetime as _dt  # noqa: E402
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from aurum.functions.columns import is_valid_email, micro_avg  # noqa: E402
+from aurum.functions.columns import is_valid_email, micro_avg, surrogate_key  # noqa: E402
 from aurum.functions.privacy import apply_policy, drop_pii, mask_email, mask_phone, salted_hash  # noqa: E402
 from aurum.operators import diff, quality, scd, upsert  # noqa: E402
 from aurum.operators.dedup import dedup_latest, duplicate_keys  # noqa: E402
-from aurum.plans import dq, gold, reports, silver  # noqa: E402
+from aurum.plans import dq, gold, increments, reports, silver  # noqa: E402
 from aurum.plans.silver import SALES_TIEBREAK  # noqa: E402
 from aurum.sources import adapters  # noqa: E402
 
 # first load = rows ingested before this instant; the rest is the next batch
 BATCH_CUTOFF = _dt.datetime(1998, 1, 1)
+EVENTS_CUTOFF = _dt.datetime(2024, 1, 20)
 SCD_AS_OF = _dt.datetime(1998, 1, 1)
+SNAPSHOTS = (_dt.datetime(1995, 1, 1), _dt.datetime(1997, 1, 1))
 SALES_COMPARE = ["store_id", "product_sku", "quantity", "amount_local", "currency", "payment_method",
                  "transaction_date", "customer_email_hashed", "amount_usd"]
 
@@ -227,6 +229,71 @@ def _incremental_filter(b: Bed):
     return _drop_audit(upsert.incremental_batch(b.stg("sales"), _first_load(b)))
 
 
+# ---------------------------------------------------------------- S-10: a first load, then one batch
+def _split(b: Bed, feed: str, cutoff):
+    """The feed's first load and the batch after it."""
+    early = F.col("_loaded_at") < F.lit(cutoff).cast("timestamp_ntz")
+    return b.stg(feed).where(early), b.stg(feed).where(~early | early.isNull())
+
+
+@query("sales_incremental")
+def _sales_incremental(b: Bed):
+    """M-06 / S-10: touched transactions from all their copies replace the stored ones."""
+    first, batch = _split(b, "sales", BATCH_CUTOFF)
+    stored = silver.sales_transactions_cleaned(first, b.sales_settings)
+    own, rows = increments.sales_changes(b.stg("sales"), batch, b.sales_settings)
+    return _drop_audit(upsert.replace_scope(stored, rows, own))
+
+
+@query("sessions_incremental")
+def _sessions_incremental(b: Bed):
+    """M-09 / S-10: touched sessions from all their events."""
+    first, batch = _split(b, "web_events", EVENTS_CUTOFF)
+    stored = silver.web_sessions_enriched(first, b.events_settings, keep_bots=True)
+    own, rows = increments.session_changes(b.stg("web_events"), batch, b.events_settings)
+    return upsert.replace_scope(stored, rows, own).where("NOT is_bot")
+
+
+@query("inventory_incremental")
+def _inventory_incremental(b: Bed):
+    """M-08 / W-03 / S-10: running stock carried on from the stored balances."""
+    first, batch = _split(b, "inventory", BATCH_CUTOFF)
+    movements = silver.latest_movements(first)
+    stored = silver.running_stock(silver.daily_flows(movements))
+    now, starts = increments.movement_changes(movements, batch)
+    rows = increments.stock_rows(stored, movements, now, starts)
+    return increments.stock_kept(stored, starts).unionByName(rows)
+
+
+@query("iot_incremental")
+def _iot_incremental(b: Bed):
+    """M-10 / A-04 / S-10: statistics merged from moments, days with moved groups scored again."""
+    first, batch = _split(b, "iot", EVENTS_CUTOFF)
+    readings = increments.latest_readings(first)
+    moments = increments.day_moments(readings)
+    stored = silver.iot_readings_validated(readings, b.events_settings, stats=increments.merged_stats(moments))
+    change = increments.sensor_changes(stored, moments, batch)
+    again = increments.rescored(increments.only(stored, change.days), batch, change.stats, b.events_settings)
+    return increments.only(stored, change.days, "left_anti").unionByName(again)
+
+
+@query("customer_snapshot")
+def _customer_snapshot(b: Bed):
+    """M-16 / S-11: history from two snapshots of the customers; the second lacks
+    some, changes some and adds some."""
+    ch = reports.customer_priority_changes(b.table("orders")).withColumn("_h", surrogate_key("priority_tier"))
+
+    def at(t):
+        seen = ch.where(F.col("updated_at") <= F.lit(t).cast("timestamp_ntz"))
+        return dedup_latest(seen, "customer_id", "updated_at", ["_h"]).drop("updated_at", "_h")
+
+    empty = at(SNAPSHOTS[0]).limit(0).selectExpr(
+        "*", "CAST(NULL AS string) AS _change_hash", "CAST(NULL AS timestamp_ntz) AS valid_from", "CAST(NULL AS timestamp_ntz) AS valid_to")
+    one = scd.scd2_step(empty, at(SNAPSHOTS[0]), "customer_id", ["priority_tier"], SNAPSHOTS[0])
+    later = at(SNAPSHOTS[1]).where(~F.col("customer_id").endswith("7"))
+    return scd.scd2_step(one.drop("is_current"), later, "customer_id", ["priority_tier"], SNAPSHOTS[1]).drop("_change_hash")
+
+
 @query("customers_by_region")
 def _by_region(b: Bed):
     """J-08: sessions per region through the broadcast countries seed."""

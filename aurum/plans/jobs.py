@@ -3,18 +3,19 @@ notebooks and their daily workflow), over a ``root/layer/domain/table`` path
 layout.  Each job is idempotent: re-running it on the same inputs leaves the
 same tables.
 
-Incremental silver follows SURVEY §7.4 (D11): results that depend on more
-than the new rows are recomputed for the *touched* keys from the full bronze
-input, never from the batch alone, and replace all stored rows of those keys
-(``merge_into_path(scope=...)``), so a key that no longer qualifies goes:
+Incremental silver follows SURVEY §7.4 (D11): results that depend on more than
+the new rows are recomputed for what the batch touches, never from the batch
+alone (``plans.increments``), and replace the stored rows:
 
 * sales — transactions with new rows, recomputed from all their copies;
 * customers — full extract, so the table is replaced;
-* inventory — every (sku, warehouse) that any version of a newly moved
-  movement names is recomputed over its whole bronze history (running stock);
+* inventory — the running stock of every (sku, warehouse) that any version of a
+  newly moved movement names, from its first touched day on; the latest version
+  of each movement is a table of its own, which also holds the job's mark;
 * web sessions — touched sessions recomputed from all their events; the table
   keeps ``is_bot`` rows flagged and readers take ``NOT is_bot``;
-* IoT — new readings scored against statistics of the full bronze history.
+* IoT — moments per (day, sensor type, unit) are stored in the table's folder and
+  change by the same commit; days whose groups' statistics moved are scored again.
 
 Rows at the high-water mark are taken again (``inclusive``), since rows may
 arrive late with the mark's own time; replacing makes that harmless.
@@ -27,10 +28,14 @@ from pyspark.sql import functions as F
 
 from aurum.config import Settings, checkpoint_dir
 from aurum.operators import quality
-from aurum.operators.scd import scd2_merge
+from aurum.operators.scd import scd2_step
 from aurum.operators.upsert import incremental_batch
-from aurum.plans import gold, silver, staging
-from aurum.sources.sinks import _exists, drop_expired, layer_path, merge_into_path, replace_path, write_path
+from aurum.plans import gold, increments, silver, staging
+from aurum.plans.increments import only
+from aurum.sources import tables
+from aurum.sources.sinks import (
+    append_batch, cut, discard, drop_expired, layer_path, merge_into_path, read_side, replace_partitions, replace_path, write_path,
+)
 
 # Domain and table of each layer's declared tables.
 BRONZE = {"sales": ("sales", "raw_sales_transactions"), "customers": ("customers", "raw_customer_profiles"),
@@ -52,95 +57,114 @@ def _p(settings: Settings, layer: str, spec) -> str:
 
 def read(spark: SparkSession, settings: Settings, layer: str, name: str) -> DataFrame:
     spec = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}[layer][name]
-    df = spark.read.option("mergeSchema", "true").parquet(_p(settings, layer, spec))
+    df = tables.load(spark, _p(settings, layer, spec))
     part = BRONZE_PARTITION.get(name) if layer == "bronze" else None
     return df.drop(part) if part else df
 
 
 # ------------------------------------------------------------------ bronze
-def bronze_job(spark: SparkSession, settings: Settings, feeds: dict[str, DataFrame]) -> None:
+def bronze_job(spark: SparkSession, settings: Settings, feeds: dict[str, DataFrame], batch_id: str | None = None) -> None:
     """Append each raw feed with its ingest date as partition (customers:
-    full extract, overwritten).  Rows already present (same content) are not
-    appended again, so a retried run adds nothing."""
+    full extract, overwritten).  A batch that is already stored is not appended
+    again, so a retried run adds nothing; without a ``batch_id`` a batch is named
+    by its content (``sinks.append_batch``)."""
     for name, df in feeds.items():
         path = _p(settings, "bronze", BRONZE[name])
         if name == "customers":
             replace_path(spark, df, path)
             continue
         part = BRONZE_PARTITION[name]
-        df = df.withColumn(part, F.to_date("_ingested_at"))
-        if _exists(spark, path):
-            df = _not_yet_stored(df, spark.read.parquet(path), part)
-        write_path(df, path, "append", [part])
+        append_batch(spark, df.withColumn(part, F.to_date("_ingested_at")), path, [part], batch_id)
 
 
-def _not_yet_stored(batch: DataFrame, stored: DataFrame, part: str) -> DataFrame:
-    """Rows of ``batch`` with no identical row in ``stored`` (NULLs compare
-    equal).  Only the ingest-date partitions the batch writes are read: their
-    list is bounded by the batch's date span and becomes a literal partition
-    filter at the scan."""
-    days = [r[0] for r in batch.select(part).distinct().collect()]
-    stored = stored.withColumn(part, F.col(part).cast("date")).filter(F.col(part).isin(days))
-    b, s = batch.alias("b"), stored.alias("s")
-    cond = [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in batch.columns]
-    return b.join(s, cond, "left_anti")
+# ------------------------------------------------------------------ silver
+MOVEMENTS = ("operations", "inventory_movements_latest")
+MOMENTS = "_moments"
 
 
-# ------------------------------------------------------------------ silver
 def silver_job(spark: SparkSession, settings: Settings) -> None:
     checkpoint_dir(spark)
     b = {n: staging.STAGING[n](read(spark, settings, "bronze", n)) for n in BRONZE}
 
-    def target(name):
-        path = _p(settings, "silver", SILVER[name])
-        return path, (spark.read.parquet(path) if _exists(spark, path) else None)
-
-    def touched(name, tgt, cols):
-        return incremental_batch(b[name], tgt, inclusive=True).select(*cols).distinct()
+    def target(spec):
+        path = _p(settings, "silver", spec)
+        return path, (tables.load(spark, path) if tables.exists(spark, path) else None)
 
     # sales: transactions with new rows, from all their copies
-    path, tgt = target("sales")
-    rows, own = b["sales"], touched("sales", tgt, ["transaction_id"])
-    if tgt is not None:
-        rows = _only(rows, own)
-    new = silver.sales_transactions_cleaned(rows, settings)
+    path, tgt = target(SILVER["sales"])
+    own, new = increments.sales_changes(b["sales"], incremental_batch(b["sales"], tgt, inclusive=True), settings)
+    own = cut(own, "own")
     new = new.withColumn("transaction_day", F.to_date("transaction_date"))
     merge_into_path(spark, new, path, "transaction_id", partition_by="transaction_day", scope=own)
 
     # customers: the extract is complete, so the table is what it gives
-    path, _ = target("customers")
+    path, _ = target(SILVER["customers"])
     replace_path(spark, silver.customers_cleaned(b["customers"], settings), path)
 
-    # inventory: (sku, warehouse) pairs that a moved movement names now or named before
-    path, tgt = target("inventory")
-    pair = ["product_sku", "warehouse_id"]
-    moves, own = b["inventory"], b["inventory"].select(*pair).distinct()
-    if tgt is not None:
-        own = _only(moves, touched("inventory", tgt, ["movement_id"])).select(*pair).distinct()
-        # all versions of every movement that any version puts into these pairs
-        moves = _only(moves, _only(moves, own).select("movement_id").distinct())
-    snaps = _only(silver.inventory_snapshots(moves), own)
-    merge_into_path(spark, snaps, path, "surrogate_key", partition_by="snapshot_date", scope=own)
-
     # sessions: touched sessions recomputed from all their events; bots kept flagged
-    path, tgt = target("sessions")
-    events, own = b["web_events"], touched("web_events", tgt, ["session_id"])
-    if tgt is not None:
-        events = _only(events, own)
-    sess = silver.web_sessions_enriched(events, settings, keep_bots=True)
-    merge_into_path(spark, sess, path, ["session_id", "user_id"], partition_by="event_date", null_safe=True, scope=own)
-
-    # IoT: new readings scored against full-history statistics
-    path, tgt = target("iot")
-    stats = silver.sensor_stats(b["iot"])
-    val = silver.iot_readings_validated(incremental_batch(b["iot"], tgt, inclusive=True), settings, stats=stats)
-    merge_into_path(spark, val, path, "surrogate_key", partition_by="reading_date")
-
-
-def _only(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key is among ``keys`` (NULL equal to NULL)."""
-    own = keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
-    return df.join(own, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys.columns], "left_semi")
+    path, tgt = target(SILVER["sessions"])
+    ses, sess = increments.session_changes(b["web_events"], incremental_batch(b["web_events"], tgt, inclusive=True), settings)
+    ses = cut(ses, "own")
+    merge_into_path(spark, sess, path, ["session_id", "user_id"], partition_by="event_date", null_safe=True, scope=ses)
+    discard(own, ses)
+
+    _inventory_job(spark, b["inventory"], target)
+    _iot_job(spark, settings, b["iot"], target)
+
+
+def _values(df: DataFrame, column: str) -> list[str | None]:
+    """The different values of a partition column, as text."""
+    return [r[0] for r in df.select(F.col(column).cast("string")).distinct().collect()]
+
+
+def _inventory_job(spark: SparkSession, bronze: DataFrame, target) -> None:
+    """Snapshots first, then movements: the mark is that of the movements, so a run
+    that stops in between is done again from the same state."""
+    (path, stored), (moves, movements) = target(SILVER["inventory"]), target(MOVEMENTS)
+    batch = cut(incremental_batch(bronze, movements, inclusive=True), "moves")
+    day = F.to_date("movement_date").alias("movement_day")
+    if stored is None or movements is None:
+        now = silver.latest_movements(batch)
+        replace_path(spark, silver.running_stock(silver.daily_flows(now)), path, ["snapshot_date"], key="surrogate_key")
+        replace_path(spark, now.select("*", day), moves, ["movement_day"], key="movement_id")
+        discard(batch)
+        return
+    now, starts = increments.movement_changes(movements.drop("movement_day"), batch)
+    now, starts = cut(now, "now"), cut(starts, "starts")
+    first = starts.agg(F.min("start")).first()[0]
+    if first is not None:
+        # only what lies behind the first touched day is read, by partition
+        since = movements.where((F.col("movement_day") >= F.lit(first)) | F.col("movement_day").isNull()).drop("movement_day")
+        rows = cut(increments.stock_rows(only(stored, starts.select(*increments.PAIR)), since, now, starts), "stock")
+        behind = stored.where((F.col("snapshot_date") >= F.lit(first)) | F.col("snapshot_date").isNull())
+        kept = increments.stock_kept(behind, starts)
+        gone = behind.join(kept.select("surrogate_key"), "surrogate_key", "left_anti")
+        days = _values(rows.select("snapshot_date").unionByName(gone.select("snapshot_date")), "snapshot_date")
+        out = tables.in_partitions(kept, "snapshot_date", days).unionByName(rows.select(*kept.columns))
+        replace_partitions(spark, out, path, "snapshot_date", days, "surrogate_key")
+        merge_into_path(spark, now.select("*", day), moves, "movement_id", partition_by="movement_day", null_safe=True)
+        discard(rows)
+    discard(batch, now, starts)
+
+
+def _iot_job(spark: SparkSession, settings: Settings, bronze: DataFrame, target) -> None:
+    path, stored = target(SILVER["iot"])
+    batch = cut(incremental_batch(bronze, stored, inclusive=True), "readings")
+    if stored is None:
+        rows = increments.latest_readings(batch)
+        moments = cut(increments.day_moments(rows), "moments")
+        stats = increments.merged_stats(moments)
+        replace_path(spark, silver.iot_readings_validated(rows, settings, stats=stats), path, ["reading_date"], key="surrogate_key",
+                     side={MOMENTS: moments})
+        discard(moments)
+    elif not batch.isEmpty():
+        change = increments.sensor_changes(stored, read_side(spark, path, MOMENTS), batch)
+        moments, stats = cut(change.moments, "moments"), cut(change.stats, "stats")
+        days = _values(change.days, "reading_date")
+        out = increments.rescored(tables.in_partitions(stored, "reading_date", days), batch, stats, settings)
+        replace_partitions(spark, out, path, "reading_date", days, "surrogate_key", side={MOMENTS: moments})
+        discard(moments, stats)
+    discard(batch)
 
 
 # ------------------------------------------------------------------ M-16
@@ -155,14 +179,16 @@ def snapshot_job(spark: SparkSession, settings: Settings, taken_at, columns=None
     path = _p(settings, "silver", SNAPSHOT)
     now = read(spark, settings, "silver", "customers")
     tracked = list(columns or SNAPSHOT_COLUMNS)
-    if _exists(spark, path):
-        history = spark.read.parquet(path)
-    else:
+    if not tables.exists(spark, path):
         empty = now.select("customer_id", *tracked).limit(0)
-        history = empty.selectExpr("*", "CAST(NULL AS string) AS _change_hash", "CAST(NULL AS timestamp_ntz) AS valid_from",
-                                   "CAST(NULL AS timestamp_ntz) AS valid_to", "CAST(NULL AS boolean) AS is_current")
-    replace_path(spark, scd2_merge(history, now, "customer_id", tracked, taken_at), path)
-    return spark.read.parquet(path)
+        empty = empty.selectExpr("*", "CAST(NULL AS string) AS _change_hash", "CAST(NULL AS timestamp_ntz) AS valid_from",
+                                 "CAST(NULL AS timestamp_ntz) AS valid_to", "CAST(NULL AS boolean) AS is_current")
+        replace_path(spark, empty, path, ["is_current"], key="customer_id")
+    # open rows are written anew, closed ones are added; files of earlier closed rows aren't touched
+    current = tables.in_partitions(tables.load(spark, path), "is_current", ["true"])
+    step = scd2_step(current, now, "customer_id", tracked, taken_at)
+    replace_partitions(spark, step, path, "is_current", ["true"], "customer_id", append=["false"])
+    return tables.load(spark, path)
 
 
 def silver_view(spark: SparkSession, settings: Settings, name: str) -> DataFrame:

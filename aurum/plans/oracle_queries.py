@@ -84,6 +84,30 @@ UNION ALL
 SELECT * FROM sales_next s WHERE NOT EXISTS (SELECT 1 FROM sales_first t WHERE s.transaction_id = t.transaction_id)""",
        "sales_first", "sales_next")
 oracle("incremental_filter", "SELECT * FROM next_stg", "next_stg")
+# an incremental run gives what a rebuild gives
+oracle("sales_incremental", "SELECT * FROM silver_sales", "silver_sales")
+oracle("sessions_incremental", "SELECT * EXCLUDE (landing_page) FROM silver_sessions", "silver_sessions")
+oracle("inventory_incremental", "SELECT * FROM silver_inventory", "silver_inventory")
+oracle("iot_incremental", "SELECT * FROM silver_iot", "silver_iot")
+
+
+def _at(t):
+    return f"""
+  SELECT customer_id, priority_tier FROM (
+    SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderpriority AS priority_tier, row_number() OVER (
+      PARTITION BY o_custkey ORDER BY o_orderdate DESC, {_skey('o_orderpriority')} DESC) AS rn
+    FROM orders WHERE CAST(o_orderdate AS TIMESTAMP) <= {t}) WHERE rn = 1"""
+
+
+_S1, _S2 = "TIMESTAMP '1995-01-01 00:00:00'", "TIMESTAMP '1997-01-01 00:00:00'"
+oracle("customer_snapshot", f"""
+SELECT a.customer_id, a.priority_tier, {_S1} AS valid_from, CASE WHEN b.priority_tier = a.priority_tier THEN NULL ELSE {_S2} END AS valid_to,
+       coalesce(b.priority_tier = a.priority_tier, FALSE) AS is_current
+FROM ({_at(_S1)}) a LEFT JOIN (SELECT * FROM ({_at(_S2)}) WHERE NOT ends_with(customer_id, '7')) b ON a.customer_id = b.customer_id
+UNION ALL
+SELECT b.customer_id, b.priority_tier, {_S2}, NULL, TRUE
+FROM ({_at(_S2)}) b LEFT JOIN ({_at(_S1)}) a ON a.customer_id = b.customer_id
+WHERE NOT ends_with(b.customer_id, '7') AND a.priority_tier IS DISTINCT FROM b.priority_tier""")
 oracle("customers_by_region", """
 SELECT coalesce(r.region, 'unknown') AS region, count(*) AS sessions, count(DISTINCT s.user_id) AS users
 FROM silver_sessions s LEFT JOIN seed_countries r ON s.country_code = r.country_code GROUP BY 1""",

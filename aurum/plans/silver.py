@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from aurum.config import Settings
 from aurum.functions.columns import (
-    INBOUND_TYPES, OUTBOUND_TYPES, TRANSFER_TYPES, age_bucket, elapsed_seconds,
+    INBOUND_TYPES, OUTBOUND_TYPES, TRANSFER_TYPES, age_bucket, audit_columns, elapsed_seconds,
     is_bot, is_valid_email, standardize_name, surrogate_key, url_param,
 )
 from aurum.functions.privacy import mask_phone, salted_hash
@@ -50,7 +50,11 @@ def sales_transactions_cleaned(stg: DataFrame, settings: Settings, fx_rates: Dat
     ``validate=False`` keeps non-positive rows and applies the negative clamp
     instead (P-08; with validation on the clamp is dead code, D13).
     """
-    latest = dedup_latest(stg, "transaction_id", "_loaded_at", SALES_TIEBREAK, drop_null_keys=True)
+    # what is a function of the picked row is made after the pick, not shuffled with every version
+    made = [c for c in ("surrogate_key", *AUDIT[1:]) if c in stg.columns]
+    latest = dedup_latest(stg.drop(*made), "transaction_id", "_loaded_at", SALES_TIEBREAK, drop_null_keys=True)
+    latest = latest.withColumn("surrogate_key", surrogate_key("transaction_id", "transaction_date"))
+    latest = latest.withColumns({k: v for k, v in audit_columns("_loaded_at").items() if k != "_loaded_at"})
     if validate:
         latest = latest.filter((F.col("amount") > 0) & (F.col("quantity") > 0))
     amount = F.when(F.col("amount") < 0, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("amount"))
@@ -104,9 +108,18 @@ def inventory_daily_flows(stg: DataFrame, unit_costs: DataFrame | None = None) -
     cost in cents is added as ``inbound_cost_cents``; the join meets the
     deduplicated movements, which are already partitioned by movement id.
     """
+    return daily_flows(latest_movements(stg), unit_costs)
+
+
+def latest_movements(stg: DataFrame) -> DataFrame:
+    """W-01: the latest version of each movement, with what the flows need."""
     mv = stg.select("movement_id", "product_sku", "warehouse_id", "movement_type", "quantity",
                     "movement_date", "_loaded_at")
-    latest = dedup_latest(mv, "movement_id", "_loaded_at", INVENTORY_TIEBREAK)
+    return dedup_latest(mv, "movement_id", "_loaded_at", INVENTORY_TIEBREAK)
+
+
+def daily_flows(latest: DataFrame, unit_costs: DataFrame | None = None) -> DataFrame:
+    """A-05: in/out/transfer per (day, sku, warehouse) of deduplicated movements."""
     aggs = [
         F.sum(_signed(INBOUND_TYPES, "quantity", 1)).cast("bigint").alias("inbound_qty"),
         F.sum(_signed(OUTBOUND_TYPES, "quantity", -1)).cast("bigint").alias("outbound_qty"),
@@ -146,13 +159,18 @@ def inventory_fifo_snapshots(stg: DataFrame, unit_costs: DataFrame) -> DataFrame
 def inventory_snapshots(stg: DataFrame, settings: Settings | None = None) -> DataFrame:
     """M-08: running stock per (sku, warehouse) over days (W-03).  The window
     partitions hold one row per day, so they stay small at any scale."""
-    flows = inventory_daily_flows(stg)
+    return running_stock(inventory_daily_flows(stg))
+
+
+def running_stock(flows: DataFrame, carried: Column | None = None) -> DataFrame:
+    """W-03 over daily flows; ``carried`` is the balance before a pair's first day."""
     w = (Window.partitionBy("product_sku", "warehouse_id").orderBy("movement_date")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stock = F.sum(F.col("inbound_qty") - F.col("outbound_qty")).over(w)
     return flows.select(
         F.col("movement_date").alias("snapshot_date"),
         "product_sku", "warehouse_id",
-        F.sum(F.col("inbound_qty") - F.col("outbound_qty")).over(w).alias("quantity_on_hand"),
+        (stock if carried is None else stock + carried).alias("quantity_on_hand"),
         "inbound_qty", "outbound_qty", "transfer_qty",
         surrogate_key("product_sku", "warehouse_id", "movement_date").alias("surrogate_key"),
         "_loaded_at",
@@ -160,22 +178,27 @@ def inventory_snapshots(stg: DataFrame, settings: Settings | None = None) -> Dat
 
 
 def _session_aggregate(stg: DataFrame) -> DataFrame:
+    """A-03 in two aggregates: first one row per (session, user, type, URL), so that
+    the distinct counts become plain sums; no row is copied per distinct count."""
     first = F.min(F.struct(
         F.col("event_timestamp").alias("ts"), F.col("event_id").alias("id"),
         F.col("device_type").alias("device_type"), F.col("browser").alias("browser"),
         F.col("country_code").alias("country_code"), F.col("referrer_url").alias("referrer_url"),
         F.col("page_url").alias("page_url"),
     ))
-    t = F.col("event_type")
-    return stg.groupBy("session_id", "user_id").agg(
-        F.min("event_timestamp").alias("session_start"),
-        F.max("event_timestamp").alias("session_end"),
-        F.count_distinct(F.when(t == "page_view", F.col("page_url"))).alias("pages_viewed"),
-        F.count_distinct(F.when(t == "purchase", F.col("page_url"))).alias("purchases"),
-        F.count_distinct(t).alias("distinct_event_types"),
-        first.alias("_first"),
-        F.min(F.to_date("event_timestamp")).alias("event_date"),
-        F.count(F.lit(1)).alias("_events"),
+    pages = stg.groupBy("session_id", "user_id", "event_type", "page_url").agg(
+        F.min("event_timestamp").alias("_start"), F.max("event_timestamp").alias("_end"), first.alias("_first"),
+        F.count(F.lit(1)).alias("_events"), F.max("_loaded_at").alias("_loaded_at"))
+    t, url = F.col("event_type"), F.col("page_url")
+    return pages.groupBy("session_id", "user_id").agg(
+        F.min("_start").alias("session_start"),
+        F.max("_end").alias("session_end"),
+        F.count(F.when(t == "page_view", url)).alias("pages_viewed"),
+        F.count(F.when(t == "purchase", url)).alias("purchases"),
+        F.size(F.collect_set(t)).cast("bigint").alias("distinct_event_types"),  # a handful of types
+        F.min("_first").alias("_first"),
+        F.min(F.to_date("_start")).alias("event_date"),
+        F.sum("_events").alias("_events"),
         F.max("_loaded_at").alias("_loaded_at"),
     )
 

@@ -38,8 +38,10 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def read_table_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """R-04: a table stored at a path (format configurable)."""
-    return spark.read.format(fmt).load(path)
+    """R-04: a table stored at a path (format configurable); a write that was
+    stopped after its commit is finished first, and a stored schema is used."""
+    from aurum.sources.tables import load
+    return load(spark, path, fmt)
 
 
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:

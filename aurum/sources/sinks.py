@@ -1,11 +1,12 @@
 """Writers and table maintenance (S-01…S-07, S-09, S-12…S-17, S-19, S-20).
 
-No table format is installed, so a keyed merge into a path is a Spark job:
-the source is cut off once with a reliable ``checkpoint()`` into the cluster's
-shared checkpoint folder, the merged rows (``operators.upsert``) are written to
-a staged folder beside the table, and then the touched partitions (or the whole
-table) are swapped in by renames.  A job that dies leaves the table as it was
-or a complete staged folder; the write never reads files it replaces.
+No table format is installed, so a keyed merge into a path is a Spark job: the
+source is written once to the cluster's shared checkpoint folder (its size is
+then known to the planner, so a small batch is broadcast and the table's keys
+stay where they are), the rows of the touched partitions are merged
+(``operators.upsert``) into a staged folder, and the folder is moved in by a
+commit that any later reader or writer can finish (``sources.tables``).  An
+insert-only merge appends files and rewrites none.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.config import Settings, checkpoint_dir
-from aurum.operators.upsert import assert_unique_keys, replace_scope, sync_schema, upsert
+from aurum.operators.upsert import assert_unique_keys, new_rows, replace_scope, sync_schema, upsert
+from aurum.sources import tables
+from aurum.sources.tables import folders, load
 
 
 # ------------------------------------------------------------------ S-17
@@ -97,56 +100,97 @@ def register_external(spark: SparkSession, name: str, location: str, fmt: str =
         spark.catalog.recoverPartitions(name)
 
 
-# ------------------------------------------------------------------ folders
-def _path(spark: SparkSession, path: str):
-    """The path and its file system, as Hadoop objects."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
-    return fs.exists(p)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _path(spark, path)
-    fs.delete(p, True)
-
-
-def _rename(spark: SparkSession, src: str, dest: str) -> None:
-    p, fs = _path(spark, src)
-    if not fs.rename(p, _path(spark, dest)[0]):
-        raise OSError(f"cannot rename {src} to {dest}")
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the partition folders directly under a path."""
-    p, fs = _path(spark, path)
-    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName()]
-
-
-def _staged(path: str) -> str:
-    return f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
-
-
-def _partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
-    """The folder name that Spark gives a partition value (NULL included)."""
-    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return utils.getPartitionPathString(column, value)
-
-
-def replace_path(spark: SparkSession, df: DataFrame, path: str, partition_by=None, fmt: str = "parquet") -> None:
+# ------------------------------------------------------------------ S-05
+def replace_path(spark: SparkSession, df: DataFrame, path: str, partition_by=None, fmt: str = "parquet", key: str | None = None,
+                 side: dict[str, DataFrame] | None = None) -> None:
     """S-05, full refresh: the new content is staged beside the table and takes
     its place as a whole, whatever the session's partition overwrite mode; no
-    partition of the old table survives."""
-    staged = _staged(path)
-    write_path(df, staged, "errorifexists", partition_by, fmt)
-    old = _staged(path) + "_old"
-    if _exists(spark, path):
-        _rename(spark, path, old)
-    _rename(spark, staged, path)
-    _delete(spark, old)
+    partition of the old table survives, and a table without rows keeps its
+    schema.  ``key`` names the column whose ranges later merges prune by, ``side``
+    frames to store with the table (:func:`read_side`)."""
+    tables.recover(spark, path)
+    staged = tables.staged_folder(path)
+    _write_staged(df, staged, partition_by, fmt, key)
+    for name, frame in (side or {}).items():
+        frame.write.parquet(f"{staged}/{name}")
+    tables.stage_meta(spark, staged, df.schema, list(partition_by or []), key, fmt)
+    tables.commit(spark, path, staged, "whole")
+
+
+def _write_staged(df: DataFrame, staged: str, partition_by, fmt: str, key: str | None) -> None:
+    if partition_by:
+        df = clustered_for_write(df, partition_by)
+    w = df.write.mode("errorifexists").format(fmt)
+    if key and fmt == "parquet":  # lets a scan for a few keys skip row groups
+        w = w.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    (w.partitionBy(*partition_by) if partition_by else w).save(staged)
+
+
+def cut(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, safe from
+    lost executors, of a size that the planner knows.  :func:`discard` deletes it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/aurum-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete what :func:`cut` has written, when nothing reads it any more."""
+    for df in frames:
+        files = df.inputFiles() if df is not None else []
+        if files:
+            folder = files[0].rpartition("/")[0]
+            if folder.rpartition("/")[2].startswith("aurum-"):
+                tables.delete(df.sparkSession, folder)
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values, key: str | None = None,
+                       append=(), side: dict[str, DataFrame] | None = None) -> None:
+    """The partitions of ``values`` (text or None) take the rows of ``df``, which has
+    no others; those in ``append`` only get them added.  ``side``: frames that are
+    stored in folders within the table and change with it (see :func:`read_side`)."""
+    meta, staged = tables.table_meta(spark, path), tables.staged_folder(path)
+    _write_staged(df, staged, [partition_by], "parquet", key)
+    for name, frame in (side or {}).items():
+        frame.write.parquet(f"{staged}/{name}")
+    there, new = set(folders(spark, path)), set(folders(spark, staged))
+    added = {tables.partition_folder(spark, partition_by, v) for v in append}
+    drop = {tables.partition_folder(spark, partition_by, v) for v in values} & there - new - added
+    tables.stage_meta(spark, staged, df.schema, [partition_by], key, "parquet", meta, drop, sorted(added & there & new))
+    tables.commit(spark, path, staged, "partitions", drop, added, sorted(side or {}))
+
+
+def read_side(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A frame that is stored within a table."""
+    tables.recover(spark, path)
+    return spark.read.parquet(f"{path.rstrip('/')}/{name}")
+
+
+def append_batch(spark: SparkSession, df: DataFrame, path: str, partition_by=None, batch_id: str | None = None, fmt: str = "parquet") -> bool:
+    """S-04: append one batch exactly once.  The batch's id is stored with its
+    files by the same commit, so a batch that is appended again adds nothing, while
+    equal rows of two batches both stay.  Without an id the batch is named by its
+    content (number of rows, and sums of row hashes that don't depend on
+    their order)."""
+    tables.recover(spark, path)
+    batch_id = batch_id or content_id(df)
+    if tables.path_exists(spark, f"{path.rstrip('/')}/_batch_{batch_id}"):
+        return False
+    staged = tables.staged_folder(path)
+    _write_staged(df, staged, partition_by, fmt, None)
+    tables.write_text(spark, f"{staged}/_batch_{batch_id}", "")
+    tables._path(spark, path)[1].mkdirs(tables._path(spark, path)[0])
+    tables.commit(spark, path, staged, "append")
+    return True
+
+
+def content_id(df: DataFrame) -> str:
+    """A name of the rows of a frame, whatever their order."""
+    h = [F.xxhash64(*df.columns), F.xxhash64(F.lit("second"), *df.columns)]
+    r = df.agg(F.count("*").alias("n"), *[F.sum(x.cast("decimal(20,0)")).alias(f"s{i}") for i, x in enumerate(h)],
+               *[F.bit_xor(x).alias(f"x{i}") for i, x in enumerate(h)]).first()
+    return uuid.uuid5(uuid.NAMESPACE_OID, "|".join(str(x) for x in r)).hex
 
 
 # ------------------------------------------------------------------ S-07 / S-08 / S-10 / S-12
@@ -159,7 +203,9 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str, keys, upd
     * duplicate source keys raise (a MERGE would be ambiguous);
     * partitioned tables rewrite only partitions that gain, lose or change
       rows (the old partition of a key that moved, and the NULL partition,
-      included) and remove those left empty;
+      included) and remove those left empty; only partitions whose range of the
+      first key column can hold a key of the source are searched for old rows;
+    * ``insert_only``: new keys are appended as new files, none is rewritten;
     * ``scope``: the keys that this batch has recomputed.  Their old rows go,
       whether or not the source still has a row for them;
     * ``partition_of_key``: declares that the partition is a function of the
@@ -167,59 +213,74 @@ def merge_into_path(spark: SparkSession, source: DataFrame, path: str, keys, upd
     * ``on_schema_change``: new columns are kept (``append_new_columns``), left
       out (``ignore``), an error (``fail``), or the table takes the source's
       columns (``sync_all_columns``, rewrites the table);
+    * a source without rows gives a table without rows, with its schema;
     * running the same merge twice yields the same table (idempotent).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    checkpoint_dir(spark)
-    source = source.checkpoint()  # computed once: checked, matched and merged below
-    scope = None if scope is None else scope.distinct().checkpoint()
-    assert_unique_keys(source, keys, null_safe)
-    if not _exists(spark, path):
-        replace_path(spark, source, path, [partition_by] if partition_by else None, fmt)
-        return _load(spark, path, fmt)
-    target = _load(spark, path, fmt)
-    if source.isEmpty() and (scope is None or scope.isEmpty()):
-        return target  # nothing new (a retried or idle incremental run): no rewrite
-    source = _with_schema_change(source, target, on_schema_change)
-    whole = on_schema_change == "sync_all_columns" and set(target.columns) != set(source.columns)
+    source = cut(source, "merge")  # computed once: checked, matched and merged below
+    scope = None if scope is None else cut(scope.distinct(), "scope")
+    try:
+        assert_unique_keys(source, keys, null_safe)
+        if not tables.exists(spark, path):
+            replace_path(spark, source, path, [partition_by] if partition_by else None, fmt, keys[0])
+        elif not source.isEmpty() or scope is not None and not scope.isEmpty():  # else: a retried or idle run rewrites nothing
+            _merge(spark, source, path, keys, update_columns, insert_only, partition_by, fmt, null_safe, scope, partition_of_key, on_schema_change)
+    finally:
+        discard(source, scope)
+    return load(spark, path, fmt)
+
+
+def _merge(spark, source, path, keys, update_columns, insert_only, partition_by, fmt, null_safe, scope, partition_of_key, on_schema_change) -> None:
+    target, meta = load(spark, path, fmt), tables.table_meta(spark, path)
+    changed = _with_schema_change(source, target, on_schema_change)
+    whole = on_schema_change == "sync_all_columns" and set(target.columns) != set(changed.columns)
+    if partition_by and meta is None:
+        # partition values come back type-inferred from directory names: align them
+        target = target.withColumn(partition_by, F.col(partition_by).cast(changed.schema[partition_by].dataType))
+    parts = [partition_by] if partition_by else []
 
     def merged(rows: DataFrame) -> DataFrame:
-        out = replace_scope(rows, source, scope) if scope is not None else upsert(
-            rows, source, keys, update_columns, insert_only, null_safe)
-        return out.select(*source.columns) if whole else out
+        out = replace_scope(rows, changed, scope) if scope is not None else upsert(
+            rows, changed, keys, update_columns, insert_only, null_safe)
+        return out.select(*changed.columns) if whole else out
 
+    own = scope if scope is not None else changed.select(*keys)
+    safe = null_safe or scope is not None
+    old = target  # the rows that can hold a key of the batch
     if partition_by:
-        # partition values come back type-inferred from directory names: align them
-        target = target.withColumn(partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType))
+        possible, few = tables.possible_partitions(spark, path, own, own.columns[0], safe)
+        if possible is not None:
+            old = tables.in_partitions(target, partition_by, [tables.value_of(n) for n in possible])
+        if few is not None and not safe:
+            old = old.where(F.col(own.columns[0]).isin(few)) if few else old.limit(0)
+    if insert_only and scope is None and not whole:
+        rows = new_rows(old, changed, keys, null_safe)
+        extra = [c for c in rows.columns if c not in target.columns]
+        rows = rows.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) if c in rows.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                             for c in target.columns], *extra)
+        staged = tables.staged_folder(path)
+        _write_staged(rows, staged, parts, fmt, keys[0])
+        there = set(folders(spark, path))
+        tables.stage_meta(spark, staged, rows.schema, parts, keys[0], fmt, meta, grown=[n for n in folders(spark, staged) if n in there])
+        tables.commit(spark, path, staged, "append")
+        return
     if not partition_by or whole:
-        replace_path(spark, merged(target), path, [partition_by] if partition_by else None, fmt)
-        return _load(spark, path, fmt)
+        replace_path(spark, merged(target), path, parts, fmt, keys[0])
+        return
     # partitions touched: where source rows land, and where matched target rows live now
-    touched = source.select(partition_by)
+    touched = changed.select(partition_by)
     if scope is not None or not partition_of_key:
-        own = scope if scope is not None else source.select(*keys)
-        safe = null_safe or scope is not None
-        own = own.distinct().select(*[F.col(c).alias(f"__own_{c}") for c in own.columns])
-        match = [F.col(c[6:]).eqNullSafe(F.col(c)) if safe else F.col(c[6:]) == F.col(c) for c in own.columns]
-        touched = touched.unionByName(target.join(own, match, "left_semi").select(partition_by))
-    touched = touched.distinct().select(F.col(partition_by).alias("__part")).checkpoint()
-    here = target.join(touched, F.col(partition_by).eqNullSafe(F.col("__part")), "left_semi")
-    staged = _staged(path)
-    (clustered_for_write(merged(here), [partition_by]).write.mode("errorifexists")
-     .partitionBy(partition_by).format(fmt).save(staged))
-    # swap: bounded by the number of touched partitions
-    for row in touched.select(F.col("__part").cast("string")).collect():
-        _delete(spark, f"{path.rstrip('/')}/{_partition_folder(spark, partition_by, row[0])}")
-    for name in _folders(spark, staged):
-        _delete(spark, f"{path.rstrip('/')}/{name}")
-        _rename(spark, f"{staged}/{name}", f"{path.rstrip('/')}/{name}")
-    _delete(spark, staged)
-    return _load(spark, path, fmt)
-
-
-def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """A stored table with the columns of all its files (partitions may differ)."""
-    return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+        named = own.distinct().select(*[F.col(c).alias(f"__own_{c}") for c in own.columns])
+        match = [F.col(c[6:]).eqNullSafe(F.col(c)) if safe else F.col(c[6:]) == F.col(c) for c in named.columns]
+        touched = touched.unionByName(old.select(*own.columns, *[c for c in parts if c not in own.columns]).join(named, match, "left_semi").select(partition_by))
+    values = [r[0] for r in touched.select(F.col(partition_by).cast("string")).distinct().collect()]  # one a partition
+    out = merged(tables.in_partitions(target, partition_by, values))
+    staged = tables.staged_folder(path)
+    _write_staged(out, staged, parts, fmt, keys[0])
+    there, new = set(folders(spark, path)), set(folders(spark, staged))
+    drop = {tables.partition_folder(spark, partition_by, v) for v in values} & there - new
+    tables.stage_meta(spark, staged, out.schema, parts, keys[0], fmt, meta, drop)
+    tables.commit(spark, path, staged, "partitions", drop)
 
 
 def _with_schema_change(source: DataFrame, target: DataFrame, mode: str) -> DataFrame:
@@ -237,35 +298,103 @@ def _with_schema_change(source: DataFrame, target: DataFrame, mode: str) -> Data
     raise ValueError(f"unknown schema change mode {mode!r}")
 
 
+#: Table property of a complete next version (see ``merge_into_table``).
+COMPLETE = "aurum.complete"
+#: Table properties that Spark keeps itself.
+OWN_PROPERTIES = ("transient_lastDdlTime", "bucketing_version", "numFiles", "totalSize", "numRows", "rawDataSize", COMPLETE)
+
+
 def merge_into_table(spark: SparkSession, source: DataFrame, name: str, keys, update_columns=None,
-                     insert_only: bool = False, null_safe: bool = False) -> DataFrame:
+                     insert_only: bool = False, null_safe: bool = False, buckets: int | None = None) -> DataFrame:
     """S-09: keyed upsert into a catalog table; returns the table.
 
-    The merged rows are cut off from the files that the write replaces by a
-    reliable checkpoint.  Partitioned tables stay so."""
+    ``buckets``: a table that this call creates is bucketed by its keys, so that
+    later merges by them shuffle the source only.  The merged rows are written
+    to ``<name>__next``, which gets the table's partitions, buckets, comments and
+    properties and is then marked complete; the switch is two renames, and a
+    merge that finds them half done (:func:`recover_table`) finishes them."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    checkpoint_dir(spark)
-    source = source.checkpoint()
-    assert_unique_keys(source, keys, null_safe)
-    if not spark.catalog.tableExists(name):
-        write_table(spark, source, name)
-        return spark.table(name)
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    merged = upsert(spark.table(name), source, keys, update_columns, insert_only, null_safe).checkpoint()
-    w = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (w.partitionBy(*parts) if parts else w).saveAsTable(name)
+    recover_table(spark, name)
+    source = cut(source, "merge")
+    try:
+        assert_unique_keys(source, keys, null_safe)
+        if not spark.catalog.tableExists(name):
+            if "." in name:
+                spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rpartition('.')[0]}")
+            w = source.write.mode("errorifexists").format("parquet")
+            (w.bucketBy(buckets, *keys) if buckets else w).saveAsTable(name)
+            return spark.table(name)
+        target, made = spark.table(name), _next_name(name)
+        merged = upsert(target, source, keys, update_columns, insert_only, null_safe)
+        parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        n, by = _buckets(spark, name)
+        w = merged.write.mode("errorifexists").format("parquet")
+        w = w.partitionBy(*parts) if parts else w
+        (w.bucketBy(n, *by) if n else w).saveAsTable(made)
+        _copy_documentation(spark, name, made)
+        spark.sql(f"ALTER TABLE {made} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
+        recover_table(spark, name)
+    finally:
+        discard(source)
     return spark.table(name)
 
 
+def _next_name(name: str) -> str:
+    return f"{name}__next"
+
+
+def recover_table(spark: SparkSession, name: str) -> bool:
+    """Switch to a complete next version; an incomplete one (a write that was
+    stopped) is dropped.  Can be repeated from any point."""
+    made, old = _next_name(name), f"{name}__old"
+    if not spark.catalog.tableExists(made):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return False
+    if COMPLETE not in _properties(spark, made):
+        spark.sql(f"DROP TABLE {made}")
+        return False
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {made} RENAME TO {name}")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{COMPLETE}')")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return True
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def _buckets(spark: SparkSession, name: str) -> tuple[int, list[str]]:
+    """Number of buckets of a table (0: none) and the columns they are of."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return int(told.get("Num Buckets", 0)), [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+
+
+def _copy_documentation(spark: SparkSession, name: str, to: str) -> None:
+    """Comments and properties of a table (S-02, S-20)."""
+    about = spark.catalog.getTable(name).description
+    if about:
+        spark.sql(f"COMMENT ON TABLE {to} IS {_sql_str(about)}")
+    for c in spark.catalog.listColumns(name):
+        if c.description:
+            spark.sql(f"ALTER TABLE {to} ALTER COLUMN `{c.name}` COMMENT {_sql_str(c.description)}")
+    for k, v in _properties(spark, name).items():
+        if k not in OWN_PROPERTIES and not k.startswith("spark.sql."):
+            spark.sql(f"ALTER TABLE {to} SET TBLPROPERTIES ({_sql_str(k)} = {_sql_str(v)})")
+
+
 # ------------------------------------------------------------------ S-16
 def drop_expired(spark: SparkSession, path: str, partition_by: str, oldest) -> list[str]:
     """Remove the date partitions older than ``oldest`` from a stored table;
     returns the folders removed.  The NULL partition stays."""
     gone = []
-    for name in _folders(spark, path):
+    tables.recover(spark, path)
+    for name in folders(spark, path):
         column, _, value = name.partition("=")
         if column == partition_by and value[:1].isdigit() and value < str(oldest):
-            _delete(spark, f"{path.rstrip('/')}/{name}")
+            tables.delete(spark, f"{path.rstrip('/')}/{name}")
             gone.append(name)
     return sorted(gone)
 
@@ -307,18 +436,18 @@ def morton_key(df: DataFrame, cols, buckets: int = 256, sample: int = 20_000) ->
 
 
 def compact(spark: SparkSession, path: str, target_file_mb: int = 128, zorder_by=None, fmt: str = "parquet",
-            out_path: str | None = None) -> str:
+            out_path: str | None = None, in_place: bool = False) -> str:
     """S-14: rewrite a table into files of about ``target_file_mb``, sorted
     by the clustering columns (or their Z-order key) so min/max statistics
-    prune well; a partitioned table keeps its partitions.  Writes to
-    ``out_path`` (or ``path + '_compacted'``); the swap is the caller's:
-    overwriting a path while reading it is unsafe."""
-    df = _load(spark, path, fmt)
-    p, fs = _path(spark, path)
+    prune well; a partitioned table keeps its partitions.  ``in_place`` swaps the
+    new files in (recoverably, ``sources.tables``); otherwise they are left in
+    ``out_path`` (or ``path + '_compacted'``)."""
+    df, meta = load(spark, path, fmt), tables.table_meta(spark, path)
+    p, fs = tables._path(spark, path)
     n = max(1, int(fs.getContentSummary(p).getLength() / (target_file_mb * 1024 * 1024)) + 1)
     parts, at = [], path
     while True:  # the partition columns are those of the folder names
-        names = _folders(spark, at)
+        names = folders(spark, at)
         if not names:
             break
         parts.append(names[0].partition("=")[0])
@@ -331,10 +460,14 @@ def compact(spark: SparkSession, path: str, target_file_mb: int = 128, zorder_by
     else:
         df = df.repartition(n)
     df = df.drop("_zorder")
-    dest = out_path or path.rstrip("/") + "_compacted"
+    dest = tables.staged_folder(path) if in_place else out_path or path.rstrip("/") + "_compacted"
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     (w.partitionBy(*parts) if parts else w).save(dest)
-    return dest
+    if not in_place:
+        return dest
+    tables.stage_meta(spark, dest, df.schema, parts, (meta or {}).get("key"), fmt)
+    tables.commit(spark, path, dest, "whole")
+    return path
 
 
 # ------------------------------------------------------------------ S-19
