@@ -60,51 +60,71 @@ def word_terms(word: bytes) -> tuple:
 
 def choose_terms(docs: list[Counter], toxic: np.ndarray) -> list[bytes]:
     """All terms of the examples, those whose presence depends on the label first.  docs: counts of words."""
-    seen = term_counts(docs, toxic)
-    return sorted(seen, key=lambda t: (-chi_squared(*seen[t], docs, toxic), t))
+    return weighed_terms(docs, toxic)[0]
 
 
-def term_counts(docs: list[Counter], toxic: np.ndarray) -> dict[bytes, list[int]]:
-    """In how many toxic and other examples each term is."""
-    seen: dict[bytes, list[int]] = {}
-    for d, y in zip(docs, toxic.tolist(), strict=True):
-        for t in {t for w in d for t in word_terms(w)}:
-            seen.setdefault(t, [0, 0])[1 - y] += 1
-    return seen
+def weighed_terms(docs: list[Counter], toxic: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The terms and the chi-squared of each."""
+    number, a, b = term_counts(docs, toxic)
+    chi2 = chi_squared(a, b, toxic)
+    order = np.argsort(-chi2, kind="stable")
+    terms = list(number)
+    return [terms[i] for i in order.tolist()], chi2[order]
 
 
-def chi_squared(a: int, b: int, docs: list[Counter], toxic: np.ndarray) -> float:
-    """Of a term in ``a`` toxic and ``b`` other examples."""
-    n, n1 = len(docs), int(toxic.sum())
-    n0, c = n - n1, a + b
-    return n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * c * (n - c)) if 0 < n1 < n and c < n else 0.0
+def term_counts(docs: list[Counter], toxic: np.ndarray) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Numbers of the examples' terms, and in how many toxic and other examples each is."""
+    number: dict[bytes, int] = {}
+    numbers = Memo(lambda w: tuple(number.setdefault(t, len(number)) for t in word_terms(w)), 150_000)
+    seen = [np.fromiter(s := set().union(*map(numbers.__getitem__, d)), np.int32, len(s)) for d in docs]
+
+    def count(y):
+        some = [x for x, z in zip(seen, toxic.tolist(), strict=True) if z == y]
+        return np.bincount(np.concatenate(some or [np.empty(0, np.int32)]), minlength=len(number))
+
+    return number, count(1), count(0)
+
+
+def chi_squared(a: np.ndarray, b: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Of terms in ``a`` toxic and ``b`` other examples."""
+    n, n1 = float(len(toxic)), float(toxic.sum())
+    n0, c = n - n1, (a + b).astype(float)
+    if not 0 < n1 < n:
+        return np.zeros(len(a))
+    return np.where((c > 0) & (c < n), n * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(1, n1 * n0 * c * (n - c)), 0.0)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions from each start on, one range behind another."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
 class Postings:
-    """Weights by term and example: whole rows of the frequent terms, lists of the others."""
+    """Weights by term and example, in blocks of ``BLOCK`` examples with the largest
+    weight of each (term, block): whole rows of the frequent terms, cut into a tile
+    per block, and lists of the others."""
 
-    def __init__(self, terms: int, vectors: list[tuple[np.ndarray, np.ndarray]], width: int):
-        term = np.concatenate([q for q, _ in vectors] or [np.empty(0, int)]).astype(int)
-        at = np.repeat(np.arange(len(vectors)), [len(q) for q, _ in vectors])
-        w = np.concatenate([x for _, x in vectors] or [np.empty(0)]).astype(np.float32)
-        order = np.argsort(term, kind="stable")
-        term, self.at, self.w, self.width = term[order], at[order].astype(np.int32), w[order], width
+    def __init__(self, terms: int, term: np.ndarray, at: np.ndarray, w: np.ndarray, width: int):
+        order = np.lexsort((at, term))
+        term, self.at, self.w, self.width = term[order], at[order].astype(np.int32), w[order].astype(np.float32), width
         self.start = np.searchsorted(term, np.arange(terms + 1))
-        size = np.diff(self.start)
-        heavy = np.flatnonzero(size >= max(1, HEAVY * len(vectors)))
+        size, blocks = np.diff(self.start), width // BLOCK
+        heavy = np.flatnonzero(size >= max(1, HEAVY * width))
         self.row = np.full(terms, -1)
         self.row[heavy] = np.arange(len(heavy))
-        self.rows = np.zeros((len(heavy), width), np.float32)
-        for r, t in enumerate(heavy.tolist()):
-            x, y = self.start[t], self.start[t + 1]
-            self.rows[r, self.at[x:y]] = self.w[x:y]
-        self.bound = self.rows.reshape(len(heavy), width // BLOCK, BLOCK).max(axis=2)
-
-    def light(self, q: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Dot products with all examples over the terms that have lists."""
-        size = self.start[q + 1] - self.start[q]
-        i = np.arange(size.sum()) + np.repeat(self.start[q] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-        return np.bincount(self.at[i], self.w[i] * np.repeat(w, size), self.width).astype(np.float32)
+        self.tiles = np.zeros((len(heavy), blocks, BLOCK), np.float32)
+        is_heavy = self.row[term] >= 0
+        r, x = self.row[term[is_heavy]], self.at[is_heavy]
+        self.tiles[r, x // BLOCK, x % BLOCK] = self.w[is_heavy]
+        self.bound = self.tiles.max(axis=2)
+        self.tiles = self.tiles.reshape(-1, BLOCK)  # row * blocks + block
+        # lists by (term, block): where each starts, and its largest weight
+        pair = term.astype(np.int64) * max(1, blocks) + self.at // BLOCK
+        self.first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, np.int64)
+        self.size = np.diff(np.append(self.first, len(pair)))
+        self.block = (self.at[self.first] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.w, self.first) if len(pair) else np.empty(0, np.float32)
+        self.lists = np.searchsorted(term[self.first], np.arange(terms + 1))
 
     def __getitem__(self, q: np.ndarray) -> np.ndarray:
         """Whole rows of any terms."""
@@ -115,6 +135,26 @@ class Postings:
         return out
 
 
+def coherent_order(rows: np.ndarray) -> np.ndarray:
+    """Examples in an order in which neighbours are alike, which makes block bounds
+    tight: halves along the first principal component, again and again."""
+    out, stack = [], [np.arange(len(rows))]
+    while stack:
+        own = stack.pop()
+        if len(own) <= BLOCK:
+            out.append(own)
+            continue
+        x = rows[own] - rows[own].mean(axis=0)
+        v = np.random.default_rng(1).standard_normal(x.shape[1]).astype(np.float32)
+        for _ in range(12):
+            v = x.T @ (x @ v)
+            v /= max(float(np.linalg.norm(v)), 1e-9)
+        own = own[np.argsort(x @ v, kind="stable")]
+        half = -(-len(own) // (2 * BLOCK)) * BLOCK
+        stack += [own[half:], own[:half]]
+    return np.concatenate(out) if out else np.empty(0, int)
+
+
 class Index:
     """Block-max inverted index over the examples.
 
@@ -122,20 +162,33 @@ class Index:
     whole text."""
 
     def __init__(self, terms: list[bytes], df: np.ndarray, n_docs: int, docs: list[Counter], toxic: np.ndarray, ids: list,
-                 class_rows: tuple[int, int]):
+                 class_rows: tuple[int, int], chi2: np.ndarray | None = None):
         self.number = {t: i + 1 for i, t in enumerate(terms)}
+        self.room, self.look = np.empty((0, BLOCK), np.float32), None
         self.idf = 1 + np.log((n_docs + 1) / (np.append(n_docs, df) + 1))
-        seen = term_counts(docs, toxic)
-        chi2 = np.array([chi_squared(*seen.get(t, (0, 0)), docs, toxic) if t in seen else 0.0 for t in terms])
+        if chi2 is None:
+            number, a, b = term_counts(docs, toxic)
+            every = chi_squared(a, b, toxic)
+            chi2 = np.array([every[number[t]] if t in number else 0.0 for t in terms])
         # a weight that no term loses wholly: one expects a chi-squared of 1 by chance
         self.idf[1:] *= (chi2 + 1) / (chi2 + HALF_CHI2)
         look = lookup(self.number)
         vectors = [self.vector(d.items(), look) for d in docs]
-        # neighbours in this order share their heaviest terms, which makes block bounds tight
-        order = sorted(range(len(docs)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")][:4].tolist(), str(ids[i])))
+        term = np.concatenate([q for q, _ in vectors] or [np.empty(0, int)]).astype(int)
+        at = np.repeat(np.arange(len(vectors)), [len(q) for q, _ in vectors])
+        w = np.concatenate([x for _, x in vectors] or [np.empty(0)]).astype(np.float32)
+        often = np.flatnonzero(np.bincount(term, minlength=len(terms) + 1) >= 2 * HEAVY * len(docs))
+        row = np.full(len(terms) + 1, -1)
+        row[often] = np.arange(len(often))
+        rows = np.zeros((len(docs), len(often)), np.float32)
+        some = row[term] >= 0
+        rows[at[some], row[term[some]]] = w[some]
+        order = coherent_order(rows)
+        place = np.empty(len(order), int)
+        place[order] = np.arange(len(order))
+        del rows, some
         self.ids, self.toxic = [ids[i] for i in order], toxic[order].astype(int)
-        blocks = -(-len(order) // BLOCK)
-        self.impact = Postings(len(terms) + 1, [vectors[i] for i in order], blocks * BLOCK)
+        self.impact = Postings(len(terms) + 1, term, place[at] if len(at) else at, w, -(-len(order) // BLOCK) * BLOCK)
         share = [max(1, int((self.toxic == y).sum())) for y in (0, 1)]
         self.weight = np.array([class_rows[y] / share[y] for y in (0, 1)])  # rows of the class per example of it
         self.plain = None
@@ -144,40 +197,60 @@ class Index:
 
     def vector(self, word_counts, look) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and weights (unit length) of a text's terms."""
-        hits, other = Counter(), 0
+        found, often, sizes, other = [], [], [], 0
         for w, n in word_counts:
             got = look[w]
             if got:
-                for q in got:
-                    hits[q] += n
+                found += got
+                often.append(n)
+                sizes.append(len(got))
             else:
                 other += n
-        if other or not hits:
-            hits[0] = max(1, other)
-        q = np.fromiter(hits.keys(), int, len(hits))
-        w = (1 + np.log(np.fromiter(hits.values(), float, len(hits)))) * self.idf[q]
+        q, place = np.unique(np.array(found, int), return_inverse=True)
+        hits = np.bincount(place, np.repeat(np.array(often, float), sizes), len(q))
+        if other or not len(q):
+            q, hits = np.append(q, 0), np.append(hits, max(1, other))
+        w = (1 + np.log(hits)) * self.idf[q]
         return q, w / np.sqrt((w * w).sum())
 
     def search(self, q: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1):
-        """Positions and cosines of the k nearest examples and of all as near as the k-th."""
+        """Positions and cosines of the k nearest examples and of all as near as the k-th.
+
+        Bounds of all blocks come from the largest weights; blocks are read from the
+        highest bound on, ``STRIDE`` first and then more at a time, until none can
+        hold a neighbour.  Tiles and lists of other blocks are not read."""
         if self.plain is not None and len(q) == 1 and not q[0]:
             return self.plain
-        w = w.astype(np.float32)
-        row = self.impact.row[q]
-        light = self.impact.light(q[row < 0], w[row < 0])
-        q, w = row[row >= 0], w[row >= 0]
-        bounds = w @ self.impact.bound[q] + light.reshape(-1, BLOCK).max(axis=1)
-        rows = self.impact.rows[q]
+        p, w = self.impact, w.astype(np.float32)
+        row = p.row[q]
+        heavy, hw = row[row >= 0], w[row >= 0]
+        light, lw = q[row < 0], w[row < 0]
+        n = p.lists[light + 1] - p.lists[light]
+        entry, ew = _ranges(p.lists[light], n), np.repeat(lw, n)
+        bounds = hw @ p.bound[heavy] + np.bincount(p.block[entry], ew * p.most[entry], p.width // BLOCK)
         at, cos, least = np.empty(0, int), np.empty(0, np.float32), 0.0
         order = np.argsort(-bounds, kind="stable")
-        for blocks in (order[:STRIDE], order[STRIDE:]):  # the best blocks, then all that can beat them
+        slot, x, step = np.full(len(bounds), -1), 0, STRIDE
+        of_entry = p.block[entry]
+        while x < len(order):
+            blocks = order[x:x + step]
             blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least - TIE)]
+            x, step = x + step, 2 * step
             if not len(blocks):
                 break
+            tiles = self._room(len(heavy) * len(blocks))
+            np.take(p.tiles, (heavy[:, None] * len(bounds) + blocks).ravel(), axis=0, out=tiles, mode="clip")
+            got = hw @ tiles.reshape(len(heavy), len(blocks) * BLOCK)
+            slot[blocks] = np.arange(len(blocks))
+            place = slot[of_entry]
+            slot[blocks] = -1
+            own = np.flatnonzero(place >= 0)
+            e, place = entry[own], place[own]
+            size = p.size[e]
+            post = _ranges(p.first[e], size)
+            into = np.repeat(place * BLOCK, size) + p.at[post] % BLOCK
+            got = got + np.bincount(into, p.w[post] * np.repeat(ew[own], size), got.size).astype(np.float32)
             pos = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            # many columns cost more to copy than to multiply
-            got = (w @ rows)[pos] if 4 * len(pos) > len(light) else w @ rows[:, pos]
-            got = got + light[pos]
             ok = (got > max(0.0, least - TIE)) & (pos != without)
             at, cos = np.concatenate([at, pos[ok]]), np.concatenate([cos, got[ok]])
             if len(at) > k:
@@ -186,6 +259,20 @@ class Index:
         best = np.lexsort((at, -cos))
         return at[best], cos[best]
 
+    def _room(self, tiles: int) -> np.ndarray:
+        """Memory for so many tiles, used again by the next search."""
+        if len(self.room) < tiles:
+            self.room = np.empty((2 * tiles, BLOCK), np.float32)
+        return self.room[:tiles]
+
+    def __getstate__(self):
+        return self.__dict__ | {"room": np.empty((0, BLOCK), np.float32), "look": None}
+
+    def text_vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        if self.look is None:
+            self.look = lookup(self.number)  # kept by the worker from task to task
+        return self.vector(Counter(words(text)).items(), self.look)
+
     def vote(self, at, cos) -> float:
         """Share of the toxic class in the distance-weighted votes, -1 without a neighbour."""
         if not len(at):
@@ -243,11 +330,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, toxic: str)
     taken = []
     for y in (0, 1):
         taken += found.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(EXAMPLES).collect()
-    counted = [Counter(words(r["t"])) for r in taken]
-    y = np.array([r["y"] for r in taken], int)
-    terms = choose_terms(counted, y) if 0 < y.sum() < len(y) else []
+    y, ids, same = np.array([r["y"] for r in taken], int), [r["id"] for r in taken], {}
+    counted = [Counter({same.setdefault(w, w): n for w, n in Counter(words(r["t"])).items()}) for r in taken]  # one copy of a word
+    del taken, same
+    terms, chi2 = weighed_terms(counted, y) if 0 < y.sum() < len(y) else ([], np.empty(0))
     df, n = document_frequencies(docs, text, terms)
-    return Index(terms, df, n, counted, y, [r["id"] for r in taken], (share.get(0, 0), share.get(1, 0)))
+    return Index(terms, df, n, counted, y, ids, (share.get(0, 0), share.get(1, 0)), chi2)
 
 
 def lookup(number: dict[bytes, int]) -> Memo:
@@ -264,8 +352,8 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
         for b in batches:
             for t in b.column(0).to_pylist():
                 n += 1
-                hit = {q for w in set(words(t)) for q in look[w]}
-                df[list(hit)] += 1
+                hit = set().union(*map(look.__getitem__, set(words(t))))
+                df[np.fromiter(hit, np.int64, len(hit))] += 1
         df[-1] = n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at], pa.int64())], ["term", "n"])
@@ -284,11 +372,10 @@ def score(docs: DataFrame, index: Index, text: str = "text", doc_id: str = "doc_
 
     def rows(batches):
         ix = held.value
-        look = lookup(ix.number)
         for b in batches:
             scores, evidence = [], []
             for t in b.column(1).to_pylist():
-                at, cos = ix.search(*ix.vector(Counter(words(t)).items(), look))
+                at, cos = ix.search(*ix.text_vector(t))
                 scores.append(ix.probability(ix.vote(at, cos)))
                 evidence.append([{"doc_id": str(ix.ids[i]), "toxic": int(ix.toxic[i]), "cosine": float(c)}
                                  for i, c in zip(at[:3].tolist(), cos[:3].tolist(), strict=True)])
@@ -305,9 +392,8 @@ def drop_toxic(docs: DataFrame, index: Index, threshold: float = THRESHOLD, text
 
     def rows(batches):
         ix = held.value
-        look = lookup(ix.number)
         for b in batches:
-            stay = [ix.probability(ix.vote(*ix.search(*ix.vector(Counter(words(t or "")).items(), look)))) < threshold
+            stay = [ix.probability(ix.vote(*ix.search(*ix.text_vector(t or "")))) < threshold
                     for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(stay, pa.bool_()))
 
