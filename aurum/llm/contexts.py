@@ -181,10 +181,16 @@ def block_arcs(arcs: np.ndarray, n: np.ndarray, hot: dict[int, np.ndarray]) -> t
     return own, part
 
 
-def added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Different arcs of both, sorted, with the sums of their counts."""
-    arcs, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
-    return arcs, np.bincount(at, np.concatenate([a[1], b[1]]), len(arcs)).astype(np.int64)
+def added(*some: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different arcs of all, sorted, with the sums of their counts."""
+    arcs = np.concatenate([a for a, _ in some] or [np.empty(0, np.uint64)])
+    n = np.concatenate([c for _, c in some] or [np.empty(0, np.int64)])
+    order = np.argsort(arcs)
+    arcs, n = arcs[order], n[order].astype(np.int64)
+    if not len(arcs):
+        return arcs, n
+    first = np.flatnonzero(np.concatenate([[True], arcs[1:] != arcs[:-1]]))
+    return arcs[first], np.add.reduceat(n, first)
 
 
 class Model:

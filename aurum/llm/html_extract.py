@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,13 @@ STEPS, RATE, RIDGE = 300, 0.5, 1e-4
 
 #: Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript iframe xmp noframes template svg math select button object video audio canvas".split())
+#: Elements whose content is no text of the page: scripts, styles, form controls, the title.
+RAW = set("script style title textarea template select button".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter output picture progress q "
-             "rp rt ruby s samp small span strike strong sub sup time tt u var wbr nobr".split())
+             "rp rt ruby s samp small span strike strong sub sup time tt u var wbr nobr "
+          # embedded content: its text belongs to the block around it
+          "object video audio canvas noscript iframe noframes svg g path text tspan math mi mn mo ms mtext mrow msup msub msubsup mfrac "
+          "msqrt mroot mover munder munderover mstyle mspace mfenced mtable mtr mtd semantics annotation".split())
 TAGS = ("#root html head body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tr td th blockquote pre "
         "figure figcaption header footer nav aside form fieldset address details summary center dialog menu").split()
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -91,6 +96,8 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack, run, links, in_link = [0], [], 0, False
+        opened: Counter = Counter()  # open blocks by tag, so that an end tag of none isn't searched for
+        endless: set[str] = set()  # elements that have no end from here on
 
         def flush():
             nonlocal run, links
@@ -108,6 +115,7 @@ class Page:
         def close(to: int):
             nonlocal in_link
             flush()
+            opened.subtract(self.tag[k] for k in stack[to:])
             del stack[to:]
             in_link = False
 
@@ -128,7 +136,7 @@ class Page:
             if m["end"] or m["end2"]:
                 if name == "a":
                     in_link = False
-                elif name == "p" or name not in INLINE and name not in VOID:
+                elif opened[name] > 0:
                     for d in range(len(stack) - 1, 0, -1):
                         if self.tag[stack[d]] == name:
                             close(d)
@@ -138,7 +146,11 @@ class Page:
                 continue
             attrs = m["attrs"] if m["tag"] else m["attrs2"]
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at) if not attrs.endswith("/") or name in ("script", "style") else None
+                end = None
+                if name not in endless and (not attrs.endswith("/") or name in ("script", "style")):
+                    end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                    if not end:
+                        endless.add(name)
                 if end:
                     at = skip_to = end.end()
                 elif name in ("script", "style", "title", "textarea"):
@@ -163,18 +175,19 @@ class Page:
                 if t in SCOPE or t not in ("h1", "h2", "h3", "h4", "h5", "h6"):
                     break
             if name in CLOSES:
-                for d in range(len(stack) - 1, 0, -1):
+                for d in range(len(stack) - 1, 0, -1) if any(opened[t] > 0 for t in CLOSES[name]) else ():
                     if self.tag[stack[d]] in CLOSES[name]:
                         close(d)
                         if name in ("li", "dt", "dd", "td", "th"):
                             break
                     elif self.tag[stack[d]] in SCOPE:
                         break
-            elif name == "body" and "body" in (self.tag[k] for k in stack):
+            elif name == "body" and opened["body"] > 0:
                 continue
             flush()
             in_link = False
             self.tag.append(name)
+            opened[name] += 1
             self.parent.append(stack[-1])
             self.attrs.append(attrs)
             self.words.append(0)

@@ -49,6 +49,8 @@ from .common import materialize, read_table
 
 #: Bytes and texts of a buffer, and bytes of it that are worked on at a time.
 BUFFER_BYTES, BUFFER_TEXTS, PIECE_BYTES = 16 << 20, 1 << 16, 1 << 20
+#: Grams that are gathered before equal ones are merged.
+MERGE = 2_000_000
 #: Bytes of text for each block, and least number of blocks.
 BLOCK_BYTES, BLOCKS = 16 << 20, 16
 #: A context with at least 1 in HOT of the grams is hot; bytes of text, in the mean, that are looked at for it.
@@ -99,11 +101,19 @@ def _pieces(bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _different(bodies: list[bytes], held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different grams of a buffer's texts, sorted, with their training counts."""
-    every = np.empty(0, np.uint64), np.empty(0, np.int64)
+    parts, size = [], 0
     for keys, owner in _pieces(bodies):
-        keys, at = np.unique(keys, return_inverse=True)
-        every = C.added(every, (keys, np.bincount(at, ~held[owner], len(keys)).astype(np.int64)))
-    return every[0], every[1].astype("<u4")
+        keys = np.sort(keys << np.uint64(1) | held[owner].astype(np.uint64))  # a gram has 56 bits
+        train = 1 - (keys & np.uint64(1)).astype(np.int64)
+        keys >>= np.uint64(1)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        parts.append((keys[first], np.add.reduceat(train, first)))
+        size += len(first)
+        if size > MERGE:  # so that memory follows the different grams
+            parts = [C.added(*parts)]
+            size = 0
+    keys, n = C.added(*parts)
+    return keys, n.astype("<u4")
 
 
 def _in_blocks(keys: np.ndarray, blocks: int, hot: dict) -> tuple[np.ndarray, list[int]]:
@@ -204,9 +214,7 @@ def _merged_words(rows: list[dict]) -> tuple[list[list[bytes]], dict[bytes, int]
 def _merged_grams(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """A block's different grams, sorted, their training counts, and each row's grams."""
     got = [C.unpack_keys(r["words"]) for r in rows]
-    every = np.empty(0, np.uint64), np.empty(0, np.int64)
-    for some, r in zip(got, rows, strict=True):
-        every = C.added(every, (some, C.unpack(r["counts"], "<u4").astype(np.int64)))
+    every = C.added(*((some, C.unpack(r["counts"], "<u4")) for some, r in zip(got, rows, strict=True)))
     return *every, got
 
 
@@ -269,7 +277,11 @@ def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int, hot
     p[_in_blocks(keys, blocks, hot)[0]] = joined(GRAMS, "<f4")
     score = np.zeros(len(bodies))
     for some, owner in _pieces(bodies):
-        score += np.bincount(owner, p[np.searchsorted(keys, some)].astype(float), len(bodies))
+        order = np.argsort(some)  # equal grams are looked up once, in their order
+        some = some[order]
+        new = np.concatenate([[True], some[1:] != some[:-1]])
+        found = p[np.searchsorted(keys, some[new])].astype(float)
+        score += np.bincount(owner[order], found[np.cumsum(new) - 1], len(bodies))
     return pa.table({
         "id": pa.array(texts["ids"], pa.int64()), "held_out": pa.array(texts["held"], pa.bool_()),
         "n_tokens": pa.array(np.array(texts["sizes"], np.int64) + 1), "n_known": pa.array(known),

@@ -184,10 +184,11 @@ def pack_documents(df: DataFrame, text: str = "text", doc_id: str = "doc_id", vo
 
     def rows(batches):
         enc = encoder(path)
-        end = np.array([END], "<u4")
+        end, kinds = np.array([END], "<u4"), []
 
         def docs():
             for b in batches:
+                kinds[:] = [b.column(0).type]
                 for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     yield d, np.concatenate([enc.encode(t or ""), end])
 
@@ -196,7 +197,7 @@ def pack_documents(df: DataFrame, text: str = "text", doc_id: str = "doc_id", vo
             for k in range(0, len(out), 4096):
                 doc, start, ids, total, seq, off = zip(*out[k:k + 4096], strict=True)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc), pa.array(start, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array(doc, kinds[0]), pa.array(start, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(total, pa.int64()),
                     pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
                     ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])

@@ -46,7 +46,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMBER = re.compile(r"\+?[0-9](?:[\x20().-]{0,2}[0-9])*")
-_AT_WORD = re.compile(r"[^\s<>()\[\]\"',;:]+")
+_AT_WORD = re.compile(r"(?<![^\s<>()\[\]\"',;:])[^\s<>()\[\]\"',;:@]*+@[^\s<>()\[\]\"',;:]*")
 
 
 def luhn(digits: str) -> bool:
@@ -104,17 +104,8 @@ class Nodes:
                     s, a = n.group(), m.start() + (n.start() if n is not m else 0)
                     if len(_digits(s)) >= MIN_DIGITS or s.count(".") == 3:
                         found.append((a, a + len(s), s))
-        at = text.find("@")
-        while at >= 0:
-            low = max((text.rfind(c, 0, at) for c in " \n\t"), default=-1) + 1
-            word = None
-            for m in _AT_WORD.finditer(text, low):
-                if m.end() > at:
-                    word = m if m.start() <= at else None
-                    break
-            if word:
-                found.append((word.start(), word.end(), word.group().rstrip(".!?")))
-            at = text.find("@", max(at + 1, word.end() if word else 0))
+        if "@" in text:
+            found += [(m.start(), m.end(), m.group().rstrip(".!?")) for m in _AT_WORD.finditer(text)]
         found.sort()
         self.spans = [(a, a + len(s)) for a, _, s in found]
         self.features = [shape(s) for _, _, s in found]

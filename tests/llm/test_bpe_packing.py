@@ -95,3 +95,13 @@ def test_packed_frame(table, library):
         want = np.array([*library.encode(t or "", add_special_tokens=False).ids, END], "<u4").tobytes()
         assert zlib.crc32(b"".join(got[i])) == zlib.crc32(want)
     assert pack_documents(table([])).count() == 0
+
+
+def test_ids_of_any_type_and_null_ids(spark):
+    from aurum.llm.packing import pack_documents
+    for kind, ids in (("int", [3, None, 3, None]), ("string", ["a", None, "a", "b"]), ("smallint", [None] * 4)):
+        out = pack_documents(spark.createDataFrame(list(zip(ids, ["one two", None, "one two", ""], strict=True)), f"doc_id {kind}, text string"))
+        assert out.schema["doc_id"].dataType.simpleString() == kind
+        got = out.collect()
+        assert sorted(str(r.doc_id) for r in got if r.start == 0) == sorted(map(str, ids))
+        assert sorted(r.doc_tokens for r in got if r.start == 0)[:2] == [1, 1]  # null and empty: the end id alone

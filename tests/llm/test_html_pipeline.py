@@ -122,3 +122,30 @@ def test_empty_table_passes_through(spark, scratch):
     docs.write.parquet(f"{scratch}/documents.parquet")
     spark.read.parquet(f"{SMOKE}/labels.parquet").write.parquet(f"{scratch}/labels.parquet")
     assert corpus_pipeline.run(spark, scratch).count() == 0
+
+
+def test_embedded_content_of_the_article_stays():
+    from aurum.llm.html_extract import Page
+    source = ("<article><p>The sum <math><mi>x</mi></math> is <svg><title>no</title><text>small</text></svg>.</p><noscript><p>Plain para.</p></noscript>"
+              "<object><p>An object.</p></object><select><option>no</option></select><style>no</style><template>no</template></article>")
+    assert [t for _, t in Page(source).texts] == ["The sum x is small .".replace(" .", "."), "Plain para.", "An object."]
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    import time
+
+    from aurum.llm.html_extract import Page
+    for source in ("<div>" * 20_000 + "</b1></p>" * 20_000, "<div>" * 20_000 + "<li></li><td></td>" * 10_000, "<select>" * 30_000, "<div>" * 20_000 + "<body></body>" * 20_000):
+        t = time.process_time()
+        Page(source)
+        assert time.process_time() - t < 10
+
+
+def test_near_copies_without_or_with_repeated_ids_leave_one(spark):
+    rows = [(None, f"{'one two three four five six seven eight nine ten ' * 6}x{i}") for i in range(6)]
+    rows += [(7, f"{'red green blue black white grey brown pink gold teal ' * 6}y{i}") for i in range(6)] + [(9, "alone here"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "?", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, __row string, id int")
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    out = stage(spark, docs, SMOKE)
+    assert out.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["7", "9", "None", "None", "None"]

@@ -57,3 +57,13 @@ def test_similarity_weighs_the_edges():
     d = P.Nodes("5550123 12125550123 99925550123 joe@x.org joe@y.org", [])
     assert d.skip == [(0, 1), (1, 2), (3, 4)]
     assert d.alike == [1.0, 8 / 11, 4 / 9]
+
+
+def test_at_words_take_linear_time():
+    import time
+
+    from aurum.llm import pii
+    for text in ("a@," * 300_000, "@" * 300_000, "a" * 300_000 + "@", "a.b" * 100_000, "x@y" * 100_000, "1@" * 200_000 + " b"):
+        t = time.process_time()
+        pii.Nodes(text, pii.base_spans(text))
+        assert time.process_time() - t < 30
