@@ -46,11 +46,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are told apart by a number of their own: ids may repeat or be null.
+    Of each group the row with the smallest id stays (null last, then the first row)."""
     ship(spark)
-    out = materialize(jaccard_components(docs, width=5, percent=80), "near")
-    # rows that repeat an id (their texts differ by now) stay unless all of them are gone
-    stay = out.where("kept").select(F.col("id").alias("__id")).distinct()
-    return docs.join(stay, F.col("__id").eqNullSafe(F.col("doc_id").cast("long")), "left_semi")
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    out = materialize(jaccard_components(numbered, doc_id=row, width=5, percent=80).select(F.col("id").alias(row), "component_id"), "near")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", row)).alias("first")
+    stay = numbered.select("doc_id", row).join(out, row).groupBy("component_id").agg(first).select(F.col(f"first.{row}").alias(row))
+    return numbered.join(stay, row, "left_semi").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
