@@ -85,8 +85,8 @@ def get_spark(app: str = "aurum", cpus: str | int = "*", shuffle_partitions: int
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
     Only when a local session names none (tests) do we pick a fresh scratch
     folder; on a cluster a folder of the driver's machine would be invisible to
@@ -94,9 +94,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="aurum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
+    return d.rstrip("/")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder, also made the target of ``checkpoint()``."""
+    d = shared_dir(spark)
     spark.sparkContext.setCheckpointDir(d)
     return d

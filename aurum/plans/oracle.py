@@ -60,7 +60,8 @@ SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) A
        'STORE-' || CAST(s.s_nationkey AS VARCHAR) AS store_id,
        'SKU-' || CAST(l.l_partkey AS VARCHAR) AS product_sku,
        {_qty('l.l_partkey', 'l.l_quantity')} AS quantity,
-       CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(0.002 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS amount,
+       CASE WHEN NOT (l.l_linenumber = 6 AND l.l_partkey % 53 = 0)
+            THEN CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(0.002 AS DECIMAL(4,3)) AS DECIMAL(18,2)) END AS amount,
        CASE r.r_name WHEN 'AMERICA' THEN 'USD' WHEN 'EUROPE' THEN 'EUR' ELSE 'XOF' END AS currency,
        o.o_orderpriority AS payment_method,
        {_email('o.o_custkey')} AS customer_email,
@@ -111,7 +112,7 @@ FROM lineitem""")
 cte("web_feed", (), """
 SELECT CAST(event_id AS VARCHAR) AS event_id,
        CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
-       CAST(user_id AS VARCHAR) AS user_id,
+       CASE WHEN event_id % 97 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
        CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view'
             WHEN 'signup' THEN 'add_to_cart' WHEN 'error' THEN 'checkout'
             WHEN 'purchase' THEN 'purchase' END AS event_type,
@@ -127,8 +128,8 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
 FROM events""")
 
 cte("iot_feed", (), """
-SELECT 'DEV-' || CAST(user_id AS VARCHAR) AS device_id, event_type AS sensor_type,
-       CAST(value AS DOUBLE) AS reading_value, 'unit' AS reading_unit,
+SELECT CASE WHEN event_id % 101 <> 0 THEN 'DEV-' || CAST(user_id AS VARCHAR) END AS device_id, event_type AS sensor_type,
+       CAST(value AS DOUBLE) AS reading_value, CASE WHEN user_id % 2 = 0 THEN 'unit' ELSE 'unit2' END AS reading_unit,
        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) AS battery_level,
        'fw-1.0' AS firmware_version, CAST(ts AS TIMESTAMP) AS reading_timestamp,
        CAST(ts AS TIMESTAMP) AS _ingested_at
@@ -244,7 +245,7 @@ SELECT a.session_id, a.user_id, a.session_start, a.session_end, a.session_durati
         OR (a.session_duration_seconds > 0 AND CAST(a.n_events AS DOUBLE) > 10.0 * CAST(a.session_duration_seconds AS DOUBLE))
         OR f.browser IS NULL) AS is_bot,
        f.page_url AS landing_page, a._loaded_at
-FROM session_agg a JOIN session_first f ON a.session_id = f.session_id AND a.user_id = f.user_id""")
+FROM session_agg a JOIN session_first f ON a.session_id = f.session_id AND a.user_id IS NOT DISTINCT FROM f.user_id""")
 
 cte("silver_sessions", ("sessions_all",), "SELECT * FROM sessions_all WHERE NOT is_bot")
 

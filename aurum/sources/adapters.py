@@ -103,7 +103,8 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(r, n.n_regionkey == r.r_regionkey)
          .withColumn("currency", _currency(F.col("r_name"))))
     qty = _quantity(F.col("l_partkey"), F.col("l_quantity"))
-    amount = _amount(F.col("l_extendedprice"))
+    # some lines have no amount (the declared not_null test finds them)
+    amount = F.when(~((F.col("l_linenumber") == 6) & (F.col("l_partkey") % 53 == 0)), _amount(F.col("l_extendedprice")))
     return j.select(
         _line_id().alias("transaction_id"),
         F.concat(F.lit("STORE-"), F.col("s_nationkey").cast("string")).alias("store_id"),
@@ -198,7 +199,7 @@ def web_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(uid.cast("string"), F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
-        uid.cast("string").alias("user_id"),
+        F.when(F.col("event_id") % 97 != 0, uid.cast("string")).alias("user_id"),  # some events are anonymous
         etype.alias("event_type"),
         F.concat(F.lit("https://shop.example.com/p/"), k.cast("string"),
                  F.lit("?utm_source="), (k % 3).cast("string")).alias("page_url"),
@@ -217,10 +218,11 @@ def web_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def iot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     return e.select(
-        F.concat(F.lit("DEV-"), F.col("user_id").cast("string")).alias("device_id"),
+        # some readings name no device; devices measure in one of two units
+        F.when(F.col("event_id") % 101 != 0, F.concat(F.lit("DEV-"), F.col("user_id").cast("string"))).alias("device_id"),
         F.col("event_type").alias("sensor_type"),
         F.col("value").cast("double").alias("reading_value"),
-        F.lit("unit").alias("reading_unit"),
+        F.when(F.col("user_id") % 2 == 0, "unit").otherwise("unit2").alias("reading_unit"),
         _props_k().cast("double").alias("battery_level"),
         F.lit("fw-1.0").alias("firmware_version"),
         _ntz("ts").alias("reading_timestamp"),

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.config import Settings, checkpoint_dir
+from aurum.config import Settings, shared_dir
 from aurum.operators.upsert import assert_unique_keys, new_rows, replace_scope, sync_schema, upsert
 from aurum.sources import tables
 from aurum.sources.tables import folders, load
@@ -113,10 +113,15 @@ def replace_path(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
     _write_staged(df, staged, partition_by, fmt, key)
     for name, frame in (side or {}).items():
         frame.write.parquet(f"{staged}/{name}")
-    tables.stage_meta(spark, staged, df.schema, list(partition_by or []), key, fmt)
+    tables.stage_meta(spark, staged, df.schema, list(partition_by or []), key, fmt, _version_only(spark, path))
     tables.commit(spark, path, staged, "whole")
 
 
+def _version_only(spark: SparkSession, path: str) -> dict:
+    """What a full refresh takes over from the table's ``_table.json``."""
+    return {"version": (tables.table_meta(spark, path) or {}).get("version", 0)}
+
+
 def _write_staged(df: DataFrame, staged: str, partition_by, fmt: str, key: str | None) -> None:
     if partition_by:
         df = clustered_for_write(df, partition_by)
@@ -130,7 +135,7 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from
     lost executors, of a size that the planner knows.  :func:`discard` deletes it."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/aurum-{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/aurum-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -465,7 +470,7 @@ def compact(spark: SparkSession, path: str, target_file_mb: int = 128, zorder_by
     (w.partitionBy(*parts) if parts else w).save(dest)
     if not in_place:
         return dest
-    tables.stage_meta(spark, dest, df.schema, parts, (meta or {}).get("key"), fmt)
+    tables.stage_meta(spark, dest, df.schema, parts, (meta or {}).get("key"), fmt, _version_only(spark, path))
     tables.commit(spark, path, dest, "whole")
     return path
 

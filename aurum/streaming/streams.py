@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from aurum.operators.dedup import stream_dedup
 from aurum.sources.readers import read_stream
+from aurum.streaming.registry import SchemaRegistry
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
@@ -69,19 +70,33 @@ class Feed:
         self.source_format, self.partition_by, self.max_files = source_format, partition_by, max_files_per_trigger
         base = root.rstrip("/")
         self.target = f"{base}/bronze/{source}/{table}"
+        self.registry = SchemaRegistry(f"{base}/checkpoint/schemas/{source}/{table}")
         self.checkpoint = f"{base}/checkpoint/bronze/{source}/{table}"
 
 
 def ingest_feed(spark: SparkSession, feeds: dict[tuple[str, str], Feed], source: str, table: str,
                 trigger: str | None = "availableNow"):
-    """X-03: the job of (source, table, trigger) over the defined feeds."""
+    """X-03: the job of (source, table, trigger) over the defined feeds.  The feed's
+    schema is the newest of its registry (R-06): its declared columns, and those
+    that its files have gained."""
     feed = feeds.get((source, table))
     if feed is None:
         raise KeyError(f"no feed ({source}, {table}); defined: {sorted(feeds)}")
-    return ingest(spark, feed.landing, feed.schema, feed.target, feed.checkpoint, feed.source_format, trigger,
+    schema = feed.registry.evolve(spark, feed.landing, feed.schema, feed.source_format)
+    return ingest(spark, feed.landing, schema, feed.target, feed.checkpoint, feed.source_format, trigger,
                   feed.partition_by, source, feed.max_files)
 
 
+def read_feed(spark: SparkSession, feed: Feed) -> DataFrame:
+    """The table of a feed, old files under the newest schema."""
+    stored = spark.read.option("mergeSchema", "false").parquet(feed.target)
+    last = feed.registry.latest(spark)
+    if last is None:
+        return stored
+    names = {f.name for f in last[1].fields}
+    return spark.read.schema(StructType(last[1].fields + [f for f in stored.schema.fields if f.name not in names])).parquet(feed.target)
+
+
 def upsert_stream(stream: DataFrame, target_path: str, keys, checkpoint: str, transform=None,
                   trigger: str | None = "availableNow", partition_by: str | None = None, fmt: str = "parquet"):
     """X-06: micro-batches merged by key into ``target_path``.
