@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aurum.config import shared_dir
+
 #: White space of the text contracts, in the syntax of Java and of Python.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -18,22 +20,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
-
-    A local session without that setting (tests) gets a scratch folder; on a
-    cluster a missing setting is an error, since a folder of the driver's
-    machine is invisible to the executors.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="aurum-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
-
-
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -21,6 +21,7 @@ document's whole text is scored where it is read; nothing else is shuffled.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -112,12 +113,7 @@ class Postings:
         heavy = np.flatnonzero(size >= max(1, HEAVY * width))
         self.row = np.full(terms, -1)
         self.row[heavy] = np.arange(len(heavy))
-        self.tiles = np.zeros((len(heavy), blocks, BLOCK), np.float32)
-        is_heavy = self.row[term] >= 0
-        r, x = self.row[term[is_heavy]], self.at[is_heavy]
-        self.tiles[r, x // BLOCK, x % BLOCK] = self.w[is_heavy]
-        self.bound = self.tiles.max(axis=2)
-        self.tiles = self.tiles.reshape(-1, BLOCK)  # row * blocks + block
+        self._cut(term)
         # lists by (term, block): where each starts, and its largest weight
         pair = term.astype(np.int64) * max(1, blocks) + self.at // BLOCK
         self.first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, np.int64)
@@ -126,6 +122,23 @@ class Postings:
         self.most = np.maximum.reduceat(self.w, self.first) if len(pair) else np.empty(0, np.float32)
         self.lists = np.searchsorted(term[self.first], np.arange(terms + 1))
 
+    def _cut(self, term: np.ndarray) -> None:
+        """Tiles and bounds of the frequent terms (``term``: of each list entry)."""
+        blocks = self.width // BLOCK
+        tiles = np.zeros((int(self.row.max(initial=-1)) + 1, blocks, BLOCK), np.float32)
+        some = self.row[term] >= 0
+        r, x = self.row[term[some]], self.at[some]
+        tiles[r, x // BLOCK, x % BLOCK] = self.w[some]
+        self.bound = tiles.max(axis=2) if blocks else np.zeros((len(tiles), 0), np.float32)
+        self.tiles = tiles.reshape(-1, BLOCK)  # row * blocks + block
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("tiles", "bound")}  # made again from the lists
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._cut(np.repeat(np.arange(len(self.row)), np.diff(self.start)))
+
     def __getitem__(self, q: np.ndarray) -> np.ndarray:
         """Whole rows of any terms."""
         out = np.zeros((len(q), self.width), np.float32)
@@ -161,7 +174,7 @@ class Index:
     Term 0 stands for all words that no example has, so that norms are over the
     whole text."""
 
-    def __init__(self, terms: list[bytes], df: np.ndarray, n_docs: int, docs: list[Counter], toxic: np.ndarray, ids: list,
+    def __init__(self, terms: list[bytes], df: np.ndarray, n_docs: int, docs: Iterable[Counter], toxic: np.ndarray, ids: list,
                  class_rows: tuple[int, int], chi2: np.ndarray | None = None):
         self.number = {t: i + 1 for i, t in enumerate(terms)}
         self.room, self.look = np.empty((0, BLOCK), np.float32), None
@@ -173,14 +186,15 @@ class Index:
         # a weight that no term loses wholly: one expects a chi-squared of 1 by chance
         self.idf[1:] *= (chi2 + 1) / (chi2 + HALF_CHI2)
         look = lookup(self.number)
-        vectors = [self.vector(d.items(), look) for d in docs]
-        term = np.concatenate([q for q, _ in vectors] or [np.empty(0, int)]).astype(int)
+        vectors = [(q.astype(np.int32), w.astype(np.float32)) for q, w in (self.vector(d.items(), look) for d in docs)]
+        del look
+        term = np.concatenate([q for q, _ in vectors] or [np.empty(0, np.int32)])
         at = np.repeat(np.arange(len(vectors)), [len(q) for q, _ in vectors])
-        w = np.concatenate([x for _, x in vectors] or [np.empty(0)]).astype(np.float32)
-        often = np.flatnonzero(np.bincount(term, minlength=len(terms) + 1) >= 2 * HEAVY * len(docs))
+        w = np.concatenate([x for _, x in vectors] or [np.empty(0, np.float32)])
+        often = np.flatnonzero(np.bincount(term, minlength=len(terms) + 1) >= 2 * HEAVY * len(vectors))
         row = np.full(len(terms) + 1, -1)
         row[often] = np.arange(len(often))
-        rows = np.zeros((len(docs), len(often)), np.float32)
+        rows = np.zeros((len(vectors), len(often)), np.float32)
         some = row[term] >= 0
         rows[at[some], row[term[some]]] = w[some]
         order = coherent_order(rows)
@@ -335,7 +349,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, toxic: str)
     del taken, same
     terms, chi2 = weighed_terms(counted, y) if 0 < y.sum() < len(y) else ([], np.empty(0))
     df, n = document_frequencies(docs, text, terms)
-    return Index(terms, df, n, counted, y, ids, (share.get(0, 0), share.get(1, 0)), chi2)
+    counted.reverse()
+    once = (counted.pop() for _ in range(len(counted)))  # an example's counts go when it is a vector
+    return Index(terms, df, n, once, y, ids, (share.get(0, 0), share.get(1, 0)), chi2)
 
 
 def lookup(number: dict[bytes, int]) -> Memo:
