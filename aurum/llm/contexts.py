@@ -59,7 +59,7 @@ def is_hot(context: np.ndarray, k: int, hot: dict[int, np.ndarray]) -> np.ndarra
 
 
 def pack_bytes(b: bytes) -> bytes:
-    return len(b).to_bytes(8, "little") + pa.Codec("zstd", compression_level=5).compress(b, asbytes=True)
+    return len(b).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(b, asbytes=True)
 
 
 def unpack_bytes(b: bytes) -> bytes:

@@ -272,16 +272,20 @@ def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int, hot
     for i, t in enumerate(bodies):
         c = np.array([count[w] for w in t.split()] + [ends], float)
         base[i], known[i] = np.log10((c + 1) / all_).sum(), np.count_nonzero(c)
-    keys = _different(bodies, np.zeros(len(bodies), bool))[0]
-    p = np.empty(len(keys), np.float32)
-    p[_in_blocks(keys, blocks, hot)[0]] = joined(GRAMS, "<f4")
-    score = np.zeros(len(bodies))
+    # each piece's different grams, and of its symbols, by gram, the text and the place among these
+    pieces, every = [], []
     for some, owner in _pieces(bodies):
-        order = np.argsort(some)  # equal grams are looked up once, in their order
+        order = np.argsort(some)
         some = some[order]
         new = np.concatenate([[True], some[1:] != some[:-1]])
-        found = p[np.searchsorted(keys, some[new])].astype(float)
-        score += np.bincount(owner[order], found[np.cumsum(new) - 1], len(bodies))
+        every.append(some[new])
+        pieces.append((owner[order].astype(np.int32), (np.cumsum(new) - 1).astype(np.int32)))
+    keys = np.unique(np.concatenate(every or [np.empty(0, np.uint64)]))
+    p = np.empty(len(keys), np.float32)
+    p[_in_blocks(keys, blocks, hot)[0]] = joined(GRAMS, "<f4")
+    score = np.zeros(len(bodies))
+    for (owner, place), some in zip(pieces, every, strict=True):
+        score += np.bincount(owner, p[np.searchsorted(keys, some)].astype(float)[place], len(bodies))
     return pa.table({
         "id": pa.array(texts["ids"], pa.int64()), "held_out": pa.array(texts["held"], pa.bool_()),
         "n_tokens": pa.array(np.array(texts["sizes"], np.int64) + 1), "n_known": pa.array(known),
