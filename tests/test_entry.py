@@ -9,12 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from aurum.plans.catalog import QUERIES
+from aurum.plans.oracle_queries import ORACLE
 from helpers import SF_SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
 
 
 def canon(v):
@@ -45,6 +45,12 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.keys() <= E.queries().keys() and ORACLE.keys() <= E.oracle_sql().keys() <= E.queries().keys()
+
+
+def test_declared_not_null_tests_find_rows(spark):
+    found = QUERIES["test_not_null"](spark, SF_SMOKE).groupBy("model", "column_name").count().collect()
+    assert {("stg_sales_transactions", "amount"), ("stg_iot_readings", "device_id")} <= {(r[0], r[1]) for r in found}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
