@@ -36,9 +36,11 @@ EXAMPLES, EXAMPLE_CHARS = 2000, 30_000
 #: Chi-squared at which a term has half of the full weight.
 HALF_CHI2 = 25.0
 #: Terms in at least this share of the examples have a whole row of weights.
-HEAVY = 1 / 32
+HEAVY = 1 / 16
 NEIGHBOURS = 25
 BLOCK = 64
+#: Texts that are searched together.
+BATCH = 64
 #: Blocks that are visited first, and cosines that count as equal.
 STRIDE, TIE = 8, 1e-5
 STARTS = (4, 5, 6)
@@ -101,44 +103,41 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Postings:
-    """Weights by term and example, in blocks of ``BLOCK`` examples with the largest
-    weight of each (term, block): whole rows of the frequent terms, cut into a tile
-    per block, and lists of the others."""
+    """Weights by term and example.  Terms of many examples have a whole row, cut into a
+    tile per block of ``BLOCK`` examples, with the largest weight of each (term,
+    block); the others have lists."""
 
     def __init__(self, terms: int, term: np.ndarray, at: np.ndarray, w: np.ndarray, width: int):
         order = np.lexsort((at, term))
         term, self.at, self.w, self.width = term[order], at[order].astype(np.int32), w[order].astype(np.float32), width
         self.start = np.searchsorted(term, np.arange(terms + 1))
-        size, blocks = np.diff(self.start), width // BLOCK
-        heavy = np.flatnonzero(size >= max(1, HEAVY * width))
+        self.blocks = width // BLOCK
+        heavy = np.flatnonzero(np.diff(self.start) >= max(1, HEAVY * width))
         self.row = np.full(terms, -1)
         self.row[heavy] = np.arange(len(heavy))
         self._cut(term)
-        # lists by (term, block): where each starts, and its largest weight
-        pair = term.astype(np.int64) * max(1, blocks) + self.at // BLOCK
-        self.first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.empty(0, np.int64)
-        self.size = np.diff(np.append(self.first, len(pair)))
-        self.block = (self.at[self.first] // BLOCK).astype(np.int32)
-        self.most = np.maximum.reduceat(self.w, self.first) if len(pair) else np.empty(0, np.float32)
-        self.lists = np.searchsorted(term[self.first], np.arange(terms + 1))
 
     def _cut(self, term: np.ndarray) -> None:
         """Tiles and bounds of the frequent terms (``term``: of each list entry)."""
-        blocks = self.width // BLOCK
-        tiles = np.zeros((int(self.row.max(initial=-1)) + 1, blocks, BLOCK), np.float32)
+        self.tiles = np.zeros((self.blocks, int(self.row.max(initial=-1)) + 1, BLOCK), np.float32)
         some = self.row[term] >= 0
-        r, x = self.row[term[some]], self.at[some]
-        tiles[r, x // BLOCK, x % BLOCK] = self.w[some]
-        self.bound = tiles.max(axis=2) if blocks else np.zeros((len(tiles), 0), np.float32)
-        self.tiles = tiles.reshape(-1, BLOCK)  # row * blocks + block
+        x = self.at[some]
+        self.tiles[x // BLOCK, self.row[term[some]], x % BLOCK] = self.w[some]
+        self.most = np.ascontiguousarray(self.tiles.max(axis=2).T)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("tiles", "bound")}  # made again from the lists
+        return {k: v for k, v in self.__dict__.items() if k not in ("tiles", "most")}  # made again from the lists
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self._cut(np.repeat(np.arange(len(self.row)), np.diff(self.start)))
 
+    def listed(self, q: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Dot products with all examples over terms that have lists."""
+        size = self.start[q + 1] - self.start[q]
+        post = _ranges(self.start[q], size)
+        return np.bincount(self.at[post], self.w[post] * np.repeat(w, size), self.width)
+
     def __getitem__(self, q: np.ndarray) -> np.ndarray:
         """Whole rows of any terms."""
         out = np.zeros((len(q), self.width), np.float32)
@@ -177,7 +176,7 @@ class Index:
     def __init__(self, terms: list[bytes], df: np.ndarray, n_docs: int, docs: Iterable[Counter], toxic: np.ndarray, ids: list,
                  class_rows: tuple[int, int], chi2: np.ndarray | None = None):
         self.number = {t: i + 1 for i, t in enumerate(terms)}
-        self.room, self.look = np.empty((0, BLOCK), np.float32), None
+        self.look = None
         self.idf = 1 + np.log((n_docs + 1) / (np.append(n_docs, df) + 1))
         if chi2 is None:
             number, a, b = term_counts(docs, toxic)
@@ -228,64 +227,64 @@ class Index:
         return q, w / np.sqrt((w * w).sum())
 
     def search(self, q: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1):
-        """Positions and cosines of the k nearest examples and of all as near as the k-th.
-
-        Bounds of all blocks come from the largest weights; blocks are read from the
-        highest bound on, ``STRIDE`` first and then more at a time, until none can
-        hold a neighbour.  Tiles and lists of other blocks are not read."""
-        if self.plain is not None and len(q) == 1 and not q[0]:
-            return self.plain
-        p, w = self.impact, w.astype(np.float32)
-        row = p.row[q]
-        heavy, hw = row[row >= 0], w[row >= 0]
-        light, lw = q[row < 0], w[row < 0]
-        n = p.lists[light + 1] - p.lists[light]
-        entry, ew = _ranges(p.lists[light], n), np.repeat(lw, n)
-        bounds = hw @ p.bound[heavy] + np.bincount(p.block[entry], ew * p.most[entry], p.width // BLOCK)
-        at, cos, least = np.empty(0, int), np.empty(0, np.float32), 0.0
-        order = np.argsort(-bounds, kind="stable")
-        slot, x, step = np.full(len(bounds), -1), 0, STRIDE
-        of_entry = p.block[entry]
-        while x < len(order):
-            blocks = order[x:x + step]
-            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least - TIE)]
-            x, step = x + step, 2 * step
-            if not len(blocks):
-                break
-            tiles = self._room(len(heavy) * len(blocks))
-            np.take(p.tiles, (heavy[:, None] * len(bounds) + blocks).ravel(), axis=0, out=tiles, mode="clip")
-            got = hw @ tiles.reshape(len(heavy), len(blocks) * BLOCK)
-            slot[blocks] = np.arange(len(blocks))
-            place = slot[of_entry]
-            slot[blocks] = -1
-            own = np.flatnonzero(place >= 0)
-            e, place = entry[own], place[own]
-            size = p.size[e]
-            post = _ranges(p.first[e], size)
-            into = np.repeat(place * BLOCK, size) + p.at[post] % BLOCK
-            got = got + np.bincount(into, p.w[post] * np.repeat(ew[own], size), got.size).astype(np.float32)
-            pos = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            ok = (got > max(0.0, least - TIE)) & (pos != without)
-            at, cos = np.concatenate([at, pos[ok]]), np.concatenate([cos, got[ok]])
-            if len(at) > k:
-                least = float(np.partition(cos, len(cos) - k)[len(cos) - k])
-                at, cos = at[cos >= least - TIE], cos[cos >= least - TIE]
-        best = np.lexsort((at, -cos))
-        return at[best], cos[best]
-
-    def _room(self, tiles: int) -> np.ndarray:
-        """Memory for so many tiles, used again by the next search."""
-        if len(self.room) < tiles:
-            self.room = np.empty((2 * tiles, BLOCK), np.float32)
-        return self.room[:tiles]
+        """Positions and cosines of the k nearest examples and of all as near as the k-th."""
+        return self.search_all([(q, w)], k, [without])[0]
+
+    def search_all(self, vectors, k: int = NEIGHBOURS, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`search` for several texts, which share the reading of a tile.
+
+        The bound of a block is what its listed terms give at most and the largest
+        weights of the others.  A text's ``STRIDE`` best blocks are read first, then
+        those whose bound reaches its k-th best cosine; other tiles are not read
+        for it."""
+        p, n = self.impact, len(vectors)
+        weight, score = np.zeros((n, p.tiles.shape[1]), np.float32), np.zeros((n, p.width), np.float32)
+        for i, (q, w) in enumerate(vectors):
+            row = p.row[q]
+            some = row >= 0
+            weight[i, row[some]] = w[some]
+            score[i] = p.listed(q[~some], w[~some])
+        by_block = score.reshape(n, p.blocks, BLOCK)
+        bounds = weight @ p.most + by_block.max(axis=2)
+        done, least = np.zeros((n, p.blocks), bool), np.zeros(n, np.float32)
+        for last in (False, True):
+            wanted = (bounds > 0) & (bounds >= least[:, None] - TIE) & ~done
+            if not last and STRIDE < p.blocks:
+                wanted &= bounds >= np.partition(bounds, p.blocks - STRIDE, axis=1)[:, p.blocks - STRIDE, None]
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                t = np.flatnonzero(wanted[:, b])
+                by_block[t, b] += weight[t] @ p.tiles[b]
+            done |= wanted
+            if not last:
+                known = np.where(done[:, :, None], by_block, 0).reshape(n, -1)
+                for i, x in enumerate(without or ()):
+                    if x >= 0:
+                        known[i, x] = 0
+                if k <= p.width:
+                    least = np.partition(known, p.width - k, axis=1)[:, p.width - k]
+        out = []
+        score = np.where(done[:, :, None], by_block, 0).reshape(n, -1)
+        for i in range(n):
+            if self.plain is not None and len(vectors[i][0]) == 1 and not vectors[i][0][0]:
+                out.append(self.plain)
+                continue
+            if without and without[i] >= 0:
+                score[i, without[i]] = 0
+            kth = np.partition(score[i], p.width - k)[p.width - k] if k <= p.width else 0.0
+            at = np.flatnonzero((score[i] > 0) & (score[i] >= kth - TIE))
+            at = at[np.lexsort((at, -score[i, at]))]
+            out.append((at, score[i, at]))
+        return out
 
     def __getstate__(self):
-        return self.__dict__ | {"room": np.empty((0, BLOCK), np.float32), "look": None}
+        return self.__dict__ | {"look": None}
 
-    def text_vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, texts: list[str]):
+        """Neighbours of texts, one text after another."""
         if self.look is None:
             self.look = lookup(self.number)  # kept by the worker from task to task
-        return self.vector(Counter(words(text)).items(), self.look)
+        for i in range(0, len(texts), BATCH):
+            yield from self.search_all([self.vector(Counter(words(t)).items(), self.look) for t in texts[i:i + BATCH]])
 
     def vote(self, at, cos) -> float:
         """Share of the toxic class in the distance-weighted votes, -1 without a neighbour."""
@@ -296,7 +295,8 @@ class Index:
 
     def _calibrate(self, vectors) -> tuple[np.ndarray, np.ndarray]:
         """Isotonic regression of labels on votes: thresholds and probabilities."""
-        votes = np.array([self.vote(*self.search(q, w, without=i)) for i, (q, w) in enumerate(vectors)])
+        votes = np.array([self.vote(*found) for x in range(0, len(vectors), BATCH)
+                          for found in self.search_all(vectors[x:x + BATCH], without=list(range(x, min(x + BATCH, len(vectors)))))])
         weight = self.weight[self.toxic]
         groups: list[list[float]] = []  # lowest vote, weight, weighted positives
         prior = float((weight * self.toxic).sum() / weight.sum()) if len(votes) else 0.0
@@ -390,8 +390,7 @@ def score(docs: DataFrame, index: Index, text: str = "text", doc_id: str = "doc_
         ix = held.value
         for b in batches:
             scores, evidence = [], []
-            for t in b.column(1).to_pylist():
-                at, cos = ix.search(*ix.text_vector(t))
+            for at, cos in ix.nearest(b.column(1).to_pylist()):
                 scores.append(ix.probability(ix.vote(at, cos)))
                 evidence.append([{"doc_id": str(ix.ids[i]), "toxic": int(ix.toxic[i]), "cosine": float(c)}
                                  for i, c in zip(at[:3].tolist(), cos[:3].tolist(), strict=True)])
@@ -409,8 +408,7 @@ def drop_toxic(docs: DataFrame, index: Index, threshold: float = THRESHOLD, text
     def rows(batches):
         ix = held.value
         for b in batches:
-            stay = [ix.probability(ix.vote(*ix.search(*ix.text_vector(t or "")))) < threshold
-                    for t in b.column(at).to_pylist()]
+            stay = [ix.probability(ix.vote(*found)) < threshold for found in ix.nearest([t or "" for t in b.column(at).to_pylist()])]
             yield b.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)
