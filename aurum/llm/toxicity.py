@@ -4,10 +4,13 @@ Terms are lower-cased words and word starts of a few lengths.  A bounded
 sample of labelled rows (``EXAMPLES`` per class, in the order of a hash of the
 id) gives the examples; all their terms are dimensions, those whose presence
 depends on the label (chi-squared) with more weight.  Inverse document
-frequencies are counted over all documents.  The examples' TF-IDF vectors go into an inverted index whose postings are cut into
-blocks of examples with the largest weight of each (term, block); a query
-visits blocks in the order of their bounds and stops when no block can beat
-the k-th best cosine found, so its neighbours are exact.
+frequencies are counted over all documents.  The examples' TF-IDF vectors go into an inverted
+index.  Terms of many examples have weights cut into tiles, one per block of
+examples, with the largest weight of each (term, block); the others have short
+lists, which are read whole.  The bound of a block is what its largest weights and
+the lists give at most: a query reads its best blocks first, then those whose
+bound reaches its k-th best cosine, and no other, so its neighbours are exact.
+Queries of a batch share the reading of a tile.
 
 The neighbours vote with their cosines; each class counts by its share of the
 sample.  Votes become probabilities by isotonic regression on the examples
