@@ -185,8 +185,7 @@ def append_batch(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
     staged = tables.staged_folder(path)
     _write_staged(df, staged, partition_by, fmt, None)
     tables.write_text(spark, f"{staged}/_batch_{batch_id}", "")
-    tables._path(spark, path)[1].mkdirs(tables._path(spark, path)[0])
-    tables.commit(spark, path, staged, "append")
+    tables.commit(spark, path, staged, "append" if tables.path_exists(spark, path) else "whole")
     return True
 
 
