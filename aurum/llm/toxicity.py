@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -213,17 +214,12 @@ class Index:
 
     def vector(self, word_counts, look) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and weights (unit length) of a text's terms."""
-        found, often, sizes, other = [], [], [], 0
-        for w, n in word_counts:
-            got = look[w]
-            if got:
-                found += got
-                often.append(n)
-                sizes.append(len(got))
-            else:
-                other += n
-        q, place = np.unique(np.array(found, int), return_inverse=True)
-        hits = np.bincount(place, np.repeat(np.array(often, float), sizes), len(q))
+        word_counts = dict(word_counts)
+        got = list(map(look.__getitem__, word_counts))
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        n = np.fromiter(word_counts.values(), float, len(got))
+        q, place = np.unique(np.fromiter(chain.from_iterable(got), np.int64, int(sizes.sum())), return_inverse=True)
+        hits, other = np.bincount(place, np.repeat(n, sizes), len(q)), n[sizes == 0].sum()
         if other or not len(q):
             q, hits = np.append(q, 0), np.append(hits, max(1, other))
         w = (1 + np.log(hits)) * self.idf[q]
