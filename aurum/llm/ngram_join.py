@@ -21,8 +21,10 @@ candidates left are verified on their sets.
 3. *Links*.  Documents with equal sets are one node.  In rounds, each prefix
    shingle's list picks a hub, members of other components are verified
    against it, and what links is contracted; lists within one component are
-   left out from then on.  Pairs that sizes or sketches rule out are not made.  What is still undecided is compared list by list,
-   in blocks of ``CHUNK`` members, so that no task holds a whole list.
+   left out from then on.  Pairs that sizes or sketches rule out are not made.  What is still undecided is compared list by list
+   (``undecided_pairs``): members outside a list's largest component with all
+   members, in blocks of ``CHUNK``, so that no task holds a whole list; a pair
+   that shares many lists is made in the first of them.
 
 Shingles are 64-bit hashes for counting a set and named by 40 bits and their
 block for comparing; memory per task is bounded by the buffer and block sizes.
@@ -49,6 +51,8 @@ BUFFER_TOKENS, BUFFER_DOCS = 1 << 20, 1 << 13
 BLOCK_BYTES, BLOCKS = 12 << 20, 16
 #: Members of a list that are compared with each other in one group.
 CHUNK = 256
+#: Lists that a member of an undecided list carries, to make a pair in one list only.
+EARLIER = 8
 HUB_ROUNDS = 2
 LOW = np.uint64((1 << 40) - 1)
 
@@ -256,6 +260,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> D
     return both.withColumn("same", same).where(100 * F.col("same") >= percent * (F.col("n_a") + F.col("n_b") - F.col("same"))).select("a", "b")
 
 
+def undecided_pairs(members: DataFrame, traits: list[str], close) -> DataFrame:
+    """Pairs (a, b) of the lists' members (tok, rid, comp, g, traits) that are of
+    different components and ``close``; a pair may come more than once.
+
+    A list's members outside its largest component meet all members, in blocks of
+    ``CHUNK``.  Lists are ordered by size, the largest first.  A member carries the
+    first ``EARLIER`` lists it is in, and a pair that has one of these in common
+    is made there and not in a later list; its first common list always makes it."""
+    main = members.groupBy("tok", "comp").agg(F.count("*").alias("k")).groupBy("tok").agg(F.max(F.struct("k", "comp")).alias("main"))
+    first = members.groupBy("rid").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("g")).alias("z"), "tok"))), 1, EARLIER)["tok"].alias("first"))
+    place = F.array_position("first", F.col("tok"))
+    rows = members.join(main, "tok").join(first, "rid").select(
+        "tok", "rid", "comp", *traits, F.expr("comp = main.comp").alias("inside"),
+        F.when(place == 0, F.col("first")).otherwise(F.slice("first", 1, F.greatest(place - 1, F.lit(0)).cast("int"))).alias("earlier"),
+        F.ceil(F.col("g") / CHUNK).cast("int").alias("all_parts"), F.ceil((F.col("g") - F.col("main.k")) / CHUNK).cast("int").alias("parts"))
+
+    def dealt(own: str, other: str):
+        """The rows in one block of their own side, for each of the other side's."""
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("j")
+        return "*", F.pmod(F.xxhash64("rid"), own).cast("int").alias("i"), every
+
+    x = rows.where("NOT inside").select(*dealt("parts", "all_parts")).drop("all_parts", "parts", "inside")
+    y = rows.select(*dealt("all_parts", "parts")).select(
+        F.col("tok").alias("tok_2"), F.col("i").alias("j_2"), F.col("j").alias("i_2"), "inside", F.col("earlier").alias("earlier_2"),
+        *(F.col(c).alias(f"{c}_2") for c in ("rid", "comp", *traits)))
+    met = x.join(y, [F.col("tok") == F.col("tok_2"), F.col("i") == F.col("i_2"), F.col("j") == F.col("j_2"), F.col("comp") != F.col("comp_2"),
+                     F.col("inside") | (F.col("rid") < F.col("rid_2")), close(F.col, lambda c: F.col(f"{c}_2")),
+                     ~F.arrays_overlap("earlier", "earlier_2")])
+    return met.select(F.least("rid", "rid_2").alias("a"), F.greatest("rid", "rid_2").alias("b"))
+
+
 def jaccard_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, percent: int = 80,
                        orders: int = 3) -> DataFrame:
     """One row per row of ``df``: rid, id, n_shingles, component_id, kept.
@@ -297,18 +332,8 @@ def jaccard_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
             near = close(F.col, lambda c: F.col(f"hub.{c}"))
             pairs = members.where((F.col("comp") != F.col("hub.comp")) & near).select(
                 F.col("rid").alias("a"), F.col("hub.rid").alias("b"))
-        else:  # all undecided pairs of a list, block by block
-            parts = F.ceil(F.col("g") / CHUNK).cast("int")
-            members = members.select("tok", "rid", "comp", *traits, parts.alias("parts")).withColumn(
-                "part", F.pmod(F.xxhash64("rid"), "parts").cast("int"))
-            other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-            blocks = members.select("*", other).select(
-                "tok", "rid", "comp", *traits, "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-            key = ["tok", "i", "j"]
-            x = blocks.where("part = i").select(*key, "rid", "comp", *traits)
-            y = blocks.where("part = j").select(*key, *(F.col(c).alias(f"{c}_2") for c in ("rid", "comp", *traits)))
-            pairs = x.join(y, key).where("comp <> comp_2 AND (i < j OR rid < rid_2)").where(
-                close(F.col, lambda c: F.col(f"{c}_2"))).select(F.least("rid", "rid_2").alias("a"), F.greatest("rid", "rid_2").alias("b"))
+        else:
+            pairs = undecided_pairs(members, traits, close)
         found = materialize(_verified(pairs.distinct(), sets, percent, orders), "links")
         links = found if links is None else links.unionByName(found)
         comps = components(links)
