@@ -109,14 +109,28 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_columns=None, inse
     return out.select(*columns)
 
 
+def keyed(df: DataFrame, keys: DataFrame, among: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys`` (NULL equal to NULL), or is not.
+
+    One key column is joined by plain equality, and NULL is looked up by itself:
+    a null-safe join is dealt by other expressions than the key, so rows that are
+    (or will be) grouped by the key would be shuffled once more."""
+    if len(keys.columns) > 1:
+        own = keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
+        return df.join(own, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys.columns], "left_semi" if among else "left_anti")
+    c = keys.columns[0]
+    hit = keys.where(F.col(c).isNotNull()).distinct().select(F.col(c).alias("__key"), F.lit(True).alias("__hit"))
+    null = keys.where(F.col(c).isNull()).agg((F.count(F.lit(1)) > 0).alias("__null"))  # one row
+    there = F.when(F.col(c).isNull(), F.col("__null")).otherwise(F.col("__hit").isNotNull())
+    out = df.join(hit, F.col(c) == F.col("__key"), "left").crossJoin(F.broadcast(null))
+    return out.where(there if among else ~there).select(*df.columns)
+
+
 def replace_scope(target: DataFrame, source: DataFrame, scope: DataFrame) -> DataFrame:
     """``target`` without the rows whose key is in ``scope`` (its columns, NULL
     equal to NULL), and all rows of ``source``: a keyed rebuild, in which keys
     that no longer qualify disappear."""
-    own = scope.distinct()
-    own = own.select(*[F.col(c).alias(f"__scope_{c}") for c in scope.columns])
-    match = [F.col(c).eqNullSafe(F.col(f"__scope_{c}")) for c in scope.columns]
-    return target.join(own, match, "left_anti").unionByName(source, allowMissingColumns=True)
+    return keyed(target, scope, among=False).unionByName(source, allowMissingColumns=True)
 
 
 def high_water_mark(target: DataFrame, column: str = "_loaded_at"):

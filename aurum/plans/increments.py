@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from aurum.config import Settings
 from aurum.operators.dedup import dedup_latest
+from aurum.operators.upsert import keyed
 from aurum.plans import silver
 
 
 def only(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose key is among ``keys`` (NULL equal to NULL); ``left_anti``: is not."""
-    own = keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
-    return df.join(own, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys.columns], how)
+    return keyed(df, keys, how == "left_semi")
 
 
 # ------------------------------------------------------------------ M-06, M-09

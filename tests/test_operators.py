@@ -233,3 +233,21 @@ def test_fifo_matches_layer_by_layer_brute_force(spark):
                 if left == 0:
                     break
             assert got[(item, day)] == (received - issued, received_cost - consumed), (item, day)
+
+
+def test_keyed_keeps_the_grouping_of_its_rows(spark):
+    """Rows grouped by the key aren't shuffled again; NULL equals NULL, keys may repeat."""
+    df = spark.createDataFrame([(k, v) for v, k in enumerate(["a", "a", "b", None, None, "c"])], "k string, v int")
+    for values in (["a", "a", "z"], ["b", None], [None], []):
+        keys = spark.createDataFrame([(x,) for x in values], "k string")
+        for among in (True, False):
+            got = sorted(r["v"] for r in upsert.keyed(df, keys, among).collect())
+            assert got == [v for v, k in enumerate(["a", "a", "b", None, None, "c"]) if (k in values) == among]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = dedup_latest(df, "k", "v")
+        out = upsert.keyed(latest, spark.createDataFrame([("a",)], "k string"), among=False)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(") <= 2, plan  # of the rows, and of the keys; before: 3
