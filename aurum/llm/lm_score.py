@@ -47,8 +47,8 @@ from pyspark.sql import functions as F
 from . import contexts as C
 from .common import materialize, read_table
 
-#: Bytes and texts of a buffer, and bytes of it that are worked on at a time.
-BUFFER_BYTES, BUFFER_TEXTS, PIECE_BYTES = 16 << 20, 1 << 16, 1 << 20
+#: Bytes and texts of a buffer (a task holds some 20 bytes for each byte), and bytes of it that are worked on at a time.
+BUFFER_BYTES, BUFFER_TEXTS, PIECE_BYTES = 5 << 20, 1 << 16, 1 << 20
 #: Grams that are gathered before equal ones are merged.
 MERGE = 2_000_000
 #: Bytes of text for each block, and least number of blocks.
