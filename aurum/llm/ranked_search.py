@@ -42,6 +42,8 @@ from .common import look_up, materialize, read_table, text_of
 QUERY_BYTES = 4 << 20
 #: Documents and postings of one index.
 SHARD_DOCS, SHARD_POSTINGS = 1 << 14, 1 << 21
+#: Queries whose answers go into one batch.
+ANSWERS = 200
 #: Entries that are read from each list first; each later step reads twice as many.
 FIRST_READ = 128
 #: Letters and digits stay (A-Z lower-cased), as do bytes of other alphabets; the rest of ASCII separates terms.
@@ -198,10 +200,12 @@ def search(table: DataFrame, queries, n_docs: int, n_terms: int, weights: np.nda
                     held, size = [], 0
         if held:
             answer()
-        for q, (score, i, none) in zip(block.ids, best, strict=True):
+        for x in range(0, len(best), ANSWERS):  # few batches, not one a query: each is a buffer in the JVM
+            some = best[x:x + ANSWERS]
+            score, i, none = (np.concatenate([r[c] for r in some]) for c in range(3))
+            q = np.repeat(np.array(block.ids[x:x + ANSWERS], np.int64), [len(r[0]) for r in some])
             if len(score):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), q)), pa.array(i, mask=none), pa.array(score)],
-                                                 ["query", "doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i, mask=none), pa.array(score)], ["query", "doc_id", "score"])
 
     return table.select("doc_id", "n", "terms", "counts").mapInArrow(rows, "query long, doc_id long, score long")
 
