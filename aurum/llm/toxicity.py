@@ -103,7 +103,10 @@ def chi_squared(a: np.ndarray, b: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All positions from each start on, one range behind another."""
-    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+    end = np.cumsum(size)
+    out = np.repeat(start - end + size, size)
+    out += np.arange(len(out))
+    return out
 
 
 class Postings:
@@ -134,12 +137,14 @@ class Postings:
 
     def __setstate__(self, state):
         self.__dict__.update(state)
+        self.at = self.at.astype(np.intp)  # what bincount takes without a copy
         self._cut(np.repeat(np.arange(len(self.row)), np.diff(self.start)))
 
     def listed(self, q: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Dot products with all examples over terms that have lists."""
-        size = self.start[q + 1] - self.start[q]
-        post = _ranges(self.start[q], size)
+        start = self.start[q]
+        size = self.start[q + 1] - start
+        post = _ranges(start, size)
         return np.bincount(self.at[post], self.w[post] * np.repeat(w, size), self.width)
 
     def __getitem__(self, q: np.ndarray) -> np.ndarray:
@@ -189,7 +194,7 @@ class Index:
         # a weight that no term loses wholly: one expects a chi-squared of 1 by chance
         self.idf[1:] *= (chi2 + 1) / (chi2 + HALF_CHI2)
         look = lookup(self.number)
-        vectors = [(q.astype(np.int32), w.astype(np.float32)) for q, w in (self.vector(d.items(), look) for d in docs)]
+        vectors = [(q.astype(np.int32), w.astype(np.float32)) for q, w in (self.vector(d, look) for d in docs)]
         del look
         term = np.concatenate([q for q, _ in vectors] or [np.empty(0, np.int32)])
         at = np.repeat(np.arange(len(vectors)), [len(q) for q, _ in vectors])
@@ -214,7 +219,7 @@ class Index:
 
     def vector(self, word_counts, look) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and weights (unit length) of a text's terms."""
-        word_counts = dict(word_counts)
+        word_counts = word_counts if isinstance(word_counts, dict) else dict(word_counts)
         got = list(map(look.__getitem__, word_counts))
         sizes = np.fromiter(map(len, got), np.int64, len(got))
         n = np.fromiter(word_counts.values(), float, len(got))
@@ -252,7 +257,10 @@ class Index:
                 wanted &= bounds >= np.partition(bounds, p.blocks - STRIDE, axis=1)[:, p.blocks - STRIDE, None]
             for b in np.flatnonzero(wanted.any(axis=0)).tolist():
                 t = np.flatnonzero(wanted[:, b])
-                by_block[t, b] += weight[t] @ p.tiles[b]
+                if len(t) == n:
+                    by_block[:, b] += weight @ p.tiles[b]
+                else:
+                    by_block[t, b] += weight[t] @ p.tiles[b]
             done |= wanted
             if not last:
                 known = np.where(done[:, :, None], by_block, 0).reshape(n, -1)
@@ -269,8 +277,10 @@ class Index:
                 continue
             if without and without[i] >= 0:
                 score[i, without[i]] = 0
-            kth = np.partition(score[i], p.width - k)[p.width - k] if k <= p.width else 0.0
-            at = np.flatnonzero((score[i] > 0) & (score[i] >= kth - TIE))
+            at = np.flatnonzero((score[i] > 0) & (score[i] >= least[i] - TIE))  # no other is among the k best
+            near = score[i, at]
+            kth = np.partition(near, len(at) - k)[len(at) - k] if k <= len(at) else 0.0
+            at = at[near >= kth - TIE]
             at = at[np.lexsort((at, -score[i, at]))]
             out.append((at, score[i, at]))
         return out
@@ -283,7 +293,7 @@ class Index:
         if self.look is None:
             self.look = lookup(self.number)  # kept by the worker from task to task
         for i in range(0, len(texts), BATCH):
-            yield from self.search_all([self.vector(Counter(words(t)).items(), self.look) for t in texts[i:i + BATCH]])
+            yield from self.search_all([self.vector(Counter(words(t)), self.look) for t in texts[i:i + BATCH]])
 
     def vote(self, at, cos) -> float:
         """Share of the toxic class in the distance-weighted votes, -1 without a neighbour."""
@@ -354,8 +364,22 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, toxic: str)
 
 
 def lookup(number: dict[bytes, int]) -> Memo:
-    """Numbers of a word's terms."""
-    return Memo(lambda w: tuple(number[t] for t in word_terms(w) if t in number), 150_000)
+    """Numbers of a word's terms (:func:`word_terms`; bytes are letters in an ASCII word)."""
+    get, at = number.get, [(n, n + 1) for n in STARTS]
+
+    def numbers(w: bytes) -> tuple:
+        if not w.isascii() or len(w) > 64:
+            return tuple(number[t] for t in word_terms(w) if t in number)
+        i, size, head = get(w), len(w), b"^" + w
+        found = () if i is None else (i,)
+        for n, end in at:
+            if size > n:
+                i = get(head[:end])
+                if i is not None:
+                    found += (i,)
+        return found
+
+    return Memo(numbers, 250_000)
 
 
 def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tuple[np.ndarray, int]:
@@ -367,8 +391,8 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
         for b in batches:
             for t in b.column(0).to_pylist():
                 n += 1
-                hit = set().union(*map(look.__getitem__, set(words(t))))
-                df[np.fromiter(hit, np.int64, len(hit))] += 1
+                hit = np.fromiter(chain.from_iterable(map(look.__getitem__, set(words(t)))), np.int64)
+                df[hit] += 1  # a term of several words counts once
         df[-1] = n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at], pa.int64())], ["term", "n"])

@@ -14,3 +14,11 @@ def test_a_word_of_three_examples_is_no_other_word():
     ix = X.Index(terms, np.array([400.0 if t == b"common" else 3.0 for t in terms]), 400, docs, y, list(range(400)), (277, 123))
     at, cos = ix.search(*ix.vector([(b"zqlone", 1)], X.lookup(ix.number)), k=3)
     assert sorted(ix.ids[i] for i in at) == [0, 1, 2] and cos.min() > 0.5
+
+
+def test_lookup_gives_the_numbers_of_a_words_terms():
+    some = [b"zebra", b"zebr", b"caf\xc3\xa9teria", b"a" * 65, b"ab", b"unseenword", b"unse"]
+    number = {t: i for i, t in enumerate(sorted({t for w in some[:5] for t in X.word_terms(w)} | {b"^unse"}))}
+    look = X.lookup(number)
+    for w in some:
+        assert look[w] == tuple(number[t] for t in X.word_terms(w) if t in number)
