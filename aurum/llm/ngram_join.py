@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table, text_blocks
+from .common import materialize, read_table, sliced, text_blocks
 from .components import components
 from .presplit import Memo
 
@@ -140,7 +140,7 @@ def _requests(batches: Iterator[pa.RecordBatch], width: int, blocks: int) -> Ite
         ids, sets, held = [], [], 0
         return _batch(rows)
 
-    for b in batches:
+    for b in sliced(batches):
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             s = shingle_hashes(t, width)
             ids.append(i)

@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
-from .presplit import Memo, default_path, to_chars, vocabulary
+from .common import read_table, sliced
+from .presplit import KEPT, Memo, default_path, to_chars, vocabulary
 
 WINDOW = 2048
 END = 1
@@ -73,6 +73,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+KEPT.append(encoder)
+
+
 def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Sorted cut positions (the last is the stream's end) and their penalties."""
     penalty = np.full(len(ids) + 1, -1, np.int8)
@@ -187,7 +190,7 @@ def pack_documents(df: DataFrame, text: str = "text", doc_id: str = "doc_id", vo
         end, kinds = np.array([END], "<u4"), []
 
         def docs():
-            for b in batches:
+            for b in sliced(batches):
                 kinds[:] = [b.column(0).type]
                 for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     yield d, np.concatenate([enc.encode(t or ""), end])

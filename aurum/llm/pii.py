@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, read_table, text_of
+from .common import bounded_sample, read_table, sliced, text_of
 
 #: The kinds, in the order of the output.
 KINDS = ["email", "ip", "card", "phone"]
@@ -343,7 +343,7 @@ def mask_pii(df: DataFrame, field: Field, text: str = "text", length: str | None
         return "".join([*out, t[end:]])
 
     def rows(batches):
-        for b in batches:
+        for b in sliced(batches):
             done = pa.array([masked(t) for t in b.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([done if i == at else c for i, c in enumerate(b.columns)], b.schema.names)
 

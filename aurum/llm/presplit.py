@@ -132,6 +132,16 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: What is kept by a Python worker for its next task that encodes texts.
+KEPT = [vocabulary]
+
+
+def forget() -> None:
+    """Drop vocabularies and memos: tasks that encode nothing run in the same workers."""
+    for f in KEPT:
+        f.cache_clear()
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")

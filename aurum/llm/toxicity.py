@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, materialize, read_table, text_of
-from .presplit import Memo
+from .common import crc_bucket, materialize, read_table, sliced, text_of
+from .presplit import Memo, forget
 
 #: Bounds of the fit: rows per class, characters of a row that may be an example.
 EXAMPLES, EXAMPLE_CHARS = 2000, 30_000
@@ -387,8 +387,9 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
     number = {t: i for i, t in enumerate(terms)}
 
     def count(batches):
+        forget()
         look, df, n = lookup(number), np.zeros(len(number) + 1, np.int64), 0
-        for b in batches:
+        for b in sliced(batches):
             for t in b.column(0).to_pylist():
                 n += 1
                 hit = np.fromiter(chain.from_iterable(map(look.__getitem__, set(words(t)))), np.int64)
@@ -429,8 +430,9 @@ def drop_toxic(docs: DataFrame, index: Index, threshold: float = THRESHOLD, text
     held, at = docs.sparkSession.sparkContext.broadcast(index), docs.columns.index(text)
 
     def rows(batches):
+        forget()
         ix = held.value
-        for b in batches:
+        for b in sliced(batches, 8 * BATCH):
             stay = [ix.probability(ix.vote(*found)) < threshold for found in ix.nearest([t or "" for t in b.column(at).to_pylist()])]
             yield b.filter(pa.array(stay, pa.bool_()))
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialize, read_table, ship
+from aurum.llm.common import materialize, read_table, ship, small_batches
 from aurum.llm.exact_dedup import deduplicate
 from aurum.llm.ngram_join import jaccard_components
 from aurum.llm.packing import pack_documents
@@ -36,6 +36,7 @@ from aurum.llm.toxicity import fit as fit_toxicity
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    small_batches(spark)
     labels = learnable(read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     index = fit_toxicity(docs, labels, "text", "doc_id", "toxic")
     return drop_toxic(docs, index)
@@ -49,6 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are told apart by a number of their own: ids may repeat or be null.
     Of each group the row with the smallest id stays (null last, then the first row)."""
     ship(spark)
+    small_batches(spark)
     row = "__row"
     while row in docs.columns:
         row += "_"
@@ -61,11 +63,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    small_batches(spark)
     return mask_pii(docs, fit_pii(docs), length="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    small_batches(spark)
     return pack_documents(docs)
 
 
