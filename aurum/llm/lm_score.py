@@ -45,10 +45,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import contexts as C
-from .common import materialize, read_table
+from .common import materialize, read_table, sliced
 
-#: Bytes and texts of a buffer (a task holds some 20 bytes for each byte), and bytes of it that are worked on at a time.
-BUFFER_BYTES, BUFFER_TEXTS, PIECE_BYTES = 5 << 20, 1 << 16, 1 << 20
+#: Bytes and texts of a buffer (a task holds some 10 bytes for each byte; what is sent falls as buffers grow),
+#: bytes and texts of it that are worked on at a time.
+BUFFER_BYTES, BUFFER_TEXTS, PIECE_BYTES, PIECE_TEXTS = 16 << 20, 1 << 16, 1 << 20, 4096
 #: Grams that are gathered before equal ones are merged.
 MERGE = 2_000_000
 #: Bytes of text for each block, and least number of blocks.
@@ -92,7 +93,7 @@ def _pieces(bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             held.append(whole[at:at + PIECE_BYTES + C.ORDER])
             sizes.append(len(held[-1]) - C.ORDER)
             owner.append(i)
-            if sum(sizes) >= PIECE_BYTES or len(sizes) >= 4096:
+            if sum(sizes) >= PIECE_BYTES or len(sizes) >= PIECE_TEXTS:
                 yield grams()
                 held, sizes, owner = [], [], []
     if sizes:
@@ -116,6 +117,23 @@ def _different(bodies: list[bytes], held: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys, n.astype("<u4")
 
 
+def _sorted_pieces(bodies: list[bytes]) -> tuple[list[tuple], np.ndarray]:
+    """Of each piece its different grams, at which of its sorted symbols they start (bits),
+    its first text, and the text of each sorted symbol counted from that one; and the
+    different grams of all pieces, sorted."""
+    pieces, parts, size = [], [], 0
+    for some, owner in _pieces(bodies):
+        order = np.argsort(some)
+        some = some[order]
+        new = np.concatenate([[True], some[1:] != some[:-1]])
+        pieces.append((some[new], np.packbits(new), int(owner[0]), (owner[order] - owner[0]).astype(np.uint16)))  # under PIECE_TEXTS
+        parts.append(pieces[-1][0])
+        size += len(parts[-1])
+        if size > MERGE:
+            parts, size = [np.unique(np.concatenate(parts))], 0
+    return pieces, np.unique(np.concatenate(parts or [np.empty(0, np.uint64)]))
+
+
 def _in_blocks(keys: np.ndarray, blocks: int, hot: dict) -> tuple[np.ndarray, list[int]]:
     """Order of sorted grams by block, and where the blocks start."""
     block = C.blocks_of(keys, blocks, hot)
@@ -162,7 +180,7 @@ def _gather(batches, blocks: int, hot: dict):
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=_ROWS)
 
-    for b in batches:
+    for b in sliced(batches):
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             w = split(t)
             out = is_held_out(i)
@@ -186,7 +204,7 @@ def _hot_contexts(src: DataFrame, share: float) -> dict[int, np.ndarray]:
     ``HOT`` of the grams of a sample of texts, by order, sorted."""
     def count(batches):
         seen = {k: (np.empty(0, np.uint64), np.empty(0, np.int64)) for k in range(C.SHARED, C.ORDER)}
-        for b in batches:
+        for b in sliced(batches, 4096):
             for keys, _ in _pieces([b" ".join(split(t)) + END for t in b.column(0).to_pylist()]):
                 for k in seen:  # order SHARED stands for the whole number
                     seen[k] = C.added(seen[k], np.unique(keys & C.mask(k) if k > C.SHARED else keys & np.uint64(0), return_counts=True))
@@ -272,20 +290,14 @@ def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int, hot
     for i, t in enumerate(bodies):
         c = np.array([count[w] for w in t.split()] + [ends], float)
         base[i], known[i] = np.log10((c + 1) / all_).sum(), np.count_nonzero(c)
-    # each piece's different grams, and of its symbols, by gram, the text and the place among these
-    pieces, every = [], []
-    for some, owner in _pieces(bodies):
-        order = np.argsort(some)
-        some = some[order]
-        new = np.concatenate([[True], some[1:] != some[:-1]])
-        every.append(some[new])
-        pieces.append((owner[order].astype(np.int32), (np.cumsum(new) - 1).astype(np.int32)))
-    keys = np.unique(np.concatenate(every or [np.empty(0, np.uint64)]))
+    pieces, keys = _sorted_pieces(bodies)
     p = np.empty(len(keys), np.float32)
     p[_in_blocks(keys, blocks, hot)[0]] = joined(GRAMS, "<f4")
     score = np.zeros(len(bodies))
-    for (owner, place), some in zip(pieces, every, strict=True):
-        score += np.bincount(owner, p[np.searchsorted(keys, some)].astype(float)[place], len(bodies))
+    for some, new, first, owner in pieces:
+        place = np.cumsum(np.unpackbits(new, count=len(owner)), dtype=np.int32) - 1
+        sums = np.bincount(owner, p[np.searchsorted(keys, some)].astype(float)[place])
+        score[first:first + len(sums)] += sums
     return pa.table({
         "id": pa.array(texts["ids"], pa.int64()), "held_out": pa.array(texts["held"], pa.bool_()),
         "n_tokens": pa.array(np.array(texts["sizes"], np.int64) + 1), "n_known": pa.array(known),

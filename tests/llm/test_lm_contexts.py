@@ -173,3 +173,35 @@ def test_blocks_and_buffers_change_nothing(table, monkeypatch):
 def test_an_empty_table_finds_no_hot_context(spark):
     src = spark.createDataFrame([], "id long, t string")
     assert all(len(x) == 0 for x in L._hot_contexts(src, 1.0).values())
+
+
+def test_sorted_pieces_give_each_symbol_its_gram_and_text(monkeypatch):
+    monkeypatch.setattr(L, "PIECE_BYTES", 200)
+    monkeypatch.setattr(L, "PIECE_TEXTS", 7)
+    monkeypatch.setattr(L, "MERGE", 300)
+    rng = random.Random(6)
+    bodies = [" ".join(ordered(rng, rng.choice([0, 3, 9, 150]))).encode() + L.END for _ in range(60)]
+    want = [(int(g), int(i)) for keys, owner in L._pieces(bodies) for g, i in zip(keys, owner, strict=True)]
+    pieces, keys = L._sorted_pieces(bodies)
+    got = []
+    for some, new, first, owner in pieces:
+        place = np.cumsum(np.unpackbits(new, count=len(owner)), dtype=np.int64) - 1
+        got += [(int(g), int(i) + first) for g, i in zip(some[place], owner, strict=True)]
+    assert sorted(got) == sorted(want) and len(pieces) > 5
+    assert keys.tolist() == sorted({g for g, _ in want})
+
+
+def test_texts_of_a_task_share_what_they_send(monkeypatch):
+    """A buffer sends its grams once: 6 MB of text are one buffer (two before), held in few bytes for each byte."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(L, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": staticmethod(lambda: 3)}))}))
+    rng = random.Random(7)
+    some = [" ".join(ordered(rng, 500)) for _ in range(40)]
+    texts = [rng.choice(some) for _ in range(4000)]
+    assert 6 << 20 < sum(map(len, texts)) < 16 << 20
+    batch = pa.RecordBatch.from_pydict({"id": list(range(4000)), "t": texts})
+    rows = [r for b in L._gather([batch], 16, {}) for r in b.to_pylist()]
+    assert [r["ids"] for r in rows if r["kind"] == L.TEXTS] == [list(range(4000))]
+    pieces, _ = L._sorted_pieces([t.encode() + L.END for t in texts])
+    assert sum(x.nbytes for p in pieces for x in p if isinstance(x, np.ndarray)) < 4 * sum(map(len, texts))
