@@ -24,7 +24,7 @@ document's whole text is scored where it is read; nothing else is shuffled.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, materialize, read_table, sliced, text_of
+from .common import crc_bucket, give_back, materialize, read_table, sliced, text_of
 from .presplit import Memo, forget
 
 #: Bounds of the fit: rows per class, characters of a row that may be an example.
@@ -65,12 +65,33 @@ def word_terms(word: bytes) -> tuple:
     return (word, *((b"^" + w[:n].encode()) for n in STARTS if len(w) > n))
 
 
+class Counted:
+    """Word counts of texts as arrays of numbers of words, which take a fraction of
+    the counters' memory; given as dicts, one at a time."""
+
+    def __init__(self, texts: Iterable[str]):
+        number: dict[bytes, int] = {}
+        self.rows = []
+        for t in texts:
+            c = Counter(words(t))
+            self.rows.append((np.fromiter((number.setdefault(w, len(number)) for w in c), np.int32, len(c)),
+                              np.fromiter(c.values(), np.int32, len(c))))
+        self.words = list(number)
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __iter__(self) -> Iterator[dict[bytes, int]]:
+        for at, n in self.rows:
+            yield dict(zip(map(self.words.__getitem__, at.tolist()), n.tolist(), strict=True))
+
+
 def choose_terms(docs: list[Counter], toxic: np.ndarray) -> list[bytes]:
     """All terms of the examples, those whose presence depends on the label first.  docs: counts of words."""
     return weighed_terms(docs, toxic)[0]
 
 
-def weighed_terms(docs: list[Counter], toxic: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+def weighed_terms(docs: Iterable[dict], toxic: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """The terms and the chi-squared of each."""
     number, a, b = term_counts(docs, toxic)
     chi2 = chi_squared(a, b, toxic)
@@ -79,7 +100,7 @@ def weighed_terms(docs: list[Counter], toxic: np.ndarray) -> tuple[list[bytes],
     return [terms[i] for i in order.tolist()], chi2[order]
 
 
-def term_counts(docs: list[Counter], toxic: np.ndarray) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+def term_counts(docs: Iterable[dict], toxic: np.ndarray) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
     """Numbers of the examples' terms, and in how many toxic and other examples each is."""
     number: dict[bytes, int] = {}
     numbers = Memo(lambda w: tuple(number.setdefault(t, len(number)) for t in word_terms(w)), 150_000)
@@ -116,11 +137,12 @@ class Postings:
 
     def __init__(self, terms: int, term: np.ndarray, at: np.ndarray, w: np.ndarray, width: int):
         order = np.lexsort((at, term))
-        term, self.at, self.w, self.width = term[order], at[order].astype(np.int32), w[order].astype(np.float32), width
+        term, self.at, self.w, self.width = term[order], at[order].astype(np.int32, copy=False), w[order].astype(np.float32, copy=False), width
+        del order
         self.start = np.searchsorted(term, np.arange(terms + 1))
         self.blocks = width // BLOCK
         heavy = np.flatnonzero(np.diff(self.start) >= max(1, HEAVY * width))
-        self.row = np.full(terms, -1)
+        self.row = np.full(terms, -1, np.int32)
         self.row[heavy] = np.arange(len(heavy))
         self._cut(term)
 
@@ -196,21 +218,25 @@ class Index:
         look = lookup(self.number)
         vectors = [(q.astype(np.int32), w.astype(np.float32)) for q, w in (self.vector(d, look) for d in docs)]
         del look
+        give_back()
         term = np.concatenate([q for q, _ in vectors] or [np.empty(0, np.int32)])
-        at = np.repeat(np.arange(len(vectors)), [len(q) for q, _ in vectors])
+        at = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(q) for q, _ in vectors])
         w = np.concatenate([x for _, x in vectors] or [np.empty(0, np.float32)])
         often = np.flatnonzero(np.bincount(term, minlength=len(terms) + 1) >= 2 * HEAVY * len(vectors))
-        row = np.full(len(terms) + 1, -1)
+        row = np.full(len(terms) + 1, -1, np.int32)
         row[often] = np.arange(len(often))
         rows = np.zeros((len(vectors), len(often)), np.float32)
         some = row[term] >= 0
         rows[at[some], row[term[some]]] = w[some]
         order = coherent_order(rows)
-        place = np.empty(len(order), int)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         del rows, some
         self.ids, self.toxic = [ids[i] for i in order], toxic[order].astype(int)
-        self.impact = Postings(len(terms) + 1, term, place[at] if len(at) else at, w, -(-len(order) // BLOCK) * BLOCK)
+        at = place[at] if len(at) else at
+        self.impact = Postings(len(terms) + 1, term, at, w, -(-len(order) // BLOCK) * BLOCK)
+        del term, at, w
+        give_back()
         share = [max(1, int((self.toxic == y).sum())) for y in (0, 1)]
         self.weight = np.array([class_rows[y] / share[y] for y in (0, 1)])  # rows of the class per example of it
         self.plain = None
@@ -286,7 +312,11 @@ class Index:
         return out
 
     def __getstate__(self):
-        return self.__dict__ | {"look": None}
+        return self.__dict__ | {"look": None, "number": b" ".join(self.number)}  # one string is sent with less memory than a dict
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.number = {t: i for i, t in enumerate(state["number"].split(), 1)}
 
     def nearest(self, texts: list[str]):
         """Neighbours of texts, one text after another."""
@@ -304,8 +334,12 @@ class Index:
 
     def _calibrate(self, vectors) -> tuple[np.ndarray, np.ndarray]:
         """Isotonic regression of labels on votes: thresholds and probabilities."""
-        votes = np.array([self.vote(*found) for x in range(0, len(vectors), BATCH)
-                          for found in self.search_all(vectors[x:x + BATCH], without=list(range(x, min(x + BATCH, len(vectors)))))])
+        some = []
+        for x in range(0, len(vectors), BATCH):
+            found = self.search_all(vectors[x:x + BATCH], without=list(range(x, min(x + BATCH, len(vectors)))))
+            some += [self.vote(*f) for f in found]
+            give_back()
+        votes = np.array(some)
         weight = self.weight[self.toxic]
         groups: list[list[float]] = []  # lowest vote, weight, weighted positives
         prior = float((weight * self.toxic).sum() / weight.sum()) if len(votes) else 0.0
@@ -353,14 +387,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, toxic: str)
     taken = []
     for y in (0, 1):
         taken += found.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(EXAMPLES).collect()
-    y, ids, same = np.array([r["y"] for r in taken], int), [r["id"] for r in taken], {}
-    counted = [Counter({same.setdefault(w, w): n for w, n in Counter(words(r["t"])).items()}) for r in taken]  # one copy of a word
-    del taken, same
+    y, ids = np.array([r["y"] for r in taken], int), [r["id"] for r in taken]
+    taken.reverse()
+    counted = Counted(taken.pop()["t"] for _ in range(len(taken)))  # a text goes when it is counted
+    give_back()
     terms, chi2 = weighed_terms(counted, y) if 0 < y.sum() < len(y) else ([], np.empty(0))
     df, n = document_frequencies(docs, text, terms)
-    counted.reverse()
-    once = (counted.pop() for _ in range(len(counted)))  # an example's counts go when it is a vector
-    return Index(terms, df, n, once, y, ids, (share.get(0, 0), share.get(1, 0)), chi2)
+    return Index(terms, df, n, counted, y, ids, (share.get(0, 0), share.get(1, 0)), chi2)
 
 
 def lookup(number: dict[bytes, int]) -> Memo:
@@ -384,10 +417,11 @@ def lookup(number: dict[bytes, int]) -> Memo:
 
 def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tuple[np.ndarray, int]:
     """In how many of all documents each term is, and their number."""
-    number = {t: i for i, t in enumerate(terms)}
+    joined = b" ".join(terms)  # terms have no blanks; one string is sent with less memory than a dict
 
     def count(batches):
         forget()
+        number = {t: i for i, t in enumerate(joined.split())}
         look, df, n = lookup(number), np.zeros(len(number) + 1, np.int64), 0
         for b in sliced(batches):
             for t in b.column(0).to_pylist():
@@ -399,8 +433,9 @@ def document_frequencies(docs: DataFrame, text: str, terms: list[bytes]) -> tupl
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at], pa.int64())], ["term", "n"])
 
     out = np.zeros(len(terms) + 1)
-    for r in docs.select(text_of(text).alias("t")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r["term"]] = r["n"]  # terms of the examples
+    rows = docs.select(text_of(text).alias("t")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = rows.toArrow()  # of the examples' terms, as arrays: a row object each would take ten times as much
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
     return out[:-1], int(out[-1])
 
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialize, read_table, ship, small_batches
+from aurum.llm.common import give_back, materialize, read_table, ship, small_batches
 from aurum.llm.exact_dedup import deduplicate
 from aurum.llm.ngram_join import jaccard_components
 from aurum.llm.packing import pack_documents
@@ -51,6 +51,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of each group the row with the smallest id stays (null last, then the first row)."""
     ship(spark)
     small_batches(spark)
+    give_back()
     row = "__row"
     while row in docs.columns:
         row += "_"
@@ -64,7 +65,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     small_batches(spark)
-    return mask_pii(docs, fit_pii(docs), length="n_chars")
+    field = fit_pii(docs)
+    give_back()
+    return mask_pii(docs, field, length="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
