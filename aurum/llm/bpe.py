@@ -12,9 +12,10 @@ path, which is its encoding.
 Copies are not written out: a state is kept as (label, time), the arc that a
 gadget removed as ``cut[u, v] = time``, and whether an arc leaves a state is
 read from those tables along the components of both labels (``leaves``) and
-kept in a transition table.  A pre-split word is encoded by walking its bytes
-once over the arcs that spell it; each prefix has one path, so a position
-needs one state only.  Decoding emits the arcs' labels.
+kept in a transition table.  A pre-split word is encoded by a walk over the
+arcs that spell it, long arcs first, back where no arc goes on; each prefix has
+one path, so a position needs one state only and is walked from once.  Decoding
+emits the arcs' labels.
 
 Tasks build the automaton once per Python worker from the file at
 ``vocab_path`` (present on every machine).  Rows are independent: there is no
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +62,7 @@ class Automaton:
         self._leaves.clear()  # answers of half-built states
         self.arc = {self.label[i]: i for i in arcs}
         self.label.update(special)
-        self._starts = {s[:n] for s in self.arc for n in range(1, len(s) + 1)}
+        self._spelt = {s[:n]: -1 for s in self.arc for n in range(1, len(s))} | self.arc  # -1: longer arcs start so
         size = max(self.label, default=-1) + 1
         self.labels = [self.label.get(i, b"") for i in range(size)]
         self._ids = Memo(self._chunk)
@@ -92,33 +94,41 @@ class Automaton:
         whole = self.arc.get(w)
         if whole is not None:
             return (whole,)
-        n, arc, starts, table = len(w), self.arc, self._starts, self._leaves
-        state = [-1] * (n + 1)
-        back = [0] * (n + 1)
-        for i in range(n):
-            at = state[i]
-            for j in range(i + 1, n + 1):
-                s = w[i:j]
-                if s not in starts:
+        n, spelt, table = len(w), self._spelt.get, self._leaves
+        state = [-1] * (n + 1)  # of the positions that were reached
+        walk = []  # positions behind the current one
+        i = 0
+        while True:
+            for j in range(i + 1, n + 1):  # the longest arc that spells what follows
+                x = spelt(w[i:j])
+                if x is None:
                     break
-                t = arc.get(s)
-                if t is None or state[j] >= 0:
-                    continue
-                if i:
+                if x >= 0:
+                    t, end = x, j
+            while True:
+                if state[end] < 0:  # else there is no way on from there
+                    if not i:
+                        break
+                    at = state[i]
                     ok = table.get((at, t))
                     if ok is None:
                         ok = self.leaves(at, t)
                         if len(table) < TRANSITIONS:
                             table[at, t] = ok
-                    if not ok:
-                        continue
-                state[j], back[j] = t, i
-        out = []
-        j = n
-        while j:
-            out.append(state[j])
-            j = back[j]
-        return tuple(reversed(out))
+                    if ok:
+                        break
+                end -= 1  # the next shorter arc, else back
+                while True:
+                    if end == i:
+                        i = walk.pop()
+                    elif (t := spelt(w[i:end])) >= 0:
+                        break
+                    end -= 1
+            state[end] = t
+            walk.append(i)
+            i = end
+            if i == n:
+                return (*map(state.__getitem__, walk[1:]), t)
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         parts = self.voc.pretokens(chunk)
@@ -128,13 +138,12 @@ class Automaton:
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        known = self._ids
+        known = self._ids.__getitem__
         for s, added in self.voc.segments(text):
             if added is not None:
                 ids.append(added)
             else:
-                for c in self.voc.chunks(s):
-                    ids += known[c]
+                ids += chain.from_iterable(map(known, self.voc.chunks(s)))
         return ids
 
     def decode(self, ids) -> str:

@@ -73,11 +73,10 @@ class Vocabulary:
             unsafe = "\0" in s or any(p in s for p in _ASCII_PAIRS)
         else:
             known = self._agreed
-            for c in set(s):
-                if c not in known:
-                    known[c] = self._agrees(c)
-                    if not known[c]:
-                        self._odd.add(c)
+            for c in set(s).difference(known):
+                known[c] = self._agrees(c)
+                if not known[c]:
+                    self._odd.add(c)
             if self._odd and not self._odd.isdisjoint(s):
                 return self.split_by_library(s)
             unsafe = "\0" in s or _SPACE_AFTER_SPACE.search(s)

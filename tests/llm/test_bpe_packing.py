@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from aurum.llm.bpe import automaton, decode, encode
+from aurum.llm.bpe import Automaton, automaton, decode, encode
 from aurum.llm.packing import END, encoder, pack_documents, pack_stream, plan, tail_cuts
 from aurum.llm.presplit import default_path
 
@@ -105,3 +105,19 @@ def test_ids_of_any_type_and_null_ids(spark):
         got = out.collect()
         assert sorted(str(r.doc_id) for r in got if r.start == 0) == sorted(map(str, ids))
         assert sorted(r.doc_tokens for r in got if r.start == 0)[:2] == [1, 1]  # null and empty: the end id alone
+
+
+def test_words_are_walked_with_few_lookups(library):
+    class Counting(dict):
+        n = 0
+
+        def get(self, key):
+            Counting.n += 1
+            return dict.get(self, key)
+
+    rng = random.Random(7)
+    words = [" " + "".join(rng.choice("eeaaitnoshrdlugenstionß") for _ in range(rng.randint(3, 40))) for _ in range(3000)]
+    a = Automaton(default_path())
+    a._spelt = Counting(a._spelt)
+    assert [list(a._word(w)) for w in words] == [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+    assert Counting.n < 3 * sum(len(w.encode()) for w in words)
