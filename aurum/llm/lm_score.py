@@ -36,6 +36,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +72,8 @@ def is_held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-def block_of(word: bytes, blocks: int) -> int:
-    return xxhash.xxh3_64_intdigest(word) % blocks
+def blocks_of(words: list[bytes], blocks: int) -> np.ndarray:
+    return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(blocks)).astype(np.int64)
 
 
 def split(text: str | None) -> list[bytes]:
@@ -130,8 +131,8 @@ def _sorted_pieces(bodies: list[bytes]) -> tuple[list[tuple], np.ndarray]:
         parts.append(pieces[-1][0])
         size += len(parts[-1])
         if size > MERGE:
-            parts, size = [np.unique(np.concatenate(parts))], 0
-    return pieces, np.unique(np.concatenate(parts or [np.empty(0, np.uint64)]))
+            parts, size = [C.different(np.concatenate(parts))], 0
+    return pieces, C.different(np.concatenate(parts or [np.empty(0, np.uint64)]))
 
 
 def _in_blocks(keys: np.ndarray, blocks: int, hot: dict) -> tuple[np.ndarray, list[int]]:
@@ -144,7 +145,7 @@ def _in_blocks(keys: np.ndarray, blocks: int, hot: dict) -> tuple[np.ndarray, li
 def _words_in_blocks(words, blocks: int) -> tuple[list[bytes], list[int]]:
     """Different words sorted by block and word, and where the blocks start."""
     words = sorted(words)
-    block = np.array([block_of(w, blocks) for w in words], np.int64)
+    block = blocks_of(words, blocks)
     order = np.argsort(block, kind="stable")
     return [words[i] for i in order.tolist()], np.searchsorted(block[order], np.arange(blocks + 1)).tolist()
 
@@ -288,7 +289,7 @@ def _score_texts(table: pa.Table, totals: tuple[int, int, int], blocks: int, hot
     all_ = float(tokens + types + 1)
     base, known = np.empty(len(bodies)), np.empty(len(bodies), np.int64)
     for i, t in enumerate(bodies):
-        c = np.array([count[w] for w in t.split()] + [ends], float)
+        c = np.fromiter(chain(map(count.__getitem__, t.split()), [ends]), float)
         base[i], known[i] = np.log10((c + 1) / all_).sum(), np.count_nonzero(c)
     pieces, keys = _sorted_pieces(bodies)
     p = np.empty(len(keys), np.float32)
