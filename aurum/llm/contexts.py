@@ -191,7 +191,7 @@ def added(*some: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]
     """Different arcs of all, sorted, with the sums of their counts."""
     arcs = np.concatenate([a for a, _ in some] or [np.empty(0, np.uint64)])
     n = np.concatenate([c for _, c in some] or [np.empty(0, np.int64)])
-    order = np.argsort(arcs)
+    order = np.argsort(arcs, kind="stable")  # of sorted runs
     arcs, n = arcs[order], n[order].astype(np.int64)
     if not len(arcs):
         return arcs, n

@@ -124,7 +124,7 @@ def _sorted_pieces(bodies: list[bytes]) -> tuple[list[tuple], np.ndarray]:
     different grams of all pieces, sorted."""
     pieces, parts, size = [], [], 0
     for some, owner in _pieces(bodies):
-        order = np.argsort(some)
+        order = np.argsort(some, kind="stable")  # half the time of the default
         some = some[order]
         new = np.concatenate([[True], some[1:] != some[:-1]])
         pieces.append((some[new], np.packbits(new), int(owner[0]), (owner[order] - owner[0]).astype(np.uint16)))  # under PIECE_TEXTS
