@@ -2,6 +2,8 @@
 (SURVEY §5.2): dedup, upsert, SCD2, snapshot diff, quality checks."""
 
 import datetime as dt
+import glob
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -251,3 +253,60 @@ def test_keyed_keeps_the_grouping_of_its_rows(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(") <= 2, plan  # of the rows, and of the keys; before: 3
+
+
+# ------------------------------------------------------------------ F-29 at size
+def _sales_tables(spark, folder):
+    """Small driver tables: a line that comes twice, one without amount, one of an order without date."""
+    from aurum.schemas import DRIVER_TABLES
+
+    day = dt.datetime(1997, 3, 9)
+    tables = {
+        "region": [(0, "AMERICA"), (1, "EUROPE"), (2, "ASIA")],
+        "nation": [(i, f"N{i}", i) for i in range(3)],
+        "supplier": [(i, f"S{i}", i, 1.0) for i in range(3)],
+        "orders": [(1, 7, "O", 1.0, day, "5-LOW"), (2, 8, "O", 1.0, day + dt.timedelta(1), "1-URGENT"), (3, 9, "O", 1.0, None, "5-LOW")],
+        "lineitem": [(1, 3, s, s, 10.0, 1000.0 * (s + 1), 0.0, 0.0, "N", "O", day) for s in range(3)]
+        + [(1, 3, 1, 1, 10.0, 9000.0, 0.0, 0.0, "N", "O", day + dt.timedelta(3)), (2, 53, 2, 6, 10.0, 500.0, 0.0, 0.0, "N", "O", day),
+           (2, 3, 2, 1, 10.0, 800.0, 0.0, 0.0, "N", "O", day), (3, 3, 1, 1, 10.0, 800.0, 0.0, 0.0, "N", "O", day)],
+    }
+    for name, rows_ in tables.items():
+        spark.createDataFrame(rows_, DRIVER_TABLES[name]).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_fx_sales_are_staged_once_and_hashed_after_the_rates(spark, scratch, monkeypatch):
+    from aurum.operators import joins
+    from aurum.plans.catalog import QUERIES
+
+    d = _sales_tables(spark, scratch)
+    expected = sorted([("1-0", D("2.00"), D("2.00")), ("1-1", D("18.00"), D("20.52")), ("1-2", D("6.00"), D("0.01")), ("2-1", D("1.60"), D("0.00"))])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["sales_clean_fx"](spark, d)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in df.select("transaction_id", "amount_local", "amount_usd").collect()) == expected
+        # the rows are shuffled for the latest version only; before: for orders, supplier, the rates and a second time for their input
+        assert plan.count("Exchange hashpartitioning(") == 1 and "lineitem" not in plan, plan
+        monkeypatch.setattr(joins, "SMALL", -1)  # rates too large to be broadcast
+        df = QUERIES["sales_clean_fx"](spark, d)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in df.select("transaction_id", "amount_local", "amount_usd").collect()) == expected
+        assert plan.rindex("sha2(") < plan.index("Exchange hashpartitioning(currency"), plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """What was shuffled for a stored table is gone when it is written."""
+    from aurum.sources.sinks import CLEANUP, cut
+
+    own = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for d in own for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.sum("id").alias("s"))
+    before = files()
+    kept = df.collect()
+    assert len(kept) == 10 and files() - before  # as Spark leaves them
+    before = files()
+    assert sorted(cut(df, "trial").collect()) == sorted(kept)
+    assert spark.conf.get(CLEANUP) == "false" and not files() - before
