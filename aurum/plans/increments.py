@@ -14,6 +14,7 @@ registered ``*_incremental`` queries return the whole table after the batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from aurum.config import Settings
 from aurum.operators.dedup import dedup_latest
+from aurum.operators.joins import small
 from aurum.operators.upsert import keyed
 from aurum.plans import silver
 
@@ -108,6 +110,8 @@ def rescored(stored_rows: DataFrame, batch: DataFrame, stats: DataFrame, setting
 
 # ------------------------------------------------------------------ M-08 / W-03
 PAIR = ["product_sku", "warehouse_id"]
+#: Bytes of first touched days up to which they are sent to all executors.
+FEW = 1 << 20
 #: Stands for a missing day, which sorts before all others.
 NO_DAY = "DATE '0001-01-01'"
 
@@ -122,37 +126,51 @@ class StockChanges(NamedTuple):
     rows: DataFrame  # the pairs' snapshots from that day on
 
 
-def movement_changes(movements: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+def movement_changes(movements: DataFrame, batch: DataFrame,
+                     store: Callable[[DataFrame], DataFrame] = lambda now: now) -> tuple[DataFrame, DataFrame]:
     """Latest versions of the batch's movements, and the first day of each pair
-    that one of them names or named."""
+    that one of them names or named.  ``store`` may write the versions, of which
+    the days are made, and read them back."""
     old = only(movements, batch.select("movement_id").distinct())
-    now = silver.latest_movements(old.unionByName(batch.select(*old.columns)))
+    now = store(silver.latest_movements(old.unionByName(batch.select(*old.columns))))
     starts = old.unionByName(now).groupBy(*PAIR).agg(F.min(_day("movement_date")).alias("start"))
     return now, starts
 
 
-def _from_start(df: DataFrame, day: str, starts: DataFrame, before: bool = False) -> DataFrame:
-    own = starts.select(*[F.col(c).alias(f"__{c}") for c in PAIR], "start")
-    j = df.join(own, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in PAIR])
-    return j.where(_day(day) < F.col("start") if before else _day(day) >= F.col("start")).drop(*[f"__{c}" for c in PAIR], "start")
+def _paired(df: DataFrame) -> DataFrame:
+    """``df`` with its pair as one column, in which NULL equals NULL: joined by plain equality,
+    rows are dealt by the column that they are grouped and ordered by, and shuffled once."""
+    return df.withColumn("__pair", F.struct(*PAIR)).drop(*PAIR)
 
 
-def stock_rows(stored: DataFrame, movements: DataFrame, now: DataFrame, starts: DataFrame) -> DataFrame:
+def _unpaired(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col("__pair")[c] for c in PAIR})
+
+
+def _from_start(paired: DataFrame, day: str, starts: DataFrame, before: bool = False) -> DataFrame:
+    j = paired.join(_paired(starts).select("__pair", "start"), "__pair")
+    return j.where(_day(day) < F.col("start") if before else _day(day) >= F.col("start")).drop("start")
+
+
+def stock_rows(stored: DataFrame, movements: DataFrame, now: DataFrame, starts: DataFrame,
+               store: Callable[[DataFrame], DataFrame] = lambda flows: flows) -> DataFrame:
     """Snapshots of the touched pairs from their first touched day on.
 
     ``movements`` (without the batch) and ``stored`` may be cut to what matters:
-    movements since the first start, snapshots of the pairs."""
-    kept = only(movements, now.select("movement_id"), "left_anti")
-    flows = silver.daily_flows(_from_start(kept.unionByName(now.select(*kept.columns)), "movement_date", starts))
-    carry = _from_start(stored, "snapshot_date", starts, before=True).groupBy(*PAIR).agg(
+    movements since the first start, snapshots of the pairs.  ``store`` may write
+    the daily flows and read them back; ``movements`` and ``now`` aren't read after that."""
+    after = only(movements, now.select("movement_id"), "left_anti").unionByName(now.select(*movements.columns))
+    if small(starts, FEW):  # movements of other pairs, and of earlier days, aren't shuffled
+        after = _unpaired(_from_start(_paired(after), "movement_date", F.broadcast(starts)))
+    # one row a day before the rows of a pair meet in one task
+    flows = _from_start(_paired(store(silver.daily_flows(after))), "movement_date", starts)
+    carry = _from_start(_paired(stored), "snapshot_date", starts, before=True).groupBy("__pair").agg(
         F.max_by("quantity_on_hand", _day("snapshot_date")).alias("_carried"))
-    carry = carry.select(*[F.col(c).alias(f"__{c}") for c in PAIR], "_carried")
-    flows = flows.join(carry, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in PAIR], "left").drop(*[f"__{c}" for c in PAIR])
-    return silver.running_stock(flows, F.coalesce("_carried", F.lit(0)))
+    return silver.running_stock(_unpaired(flows.join(carry, "__pair", "left")), F.coalesce("_carried", F.lit(0)), ["__pair"])
 
 
 def stock_kept(stored: DataFrame, starts: DataFrame) -> DataFrame:
     """Stored snapshots that the batch leaves as they are."""
-    own = starts.select(*[F.col(c).alias(f"__{c}") for c in PAIR], "start")
-    hit = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in PAIR] + [_day("snapshot_date") >= F.col("start")]
-    return stored.join(own, hit, "left_anti")
+    own = _paired(starts).select(F.col("__pair").alias("__own"), "start")
+    hit = (F.col("__pair") == F.col("__own")) & (_day("snapshot_date") >= F.col("start"))
+    return _unpaired(_paired(stored).join(own, hit, "left_anti")).select(*stored.columns)

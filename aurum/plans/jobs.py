@@ -129,8 +129,8 @@ def _inventory_job(spark: SparkSession, bronze: DataFrame, target) -> None:
         replace_path(spark, now.select("*", day), moves, ["movement_day"], key="movement_id")
         discard(batch)
         return
-    now, starts = increments.movement_changes(movements.drop("movement_day"), batch)
-    now, starts = cut(now, "now"), cut(starts, "starts")
+    now, starts = increments.movement_changes(movements.drop("movement_day"), batch, store=lambda now: cut(now, "now"))
+    starts = cut(starts, "starts")
     first = starts.agg(F.min("start")).first()[0]
     if first is not None:
         # only what lies behind the first touched day is read, by partition

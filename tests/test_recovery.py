@@ -331,6 +331,43 @@ def test_stock_goes_on_from_the_stored_balance(spark):
     assert rows(got, *want.columns) == rows(want)
 
 
+@pytest.mark.parametrize("few", [-1, 1 << 40])
+def test_stock_rows_shuffle_a_pair_once_and_no_keys(spark, monkeypatch, few):
+    kind = "movement_id string, product_sku string, warehouse_id string, movement_type string, quantity int, movement_date timestamp_ntz, _loaded_at timestamp_ntz"
+    t0 = dt.datetime(2024, 1, 1)
+
+    def moves(span, load):
+        return spark.createDataFrame([(f"m{i}" if i % 13 else None, None if i % 4 == 0 else f"s{i % 3}", None if i % 5 == 0 else "w", ["INBOUND", "OUTBOUND", "TRANSFER"][i % 3],
+                                       i % 7 + load, None if i % 17 == 0 else t0 + dt.timedelta(days=i * load % 19), t0 + dt.timedelta(days=load)) for i in span], kind)
+
+    first, then = moves(range(80), 1), moves(range(50, 100, 3), 2)
+    monkeypatch.setattr(increments, "FEW", few)
+    tables_ = {}
+
+    def store(name):
+        return lambda df: tables_.setdefault(name, sinks.cut(df, name))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        movements = sinks.cut(silver.latest_movements(first), "movements")
+        flows = silver.daily_flows(movements)
+        plan = silver.running_stock(flows)._jdf.queryExecution().executedPlan().toString()
+        assert plan.rindex("sha2(") < plan.index("Exchange hashpartitioning("), plan  # before: keys were shuffled
+        stored = sinks.cut(silver.running_stock(flows), "stock")
+        now, starts = increments.movement_changes(movements, then, store=store("now"))
+        starts = sinks.cut(starts, "starts")
+        new = increments.stock_rows(stored, movements, now, starts, store=store("flows"))
+        sinks.discard(movements, now)  # nothing reads them any more
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        # flows, stored balances, and the starts for each of the two; before: flows three times, with their keys
+        assert plan.count("Exchange hashpartitioning(") == plan.count("Exchange hashpartitioning(__pair") <= 4, plan
+        assert plan.rindex("sha2(") < plan.index("Exchange hashpartitioning("), plan
+        want = silver.inventory_snapshots(first.unionByName(then))
+        assert rows(increments.stock_kept(stored, starts).unionByName(new), *want.columns) == rows(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_jobs_with_changed_readings_and_movements_equal_a_rebuild(spark, scratch):
     bed = Bed(spark, SF_SMOKE)
     raw = {n: bed.raw(n) for n in jobs.BRONZE}
